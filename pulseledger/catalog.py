@@ -7,18 +7,16 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import oracle
 from .config import DOCUMENTED, Config
-from .functions import date_spine, round_half_up
-from .operators import identity, quality
-from .operators.sessions import sessionize_incremental
+from .functions import date_spine, name, round_half_up
+from .operators import quality
+from .operators.sessions import sessionize, sessionize_incremental
 from .plans import accounts as account_plans
 from .plans import product, signals, users
-from .plans.pipeline import Inputs, Relations
-from .session import configure
+from .plans.pipeline import Relations
+from .session import configure, materialize
 from .sources import testdata
 
 MAIN = Config(
@@ -34,42 +32,38 @@ DIGITS = 6
 
 @dataclass
 class Query:
+    """``run`` builds the result from the relations of the settings; ``shared``
+    names the relations that are written once because several others, all
+    needed for this result, read them."""
+
     run: Callable[[Relations, SparkSession, str], DataFrame]
     select: str | None
     cfg: Config = MAIN
     stretch: int = 1
     more: list[str] = field(default_factory=list)
+    shared: tuple[str, ...] = ()
 
     def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
-        return comparable(self.run(relations(spark, sf_dir, self.cfg, self.stretch), spark, sf_dir))
+        inputs = testdata.TestTables(spark, sf_dir, self.stretch)
 
-    def sql(self) -> str | None:
-        return None if self.select is None else oracle.statement(self.select, self.cfg, self.stretch, self.more)
+        def share(df: DataFrame, name: str) -> DataFrame:
+            return materialize(df, name) if name in self.shared else df
 
+        return comparable(self.run(Relations(inputs, self.cfg, share), spark, sf_dir))
 
-def relations(spark: SparkSession, sf_dir: str, cfg: Config = MAIN, stretch: int = 1) -> Relations:
-    inputs = Inputs(
-        testdata.tracks(spark, sf_dir, stretch),
-        testdata.pages(spark, sf_dir, stretch),
-        testdata.identifies(spark, sf_dir, stretch),
-    )
-    return Relations(inputs, cfg)
+    def sql(self) -> str | None:
+        return None if self.select is None else oracle.statement(self.select, self.cfg, self.stretch, self.more)
 
 
 def comparable(df: DataFrame) -> DataFrame:
     """Types and precision that another engine can be compared with."""
-    columns = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        elif isinstance(f.dataType, (T.IntegerType, T.ShortType)):
-            c = c.cast("long")
-        elif isinstance(f.dataType, T.DoubleType):
-            c = round_half_up(c, DIGITS)
-        columns.append(c.alias(f.name))
-    return df.select(*columns)
+    conversions = {
+        "timestamp": "CAST({} AS TIMESTAMP_NTZ)",
+        "int": "CAST({} AS BIGINT)",
+        "double": round_half_up("{}", DIGITS),
+    }
+    return df.selectExpr(*[f"{conversions.get(kind, '{}').format(name(c))} AS {name(c)}" for c, kind in df.dtypes])
 
 
 def _columns(names: str) -> list[str]:
@@ -238,15 +232,13 @@ def _quality_sql() -> str:
 def _split_incrementally(r: Relations, late: bool) -> DataFrame:
     """Sessions of the first part, then the rest merged in as one batch."""
     events = r.tracks.select("event_id", "user_id", "account_id", "event_at")
-    cut = F.lit("2024-01-20 00:00:00").cast("timestamp")
-    first = F.col("event_at") < cut
+    first = "event_at < TIMESTAMP'2024-01-20 00:00:00'"
     if late:
         # A fifth of the earlier events arrives with the batch.
-        first = first & (F.pmod(F.xxhash64("event_id"), F.lit(5)) != 0)
+        first += " AND pmod(xxhash64(event_id), 5) <> 0"
     timeout = r.cfg.session_timeout_minutes
-    from .operators.sessions import sessionize
-
-    return sessionize_incremental(sessionize(events.filter(first), timeout), events.filter(~first), timeout)
+    stored = r.share(sessionize(events.filter(first), timeout), "sessions")
+    return sessionize_incremental(stored, events.filter(f"NOT ({first})"), timeout)
 
 
 SESSION_SQL = (
@@ -312,9 +304,9 @@ def _build() -> dict[str, Query]:
     q["dim_accounts"] = Query(lambda r, s, d: r.dim_accounts, DIM_A_SQL)
     q["dim_users"] = Query(lambda r, s, d: r.dim_users, DIM_U_SQL)
     q["date_spine"] = Query(
-        lambda r, s, d: r.daily.select("activity_date").distinct().join(
-            date_spine(s, r.cfg.spine_start, r.cfg.today), F.col("activity_date") == F.col("date_day"), "right"
-        ).select("date_day", F.col("activity_date").isNotNull().cast("long").alias("has_activity")),
+        lambda r, s, d: date_spine(s, r.cfg.spine_start, r.cfg.today)
+        .join(r.daily.selectExpr("activity_date AS date_day", "1L AS seen").distinct(), "date_day", "left")
+        .selectExpr("date_day", "coalesce(seen, 0L) AS has_activity"),
         "SELECT d AS date_day, CAST(EXISTS (SELECT 1 FROM stg WHERE CAST(tm AS DATE) = d) AS BIGINT) AS has_activity FROM calendar",
     )
     q["account_spine"] = Query(
@@ -363,7 +355,7 @@ def _build() -> dict[str, Query]:
     )
     q["user_daily_activity"] = Query(lambda r, s, d: users.user_daily_activity(r.daily), "SELECT * FROM ua")
     q["user_daily_sessions"] = Query(
-        lambda r, s, d: users.user_daily_sessions(r.sessions).drop("session_seconds", "session_events"),
+        lambda r, s, d: users.user_daily_sessions(r.sessions),
         "SELECT session_date, user_id, n_sessions, CAST(round(CAST(avg_min AS DECIMAL(28,10)), 6) AS DOUBLE) AS"
         " avg_session_duration_minutes, CAST(round(CAST(avg_ev AS DECIMAL(28,10)), 6) AS DOUBLE) AS avg_events_per_session FROM us",
     )
@@ -420,7 +412,26 @@ def _build() -> dict[str, Query]:
     return q
 
 
-QUERIES = _build()
+_DAILY = ("lookup", "daily")
+_ONLY_DAILY_READERS = ("product_", "feature_")
+_ACCOUNT_READERS = ("account_", "churn_alerts", "expansion_alerts")
+_USER_READERS = ("user_snapshot", "champions_topk", "lifecycle_counts", "user_segments", "license_utilization")
+
+
+def _share(queries: dict[str, Query]) -> dict[str, Query]:
+    for key, query in queries.items():
+        if key.startswith(_USER_READERS):
+            query.shared = (*_DAILY, "user_days")
+        elif key.startswith((*_ONLY_DAILY_READERS, *_ACCOUNT_READERS)) and key != "account_spine":
+            query.shared = _DAILY
+        elif key.startswith("sessions_incremental"):
+            query.shared = ("lookup", "sessions")
+    for key in ("account_playbook", "quality_report"):
+        queries[key].shared = (*_DAILY, "sessions", "user_days")
+    return queries
+
+
+QUERIES = _share(_build())
 FLAGSHIP = "account_health"
 
 

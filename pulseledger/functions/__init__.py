@@ -1,37 +1,44 @@
 from .columns import (
     calendar_days_between,
     date_spine,
-    day_of,
-    days_before,
+    day_literal,
+    each_day,
+    flag,
+    instant,
     minute_diff,
     minute_start,
     month_of,
+    name,
     optional_col,
     round_half_up,
     safe_ratio,
     second_diff,
-    spine_column,
     surrogate_key,
-    utc_instant,
+    text_literal,
 )
+from .frames import aggregate, union_all
 from .health import health_score, health_segment, lifecycle_status
 
 __all__ = [
+    "aggregate",
     "calendar_days_between",
     "date_spine",
-    "day_of",
-    "days_before",
+    "day_literal",
+    "each_day",
+    "flag",
     "health_score",
     "health_segment",
+    "instant",
     "lifecycle_status",
     "minute_diff",
     "minute_start",
     "month_of",
+    "name",
     "optional_col",
     "round_half_up",
     "safe_ratio",
     "second_diff",
-    "spine_column",
     "surrogate_key",
-    "utc_instant",
+    "text_literal",
+    "union_all",
 ]

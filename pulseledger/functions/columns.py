@@ -1,92 +1,101 @@
-"""Column helpers: time arithmetic, guarded ratios, keys, calendars.
+"""SQL expression helpers: time arithmetic, guarded ratios, keys, calendars.
 
-All of them are built-in expressions, so they stay inside code generation.
+Each returns expression text for ``selectExpr``, ``expr`` or ``filter``; the
+arguments are column names or expressions. Only built-in functions are used,
+so everything stays inside code generation.
 """
 
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed value: stands for a null part in the session key.
 KEY_NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 
 
-def utc_instant(moment: datetime) -> Column:
-    """A timestamp literal; naive values are UTC. Folds to a constant."""
+def instant(moment: datetime) -> str:
+    """A timestamp constant; naive values are UTC."""
     if moment.tzinfo is None:
         moment = moment.replace(tzinfo=timezone.utc)
     epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
-    return F.timestamp_micros(F.lit((moment - epoch) // timedelta(microseconds=1)))
+    return f"timestamp_micros({(moment - epoch) // timedelta(microseconds=1)}L)"
 
 
-def days_before(moment: datetime, days: int) -> Column:
-    """Timestamp literal ``days`` * 24 h before ``moment``."""
-    return utc_instant(moment - timedelta(days=days))
+def day_literal(day: date) -> str:
+    return f"DATE'{day.isoformat()}'"
 
 
-def day_of(ts: Column) -> Column:
-    return F.to_date(ts)
+def text_literal(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def month_of(day: Column) -> Column:
-    return F.trunc(day, "month")
+def name(column: str) -> str:
+    """A column name, quoted."""
+    return "`" + column.replace("`", "``") + "`"
 
 
-def minute_start(ts: Column) -> Column:
+def minute_start(ts: str) -> str:
     """Start of the clock minute, in epoch seconds (long)."""
-    seconds = F.unix_seconds(ts)
-    return seconds - F.pmod(seconds, F.lit(60))
+    return f"(unix_seconds({ts}) - pmod(unix_seconds({ts}), 60))"
 
 
-def minute_diff(earlier: Column, later: Column) -> Column:
+def minute_diff(earlier: str, later: str) -> str:
     """Minute boundaries crossed: 10:00:59 to 10:31:00 counts 31."""
-    return ((minute_start(later) - minute_start(earlier)) / 60).cast("long")
+    return f"(({minute_start(later)} - {minute_start(earlier)}) div 60)"
 
 
-def second_diff(earlier: Column, later: Column) -> Column:
+def second_diff(earlier: str, later: str) -> str:
     """Second boundaries crossed."""
-    return F.unix_seconds(later) - F.unix_seconds(earlier)
+    return f"(unix_seconds({later}) - unix_seconds({earlier}))"
 
 
-def calendar_days_between(earlier: Column, later: Column) -> Column:
-    return F.datediff(F.to_date(later), F.to_date(earlier)).cast("long")
+def calendar_days_between(earlier: str, later: str) -> str:
+    return f"CAST(datediff(to_date({later}), to_date({earlier})) AS BIGINT)"
 
 
-def round_half_up(value: Column, digits: int) -> Column:
+def month_of(day: str) -> str:
+    return f"trunc({day}, 'month')"
+
+
+def round_half_up(value: str, digits: int) -> str:
     """Decimal rounding, so that 4.405 held as 4.40499999 rounds like 4.405."""
-    return F.round(value.cast("decimal(38,10)"), digits).cast("double")
+    return f"CAST(round(CAST({value} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
 
 
-def safe_ratio(numerator: Column, denominator: Column, digits: int | None = None) -> Column:
+def safe_ratio(numerator: str, denominator: str, digits: int | None = None) -> str:
     """Fractional division, null where the denominator is 0 or null."""
-    bottom = denominator.cast("double")
-    ratio = F.when(bottom != 0, numerator.cast("double") / bottom)
+    ratio = f"(CAST({numerator} AS DOUBLE) / nullif(CAST({denominator} AS DOUBLE), 0D))"
     return ratio if digits is None else round_half_up(ratio, digits)
 
 
-def surrogate_key(*parts: Column) -> Column:
+def flag(condition: str) -> str:
+    """1 where the condition holds, else 0."""
+    return f"IF({condition}, 1, 0)"
+
+
+def surrogate_key(*parts: str) -> str:
     """md5 over the parts joined by '-', nulls replaced by a fixed token."""
-    return F.md5(F.concat_ws("-", *[F.coalesce(p.cast("string"), F.lit(KEY_NULL_TOKEN)) for p in parts]))
+    filled = ", ".join(f"coalesce(CAST({p} AS STRING), '{KEY_NULL_TOKEN}')" for p in parts)
+    return f"md5(concat_ws('-', {filled}))"
 
 
-def optional_col(df: DataFrame, name: str, dtype: str = "string") -> Column:
-    """Column ``name`` cast to ``dtype``, or a typed null where ``df`` lacks it."""
+def optional_col(df: DataFrame, column: str, dtype: str = "STRING") -> str:
+    """The column cast to ``dtype``, or a typed null where ``df`` lacks it."""
     for present in df.columns:
-        if present.lower() == name.lower():
-            return F.col(f"`{present}`").cast(dtype)
-    return F.lit(None).cast(dtype)
+        if present.lower() == column.lower():
+            return f"CAST({name(present)} AS {dtype})"
+    return f"CAST(NULL AS {dtype})"
 
 
-def spine_column(first: Column, last: Column) -> Column:
-    """One row per day from ``first`` to ``last`` inclusive; none if reversed."""
-    days = F.sequence(first, last, F.expr("interval 1 day"))
-    return F.explode(F.when(first <= last, days))
+def each_day(first: str, last: str) -> str:
+    """Generator: one row per day, both ends included; none if reversed."""
+    return f"explode(IF({first} <= {last}, sequence({first}, {last}), NULL))"
 
 
 def date_spine(spark: SparkSession, start: date, end_exclusive: date) -> DataFrame:
     """Calendar: ``start`` inclusive, ``end_exclusive`` exclusive."""
-    last = end_exclusive - timedelta(days=1)
-    return spark.range(1).select(spine_column(F.lit(start), F.lit(last)).alias("date_day"))
+    last = day_literal(end_exclusive - timedelta(days=1))
+    return spark.range(1).selectExpr(f"{each_day(day_literal(start), last)} AS date_day")

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Segment thresholds and score weights.
 USAGE_DROP_BELOW = 0.5
 DECLINE_BELOW = 0.9
 GROWTH_ABOVE = 1.1
-LOW_STICKINESS_BELOW = 0.20
-HIGH_STICKINESS_FROM = 0.40
+LOW_STICKINESS_BELOW = 0.2
+HIGH_STICKINESS_FROM = 0.4
 STICKINESS_POINTS = 40
 VOLUME_POINTS = 40
 VOLUME_RATIO_CEILING = 1.5
@@ -19,37 +16,32 @@ FREQUENCY_DAYS_CEILING = 5
 MAX_SCORE = 100
 
 
-def health_segment(mau: Column, wau: Column, volume_ratio: Column, stickiness: Column) -> Column:
+def health_segment(mau: str, wau: str, volume_ratio: str, stickiness: str) -> str:
     """Account class; the first rule that holds wins."""
-    silent_week = (mau > 0) & (wau == 0)
-    weak = (stickiness < LOW_STICKINESS_BELOW) | (volume_ratio < DECLINE_BELOW)
-    strong = (stickiness >= HIGH_STICKINESS_FROM) | (volume_ratio > GROWTH_ABOVE)
-    return (
-        F.when(silent_week, "Critical - Dormant")
-        .when(volume_ratio < USAGE_DROP_BELOW, "Critical - Usage Drop")
-        .when(weak, "At-Risk")
-        .when(strong, "Healthy")
-        .otherwise("Stable")
-    )
+    rules = {
+        "Critical - Dormant": f"{mau} > 0 AND {wau} = 0",
+        "Critical - Usage Drop": f"{volume_ratio} < {USAGE_DROP_BELOW}D",
+        "At-Risk": f"{stickiness} < {LOW_STICKINESS_BELOW}D OR {volume_ratio} < {DECLINE_BELOW}D",
+        "Healthy": f"{stickiness} >= {HIGH_STICKINESS_FROM}D OR {volume_ratio} > {GROWTH_ABOVE}D",
+    }
+    return "CASE " + " ".join(f"WHEN {rule} THEN '{label}'" for label, rule in rules.items()) + " ELSE 'Stable' END"
 
 
-def health_score(stickiness: Column, volume_ratio: Column, active_days_7d: Column) -> Column:
+def health_score(stickiness: str, volume_ratio: str, active_days_7d: str) -> str:
     """0 to 100: stickiness, week-over-week volume and active days."""
     points = (
-        F.coalesce(stickiness, F.lit(0.0)) * STICKINESS_POINTS
-        + F.least(volume_ratio, F.lit(VOLUME_RATIO_CEILING)) * VOLUME_POINTS
-        + F.least(active_days_7d, F.lit(FREQUENCY_DAYS_CEILING).cast("long")) * FREQUENCY_POINTS_PER_DAY
-    )
-    return F.least(F.lit(float(MAX_SCORE)), points.cast("double"))
-
-
-def lifecycle_status(is_first_day: Column, active_today: Column, active_30d: Column, active_30d_before: Column) -> Column:
-    """User state; the flags are 0/1, ``active_30d_before`` may be null."""
-    came_back = (active_today == 1) & (F.coalesce(active_30d_before, F.lit(0)) == 0)
-    return (
-        F.when(is_first_day, "New")
-        .when(came_back, "Resurrected")
-        .when(active_30d == 0, "Churned")
-        .when(active_today == 1, "Active")
-        .otherwise("Dormant")
+        f"coalesce({stickiness}, 0D) * {STICKINESS_POINTS}"
+        f" + least({volume_ratio}, {VOLUME_RATIO_CEILING}D) * {VOLUME_POINTS}"
+        f" + least({active_days_7d}, {FREQUENCY_DAYS_CEILING}) * {FREQUENCY_POINTS_PER_DAY}"
     )
+    return f"least({MAX_SCORE}D, {points})"
+
+
+def lifecycle_status(is_first_day: str, days_today: str, days_30: str, days_30_before: str) -> str:
+    """User state from active days today, in 30 days, and in 30 days as of
+    the day before (null or 0: none)."""
+    return f"""CASE WHEN {is_first_day} THEN 'New'
+        WHEN {days_today} > 0 AND coalesce({days_30_before}, 0) = 0 THEN 'Resurrected'
+        WHEN {days_30} = 0 THEN 'Churned'
+        WHEN {days_today} > 0 THEN 'Active'
+        ELSE 'Dormant' END"""

@@ -11,86 +11,57 @@ as one row per group.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions import day_of, minute_start
-from .identity import attach_identity, canonical_pages, canonical_tracks, keep_own_identity, needs_lookup
+from ..functions import aggregate, minute_start, union_all
+from . import identity
 
 DAILY_KEYS = ("account_id", "user_id", "activity_date", "event_name")
+OWN_IDS = ("anonymous_id", "original_user_id", "original_account_id")
 _MEASURES = ("n_events", "first_at", "last_at")
 
 
-def _merge(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        F.sum("n_events").alias("n_events"),
-        F.min("first_at").alias("first_at"),
-        F.max("last_at").alias("last_at"),
-    )
+def _merge(df: DataFrame, *keys: str) -> DataFrame:
+    return aggregate(df, keys, "sum(n_events) AS n_events", "min(first_at) AS first_at", "max(last_at) AS last_at")
+
+
+def _single_events(df: DataFrame, time: str, *columns: str) -> DataFrame:
+    return df.selectExpr(*columns, "1L AS n_events", f"{time} AS first_at", f"{time} AS last_at")
 
 
 def daily(staged_tracks: DataFrame) -> DataFrame:
     """Daily roll-up of staged tracks."""
-    rows = staged_tracks.select(
-        "account_id",
-        "user_id",
-        day_of(F.col("event_at")).alias("activity_date"),
-        "event_name",
-        F.lit(1).cast("long").alias("n_events"),
-        F.col("event_at").alias("first_at"),
-        F.col("event_at").alias("last_at"),
-    )
-    return _merge(rows, list(DAILY_KEYS))
+    rows = _single_events(staged_tracks, "event_at", "account_id", "user_id", "to_date(event_at) AS activity_date", "event_name")
+    return _merge(rows, *DAILY_KEYS)
 
 
-def _attach_after_rollup(rows: DataFrame, grain: list[str], identity_map: DataFrame, account_map: DataFrame) -> DataFrame:
-    """Identity for rows of (original ids, grain, measures).
+def _attach(rows: DataFrame, grain: tuple[str, ...], lookup: DataFrame | None, cfg: Config) -> DataFrame:
+    """Identity for rows of (own ids, grain, measures).
 
-    Rows needing a look-up are first merged per original ids and grain: a
-    device that sent a third of all events joins as a few rows per day.
+    Rows needing a look-up are first merged per own ids and grain: a device
+    that sent a third of all events joins as a few rows per day.
     """
-    ids = ["anonymous_id", "original_user_id", "original_account_id"]
-    unknown = rows.filter(needs_lookup()).withColumn(
-        # The device is irrelevant once the user is known.
-        "anonymous_id",
-        F.when(F.col("original_user_id").isNull(), F.col("anonymous_id")),
-    )
-    known = keep_own_identity(rows.filter(~needs_lookup()))
-    found = attach_identity(_merge(unknown, ids + grain), identity_map, account_map)
     keep = ["user_id", "account_id", *grain, *_MEASURES]
+    if not cfg.enable_identity_stitching:
+        return identity.keep_own_identity(rows).select(*keep)
+    if lookup is None:
+        raise ValueError("identity stitching needs the look-up map")
+    known = identity.keep_own_identity(rows.filter(f"NOT ({identity.NEEDS_LOOKUP})"))
+    # The device is irrelevant once the user is known.
+    unknown = rows.filter(identity.NEEDS_LOOKUP).selectExpr(
+        "IF(original_user_id IS NULL, anonymous_id, NULL) AS anonymous_id", *OWN_IDS[1:], *grain, *_MEASURES
+    )
+    found = identity.look_up_identity(_merge(unknown, *OWN_IDS, *grain), lookup)
     return known.select(*keep).unionByName(found.select(*keep))
 
 
-def stitched_daily(tracks: DataFrame, identity_map: DataFrame | None, account_map: DataFrame | None, cfg: Config) -> DataFrame:
+def stitched_daily(tracks: DataFrame, lookup: DataFrame | None, cfg: Config) -> DataFrame:
     """Same result as ``daily(stage_tracks(...))``, rolled up before the join."""
-    rows = canonical_tracks(tracks, cfg).select(
-        "anonymous_id",
-        "original_user_id",
-        "original_account_id",
-        day_of(F.col("event_at")).alias("activity_date"),
-        "event_name",
-        F.lit(1).cast("long").alias("n_events"),
-        F.col("event_at").alias("first_at"),
-        F.col("event_at").alias("last_at"),
-    )
-    if cfg.enable_identity_stitching:
-        resolved = _attach_after_rollup(rows, ["activity_date", "event_name"], identity_map, account_map)
-    else:
-        resolved = keep_own_identity(rows)
-    return _merge(resolved, list(DAILY_KEYS))
-
-
-def _minute_rows(df: DataFrame, at: str, *ids: str) -> DataFrame:
-    return df.select(
-        *ids,
-        minute_start(F.col(at)).alias("minute"),
-        F.lit(1).cast("long").alias("n_events"),
-        F.col(at).alias("first_at"),
-        F.col(at).alias("last_at"),
+    rows = _single_events(
+        identity.canonical_tracks(tracks, cfg), "event_at", *OWN_IDS, "to_date(event_at) AS activity_date", "event_name"
     )
+    return _merge(_attach(rows, ("activity_date", "event_name"), lookup, cfg), *DAILY_KEYS)
 
 
 def _minutes(rows: DataFrame) -> DataFrame:
@@ -100,38 +71,31 @@ def _minutes(rows: DataFrame) -> DataFrame:
     second grouping matters for a user active in several accounts within a
     minute, in particular for the null user.
     """
-    per_account = _merge(rows, ["user_id", "minute", "account_id"])
-    first = F.min_by(F.col("account_id"), F.struct("first_at", "account_id"))
-    return per_account.groupBy("user_id", "minute").agg(
-        F.sum("n_events").alias("n_events"),
-        F.min("first_at").alias("first_at"),
-        F.max("last_at").alias("last_at"),
-        first.alias("account_id"),
+    per_account = _merge(rows, "user_id", "minute", "account_id")
+    return aggregate(
+        per_account,
+        ["user_id", "minute"],
+        "sum(n_events) AS n_events",
+        "min(first_at) AS first_at",
+        "max(last_at) AS last_at",
+        "min_by(account_id, struct(first_at, account_id)) AS account_id",
     )
 
 
-def minutes(events: DataFrame, at: str = "event_at") -> DataFrame:
-    """Minute roll-up of rows with user_id, account_id and a time column."""
-    return _minutes(_minute_rows(events, at, "user_id", "account_id"))
+def minutes(events: DataFrame) -> DataFrame:
+    """Minute roll-up of rows with user_id, account_id and event_at."""
+    return _minutes(_single_events(events, "event_at", "user_id", "account_id", f"{minute_start('event_at')} AS minute"))
 
 
-def stitched_minutes(
-    tracks: DataFrame,
-    pages: DataFrame | None,
-    identity_map: DataFrame | None,
-    account_map: DataFrame | None,
-    cfg: Config,
-) -> DataFrame:
+def stitched_minutes(tracks: DataFrame, pages: DataFrame | None, lookup: DataFrame | None, cfg: Config) -> DataFrame:
     """Minute roll-up of raw tracks, and pages if the settings include them."""
-    ids = ("anonymous_id", "original_user_id", "original_account_id")
-    inputs = [_minute_rows(canonical_tracks(tracks, cfg), "event_at", *ids)]
+
+    def rows(df: DataFrame, time: str) -> DataFrame:
+        return _single_events(df, time, *OWN_IDS, f"{minute_start(time)} AS minute")
+
+    inputs = [rows(identity.canonical_tracks(tracks, cfg), "event_at")]
     if cfg.include_pages_in_sessions:
         if pages is None:
             raise ValueError("include_pages_in_sessions needs the pages relation")
-        inputs.append(_minute_rows(canonical_pages(pages, cfg), "page_viewed_at", *ids))
-    rows = reduce(DataFrame.unionByName, inputs)
-    if cfg.enable_identity_stitching:
-        resolved = _attach_after_rollup(rows, ["minute"], identity_map, account_map)
-    else:
-        resolved = keep_own_identity(rows)
-    return _minutes(resolved)
+        inputs.append(rows(identity.canonical_pages(pages, cfg), "page_viewed_at"))
+    return _minutes(_attach(union_all(inputs), ("minute",), lookup, cfg))

@@ -3,97 +3,111 @@
 Two maps, each one row per key, drive the stitching: anonymous id -> last
 user, and user -> last account. They can be applied at event grain
 (``stage_tracks``, ``stage_pages``) or after a roll-up
-(``activity.stitched_activity``); the second way shuffles far less.
+(``activity.stitched_daily``); the second way shuffles far less.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from datetime import timedelta
+
+from pyspark.sql import DataFrame
 
 from ..config import Config
-from ..functions import days_before, optional_col
+from ..functions import aggregate, instant, name, optional_col
+
+TRACK_COLUMNS = (
+    "event_id", "anonymous_id", "original_user_id", "user_id",
+    "original_account_id", "account_id", "event_name", "event_at",
+)
+PAGE_COLUMNS = (
+    "page_id", "anonymous_id", "original_user_id", "user_id", "original_account_id", "account_id", "page_name",
+    "page_viewed_at", "page_title", "page_path", "page_url", "page_referrer", "page_search",
+)
 
 
-def event_time(cfg: Config) -> Column:
-    columns = [F.col(f"`{name}`") for name in cfg.event_time_fields]
-    return columns[0] if len(columns) == 1 else F.coalesce(*columns)
+def event_time(cfg: Config) -> str:
+    columns = [name(c) for c in cfg.event_time_fields]
+    return columns[0] if len(columns) == 1 else f"coalesce({', '.join(columns)})"
 
 
 def within_lookback(df: DataFrame, cfg: Config, days: int) -> DataFrame:
     """Rows not older than ``days`` before ``as_of``; pushed to the scan."""
-    first_field = F.col(f"`{cfg.event_time_fields[0]}`")
-    return df.filter(first_field >= days_before(cfg.as_of_utc, days))
+    oldest = instant(cfg.as_of_utc - timedelta(days=days))
+    return df.filter(f"{event_time(cfg)} >= {oldest}")
 
 
-def _latest(df: DataFrame, key: str, value: str, at: str, out: str) -> DataFrame:
+def _latest(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """Per ``key`` the ``value`` seen last; equal times: the larger value.
 
     The first aggregate has only (key, value, max time) and so combines on
     the map side by hashing: a key with very many rows leaves each task as
     one row per distinct value.
     """
-    pairs = df.groupBy(key, value).agg(F.max(at).alias(at))
-    last = F.max_by(F.col(value), F.struct(F.col(at), F.col(value)))
-    return pairs.groupBy(key).agg(last.alias(out))
+    pairs = aggregate(df, [key, value], "max(seen_at) AS seen_at")
+    return aggregate(pairs, [key], f"max_by({value}, struct(seen_at, {value})) AS {out}")
 
 
 def resolve_identity(identifies: DataFrame, cfg: Config) -> DataFrame:
     """(anonymous_id, master_user_id): last identified user per anonymous id."""
     links = (
         within_lookback(identifies, cfg, cfg.identity_lookback_days)
-        .select(
-            optional_col(identifies, cfg.anonymous_id_field).alias("anonymous_id"),
-            F.col("user_id").cast("string").alias("user_id"),
-            event_time(cfg).alias("at"),
+        .filter("user_id IS NOT NULL")
+        .selectExpr(
+            f"{optional_col(identifies, cfg.anonymous_id_field)} AS anonymous_id",
+            "CAST(user_id AS STRING) AS user_id",
+            f"{event_time(cfg)} AS seen_at",
         )
-        .filter(F.col("user_id").isNotNull())
     )
-    return _latest(links, "anonymous_id", "user_id", "at", "master_user_id")
+    return _latest(links, "anonymous_id", "user_id", "master_user_id")
 
 
 def map_user_account(tracks: DataFrame, cfg: Config) -> DataFrame:
-    """(user_id, latest_account_id): last explicit account per user."""
-    seen = (
-        within_lookback(tracks, cfg, cfg.tracks_lookback_days)
-        .select(
-            F.col("user_id").cast("string").alias("user_id"),
-            optional_col(tracks, cfg.group_id_field).alias("account_id"),
-            event_time(cfg).alias("at"),
-        )
-        .filter(F.col("user_id").isNotNull() & F.col("account_id").isNotNull())
+    """(user_id, latest_account_id): last explicit account per user.
+
+    Empty where the account column is absent.
+    """
+    seen = within_lookback(tracks, cfg, cfg.tracks_lookback_days).selectExpr(
+        "CAST(user_id AS STRING) AS user_id",
+        f"{optional_col(tracks, cfg.group_id_field)} AS account_id",
+        f"{event_time(cfg)} AS seen_at",
     )
-    return _latest(seen, "user_id", "account_id", "at", "latest_account_id")
+    return _latest(seen.filter("user_id IS NOT NULL AND account_id IS NOT NULL"), "user_id", "account_id", "latest_account_id")
+
+
+def _own_ids(df: DataFrame, cfg: Config) -> list[str]:
+    device = optional_col(df, cfg.anonymous_id_field) if cfg.enable_identity_stitching else "CAST(NULL AS STRING)"
+    return [
+        f"{device} AS anonymous_id",
+        "CAST(user_id AS STRING) AS original_user_id",
+        f"{optional_col(df, cfg.group_id_field)} AS original_account_id",
+    ]
 
 
 def canonical_tracks(tracks: DataFrame, cfg: Config) -> DataFrame:
     """Look-back filter and canonical column names, before any stitching."""
-    anonymous = optional_col(tracks, cfg.anonymous_id_field) if cfg.enable_identity_stitching else F.lit(None).cast("string")
-    return within_lookback(tracks, cfg, cfg.tracks_lookback_days).select(
-        F.col("id").cast("string").alias("event_id"),
-        anonymous.alias("anonymous_id"),
-        F.col("user_id").cast("string").alias("original_user_id"),
-        optional_col(tracks, cfg.group_id_field).alias("original_account_id"),
-        F.col("event").alias("event_name"),
-        event_time(cfg).alias("event_at"),
+    return within_lookback(tracks, cfg, cfg.tracks_lookback_days).selectExpr(
+        "CAST(id AS STRING) AS event_id",
+        *_own_ids(tracks, cfg),
+        "event AS event_name",
+        f"{event_time(cfg)} AS event_at",
     )
 
 
 def canonical_pages(pages: DataFrame, cfg: Config) -> DataFrame:
     """As ``canonical_tracks``; every page attribute may be missing."""
-    anonymous = optional_col(pages, cfg.anonymous_id_field) if cfg.enable_identity_stitching else F.lit(None).cast("string")
-    return within_lookback(pages, cfg, cfg.pages_lookback_days).select(
-        F.col("id").cast("string").alias("page_id"),
-        anonymous.alias("anonymous_id"),
-        F.col("user_id").cast("string").alias("original_user_id"),
-        optional_col(pages, cfg.group_id_field).alias("original_account_id"),
-        optional_col(pages, "name").alias("page_name"),
-        event_time(cfg).alias("page_viewed_at"),
-        optional_col(pages, cfg.page_title_field).alias("page_title"),
-        optional_col(pages, cfg.page_path_field).alias("page_path"),
-        optional_col(pages, cfg.page_url_field).alias("page_url"),
-        optional_col(pages, cfg.page_referrer_field).alias("page_referrer"),
-        optional_col(pages, cfg.page_search_field).alias("page_search"),
+    attributes = {
+        "page_title": cfg.page_title_field,
+        "page_path": cfg.page_path_field,
+        "page_url": cfg.page_url_field,
+        "page_referrer": cfg.page_referrer_field,
+        "page_search": cfg.page_search_field,
+    }
+    return within_lookback(pages, cfg, cfg.pages_lookback_days).selectExpr(
+        "CAST(id AS STRING) AS page_id",
+        *_own_ids(pages, cfg),
+        f"{optional_col(pages, 'name')} AS page_name",
+        f"{event_time(cfg)} AS page_viewed_at",
+        *[f"{optional_col(pages, source)} AS {target}" for target, source in attributes.items()],
     )
 
 
@@ -104,82 +118,73 @@ def lookup_map(identity_map: DataFrame, account_map: DataFrame) -> DataFrame:
     user id leads to the user's last account.
     """
     by_device = identity_map.join(account_map, identity_map["master_user_id"] == account_map["user_id"], "left")
-    by_device = by_device.filter(F.col("anonymous_id").isNotNull()).select(
-        F.lit(True).alias("is_anonymous"),
-        F.col("anonymous_id").alias("lookup_id"),
-        F.col("master_user_id").alias("found_user_id"),
-        F.col("latest_account_id").alias("found_account_id"),
+    by_device = by_device.filter("anonymous_id IS NOT NULL").selectExpr(
+        "true AS is_anonymous",
+        "anonymous_id AS lookup_id",
+        "master_user_id AS found_user_id",
+        "latest_account_id AS found_account_id",
     )
-    by_user = account_map.select(
-        F.lit(False).alias("is_anonymous"),
-        F.col("user_id").alias("lookup_id"),
-        F.col("user_id").alias("found_user_id"),
-        F.col("latest_account_id").alias("found_account_id"),
+    by_user = account_map.selectExpr(
+        "false AS is_anonymous",
+        "user_id AS lookup_id",
+        "user_id AS found_user_id",
+        "latest_account_id AS found_account_id",
     )
     return by_device.unionByName(by_user)
 
 
-def needs_lookup() -> Column:
-    """Rows a look-up could change: user unknown but device known, or user
-    known but account unknown. Their look-up id is never null."""
-    user, account = F.col("original_user_id"), F.col("original_account_id")
-    return (user.isNull() & F.col("anonymous_id").isNotNull()) | (user.isNotNull() & account.isNull())
+# Rows a look-up could change: user unknown but device known, or user known
+# but account unknown. Their look-up id is never null.
+NEEDS_LOOKUP = """(original_user_id IS NULL AND anonymous_id IS NOT NULL)
+    OR (original_user_id IS NOT NULL AND original_account_id IS NULL)"""
+
+
+def keep_own_identity(rows: DataFrame) -> DataFrame:
+    """User and account as recorded; drops rows without an account."""
+    return rows.filter("original_account_id IS NOT NULL").selectExpr(
+        "*", "original_user_id AS user_id", "original_account_id AS account_id"
+    )
 
 
-def attach_identity(rows: DataFrame, identity_map: DataFrame, account_map: DataFrame) -> DataFrame:
-    """Add user_id and account_id to canonical rows; drop account orphans.
+def look_up_identity(rows: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Identity for rows that need a look-up; drops account orphans.
 
-    Rows that no look-up could change pass through without a shuffle. The
-    others take one left join; its right side has one row per key, so rows
-    cannot multiply, and no key is null, so none pile up on one task. The
-    optimizer decides by size whether the map is broadcast, and splits a
-    skewed key (a device or user with very many rows) otherwise.
+    One left join; its right side has one row per key, so rows cannot
+    multiply, and no key is null, so none pile up on one task. The optimizer
+    decides by size whether the map is broadcast, and splits a skewed key (a
+    device or user with very many rows) otherwise.
     """
-    direct = keep_own_identity(rows.filter(~needs_lookup()))
-    keyed = rows.filter(needs_lookup()).select(
+    keyed = rows.selectExpr(
         "*",
-        F.col("original_user_id").isNull().alias("is_anonymous"),
-        F.coalesce("original_user_id", "anonymous_id").alias("lookup_id"),
+        "original_user_id IS NULL AS is_anonymous",
+        "coalesce(original_user_id, anonymous_id) AS lookup_id",
     )
-    found = keyed.join(lookup_map(identity_map, account_map), ["is_anonymous", "lookup_id"], "left").select(
+    found = keyed.join(lookup, ["is_anonymous", "lookup_id"], "left").selectExpr(
         *rows.columns,
-        F.coalesce("original_user_id", "found_user_id").alias("user_id"),
-        F.coalesce("original_account_id", "found_account_id").alias("account_id"),
+        "coalesce(original_user_id, found_user_id) AS user_id",
+        "coalesce(original_account_id, found_account_id) AS account_id",
     )
-    return direct.unionByName(found.filter(F.col("account_id").isNotNull()))
+    return found.filter("account_id IS NOT NULL")
 
 
-def keep_own_identity(rows: DataFrame) -> DataFrame:
-    """Stitching off: user and account as recorded; drop account orphans."""
-    return rows.filter(F.col("original_account_id").isNotNull()).select(
-        "*",
-        F.col("original_user_id").alias("user_id"),
-        F.col("original_account_id").alias("account_id"),
-    )
-
-
-def _stage(rows: DataFrame, identity_map: DataFrame | None, account_map: DataFrame | None, cfg: Config) -> DataFrame:
+def _stage(rows: DataFrame, lookup: DataFrame | None, cfg: Config) -> DataFrame:
+    """Rows that no look-up could change pass through without a shuffle."""
     if not cfg.enable_identity_stitching:
         return keep_own_identity(rows)
-    if identity_map is None or account_map is None:
-        raise ValueError("identity stitching needs both maps")
-    return attach_identity(rows, identity_map, account_map)
+    if lookup is None:
+        raise ValueError("identity stitching needs the look-up map")
+    direct = keep_own_identity(rows.filter(f"NOT ({NEEDS_LOOKUP})"))
+    return direct.unionByName(look_up_identity(rows.filter(NEEDS_LOOKUP), lookup))
 
 
-def stage_tracks(tracks: DataFrame, identity_map: DataFrame | None, account_map: DataFrame | None, cfg: Config) -> DataFrame:
-    """One row per track event that belongs to an account."""
-    staged = _stage(canonical_tracks(tracks, cfg), identity_map, account_map, cfg)
-    return staged.select(
-        "event_id", "anonymous_id", "original_user_id", "user_id",
-        "original_account_id", "account_id", "event_name", "event_at",
-    )
+def stage_tracks(tracks: DataFrame, lookup: DataFrame | None, cfg: Config) -> DataFrame:
+    """One row per track event that belongs to an account.
+
+    ``lookup`` is the result of ``lookup_map``, or None without stitching.
+    """
+    return _stage(canonical_tracks(tracks, cfg), lookup, cfg).select(*TRACK_COLUMNS)
 
 
-def stage_pages(pages: DataFrame, identity_map: DataFrame | None, account_map: DataFrame | None, cfg: Config) -> DataFrame:
+def stage_pages(pages: DataFrame, lookup: DataFrame | None, cfg: Config) -> DataFrame:
     """One row per page view that belongs to an account."""
-    staged = _stage(canonical_pages(pages, cfg), identity_map, account_map, cfg)
-    return staged.select(
-        "page_id", "anonymous_id", "original_user_id", "user_id",
-        "original_account_id", "account_id", "page_name", "page_viewed_at",
-        "page_title", "page_path", "page_url", "page_referrer", "page_search",
-    )
+    return _stage(canonical_pages(pages, cfg), lookup, cfg).select(*PAGE_COLUMNS)

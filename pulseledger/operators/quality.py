@@ -6,23 +6,24 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from ..functions import aggregate, name, text_literal, union_all
 
 
 def check_not_null(df: DataFrame, column: str) -> DataFrame:
     """Violating rows."""
-    return df.filter(F.col(column).isNull())
+    return df.filter(f"{name(column)} IS NULL")
 
 
 def check_unique(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once, with their count; nulls are exempt."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.filter(F.col("n_rows") > 1)
+    counts = aggregate(df.filter(f"{name(column)} IS NOT NULL"), [column], "count(*) AS n_rows")
+    return counts.filter("n_rows > 1")
 
 
 def check_expr(df: DataFrame, expression: str) -> DataFrame:
     """Rows for which the SQL expression is false; unknown passes."""
-    return df.filter(~F.expr(expression))
+    return df.filter(f"NOT ({expression})")
 
 
 @dataclass(frozen=True)
@@ -57,32 +58,25 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
 
     All row checks share one pass; each uniqueness check is its own grouping.
     """
-    row_checks = [("not_null", c, F.col(c).isNull()) for c in suite.not_null]
-    row_checks += [("expression", e, ~F.expr(e)) for e in suite.expressions]
+    row_checks = [("not_null", c, f"{name(c)} IS NULL") for c in suite.not_null]
+    row_checks += [("expression", e, f"NOT ({e})") for e in suite.expressions]
     results = []
     if row_checks:
-        counts = df.agg(*[F.count(F.when(failed, 1)).alias(f"c{i}") for i, (_, _, failed) in enumerate(row_checks)])
-        entries = [
-            F.struct(F.lit(kind).alias("check_name"), F.lit(subject).alias("subject"), F.col(f"c{i}").alias("n_violations"))
+        counts = aggregate(df, [], *[f"count_if({failed}) AS c{i}" for i, (_, _, failed) in enumerate(row_checks)])
+        entries = ", ".join(
+            f"named_struct('check_name', '{kind}', 'subject', {text_literal(subject)}, 'n_violations', c{i})"
             for i, (kind, subject, _) in enumerate(row_checks)
-        ]
-        results.append(counts.select(F.inline(F.array(*entries))))
+        )
+        results.append(counts.selectExpr(f"inline(array({entries}))"))
     for column in suite.unique:
-        duplicates = check_unique(df, column).agg(F.count(F.lit(1)).alias("n_violations"))
-        results.append(duplicates.select(F.lit("unique").alias("check_name"), F.lit(column).alias("subject"), "n_violations"))
-    report = results[0]
-    for more in results[1:]:
-        report = report.unionByName(more)
-    return report.select(F.lit(suite.relation).alias("relation"), "*")
+        duplicates = aggregate(check_unique(df, column), [], "count(*) AS n_violations")
+        results.append(duplicates.selectExpr("'unique' AS check_name", f"{text_literal(column)} AS subject", "n_violations"))
+    return union_all(results).selectExpr(f"{text_literal(suite.relation)} AS relation", "*")
 
 
 def run_checks(relations: dict[str, DataFrame], suites: Sequence[Suite] = SUITES) -> DataFrame:
     """Report of every suite whose relation is given."""
-    report = None
-    for suite in suites:
-        if suite.relation in relations:
-            part = run_suite(relations[suite.relation], suite)
-            report = part if report is None else report.unionByName(part)
-    if report is None:
+    reports = [run_suite(relations[s.relation], s) for s in suites if s.relation in relations]
+    if not reports:
         raise ValueError("no suite matches the given relations")
-    return report
+    return union_all(reports)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import aggregate
+
 # Hex digits of the tie digest that split a group: 256 parts.
 _PREFIX_DIGITS = 2
 
@@ -19,20 +21,14 @@ def rank_descending(df: DataFrame, group: str, value: str, tie: str, out: str) -
     it. The only window over a whole group sees one row per distinct value
     and digest prefix.
     """
+    rows = df.selectExpr("*", f"md5({tie}) AS _digest", f"left(md5({tie}), {_PREFIX_DIGITS}) AS _part")
     keys = [group, value, "_part"]
-    rows = df.withColumn("_digest", F.md5(F.col(tie))).withColumn("_part", F.substring("_digest", 1, _PREFIX_DIGITS))
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    parts_before = (
-        Window.partitionBy(group).orderBy(F.desc(value), F.asc("_part")).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = sizes.select(
-        *[F.col(k).alias(f"_of_{k}") for k in keys],
-        F.coalesce(F.sum("_size").over(parts_before), F.lit(0)).alias("_start"),
+    sizes = aggregate(rows, keys, "count(*) AS _size")
+    before = f"PARTITION BY {group} ORDER BY {value} DESC, _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    starts = sizes.selectExpr(
+        f"{group} AS _group", f"{value} AS _value", "_part AS _of_part", f"coalesce(sum(_size) OVER ({before}), 0L) AS _start"
     )
-    within = Window.partitionBy(*keys).orderBy("_digest", tie)
-    numbered = rows.withColumn("_position", F.row_number().over(within))
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
-    ranked = numbered.join(starts, same, "left")
-    return ranked.select(*df.columns, (F.col("_start") + F.col("_position")).cast("long").alias(out))
+    within = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY _digest, {tie}) AS _position"
+    numbered = rows.selectExpr("*", within)
+    ranked = numbered.join(starts, F.expr(f"{group} <=> _group AND {value} <=> _value AND _part = _of_part"), "left")
+    return ranked.selectExpr(*df.columns, f"_start + _position AS {out}")

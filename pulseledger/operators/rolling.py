@@ -12,10 +12,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from ..functions import round_half_up, spine_column
+from ..functions import day_literal, each_day, round_half_up, union_all
+
+
+def _over(keys: Sequence[str], order: str) -> str:
+    partition = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    return f"{partition}ORDER BY {order}"
 
 
 def coverage_steps(days: DataFrame, keys: Sequence[str], entity: str, day: str, windows: Mapping[str, int], last_day: date) -> DataFrame:
@@ -25,40 +29,33 @@ def coverage_steps(days: DataFrame, keys: Sequence[str], entity: str, day: str,
     trailing length in days: an entity active on day d counts on
     [d, d + length). Steps after ``last_day`` are left out.
     """
-    timeline = Window.partitionBy(*keys, entity).orderBy(day)
-    before, after = F.lag(day).over(timeline), F.lead(day).over(timeline)
-    neighbours = days.select(*keys, entity, day, before.alias("before"), after.alias("after"))
-
-    here = F.col(day)
-    zero = F.lit(0).cast("long")
-
-    def step(at: Column, values: Mapping[str, Column]) -> Column:
-        return F.struct(at.alias("at"), *[values.get(name, zero).cast("long").alias(name) for name in windows])
-
-    enters, leaves = {}, []
-    for name, length in windows.items():
-        lapsed = F.col("before").isNull() | (F.date_add("before", length) <= here)
-        enters[name] = F.when(lapsed, 1).otherwise(0)
-        until = F.date_add(here, length)
-        drops = F.col("after").isNull() | (F.col("after") >= until)
-        leaves.append(step(until, {name: F.when(drops, -1).otherwise(0)}))
-    exploded = neighbours.select(*keys, F.explode(F.array(step(here, enters), *leaves)).alias("step"))
-    nonzero = F.lit(False)
-    for name in windows:
-        nonzero = nonzero | (F.col(f"step.{name}") != 0)
-    return exploded.filter(nonzero & (F.col("step.at") <= F.lit(last_day))).select(
-        *keys, F.col("step.at").alias(day), *[F.col(f"step.{name}").alias(name) for name in windows]
+    timeline = _over([*keys, entity], day)
+    neighbours = days.selectExpr(
+        *keys, day, f"lag({day}) OVER ({timeline}) AS before", f"lead({day}) OVER ({timeline}) AS after"
     )
 
+    def step(at: str, values: Mapping[str, str]) -> str:
+        fields = ", ".join(f"'{n}', {values.get(n, '0L')}" for n in windows)
+        return f"named_struct('{day}', {at}, {fields})"
+
+    enters = {n: f"IF(before IS NULL OR date_add(before, {days}) <= {day}, 1L, 0L)" for n, days in windows.items()}
+    leaves = [
+        step(f"date_add({day}, {days})", {n: f"IF(after IS NULL OR after >= date_add({day}, {days}), -1L, 0L)"})
+        for n, days in windows.items()
+    ]
+    steps = f"array({', '.join([step(day, enters), *leaves])})"
+    exploded = neighbours.selectExpr(*keys, f"inline({steps})")
+    changes = " OR ".join(f"{n} <> 0" for n in windows)
+    return exploded.filter(f"({changes}) AND {day} <= {day_literal(last_day)}")
+
 
 def union_measures(parts: Sequence[DataFrame], keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Union of frames that each have the keys and some of the measures."""
-    total = None
+    padded = []
     for part in parts:
         present = set(part.columns)
-        padded = part.select(*keys, *[F.col(m) if m in present else F.lit(0).cast("long").alias(m) for m in measures])
-        total = padded if total is None else total.unionByName(padded)
-    return total
+        padded.append(part.selectExpr(*keys, *[m if m in present else f"0L AS {m}" for m in measures]))
+    return union_all(padded)
 
 
 def fill_days(df: DataFrame, keys: Sequence[str], day: str, measures: Sequence[str], last_day: date) -> DataFrame:
@@ -67,23 +64,19 @@ def fill_days(df: DataFrame, keys: Sequence[str], day: str, measures: Sequence[s
     Added days have measures of 0. Input: at most one row per (keys, day).
     Uses the same partitioning as later windows over the keys.
     """
-    timeline = Window.partitionBy(*keys).orderBy(day)
-    after = F.coalesce(F.date_sub(F.lead(day).over(timeline), 1), F.lit(last_day))
-    spans = df.withColumn("_until", after).withColumn("_day", spine_column(F.col(day), F.col("_until")))
-    is_own = F.col("_day") == F.col(day)
-    kept = [F.when(is_own, F.col(m)).otherwise(F.lit(0).cast("long")).alias(m) for m in measures]
-    return spans.select(*keys, F.col("_day").alias(day), *kept)
+    until = f"coalesce(date_sub(lead({day}) OVER ({_over(keys, day)}), 1), {day_literal(last_day)})"
+    spans = df.selectExpr(*keys, *measures, f"{day} AS own_day", f"{until} AS until_day")
+    days = spans.selectExpr(*keys, *measures, "own_day", f"{each_day('own_day', 'until_day')} AS {day}")
+    return days.selectExpr(*keys, day, *[f"IF({day} = own_day, {m}, 0L) AS {m}" for m in measures])
 
 
-def trailing(order: Window, days: int):
-    """Frame of the current row and the ``days`` - 1 rows before it."""
-    return order.rowsBetween(-(days - 1), 0)
+def trailing(order: str, days: int) -> str:
+    """Window of the current row and the ``days`` - 1 rows before it."""
+    return f"({order} ROWS BETWEEN {days - 1} PRECEDING AND CURRENT ROW)"
 
 
-def trend_columns(names: Sequence[str], order: Window, spans: Sequence[int]) -> list[Column]:
+def trend_columns(names: Sequence[str], order: str, spans: Sequence[int]) -> list[str]:
     """Change per row against 7, 14, .. rows earlier, two decimals."""
     return [
-        round_half_up((F.col(name) - F.lag(name, n).over(order)) / F.lit(float(n)), 2).alias(f"{name}_trend_{n}d")
-        for name in names
-        for n in spans
+        f"{round_half_up(f'({n} - lag({n}, {k}) OVER ({order})) / {k}D', 2)} AS {n}_trend_{k}d" for n in names for k in spans
     ]

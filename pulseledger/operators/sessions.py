@@ -8,10 +8,10 @@ the minutes of the look-back (525,600 a year) however many events there are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import minute_diff, second_diff, surrogate_key
+from ..functions import aggregate, minute_diff, second_diff, surrogate_key
 from . import activity
 
 SESSION_COLUMNS = (
@@ -24,6 +24,8 @@ SESSION_COLUMNS = (
     "events_in_session",
     "account_id",
 )
+# Tie rule for a session's account: at equal times the smallest account id.
+_FIRST_ACCOUNT = "min_by(account_id, struct(first_at, account_id)) AS account_id"
 
 
 def combine_events(tracks: DataFrame, pages: DataFrame | None = None) -> DataFrame:
@@ -31,7 +33,7 @@ def combine_events(tracks: DataFrame, pages: DataFrame | None = None) -> DataFra
     events = tracks.select("user_id", "account_id", "event_at")
     if pages is None:
         return events
-    return events.unionByName(pages.select("user_id", "account_id", F.col("page_viewed_at").alias("event_at")))
+    return events.unionByName(pages.selectExpr("user_id", "account_id", "page_viewed_at AS event_at"))
 
 
 def _islands(spans: DataFrame, timeout_minutes: int) -> DataFrame:
@@ -40,28 +42,32 @@ def _islands(spans: DataFrame, timeout_minutes: int) -> DataFrame:
     A span is a minute of events or a whole session. Spans may overlap, so
     the gap is measured from the latest end so far.
     """
-    ordered = Window.partitionBy("user_id").orderBy("first_at", "last_at")
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    gap = minute_diff(F.max("last_at").over(so_far), F.col("first_at"))
-    flagged = spans.withColumn("is_new", F.when(gap > timeout_minutes, 1).otherwise(0))
-    numbered = flagged.withColumn("user_session_index", F.sum("is_new").over(ordered).cast("long"))
-    first_account = F.min_by(F.col("account_id"), F.struct("first_at", "account_id"))
-    return numbered.groupBy("user_id", "user_session_index").agg(
-        F.min("first_at").alias("session_start_at"),
-        F.max("last_at").alias("session_end_at"),
-        F.sum("n_events").alias("events_in_session"),
-        first_account.alias("account_id"),
+    ordered = "PARTITION BY user_id ORDER BY first_at, last_at"
+    marked = spans.selectExpr(
+        "*", f"max(last_at) OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached_at"
+    )
+    opens = f"IF({minute_diff('reached_at', 'first_at')} > {timeout_minutes}, 1L, 0L)"
+    numbered = marked.selectExpr(
+        "*", f"sum({opens}) OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS user_session_index"
+    )
+    return aggregate(
+        numbered,
+        ["user_id", "user_session_index"],
+        "min(first_at) AS session_start_at",
+        "max(last_at) AS session_end_at",
+        "sum(n_events) AS events_in_session",
+        _FIRST_ACCOUNT,
     )
 
 
-def _finish(islands: DataFrame) -> DataFrame:
-    return islands.select(
-        surrogate_key(F.col("user_id"), F.col("user_session_index")).alias("session_id"),
+def _finish(islands: DataFrame, index: str = "user_session_index") -> DataFrame:
+    return islands.withColumn("user_session_index", F.expr(index)).selectExpr(
+        f"{surrogate_key('user_id', 'user_session_index')} AS session_id",
         "user_id",
         "user_session_index",
         "session_start_at",
         "session_end_at",
-        second_diff(F.col("session_start_at"), F.col("session_end_at")).alias("session_duration_seconds"),
+        f"{second_diff('session_start_at', 'session_end_at')} AS session_duration_seconds",
         "events_in_session",
         "account_id",
     )
@@ -76,10 +82,10 @@ def sessionize(events: DataFrame, timeout_minutes: int = 30, drop_null_user: boo
     """Sessions of (user_id, account_id, event_at) rows.
 
     Index counts from 0 per user. Rows without a user form one sequence, as
-    they do in the reference; ``drop_null_user`` leaves them out.
+    the metric definition has it; ``drop_null_user`` leaves them out.
     """
     if drop_null_user:
-        events = events.filter(F.col("user_id").isNotNull())
+        events = events.filter("user_id IS NOT NULL")
     return sessionize_minutes(activity.minutes(events), timeout_minutes)
 
 
@@ -91,24 +97,18 @@ def changed_sessions(previous: DataFrame, batch_minutes: DataFrame, timeout_minu
     the new minutes as spans, which needs none of the old events, and are
     numbered on from the unchanged ones.
     """
-    touched = batch_minutes.groupBy(F.col("user_id").alias("touched_user")).agg(F.min("first_at").alias("earliest_at"))
-    stored = previous.join(touched, F.col("user_id").eqNullSafe(F.col("touched_user")), "inner")
-    is_fixed = minute_diff(F.col("session_end_at"), F.col("earliest_at")) > timeout_minutes
+    touched = aggregate(batch_minutes, ["user_id"], "min(first_at) AS earliest_at")
+    touched = touched.withColumnRenamed("user_id", "touched_user")
+    stored = previous.join(touched, F.expr("user_id <=> touched_user"), "inner")
+    is_fixed = f"{minute_diff('session_end_at', 'earliest_at')} > {timeout_minutes}"
 
-    tail = stored.filter(~is_fixed).select(
-        "user_id",
-        F.col("events_in_session").alias("n_events"),
-        F.col("session_start_at").alias("first_at"),
-        F.col("session_end_at").alias("last_at"),
-        "account_id",
+    tail = stored.filter(f"NOT ({is_fixed})").selectExpr(
+        "user_id", "events_in_session AS n_events", "session_start_at AS first_at", "session_end_at AS last_at", "account_id"
     )
     spans = tail.unionByName(batch_minutes.select(*tail.columns))
-    fixed = stored.filter(is_fixed).groupBy("touched_user").agg((F.max("user_session_index") + 1).alias("n_fixed"))
-    merged = _islands(spans, timeout_minutes)
-    numbered = merged.join(fixed, F.col("user_id").eqNullSafe(F.col("touched_user")), "left").withColumn(
-        "user_session_index", F.col("user_session_index") + F.coalesce("n_fixed", F.lit(0).cast("long"))
-    )
-    return _finish(numbered)
+    fixed = aggregate(stored.filter(is_fixed), ["touched_user"], "max(user_session_index) + 1 AS n_fixed")
+    merged = _islands(spans, timeout_minutes).join(fixed, F.expr("user_id <=> touched_user"), "left")
+    return _finish(merged, "user_session_index + coalesce(n_fixed, 0L)")
 
 
 def apply_changes(previous: DataFrame, changes: DataFrame) -> DataFrame:
@@ -116,10 +116,10 @@ def apply_changes(previous: DataFrame, changes: DataFrame) -> DataFrame:
 
     Applying the same changes twice gives the same table.
     """
-    replaced = changes.groupBy(F.col("user_id").alias("changed_user")).agg(F.min("user_session_index").alias("from_index"))
-    kept = previous.join(replaced, F.col("user_id").eqNullSafe(F.col("changed_user")), "left").filter(
-        F.col("from_index").isNull() | (F.col("user_session_index") < F.col("from_index"))
-    )
+    replaced = aggregate(changes, ["user_id"], "min(user_session_index) AS from_index")
+    replaced = replaced.withColumnRenamed("user_id", "changed_user")
+    joined = previous.join(replaced, F.expr("user_id <=> changed_user"), "left")
+    kept = joined.filter("from_index IS NULL OR user_session_index < from_index")
     return kept.select(*previous.columns).unionByName(changes.select(*previous.columns))
 
 
@@ -138,5 +138,5 @@ def events_since(events: DataFrame, previous: DataFrame) -> DataFrame:
 
     For feeds without a load marker that deliver in time order.
     """
-    newest = previous.select(F.max("session_end_at")).scalar()
-    return events.filter(newest.isNull() | (F.col("event_at") > newest))
+    newest = previous.selectExpr("max(session_end_at)").scalar()
+    return events.filter(newest.isNull() | (events["event_at"] > newest))

@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..config import Config
-from ..functions import health_score, health_segment, round_half_up, safe_ratio, spine_column
+from ..functions import (
+    aggregate,
+    day_literal,
+    each_day,
+    flag,
+    health_score,
+    health_segment,
+    round_half_up,
+    safe_ratio,
+)
 from ..operators.rolling import coverage_steps, fill_days, trailing, trend_columns, union_measures
 
 USER_WINDOWS = {"dau": 1, "wau": 7, "mau": 30}
@@ -17,125 +25,109 @@ TREND_SPANS = (7, 14, 30)
 LONGEST_WINDOW = 30
 LONGEST_LAG = 30
 _KEYS = ["account_id", "metric_date"]
-_MEASURES = [
-    *USER_WINDOWS,
-    *FEATURE_WINDOWS,
-    "activity_rows",
-    "events",
-    "session_rows",
-    "sessions",
-    "session_seconds",
-]
+_DAY_MEASURES = ["activity_rows", "events", "session_rows", "sessions", "session_seconds", "anchors"]
+_MEASURES = [*USER_WINDOWS, *FEATURE_WINDOWS, *_DAY_MEASURES]
+_ORDER = "PARTITION BY account_id ORDER BY metric_date"
 
 
 def account_spine(accounts: DataFrame, cfg: Config) -> DataFrame:
     """(metric_date, account_id) from the first seen day through yesterday."""
-    first = F.greatest(F.to_date("first_seen_at"), F.lit(cfg.spine_start))
-    return accounts.select(spine_column(first, F.lit(cfg.last_day)).alias("metric_date"), "account_id")
+    first = f"greatest(to_date(first_seen_at), {day_literal(cfg.spine_start)})"
+    return accounts.selectExpr(f"{each_day(first, day_literal(cfg.last_day))} AS metric_date", "account_id")
 
 
 def daily_sessions(sessions: DataFrame) -> DataFrame:
     """Sessions and their seconds per account and start day."""
-    return (
-        sessions.filter(F.col("account_id").isNotNull())
-        .groupBy("account_id", F.to_date("session_start_at").alias("session_date"))
-        .agg(
-            F.count(F.lit(1)).alias("n_sessions"),
-            F.sum("session_duration_seconds").alias("total_session_time_seconds"),
-        )
+    dated = sessions.filter("account_id IS NOT NULL").selectExpr(
+        "account_id", "to_date(session_start_at) AS session_date", "session_duration_seconds"
+    )
+    return aggregate(
+        dated,
+        ["account_id", "session_date"],
+        "count(*) AS n_sessions",
+        "sum(session_duration_seconds) AS total_session_time_seconds",
     )
 
 
 def _account_days(daily: DataFrame, sessions: DataFrame, accounts: DataFrame, cfg: Config, lowest: date | None) -> DataFrame:
     """Per account and day, without gaps: steps and sums of that day."""
-    last = F.lit(cfg.last_day)
-    seen = daily.filter(F.col("account_id").isNotNull() & (F.col("activity_date") <= last))
-    by_account = daily_sessions(sessions).filter(F.col("session_date") <= last)
-    first_day = F.to_date("first_seen_at")
-    anchor_day = first_day
+    last = day_literal(cfg.last_day)
+    first_day = "to_date(first_seen_at)"
+    seen = daily.filter(f"account_id IS NOT NULL AND activity_date <= {last}")
+    by_account = daily_sessions(sessions).filter(f"session_date <= {last}")
     if lowest is not None:
         # Windows ending on or after ``lowest`` reach back this far.
-        reach = F.lit(lowest - timedelta(days=LONGEST_WINDOW - 1))
-        seen = seen.filter(F.col("activity_date") >= reach)
-        by_account = by_account.filter(F.col("session_date") >= reach)
-        anchor_day = F.greatest(first_day, F.lit(lowest))
+        reach = day_literal(lowest - timedelta(days=LONGEST_WINDOW - 1))
+        seen = seen.filter(f"activity_date >= {reach}")
+        by_account = by_account.filter(f"session_date >= {reach}")
+        first_day = f"greatest({first_day}, {day_literal(lowest)})"
 
     seen = seen.withColumnRenamed("activity_date", "metric_date")
-    users = seen.filter(F.col("user_id").isNotNull()).select(*_KEYS, "user_id").distinct()
-    features = seen.filter(F.col("event_name").isNotNull()).select(*_KEYS, "event_name").distinct()
-    one = F.lit(1).cast("long")
+    users = seen.filter("user_id IS NOT NULL").select(*_KEYS, "user_id").distinct()
+    features = seen.filter("event_name IS NOT NULL").select(*_KEYS, "event_name").distinct()
     parts = [
         coverage_steps(users, ["account_id"], "user_id", "metric_date", USER_WINDOWS, cfg.last_day),
         coverage_steps(features, ["account_id"], "event_name", "metric_date", FEATURE_WINDOWS, cfg.last_day),
-        seen.select(*_KEYS, one.alias("activity_rows"), F.col("n_events").alias("events")),
-        by_account.select(
+        seen.selectExpr(*_KEYS, "1L AS activity_rows", "n_events AS events"),
+        by_account.selectExpr(
             "account_id",
-            F.col("session_date").alias("metric_date"),
-            one.alias("session_rows"),
-            F.col("n_sessions").alias("sessions"),
-            F.col("total_session_time_seconds").alias("session_seconds"),
+            "session_date AS metric_date",
+            "1L AS session_rows",
+            "n_sessions AS sessions",
+            "total_session_time_seconds AS session_seconds",
         ),
+        # Anchors mark the first official day of each account.
+        accounts.selectExpr("account_id", f"{first_day} AS metric_date", "1L AS anchors").filter(f"metric_date <= {last}"),
     ]
-    # Anchors mark the first official day of each account.
-    anchors = accounts.select("account_id", anchor_day.alias("metric_date"), one.alias("anchors"))
-    anchors = anchors.filter(F.col("metric_date") <= last)
-    measures = [*_MEASURES, "anchors"]
-    per_day = union_measures([*parts, anchors], _KEYS, measures).groupBy(*_KEYS).agg(*[F.sum(m).alias(m) for m in measures])
-    return fill_days(per_day, ["account_id"], "metric_date", measures, cfg.last_day)
+    per_day = aggregate(union_measures(parts, _KEYS, _MEASURES), _KEYS, *[f"sum({m}) AS {m}" for m in _MEASURES])
+    return fill_days(per_day, ["account_id"], "metric_date", _MEASURES, cfg.last_day)
 
 
 def _rolling(days: DataFrame, cfg: Config) -> DataFrame:
     """Trailing sums on the gap-free calendar, cut to the official spine."""
-    order = Window.partitionBy("account_id").orderBy("metric_date")
-    everything = Window.partitionBy("account_id")
-    week, month = trailing(order, 7), trailing(order, 30)
-    active = F.when(F.col("activity_rows") > 0, 1).otherwise(0).cast("long")
-    # Null, so no rows, for accounts with sessions but no tracked event.
-    anchored = F.min(F.when(F.col("anchors") > 0, F.col("metric_date"))).over(everything)
-    rolled = days.select(
+    week, month = trailing(_ORDER, 7), trailing(_ORDER, 30)
+    rolled = days.selectExpr(
         *_KEYS,
-        *[F.sum(name).over(order).alias(name) for name in (*USER_WINDOWS, *FEATURE_WINDOWS)],
-        F.sum(active).over(week).alias("active_days_7d"),
-        F.sum(active).over(month).alias("active_days_30d"),
-        F.sum("activity_rows").over(month).alias("activity_rows_30d"),
-        F.sum("session_rows").over(month).alias("session_rows_30d"),
+        *[f"sum({n}) OVER ({_ORDER}) AS {n}" for n in (*USER_WINDOWS, *FEATURE_WINDOWS)],
+        f"count(nullif(activity_rows, 0L)) OVER {week} AS active_days_7d",
+        f"count(nullif(activity_rows, 0L)) OVER {month} AS active_days_30d",
+        f"sum(activity_rows) OVER {month} AS activity_rows_30d",
+        f"sum(session_rows) OVER {month} AS session_rows_30d",
         "events",
-        F.col("sessions").alias("sessions_1d"),
-        F.sum("sessions").over(week).alias("sessions_7d"),
-        F.sum("sessions").over(month).alias("sessions_30d"),
-        F.col("session_seconds").alias("seconds_1d"),
-        F.sum("session_seconds").over(week).alias("seconds_7d"),
-        F.sum("session_seconds").over(month).alias("seconds_30d"),
-        anchored.alias("first_day"),
+        "sessions AS sessions_daily",
+        f"sum(sessions) OVER {week} AS sessions_7d",
+        f"sum(sessions) OVER {month} AS sessions_30d",
+        "session_seconds AS seconds_daily",
+        f"sum(session_seconds) OVER {week} AS seconds_7d",
+        f"sum(session_seconds) OVER {month} AS seconds_30d",
+        # 0 before the first official day, and always for accounts with
+        # sessions but no tracked event.
+        f"sum(anchors) OVER ({_ORDER}) AS anchors",
     )
-    official = (F.col("metric_date") >= F.col("first_day")) & (F.col("metric_date") >= F.lit(cfg.spine_start))
-    return rolled.filter(official).drop("first_day")
+    return rolled.filter(f"anchors > 0 AND metric_date >= {day_literal(cfg.spine_start)}")
 
 
-def _volume_columns(cfg: Config) -> dict[str, Column]:
+def _volume_columns(cfg: Config) -> list[str]:
     """Event volume and session sums.
 
     Literal: the volume counts pairs of 30-day activity and session rows, and
     session sums repeat once per activity row; the pair count is the product
     of both row counts, each at least 1. Documented: sums of the days.
     """
-    fanout = F.greatest(F.col("activity_rows_30d"), F.lit(1).cast("long"))
-    columns = {}
+    fanout = "greatest(activity_rows_30d, 1L)"
     if cfg.documented:
-        columns["n_events_daily"] = F.col("events")
-        repeat = F.lit(1).cast("long")
+        columns, repeat = ["events AS n_events_daily"], "1L"
     else:
-        columns["n_events_daily"] = fanout * F.greatest(F.col("session_rows_30d"), F.lit(1).cast("long"))
-        repeat = fanout
-    for span, name in (("1d", "daily"), ("7d", "7d"), ("30d", "30d")):
-        columns[f"n_sessions_{name}"] = F.col(f"sessions_{span}") * repeat
+        columns, repeat = [f"{fanout} * greatest(session_rows_30d, 1L) AS n_events_daily"], fanout
+    for span in ("daily", "7d", "30d"):
+        columns.append(f"sessions_{span} * {repeat} AS n_sessions_{span}")
         # Fractional before multiplying: seconds times rows outgrow a long.
-        columns[f"minutes_{name}"] = F.col(f"seconds_{span}").cast("double") * repeat.cast("double") / F.lit(60.0)
+        columns.append(f"CAST(seconds_{span} AS DOUBLE) * {repeat} / 60D AS minutes_{span}")
     return columns
 
 
-def _change_ratio(now: Column, before: Column) -> Column:
-    return F.when(before > 0, safe_ratio(now, before, 2)).otherwise(F.lit(1.0))
+def _change_ratio(now: str, before: str) -> str:
+    return f"IF({before} > 0, {safe_ratio(now, before, 2)}, 1D)"
 
 
 def account_metrics_daily(daily: DataFrame, sessions: DataFrame, accounts: DataFrame, cfg: Config, since: date | None = None) -> DataFrame:
@@ -145,71 +137,53 @@ def account_metrics_daily(daily: DataFrame, sessions: DataFrame, accounts: DataF
     60 days before it; rows are the same as without it.
     """
     lowest = None if since is None else since - timedelta(days=LONGEST_LAG)
-    days = _account_days(daily, sessions, accounts, cfg, lowest)
-    order = Window.partitionBy("account_id").orderBy("metric_date")
-    volumes = _volume_columns(cfg)
-    base = _rolling(days, cfg).select(
-        *_KEYS,
-        *USER_WINDOWS,
-        *FEATURE_WINDOWS,
-        "active_days_7d",
-        "active_days_30d",
-        *[column.alias(name) for name, column in volumes.items()],
+    rolled = _rolling(_account_days(daily, sessions, accounts, cfg, lowest), cfg)
+    base = rolled.selectExpr(
+        *_KEYS, *USER_WINDOWS, *FEATURE_WINDOWS, "active_days_7d", "active_days_30d", *_volume_columns(cfg)
     )
-    lagged = base.select(
+    lagged = base.selectExpr(
         "*",
-        F.sum("n_events_daily").over(trailing(order, 7)).alias("volume_7d"),
-        F.lag("wau", 7).over(order).alias("wau_before"),
-        F.lag("minutes_7d", 7).over(order).alias("minutes_before"),
-        F.lag("n_sessions_7d", 7).over(order).alias("n_sessions_before"),
-        *trend_columns(list(USER_WINDOWS), order, TREND_SPANS),
+        f"sum(n_events_daily) OVER {trailing(_ORDER, 7)} AS volume_7d",
+        f"lag(wau, 7) OVER ({_ORDER}) AS wau_before",
+        f"lag(minutes_7d, 7) OVER ({_ORDER}) AS minutes_before",
+        f"lag(n_sessions_7d, 7) OVER ({_ORDER}) AS n_sessions_before",
+        *trend_columns(list(USER_WINDOWS), _ORDER, TREND_SPANS),
     )
-    lagged = lagged.withColumn("volume_before", F.lag("volume_7d", 7).over(order))
-
-    def flag(condition: Column) -> Column:
-        return F.when(condition, 1).otherwise(0)
-
-    def rounded(name: str) -> Column:
-        return round_half_up(F.col(name), 2)
-
-    signals = lagged.select(
+    lagged = lagged.selectExpr("*", f"lag(volume_7d, 7) OVER ({_ORDER}) AS volume_before")
+    signals = lagged.selectExpr(
         *_KEYS,
         "dau",
         "wau",
         "mau",
-        flag(F.col("dau") > 0).alias("is_active_daily"),
-        flag(F.col("wau") > 0).alias("is_active_weekly"),
-        flag(F.col("mau") > 0).alias("is_active_monthly"),
+        f"{flag('dau > 0')} AS is_active_daily",
+        f"{flag('wau > 0')} AS is_active_weekly",
+        f"{flag('mau > 0')} AS is_active_monthly",
         "n_events_daily",
         "distinct_features_used_30d",
         "active_days_7d",
         "active_days_30d",
         "n_sessions_daily",
-        rounded("minutes_daily").alias("time_on_platform_minutes_daily"),
+        f"{round_half_up('minutes_daily', 2)} AS time_on_platform_minutes_daily",
         "n_sessions_7d",
-        rounded("minutes_7d").alias("time_on_platform_minutes_7d"),
+        f"{round_half_up('minutes_7d', 2)} AS time_on_platform_minutes_7d",
         "n_sessions_30d",
-        rounded("minutes_30d").alias("time_on_platform_minutes_30d"),
-        safe_ratio(F.col("minutes_7d"), F.col("active_days_7d"), 2).alias("avg_daily_time_on_platform_minutes_7d"),
-        safe_ratio(F.col("minutes_30d"), F.col("active_days_30d"), 2).alias("avg_daily_time_on_platform_minutes_30d"),
-        safe_ratio(F.col("n_sessions_7d"), F.col("active_days_7d"), 2).alias("avg_daily_sessions_7d"),
-        safe_ratio(F.col("n_sessions_30d"), F.col("active_days_30d"), 2).alias("avg_daily_sessions_30d"),
-        (F.col("wau") - F.col("wau_before")).alias("net_new_users_7d"),
-        _change_ratio(F.col("volume_7d"), F.col("volume_before")).alias("volume_change_ratio_7d"),
-        _change_ratio(F.col("minutes_7d"), F.col("minutes_before")).alias("time_on_platform_change_ratio_7d"),
-        _change_ratio(F.col("n_sessions_7d"), F.col("n_sessions_before")).alias("session_frequency_change_ratio_7d"),
-        safe_ratio(F.col("active_days_7d"), F.col("active_days_30d"), 2).alias("account_stickiness_ratio"),
-        F.coalesce(safe_ratio(F.col("dau"), F.col("mau"), 2), F.lit(0.0)).alias("user_stickiness_ratio"),
-        flag((F.col("mau") > 0) & (F.col("wau") == 0)).alias("is_dormant_risk"),
-        *[f"{name}_trend_{n}d" for name in USER_WINDOWS for n in TREND_SPANS],
+        f"{round_half_up('minutes_30d', 2)} AS time_on_platform_minutes_30d",
+        f"{safe_ratio('minutes_7d', 'active_days_7d', 2)} AS avg_daily_time_on_platform_minutes_7d",
+        f"{safe_ratio('minutes_30d', 'active_days_30d', 2)} AS avg_daily_time_on_platform_minutes_30d",
+        f"{safe_ratio('n_sessions_7d', 'active_days_7d', 2)} AS avg_daily_sessions_7d",
+        f"{safe_ratio('n_sessions_30d', 'active_days_30d', 2)} AS avg_daily_sessions_30d",
+        "wau - wau_before AS net_new_users_7d",
+        f"{_change_ratio('volume_7d', 'volume_before')} AS volume_change_ratio_7d",
+        f"{_change_ratio('minutes_7d', 'minutes_before')} AS time_on_platform_change_ratio_7d",
+        f"{_change_ratio('n_sessions_7d', 'n_sessions_before')} AS session_frequency_change_ratio_7d",
+        f"{safe_ratio('active_days_7d', 'active_days_30d', 2)} AS account_stickiness_ratio",
+        f"coalesce({safe_ratio('dau', 'mau', 2)}, 0D) AS user_stickiness_ratio",
+        f"{flag('mau > 0 AND wau = 0')} AS is_dormant_risk",
+        *[f"{n}_trend_{k}d" for n in USER_WINDOWS for k in TREND_SPANS],
     )
-    scored = signals.select(
+    scored = signals.selectExpr(
         "*",
-        health_segment(
-            F.col("mau"), F.col("wau"), F.col("volume_change_ratio_7d"), F.col("user_stickiness_ratio")
-        ).alias("health_segment"),
-        health_score(
-            F.col("user_stickiness_ratio"), F.col("volume_change_ratio_7d"), F.col("active_days_7d")
-        ).alias("health_score"),
+        f"{health_segment('mau', 'wau', 'volume_change_ratio_7d', 'user_stickiness_ratio')} AS health_segment",
+        f"{health_score('user_stickiness_ratio', 'volume_change_ratio_7d', 'active_days_7d')} AS health_score",
     )
-    return scored if since is None else scored.filter(F.col("metric_date") >= F.lit(since))
+    return scored if since is None else scored.filter(f"metric_date >= {day_literal(since)}")

@@ -5,10 +5,9 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions import calendar_days_between, utc_instant
+from ..functions import aggregate, calendar_days_between, instant
 
 SEAT_DAYS = 30
 
@@ -16,17 +15,12 @@ SEAT_DAYS = 30
 def membership(daily: DataFrame) -> DataFrame:
     """(account, user) pairs with first and last event; both dimensions
     aggregate this small relation instead of the events."""
-    return daily.groupBy("account_id", "user_id").agg(
-        F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at")
-    )
+    return aggregate(daily, ["account_id", "user_id"], "min(first_at) AS first_at", "max(last_at) AS last_at")
 
 
-def _ages(cfg: Config) -> list:
-    now = utc_instant(cfg.as_of_utc)
-    return [
-        calendar_days_between(F.col("first_seen_at"), now).alias("days_since_first_seen"),
-        calendar_days_between(F.col("last_seen_at"), now).alias("days_since_last_seen"),
-    ]
+def _ages(cfg: Config) -> list[str]:
+    now = instant(cfg.as_of_utc)
+    return [f"{calendar_days_between(f'{seen}_seen_at', now)} AS days_since_{seen}_seen" for seen in ("first", "last")]
 
 
 def dim_accounts(daily: DataFrame, cfg: Config) -> DataFrame:
@@ -35,52 +29,40 @@ def dim_accounts(daily: DataFrame, cfg: Config) -> DataFrame:
     A seat is a user with an event on a day that begins no earlier than 30
     days before ``as_of``, so day -30 itself counts only at midnight.
     """
-    cutoff = utc_instant(cfg.as_of_utc - timedelta(days=SEAT_DAYS))
-    recent = F.to_date("last_at").cast("timestamp") >= cutoff
-    per_account = (
-        membership(daily)
-        .filter(F.col("account_id").isNotNull())
-        .groupBy("account_id")
-        .agg(
-            F.min("first_at").alias("first_seen_at"),
-            F.max("last_at").alias("last_seen_at"),
-            F.count("user_id").alias("lifetime_unique_users"),
-            F.count(F.when(recent, F.col("user_id"))).alias("current_active_seats"),
-        )
-    )
-    return per_account.select(
-        "account_id", "first_seen_at", "last_seen_at", "lifetime_unique_users", "current_active_seats", *_ages(cfg)
+    cutoff = instant(cfg.as_of_utc - timedelta(days=SEAT_DAYS))
+    per_account = aggregate(
+        membership(daily).filter("account_id IS NOT NULL"),
+        ["account_id"],
+        "min(first_at) AS first_seen_at",
+        "max(last_at) AS last_seen_at",
+        "count(user_id) AS lifetime_unique_users",
+        f"count(IF(CAST(to_date(last_at) AS TIMESTAMP) >= {cutoff}, user_id, NULL)) AS current_active_seats",
     )
+    return per_account.selectExpr("*", *_ages(cfg))
 
 
 def dim_users(daily: DataFrame, cfg: Config) -> DataFrame:
     """One row per known user; equal times: the larger account id is latest."""
-    latest = F.max_by(F.col("account_id"), F.struct("last_at", "account_id"))
-    per_user = (
-        membership(daily)
-        .filter(F.col("user_id").isNotNull())
-        .groupBy("user_id")
-        .agg(
-            F.min("first_at").alias("first_seen_at"),
-            F.max("last_at").alias("last_seen_at"),
-            F.count("account_id").alias("lifetime_accounts_distinct"),
-            latest.alias("latest_account_id"),
-        )
-    )
-    return per_user.select(
-        "user_id", "first_seen_at", "last_seen_at", "lifetime_accounts_distinct", "latest_account_id", *_ages(cfg)
+    per_user = aggregate(
+        membership(daily).filter("user_id IS NOT NULL"),
+        ["user_id"],
+        "min(first_at) AS first_seen_at",
+        "max(last_at) AS last_seen_at",
+        "count(account_id) AS lifetime_accounts_distinct",
+        "max_by(account_id, struct(last_at, account_id)) AS latest_account_id",
     )
+    return per_user.selectExpr("*", *_ages(cfg))
 
 
 def enrich_users(users_dim: DataFrame, profiles: DataFrame) -> DataFrame:
     """Add email and sign-up time of the raw users relation, where known."""
     wanted = [c for c in ("email", "created_at") if c in profiles.columns]
-    last = profiles.groupBy("user_id").agg(*[F.max(c).alias(c) for c in wanted])
-    return users_dim.join(last, "user_id", "left")
+    known = aggregate(profiles, ["user_id"], *[f"max({c}) AS {c}" for c in wanted])
+    return users_dim.join(known, "user_id", "left")
 
 
 def enrich_accounts(accounts_dim: DataFrame, profiles: DataFrame) -> DataFrame:
     """Add the name of the raw groups relation, where known."""
     wanted = [c for c in ("name", "created_at") if c in profiles.columns]
-    last = profiles.groupBy(F.col("group_id").alias("account_id")).agg(*[F.max(c).alias(c) for c in wanted])
-    return accounts_dim.join(last, "account_id", "left")
+    known = aggregate(profiles, ["group_id"], *[f"max({c}) AS {c}" for c in wanted])
+    return accounts_dim.join(known.withColumnRenamed("group_id", "account_id"), "account_id", "left")

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..config import Config
-from ..functions import month_of, round_half_up, safe_ratio
+from ..functions import aggregate, month_of, round_half_up, safe_ratio
 
 
 def feature_usage_monthly(daily: DataFrame, cfg: Config) -> DataFrame:
@@ -15,43 +14,40 @@ def feature_usage_monthly(daily: DataFrame, cfg: Config) -> DataFrame:
     Literal: the previous volume is that of the previous month *with* use.
     Documented: of the previous calendar month, 0 if unused.
     """
-    # Distinct users cost no Expand: the first grouping has one row per user.
-    per_user = (
-        daily.filter(F.col("account_id").isNotNull())
-        .groupBy(month_of(F.col("activity_date")).alias("metric_month"), "account_id", "event_name", "user_id")
-        .agg(F.sum("n_events").alias("n_events"))
+    monthly = daily.filter("account_id IS NOT NULL").selectExpr(
+        f"{month_of('activity_date')} AS metric_month", "account_id", "event_name", "user_id", "n_events"
     )
-    usage = per_user.groupBy("metric_month", "account_id", "event_name").agg(
-        F.sum("n_events").alias("monthly_event_volume"),
-        F.count("user_id").alias("monthly_active_users_on_feature"),
+    # Distinct users cost no Expand: the first grouping has one row per user.
+    per_user = aggregate(monthly, ["metric_month", "account_id", "event_name", "user_id"], "sum(n_events) AS n_events")
+    usage = aggregate(
+        per_user,
+        ["metric_month", "account_id", "event_name"],
+        "sum(n_events) AS monthly_event_volume",
+        "count(user_id) AS monthly_active_users_on_feature",
     )
     if cfg.min_monthly_feature_events > 0:
-        usage = usage.filter(F.col("monthly_event_volume") >= cfg.min_monthly_feature_events)
-    totals = (
-        per_user.select("metric_month", "account_id", "user_id")
-        .distinct()
-        .groupBy("metric_month", "account_id")
-        .agg(F.count("user_id").alias("account_mau"))
-    )
-    feature = Window.partitionBy("account_id", "event_name")
-    by_month = feature.orderBy("metric_month")
-    volume = F.col("monthly_event_volume")
-    previous = F.lag(volume, 1).over(by_month)
+        usage = usage.filter(f"monthly_event_volume >= {cfg.min_monthly_feature_events}")
+    members = per_user.select("metric_month", "account_id", "user_id").distinct()
+    totals = aggregate(members, ["metric_month", "account_id"], "count(user_id) AS account_mau")
+
+    feature = "PARTITION BY account_id, event_name"
+    in_order = f"({feature} ORDER BY metric_month)"
+    previous = f"lag(monthly_event_volume) OVER {in_order}"
     if cfg.documented:
-        previous_month = F.lag("metric_month", 1).over(by_month)
-        adjacent = previous_month == F.add_months("metric_month", -1)
-        previous = F.when(adjacent, previous).when(previous_month.isNotNull(), F.lit(0).cast("long"))
-    joined = usage.join(totals, ["account_id", "metric_month"], "left").select(
+        before = f"lag(metric_month) OVER {in_order}"
+        previous = (
+            f"CASE WHEN {before} = add_months(metric_month, -1) THEN {previous} WHEN {before} IS NOT NULL THEN 0L END"
+        )
+    joined = usage.join(totals, ["account_id", "metric_month"], "left").selectExpr(
         "metric_month",
         "account_id",
         "event_name",
         "monthly_event_volume",
         "monthly_active_users_on_feature",
         "account_mau",
-        safe_ratio(F.col("monthly_active_users_on_feature"), F.col("account_mau"), 2).alias("feature_penetration_rate"),
-        F.min("metric_month").over(feature).alias("first_used_month"),
-        previous.alias("prev_month_volume"),
+        f"{safe_ratio('monthly_active_users_on_feature', 'account_mau', 2)} AS feature_penetration_rate",
+        f"min(metric_month) OVER ({feature}) AS first_used_month",
+        f"{previous} AS prev_month_volume",
     )
-    before = F.col("prev_month_volume")
-    change = safe_ratio(volume - before, before) * 100
-    return joined.withColumn("mom_change_pct", F.when(before > 0, round_half_up(change, 1)))
+    change = f"{safe_ratio('monthly_event_volume - prev_month_volume', 'prev_month_volume')} * 100"
+    return joined.selectExpr("*", f"IF(prev_month_volume > 0, {round_half_up(change, 1)}, NULL) AS mom_change_pct")

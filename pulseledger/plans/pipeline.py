@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import Config
 from ..operators import activity, identity
 from ..operators.docs import with_docs
-from ..operators.quality import run_checks
 from ..operators.sessions import sessionize_minutes
-from ..session import configure
+from ..session import Share, configure, keep_lazy, materialize
 from ..sources import readers, sinks
 from . import accounts as account_plans
 from . import dimensions, features, product, users
@@ -35,90 +36,85 @@ class Inputs:
 
 
 class Relations:
-    """The relations of one run as lazy DataFrames, each built on first use."""
+    """The relations of one run as lazy DataFrames, each built on first use.
 
-    def __init__(self, inputs: Inputs, cfg: Config):
+    ``share`` is applied to relations with several readers (the look-up map,
+    the daily roll-up, ..): ``session.materialize`` writes them once, the
+    default recomputes them per reader.
+    """
+
+    def __init__(self, inputs: Inputs, cfg: Config, share: Share = keep_lazy):
         self.inputs = inputs
         self.cfg = cfg
-        self._built: dict[str, DataFrame | None] = {}
+        self.share = share
 
-    def _once(self, name: str, build) -> DataFrame:
-        if name not in self._built:
-            self._built[name] = build()
-        return self._built[name]
-
-    @property
+    @cached_property
     def identity_map(self) -> DataFrame | None:
         if not self.cfg.enable_identity_stitching:
             return None
         if self.inputs.identifies is None:
             raise ValueError("identity stitching needs the identifies relation")
-        return self._once("identity_map", lambda: identity.resolve_identity(self.inputs.identifies, self.cfg))
+        return identity.resolve_identity(self.inputs.identifies, self.cfg)
 
-    @property
+    @cached_property
     def account_map(self) -> DataFrame | None:
         if not self.cfg.enable_identity_stitching:
             return None
-        return self._once("account_map", lambda: identity.map_user_account(self.inputs.tracks, self.cfg))
+        return identity.map_user_account(self.inputs.tracks, self.cfg)
 
-    @property
+    @cached_property
+    def lookup(self) -> DataFrame | None:
+        if not self.cfg.enable_identity_stitching:
+            return None
+        return self.share(identity.lookup_map(self.identity_map, self.account_map), "lookup")
+
+    @cached_property
     def tracks(self) -> DataFrame:
         """Staged tracks at event grain."""
-        return self._once(
-            "tracks", lambda: identity.stage_tracks(self.inputs.tracks, self.identity_map, self.account_map, self.cfg)
-        )
+        return identity.stage_tracks(self.inputs.tracks, self.lookup, self.cfg)
 
-    @property
+    @cached_property
     def pages(self) -> DataFrame:
         """Staged page views at event grain."""
-        return self._once(
-            "pages", lambda: identity.stage_pages(self.inputs.pages, self.identity_map, self.account_map, self.cfg)
-        )
+        return identity.stage_pages(self.inputs.pages, self.lookup, self.cfg)
 
-    @property
+    @cached_property
     def daily(self) -> DataFrame:
-        return self._once(
-            "daily", lambda: activity.stitched_daily(self.inputs.tracks, self.identity_map, self.account_map, self.cfg)
-        )
+        return self.share(activity.stitched_daily(self.inputs.tracks, self.lookup, self.cfg), "daily")
 
-    @property
+    @cached_property
     def sessions(self) -> DataFrame:
-        def build() -> DataFrame:
-            minutes = activity.stitched_minutes(
-                self.inputs.tracks, self.inputs.pages, self.identity_map, self.account_map, self.cfg
-            )
-            return sessionize_minutes(minutes, self.cfg.session_timeout_minutes)
+        pages = self.inputs.pages if self.cfg.include_pages_in_sessions else None
+        minutes = activity.stitched_minutes(self.inputs.tracks, pages, self.lookup, self.cfg)
+        return self.share(sessionize_minutes(minutes, self.cfg.session_timeout_minutes), "sessions")
 
-        return self._once("sessions", build)
-
-    @property
+    @cached_property
     def dim_accounts(self) -> DataFrame:
-        return self._once("dim_accounts", lambda: dimensions.dim_accounts(self.daily, self.cfg))
+        return dimensions.dim_accounts(self.daily, self.cfg)
 
-    @property
+    @cached_property
     def dim_users(self) -> DataFrame:
-        return self._once("dim_users", lambda: dimensions.dim_users(self.daily, self.cfg))
+        return dimensions.dim_users(self.daily, self.cfg)
 
-    @property
+    @cached_property
     def product_daily(self) -> DataFrame:
-        return self._once("product_daily", lambda: product.product_metrics_daily(self.daily, self.cfg))
+        return product.product_metrics_daily(self.daily, self.cfg)
 
-    @property
+    @cached_property
     def account_daily(self) -> DataFrame:
-        return self._once("account_daily", lambda: self.account_daily_since(None))
+        return self.account_daily_since(None)
 
-    def account_daily_since(self, since) -> DataFrame:
+    def account_daily_since(self, since: date | None) -> DataFrame:
         return account_plans.account_metrics_daily(self.daily, self.sessions, self.dim_accounts, self.cfg, since)
 
-    @property
+    @cached_property
     def feature_monthly(self) -> DataFrame:
-        return self._once("feature_monthly", lambda: features.feature_usage_monthly(self.daily, self.cfg))
+        return features.feature_usage_monthly(self.daily, self.cfg)
 
-    @property
+    @cached_property
     def user_latest(self) -> DataFrame:
-        return self._once(
-            "user_latest",
-            lambda: users.user_metrics_latest(self.daily, self.sessions, self.dim_users, self.dim_accounts, self.cfg),
+        return users.user_metrics_latest(
+            self.daily, self.sessions, self.dim_users, self.dim_accounts, self.cfg, self.share
         )
 
 
@@ -128,7 +124,7 @@ TABLES = (
     ("identity_map", "stg_identity_resolution", None),
     ("account_map", "stg_user_account_mapping", None),
     ("daily", "int_daily_activity", "activity_date"),
-    ("sessions", "fct_sessions", None),
+    ("sessions", "fct_sessions", sinks.SESSION_DATE),
     ("dim_accounts", "dim_accounts", None),
     ("dim_users", "dim_users", None),
     ("product_daily", "fct_product_metrics_daily", None),
@@ -139,34 +135,33 @@ TABLES = (
 
 
 def build(inputs: Inputs, cfg: Config, out_dir: str) -> dict[str, DataFrame]:
-    """Write every relation under ``out_dir`` and return them by name.
+    """Write every relation under ``out_dir``; returns them by table name.
 
     Each relation is written once and read back by the ones built on it, so
-    the raw events are scanned for the account map, the daily roll-up and the
-    sessions only.
+    raw events are scanned only for the account map, the daily roll-up and
+    the sessions. All are registered as views, the staged events included.
     """
     configure(inputs.tracks.sparkSession)
-    relations = Relations(inputs, cfg)
+
+    def share(df: DataFrame, name: str) -> DataFrame:
+        # The other shared relations are among TABLES.
+        return materialize(df, name) if name in ("lookup", "user_days") else df
+
+    relations = Relations(inputs, cfg, share)
     written: dict[str, DataFrame] = {}
     for attribute, table, partition in TABLES:
         df = getattr(relations, attribute)
         if df is None:
             continue
         target = f"{out_dir.rstrip('/')}/{table}"
-        df = with_docs(df)
         if attribute == "sessions":
-            stored = sinks.write_sessions(df, target)
+            stored = sinks.write_sessions(with_docs(df), target)
         else:
-            stored = sinks.write_table(df, target, [partition] if partition else [])
-        relations._built[attribute] = stored.select(*df.columns)
-        written[table] = relations._built[attribute]
+            stored = sinks.write_table(with_docs(df), target, [partition] if partition else [])
+        written[table] = stored.select(*df.columns)
+        setattr(relations, attribute, written[table])
         sinks.register(written[table], table)
-    # At event grain these stay views, like any relation read once or less.
     written["stg_segment_tracks"] = sinks.register(relations.tracks, "stg_segment_tracks")
     if inputs.pages is not None:
         written["stg_segment_pages"] = sinks.register(relations.pages, "stg_segment_pages")
     return written
-
-
-def quality_report(written: dict[str, DataFrame]) -> DataFrame:
-    return run_checks(written)

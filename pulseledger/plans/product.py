@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..config import Config
-from ..functions import safe_ratio
+from ..functions import aggregate, day_literal, safe_ratio
 from ..operators.rolling import coverage_steps, fill_days, trend_columns, union_measures
 
 USER_WINDOWS = {"dau": 1, "wau": 7, "mau": 30}
 ACCOUNT_WINDOWS = {"daa": 1, "waa": 7, "maa": 30}
 TREND_SPANS = (7, 14, 30)
+_NAMES = [*USER_WINDOWS, *ACCOUNT_WINDOWS]
 
 
 def product_actives(daily: DataFrame, cfg: Config) -> DataFrame:
@@ -20,26 +20,26 @@ def product_actives(daily: DataFrame, cfg: Config) -> DataFrame:
     Literal: only days with activity in their trailing 30 days. Documented:
     every day of the spine, idle ones with zeros.
     """
-    seen = daily.filter(F.col("activity_date") <= F.lit(cfg.last_day))
-    users = seen.filter(F.col("user_id").isNotNull()).select("user_id", "activity_date").distinct()
-    accounts = seen.filter(F.col("account_id").isNotNull()).select("account_id", "activity_date").distinct()
-    names = [*USER_WINDOWS, *ACCOUNT_WINDOWS]
+    seen = daily.filter(f"activity_date <= {day_literal(cfg.last_day)}")
+    users = seen.filter("user_id IS NOT NULL").select("user_id", "activity_date").distinct()
+    accounts = seen.filter("account_id IS NOT NULL").select("account_id", "activity_date").distinct()
     parts = [
         coverage_steps(users, [], "user_id", "activity_date", USER_WINDOWS, cfg.last_day),
         coverage_steps(accounts, [], "account_id", "activity_date", ACCOUNT_WINDOWS, cfg.last_day),
     ]
-    if cfg.documented:
-        start = daily.sparkSession.range(1).select(F.lit(cfg.spine_start).alias("activity_date"))
-        parts.append(start.filter(F.lit(cfg.spine_start <= cfg.last_day)))
-    per_day = union_measures(parts, ["activity_date"], names).groupBy("activity_date").agg(*[F.sum(n).alias(n) for n in names])
+    if cfg.documented and cfg.spine_start <= cfg.last_day:
+        parts.append(daily.sparkSession.range(1).selectExpr(f"{day_literal(cfg.spine_start)} AS activity_date"))
+    steps = union_measures(parts, ["activity_date"], _NAMES)
+    per_day = aggregate(steps, ["activity_date"], *[f"sum({n}) AS {n}" for n in _NAMES])
 
     # From here on there is one row per calendar day, so windows without a
     # partition key are small.
-    steps = fill_days(per_day, [], "activity_date", names, cfg.last_day)
-    order = Window.orderBy("activity_date")
-    totals = steps.select(F.col("activity_date").alias("metric_date"), *[F.sum(n).over(order).alias(n) for n in names])
-    on_spine = totals.filter(F.col("metric_date") >= F.lit(cfg.spine_start))
-    return on_spine if cfg.documented else on_spine.filter(F.col("maa") > 0)
+    days = fill_days(per_day, [], "activity_date", _NAMES, cfg.last_day)
+    totals = days.selectExpr(
+        "activity_date AS metric_date", *[f"sum({n}) OVER (ORDER BY activity_date) AS {n}" for n in _NAMES]
+    )
+    on_spine = totals.filter(f"metric_date >= {day_literal(cfg.spine_start)}")
+    return on_spine if cfg.documented else on_spine.filter("maa > 0")
 
 
 def product_metrics_daily(daily: DataFrame, cfg: Config) -> DataFrame:
@@ -48,13 +48,10 @@ def product_metrics_daily(daily: DataFrame, cfg: Config) -> DataFrame:
     Literal velocities look back a number of rows, which skips idle days;
     with documented semantics rows and days are the same.
     """
-    actives = product_actives(daily, cfg)
-    names = [*USER_WINDOWS, *ACCOUNT_WINDOWS]
-    order = Window.orderBy("metric_date")
-    return actives.select(
+    return product_actives(daily, cfg).selectExpr(
         "metric_date",
-        *names,
-        F.coalesce(safe_ratio(F.col("dau"), F.col("mau"), 2), F.lit(0.0)).alias("user_stickiness_ratio"),
-        F.coalesce(safe_ratio(F.col("daa"), F.col("maa"), 2), F.lit(0.0)).alias("account_stickiness_ratio"),
-        *trend_columns(names, order, TREND_SPANS),
+        *_NAMES,
+        f"coalesce({safe_ratio('dau', 'mau', 2)}, 0D) AS user_stickiness_ratio",
+        f"coalesce({safe_ratio('daa', 'maa', 2)}, 0D) AS account_stickiness_ratio",
+        *trend_columns(_NAMES, "ORDER BY metric_date", TREND_SPANS),
     )

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions import round_half_up, safe_ratio
+from ..functions import aggregate, day_literal, flag, name, round_half_up, safe_ratio, text_literal
 
 # Alert thresholds.
 CHURN_RATIO_BELOW = 0.5
@@ -24,58 +23,36 @@ EXPANDING_PCT_ABOVE = 20
 DECLINING_PCT_BELOW = -20
 
 
-def _flag(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
-
-
 def churn_alerts(
     account_daily: DataFrame, cfg: Config, drop: float = CHURN_RATIO_BELOW, min_wau: int = CHURN_MIN_WAU, k: int = ALERT_ROWS
 ) -> DataFrame:
     """The ``k`` still active accounts with the steepest drop yesterday."""
-    ratio = F.col("volume_change_ratio_7d")
     at_risk = account_daily.filter(
-        (F.col("metric_date") == F.lit(cfg.last_day))
-        & (ratio < drop)
-        & (ratio > 0)
-        & (F.col("is_active_monthly") == 1)
-        & (F.col("wau") >= min_wau)
-        & F.col("account_id").isNotNull()
+        f"metric_date = {day_literal(cfg.last_day)} AND account_id IS NOT NULL AND is_active_monthly = 1"
+        f" AND volume_change_ratio_7d > 0 AND volume_change_ratio_7d < {drop} AND wau >= {min_wau}"
     )
-    return (
-        at_risk.select(
-            "account_id",
-            "volume_change_ratio_7d",
-            "active_days_7d",
-            "wau",
-            "mau",
-            round_half_up((1 - ratio) * 100, 0).cast("long").alias("drop_pct"),
-        )
-        .orderBy(F.asc("volume_change_ratio_7d"), F.asc("account_id"))
-        .limit(k)
+    percent = round_half_up("(1 - volume_change_ratio_7d) * 100", 0)
+    rows = at_risk.selectExpr(
+        "account_id", "volume_change_ratio_7d", "active_days_7d", "wau", "mau", f"CAST({percent} AS BIGINT) AS drop_pct"
     )
+    return rows.orderBy(F.asc("volume_change_ratio_7d"), F.asc("account_id")).limit(k)
 
 
 def expansion_alerts(
-    account_daily: DataFrame, cfg: Config, growth: float = EXPANSION_RATIO_ABOVE, min_wau: int = EXPANSION_MIN_WAU, k: int = ALERT_ROWS
+    account_daily: DataFrame,
+    cfg: Config,
+    growth: float = EXPANSION_RATIO_ABOVE,
+    min_wau: int = EXPANSION_MIN_WAU,
+    k: int = ALERT_ROWS,
 ) -> DataFrame:
     """The ``k`` larger accounts with the strongest growth yesterday."""
-    ratio = F.col("volume_change_ratio_7d")
     growing = account_daily.filter(
-        (F.col("metric_date") == F.lit(cfg.last_day))
-        & (ratio > growth)
-        & (F.col("wau") >= min_wau)
-        & F.col("account_id").isNotNull()
-    )
-    return (
-        growing.select(
-            "account_id",
-            "volume_change_ratio_7d",
-            "wau",
-            round_half_up((ratio - 1) * 100, 0).cast("long").alias("growth_pct"),
-        )
-        .orderBy(F.desc("volume_change_ratio_7d"), F.asc("account_id"))
-        .limit(k)
+        f"metric_date = {day_literal(cfg.last_day)} AND account_id IS NOT NULL"
+        f" AND volume_change_ratio_7d > {growth} AND wau >= {min_wau}"
     )
+    percent = round_half_up("(volume_change_ratio_7d - 1) * 100", 0)
+    rows = growing.selectExpr("account_id", "volume_change_ratio_7d", "wau", f"CAST({percent} AS BIGINT) AS growth_pct")
+    return rows.orderBy(F.desc("volume_change_ratio_7d"), F.asc("account_id")).limit(k)
 
 
 def latest_days(metrics: DataFrame, n: int = 10) -> DataFrame:
@@ -95,15 +72,15 @@ def account_trend(account_daily: DataFrame, cfg: Config, account_id: str | None
         "active_days_7d": "active_days",
         "distinct_features_used_30d": "features",
     }
-    wanted = account_daily if account_id is None else account_daily.filter(F.col("account_id") == account_id)
-    wanted = wanted.filter(F.col("metric_date") > F.lit(cfg.last_day - timedelta(days=days + 7)))
-    order = Window.partitionBy("account_id").orderBy("metric_date")
+    rows = account_daily.filter(f"metric_date > {day_literal(cfg.last_day - timedelta(days=days + 7))}")
+    if account_id is not None:
+        rows = rows.filter(f"account_id = {text_literal(account_id)}")
 
-    def direction(name: str) -> Column:
-        before = F.lag(name, 7).over(order)
-        return F.when(F.col(name) > before, "up").when(F.col(name) < before, "down").when(before.isNotNull(), "flat")
+    def direction(metric: str) -> str:
+        change = f"{metric} - lag({metric}, 7) OVER (PARTITION BY account_id ORDER BY metric_date)"
+        return f"CASE signum({change}) WHEN 1 THEN 'up' WHEN -1 THEN 'down' WHEN 0 THEN 'flat' END"
 
-    trend = wanted.select(
+    trend = rows.selectExpr(
         "metric_date",
         "account_id",
         "health_segment",
@@ -113,18 +90,18 @@ def account_trend(account_daily: DataFrame, cfg: Config, account_id: str | None
         "net_new_users_7d",
         "volume_change_ratio_7d",
         "is_dormant_risk",
-        *[direction(name).alias(f"{short}_direction") for name, short in compared.items()],
+        *[f"{direction(metric)} AS {short}_direction" for metric, short in compared.items()],
     )
-    return trend.filter(F.col("metric_date") > F.lit(cfg.last_day - timedelta(days=days)))
+    return trend.filter(f"metric_date > {day_literal(cfg.last_day - timedelta(days=days))}")
 
 
 def champions(user_snapshot: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` top-ranked users of every account."""
-    return user_snapshot.filter(F.col("usage_rank_in_account") <= k)
+    return user_snapshot.filter(f"usage_rank_in_account <= {k}")
 
 
 def lifecycle_counts(user_snapshot: DataFrame) -> DataFrame:
-    return user_snapshot.groupBy("metric_date", "user_lifecycle_status").agg(F.count(F.lit(1)).alias("n_users"))
+    return aggregate(user_snapshot, ["metric_date", "user_lifecycle_status"], "count(*) AS n_users")
 
 
 def user_segments(
@@ -135,33 +112,32 @@ def user_segments(
     Power user: active on at least ``power_active_days`` of 14 days with at
     least ``power_features`` feature uses in 30 days.
     """
-    status = F.col("user_lifecycle_status")
-    monthly_only = (F.col("is_active_monthly") == 1) & (F.col("is_active_weekly") == 0)
-    power = (F.col("active_days_last_14") >= power_active_days) & (F.col("distinct_features_used_30d") >= power_features)
-    return user_snapshot.select(
-        "user_id",
-        "latest_account_id",
-        "user_lifecycle_status",
-        _flag((F.col("usage_rank_in_account") <= champion_ranks) & (F.col("is_active_monthly") == 1)).alias("is_champion"),
-        _flag(F.col("is_admin_proxy") == 1).alias("is_admin"),
-        _flag(power).alias("is_power_user"),
-        _flag((status == "Dormant") | monthly_only).alias("is_at_risk"),
-        _flag(status == "Churned").alias("is_churned"),
+    segments = {
+        "is_champion": f"usage_rank_in_account <= {champion_ranks} AND is_active_monthly = 1",
+        "is_admin": "is_admin_proxy = 1",
+        "is_power_user": f"active_days_last_14 >= {power_active_days} AND distinct_features_used_30d >= {power_features}",
+        "is_at_risk": "user_lifecycle_status = 'Dormant' OR (is_active_monthly = 1 AND is_active_weekly = 0)",
+        "is_churned": "user_lifecycle_status = 'Churned'",
+    }
+    return user_snapshot.selectExpr(
+        "user_id", "latest_account_id", "user_lifecycle_status", *[f"{flag(c)} AS {s}" for s, c in segments.items()]
     )
 
 
 def license_utilization(user_snapshot: DataFrame) -> DataFrame:
     """Monthly active and inactive share of each account's users."""
-    counts = user_snapshot.groupBy(F.col("latest_account_id").alias("account_id")).agg(
-        F.count(F.lit(1)).alias("total_users"),
-        F.sum("is_active_monthly").cast("long").alias("monthly_active_users"),
+    counts = aggregate(
+        user_snapshot.withColumnRenamed("latest_account_id", "account_id"),
+        ["account_id"],
+        "count(*) AS total_users",
+        "count(nullif(is_active_monthly, 0)) AS monthly_active_users",
     )
-    inactive = F.col("total_users") - F.col("monthly_active_users")
-    return counts.select(
+    inactive = "(total_users - monthly_active_users)"
+    return counts.selectExpr(
         "*",
-        inactive.alias("inactive_users"),
-        safe_ratio(F.col("monthly_active_users"), F.col("total_users"), 4).alias("license_utilization"),
-        safe_ratio(inactive, F.col("total_users"), 4).alias("inactive_share"),
+        f"{inactive} AS inactive_users",
+        f"{safe_ratio('monthly_active_users', 'total_users', 4)} AS license_utilization",
+        f"{safe_ratio(inactive, 'total_users', 4)} AS inactive_share",
     )
 
 
@@ -171,38 +147,40 @@ def feature_patterns(feature_monthly: DataFrame, cfg: Config, months: int = 6, n
     Abandoned: used earlier, and now unused or at most ``near_zero`` of the
     earlier peak. New: first used in the current month.
     """
-    current = F.trunc(F.lit(cfg.last_day), "month")
-    recent = feature_monthly.filter(F.col("metric_month") > F.add_months(current, -months))
-    is_current = F.col("metric_month") == current
-    earlier = F.col("metric_month") < current
+    current = day_literal(cfg.last_day.replace(day=1))
+    recent = feature_monthly.filter(f"metric_month > add_months({current}, {-months})")
 
-    def now(name: str) -> Column:
-        return F.max(F.when(is_current, F.col(name)))
+    def now(column: str) -> str:
+        return f"max(IF(metric_month = {current}, {column}, NULL))"
 
-    def peak(name: str) -> Column:
-        return F.max(F.when(earlier, F.col(name)))
+    def peak(column: str) -> str:
+        return f"max(IF(metric_month < {current}, {column}, NULL))"
 
     # At most ``months`` rows per group.
-    summary = recent.groupBy("account_id", "event_name").agg(
-        F.max("metric_month").alias("last_used_month"),
-        F.min("first_used_month").alias("first_used_month"),
-        F.coalesce(now("monthly_event_volume"), F.lit(0)).cast("long").alias("current_volume"),
-        F.coalesce(now("monthly_active_users_on_feature"), F.lit(0)).cast("long").alias("current_users"),
-        now("feature_penetration_rate").alias("current_penetration"),
-        now("mom_change_pct").alias("mom_change_pct"),
-        peak("monthly_event_volume").alias("prior_peak_volume"),
-        peak("monthly_active_users_on_feature").alias("prior_peak_users"),
+    summary = aggregate(
+        recent,
+        ["account_id", "event_name"],
+        "max(metric_month) AS last_used_month",
+        "min(first_used_month) AS first_used_month",
+        f"coalesce({now('monthly_event_volume')}, 0L) AS current_volume",
+        f"coalesce({now('monthly_active_users_on_feature')}, 0L) AS current_users",
+        f"{now('feature_penetration_rate')} AS current_penetration",
+        f"{now('mom_change_pct')} AS mom_change_pct",
+        f"{peak('monthly_event_volume')} AS prior_peak_volume",
+        f"{peak('monthly_active_users_on_feature')} AS prior_peak_users",
     )
-    gone = F.col("prior_peak_volume").isNotNull() & (F.col("current_volume") <= F.col("prior_peak_volume") * near_zero)
-    return summary.select(
+    patterns = {
+        "is_core": f"current_penetration > {CORE_PENETRATION_ABOVE}",
+        "is_expanding": f"mom_change_pct > {EXPANDING_PCT_ABOVE}",
+        "is_declining": f"mom_change_pct < {DECLINING_PCT_BELOW}",
+        "is_abandoned": f"current_volume <= prior_peak_volume * {near_zero}D",
+        "is_low_penetration": f"current_penetration < {LOW_PENETRATION_BELOW}",
+        "is_new_adoption": f"first_used_month = {current}",
+    }
+    return summary.selectExpr(
         "*",
-        F.months_between(current, F.col("last_used_month")).cast("long").alias("months_since_last_use"),
-        _flag(F.col("current_penetration") > CORE_PENETRATION_ABOVE).alias("is_core"),
-        _flag(F.col("mom_change_pct") > EXPANDING_PCT_ABOVE).alias("is_expanding"),
-        _flag(F.col("mom_change_pct") < DECLINING_PCT_BELOW).alias("is_declining"),
-        _flag(gone).alias("is_abandoned"),
-        _flag(F.col("current_penetration") < LOW_PENETRATION_BELOW).alias("is_low_penetration"),
-        _flag(F.col("first_used_month") == current).alias("is_new_adoption"),
+        f"CAST(months_between({current}, last_used_month) AS BIGINT) AS months_since_last_use",
+        *[f"{flag(c)} AS {p}" for p, c in patterns.items()],
     )
 
 
@@ -218,69 +196,64 @@ def account_playbook(
 
     ``account_daily`` must hold the last spine day and the day a week before.
     """
-    last, week_ago = cfg.last_day, cfg.last_day - timedelta(days=7)
-    two_days = account_daily.filter(F.col("metric_date").isin(last, week_ago))
-
-    def on(day, name: str) -> Column:
-        return F.max(F.when(F.col("metric_date") == F.lit(day), F.col(name)))
-
-    names: Sequence[str] = (
+    last, week_ago = day_literal(cfg.last_day), day_literal(cfg.last_day - timedelta(days=7))
+    now = (
         "health_segment", "health_score", "volume_change_ratio_7d", "is_dormant_risk",
         "net_new_users_7d", "user_stickiness_ratio", "wau_trend_7d", "active_days_7d",
     )
-    before = ("health_segment", "volume_change_ratio_7d", "active_days_7d", "user_stickiness_ratio")
-    accounts = two_days.groupBy("account_id").agg(
-        *[on(last, n).alias(n) for n in names], *[on(week_ago, n).alias(f"{n}_before") for n in before]
+    before = ("volume_change_ratio_7d", "active_days_7d", "user_stickiness_ratio")
+    accounts = aggregate(
+        account_daily.filter(f"metric_date IN ({last}, {week_ago})"),
+        ["account_id"],
+        *[f"max(IF(metric_date = {last}, {n}, NULL)) AS {n}" for n in now],
+        *[f"max(IF(metric_date = {week_ago}, {n}, NULL)) AS {n}_before" for n in before],
     )
-    status = F.col("user_lifecycle_status")
-    key_user = (F.col("usage_rank_in_account") == 1) | (F.col("is_admin_proxy") == 1)
-    users = user_snapshot.groupBy(F.col("latest_account_id").alias("account_id")).agg(
-        F.count(F.when(key_user & status.isin("Dormant", "Churned"), 1)).alias("quiet_key_users"),
-        F.count(F.when(status == "Resurrected", 1)).alias("resurrected_users"),
+    key_user = "(usage_rank_in_account = 1 OR is_admin_proxy = 1)"
+    users = aggregate(
+        user_snapshot.withColumnRenamed("latest_account_id", "account_id"),
+        ["account_id"],
+        f"count_if({key_user} AND user_lifecycle_status IN ('Dormant', 'Churned')) AS quiet_key_users",
+        "count_if(user_lifecycle_status = 'Resurrected') AS resurrected_users",
     )
-    features = patterns.groupBy("account_id").agg(
-        F.count(F.when((F.col("is_core") == 1) & (F.col("is_declining") == 1), 1)).alias("declining_core_features"),
-        F.sum("is_low_penetration").cast("long").alias("low_penetration_features"),
-        F.sum("is_new_adoption").cast("long").alias("new_features"),
+    features = aggregate(
+        patterns,
+        ["account_id"],
+        "count_if(is_core = 1 AND is_declining = 1) AS declining_core_features",
+        "count_if(is_low_penetration = 1) AS low_penetration_features",
+        "count_if(is_new_adoption = 1) AS new_features",
     )
     joined = accounts.join(users, "account_id", "left").join(features, "account_id", "left")
-    counts = ("quiet_key_users", "resurrected_users", "declining_core_features", "low_penetration_features", "new_features")
-    joined = joined.select(
-        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) if c in counts else F.col(c) for c in joined.columns]
-    )
 
-    segment, ratio = F.col("health_segment"), F.col("volume_change_ratio_7d")
     churn = {
-        "churn_critical_segment": segment.startswith("Critical"),
-        "churn_low_volume": ratio < CHURN_RATIO_BELOW,
-        "churn_quiet_key_user": F.col("quiet_key_users") > 0,
-        "churn_core_features_declining": F.col("declining_core_features") >= min_declining_core,
-        "churn_dormant_flag": F.col("is_dormant_risk") == 1,
+        "churn_critical_segment": "health_segment LIKE 'Critical%'",
+        "churn_low_volume": f"volume_change_ratio_7d < {CHURN_RATIO_BELOW}",
+        "churn_quiet_key_user": "quiet_key_users > 0",
+        "churn_core_features_declining": f"declining_core_features >= {min_declining_core}",
+        "churn_dormant_flag": "is_dormant_risk = 1",
     }
     expansion = {
-        "expansion_user_momentum": F.col("net_new_users_7d") > 0,
-        "expansion_healthy": (segment == "Healthy") & (F.col("health_score") >= high_score),
-        "expansion_low_penetration": F.col("low_penetration_features") > 0,
-        "expansion_sticky_growth": (F.col("user_stickiness_ratio") >= 0.4) & (F.col("wau_trend_7d") > 0),
+        "expansion_user_momentum": "net_new_users_7d > 0",
+        "expansion_healthy": f"health_segment = 'Healthy' AND health_score >= {high_score}",
+        "expansion_low_penetration": "low_penetration_features > 0",
+        "expansion_sticky_growth": "user_stickiness_ratio >= 0.4 AND wau_trend_7d > 0",
     }
     recovery = {
-        "recovery_volume": (ratio >= 0.9) & (ratio > F.col("volume_change_ratio_7d_before")),
-        "recovery_engagement": (F.col("active_days_7d") > F.col("active_days_7d_before"))
-        & (F.col("user_stickiness_ratio") > F.col("user_stickiness_ratio_before")),
-        "recovery_new_features": F.col("new_features") > 0,
-        "recovery_returning_users": F.col("resurrected_users") > 0,
+        "recovery_volume": "volume_change_ratio_7d >= 0.9 AND volume_change_ratio_7d > volume_change_ratio_7d_before",
+        "recovery_engagement": "active_days_7d > active_days_7d_before AND user_stickiness_ratio > user_stickiness_ratio_before",
+        "recovery_new_features": "new_features > 0",
+        "recovery_returning_users": "resurrected_users > 0",
     }
-    flags = {**churn, **expansion, **recovery}
-    flagged = joined.select("account_id", "health_segment", "health_score", *[_flag(c).alias(n) for n, c in flags.items()])
-
-    def tally(names) -> Column:
-        return sum((F.col(n) for n in names), F.lit(0)).cast("long")
-
-    return flagged.select(
+    flagged = joined.selectExpr(
+        "account_id",
+        "health_segment",
+        "health_score",
+        *[f"{flag(c)} AS {s}" for s, c in {**churn, **expansion, **recovery}.items()],
+    )
+    return flagged.selectExpr(
         "*",
-        tally(churn).alias("churn_signals"),
-        tally(expansion).alias("expansion_signals"),
-        tally(recovery).alias("recovery_signals"),
+        f"{' + '.join(churn)} AS churn_signals",
+        f"{' + '.join(expansion)} AS expansion_signals",
+        f"{' + '.join(recovery)} AS recovery_signals",
     )
 
 
@@ -289,26 +262,25 @@ def stitch_coverage(staged: DataFrame) -> DataFrame:
 
     Grouped by both ids first, so the double distinct expands few rows.
     """
-    pairs = staged.groupBy("user_id", "anonymous_id").agg(F.count(F.lit(1)).alias("n"))
-    return pairs.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_tracks"),
-        F.countDistinct("user_id").alias("tracks_with_user_id"),
-        F.countDistinct("anonymous_id").alias("tracks_with_anonymous_id"),
+    pairs = aggregate(staged, ["user_id", "anonymous_id"], "count(*) AS n")
+    return aggregate(
+        pairs,
+        [],
+        "coalesce(sum(n), 0L) AS total_tracks",
+        "count(DISTINCT user_id) AS tracks_with_user_id",
+        "count(DISTINCT anonymous_id) AS tracks_with_anonymous_id",
     )
 
 
-def source_profile(df: DataFrame, cfg: Config, at: str | None = None) -> DataFrame:
+def source_profile(df: DataFrame, cfg: Config) -> DataFrame:
     """Row count, time range and missing accounts of a raw relation."""
-    at = at or cfg.event_time_fields[0]
+    at = name(cfg.event_time_fields[0])
     group = [c for c in df.columns if c.lower() == cfg.group_id_field.lower()]
-    missing = F.count(F.when(F.col(group[0]).isNull(), 1)) if group else F.count(F.lit(1))
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min(at).alias("first_at"),
-        F.max(at).alias("last_at"),
-        missing.alias("n_without_account"),
+    missing = f"count_if({name(group[0])} IS NULL)" if group else "count(*)"
+    return aggregate(
+        df, [], "count(*) AS n_rows", f"min({at}) AS first_at", f"max({at}) AS last_at", f"{missing} AS n_without_account"
     )
 
 
 def events_per_day(df: DataFrame, at: str = "event_at") -> DataFrame:
-    return df.groupBy(F.to_date(at).alias("event_date")).agg(F.count(F.lit(1)).alias("event_count"))
+    return aggregate(df.selectExpr(f"to_date({at}) AS event_date"), ["event_date"], "count(*) AS event_count")

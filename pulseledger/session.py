@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# What to do with a relation that several others read.
+Share = Callable[[DataFrame, str], DataFrame]
+
 # Runtime SQL settings the relations rely on. Time zone: days and months are
 # UTC days and months. Skew join: a hot anonymous id or account is split at
 # run time. Session-window merge: partial merge before the streaming shuffle.
@@ -33,6 +37,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **extra: st
         .appName("pulseledger")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in {**SQL_SETTINGS, **extra}.items():
@@ -72,3 +77,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def keep_lazy(df: DataFrame, name: str) -> DataFrame:
+    """Share nothing: every reader computes the relation for itself."""
+    return df

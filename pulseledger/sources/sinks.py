@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import aggregate
 from ..operators import activity
-from ..operators.sessions import SESSION_COLUMNS, apply_changes, changed_sessions
+from ..operators.sessions import SESSION_COLUMNS, apply_changes, changed_sessions, sessionize
 
 SESSION_DATE = "session_date"
 
@@ -83,7 +84,7 @@ def upsert_sessions(new_events: DataFrame, path: str, batch_id: int | str, timeo
     spark = new_events.sparkSession
     log = f"{path.rstrip('/')}_log/batch={batch_id}"
     if not _exists(spark, path):
-        _write_first_batch(new_events, path, log, timeout_minutes)
+        write_sessions(sessionize(new_events, timeout_minutes), path)
         return
     if not _exists(spark, f"{log}/rows/_SUCCESS"):
         stored = spark.read.parquet(path)
@@ -92,10 +93,10 @@ def upsert_sessions(new_events: DataFrame, path: str, batch_id: int | str, timeo
         changes.write.mode("overwrite").parquet(f"{log}/changes")
         changes = spark.read.parquet(f"{log}/changes")
 
-        first_changed = changes.groupBy(F.col("user_id").alias("u")).agg(F.min("user_session_index").alias("from_index"))
-        removed = stored.join(first_changed, F.col("user_id").eqNullSafe(F.col("u")), "inner").filter(
-            F.col("user_session_index") >= F.col("from_index")
-        )
+        first_changed = aggregate(changes, ["user_id"], "min(user_session_index) AS from_index")
+        first_changed = first_changed.withColumnRenamed("user_id", "changed_user")
+        removed = stored.join(first_changed, F.expr("user_id <=> changed_user"), "inner")
+        removed = removed.filter("user_session_index >= from_index")
         days = removed.select(SESSION_DATE).union(with_session_date(changes).select(SESSION_DATE)).distinct()
         days.write.mode("overwrite").parquet(f"{log}/days")
         # One value per changed day; prunes the partitions read below.
@@ -106,12 +107,6 @@ def upsert_sessions(new_events: DataFrame, path: str, batch_id: int | str, timeo
     _copy_days(spark, log, path)
 
 
-def _write_first_batch(new_events: DataFrame, path: str, log: str, timeout_minutes: int) -> None:
-    from ..operators.sessions import sessionize
-
-    write_sessions(sessionize(new_events, timeout_minutes), path)
-
-
 def _copy_days(spark: SparkSession, log: str, path: str) -> None:
     rows = spark.read.parquet(f"{log}/rows")
     (

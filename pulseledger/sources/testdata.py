@@ -9,103 +9,89 @@ several (monthly comparisons need more than one month).
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ..functions import utc_instant
+from ..functions import instant
 
 DAY_ZERO = datetime(2024, 1, 1)
 CHURN_FROM = datetime(2024, 1, 12)
 DORMANT_FROM = datetime(2024, 1, 20)
 
+_KEPT = f"""NOT (user_id % 7 = 3 AND CAST(ts AS TIMESTAMP) >= {instant(CHURN_FROM)})
+    AND NOT (user_id % 20 IN (13, 14) AND CAST(ts AS TIMESTAMP) >= {instant(DORMANT_FROM)})"""
+_ANONYMOUS = "(event_type = 'view' AND event_id % 3 = 0)"
 
-def _stretched(ts: Column, stretch: int) -> Column:
+
+def _time(stretch: int) -> str:
     if stretch == 1:
-        return ts
-    origin = F.unix_micros(utc_instant(DAY_ZERO))
-    return F.timestamp_micros(origin + (F.unix_micros(ts) - origin) * stretch)
+        return "CAST(ts AS TIMESTAMP)"
+    origin = f"unix_micros({instant(DAY_ZERO)})"
+    return f"timestamp_micros({origin} + (unix_micros(CAST(ts AS TIMESTAMP)) - {origin}) * {stretch})"
 
 
-def derive_tracks(events: DataFrame, stretch: int = 1) -> DataFrame:
+def derive_tracks(events: DataFrame, stretch: int = 1, prefix: str = "t") -> DataFrame:
     """Tracks from event rows; works on a stream as well."""
-    uid, eid = F.col("user_id"), F.col("event_id")
-    # event_id and event_type come through under other names, so that the
-    # expressions below see the original user_id throughout.
-    ts = F.col("ts").cast("timestamp")
-    churned = (uid % 7 == 3) & (ts >= utc_instant(CHURN_FROM))
-    dormant = (uid % 20).isin(13, 14) & (ts >= utc_instant(DORMANT_FROM))
-    is_view = F.col("event_type") == "view"
-    anonymous = is_view & (eid % 3 == 0)
-    never_identified = is_view & (eid % 30 == 0)
-    device = F.floor(uid / 2).cast("long").cast("string")
-    switched = F.concat(F.lit("acct_"), ((uid + 1) % 20).cast("string"))
-    home = F.concat(F.lit("acct_"), (uid % 20).cast("string"))
-    return events.filter(~churned & ~dormant).select(
-        F.concat(F.lit("t"), eid.cast("string")).alias("id"),
-        F.when(~anonymous, F.concat(F.lit("u"), uid.cast("string"))).alias("user_id"),
-        F.when(never_identified, F.concat(F.lit("anon_x"), eid.cast("string")))
-        .otherwise(F.concat(F.lit("anon_"), device))
-        .alias("anonymous_id"),
-        F.when(~anonymous & (eid % 5 != 0), F.when(eid % 50 == 1, switched).otherwise(home)).alias("context_group_id"),
-        F.col("event_type").alias("event"),
-        _stretched(ts, stretch).alias("timestamp"),
-        eid.alias("event_number"),
-    )
-
-
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
-
-
-def tracks(spark: SparkSession, sf_dir: str, stretch: int = 1) -> DataFrame:
-    return derive_tracks(_events(spark, sf_dir), stretch).drop("event_number")
-
-
-def pages(spark: SparkSession, sf_dir: str, stretch: int = 1) -> DataFrame:
-    urls = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    n_urls = urls.select(F.count(F.lit(1))).scalar()
-    views = derive_tracks(_events(spark, sf_dir), stretch).filter(F.col("event") == "view")
-    keyed = views.withColumn("page_id", F.col("event_number") % n_urls)
-    return keyed.join(urls, "page_id", "left").select(
-        F.concat(F.lit("p"), F.col("event_number").cast("string")).alias("id"),
-        "user_id",
-        "anonymous_id",
-        "context_group_id",
-        F.col("event").alias("name"),
-        "timestamp",
-        F.col("url").alias("properties_url"),
+    return events.filter(_KEPT).selectExpr(
+        f"concat('{prefix}', event_id) AS id",
+        f"IF({_ANONYMOUS}, NULL, concat('u', user_id)) AS user_id",
+        "IF(event_type = 'view' AND event_id % 30 = 0, concat('anon_x', event_id),"
+        " concat('anon_', CAST(floor(user_id / 2) AS BIGINT))) AS anonymous_id",
+        f"CASE WHEN {_ANONYMOUS} OR event_id % 5 = 0 THEN NULL"
+        " WHEN event_id % 50 = 1 THEN concat('acct_', (user_id + 1) % 20)"
+        " ELSE concat('acct_', user_id % 20) END AS context_group_id",
+        "event_type AS event",
+        f"{_time(stretch)} AS timestamp",
+        "event_id AS event_number",
     )
 
 
-def identifies(spark: SparkSession, sf_dir: str, stretch: int = 1) -> DataFrame:
-    signups = derive_tracks(_events(spark, sf_dir), stretch)
-    signups = signups.filter((F.col("event") == "signup") & F.col("user_id").isNotNull())
-    return signups.select(
-        F.concat(F.lit("i"), F.col("event_number").cast("string")).alias("id"),
-        "user_id",
-        "anonymous_id",
-        "timestamp",
-    )
-
-
-def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Optional enrichment: customers as user profiles."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    key = F.col("c_custkey").cast("string")
-    return customer.select(
-        F.concat(F.lit("profile_"), key).alias("id"),
-        F.concat(F.lit("u"), key).alias("user_id"),
-        F.col("c_name").alias("email"),
-    )
-
-
-def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Optional enrichment: nations as account profiles."""
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    key = F.col("n_nationkey").cast("string")
-    return nation.select(
-        F.concat(F.lit("group_"), key).alias("id"),
-        F.concat(F.lit("acct_"), key).alias("group_id"),
-        F.col("n_name").alias("name"),
-    )
+class TestTables:
+    """Raw relations over one folder of test tables, built on first use."""
+
+    __test__ = False
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stretch: int = 1):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self.stretch = stretch
+
+    def _table(self, table: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+
+    @cached_property
+    def _events(self) -> DataFrame:
+        return self._table("events")
+
+    @cached_property
+    def tracks(self) -> DataFrame:
+        return derive_tracks(self._events, self.stretch).drop("event_number")
+
+    @cached_property
+    def pages(self) -> DataFrame:
+        urls = self._table("pages").selectExpr("page_id", "url")
+        views = derive_tracks(self._events, self.stretch, prefix="p").filter("event = 'view'")
+        numbered = views.withColumn("page_id", views["event_number"] % urls.selectExpr("count(*)").scalar())
+        return numbered.join(urls, "page_id", "left").selectExpr(
+            "id", "user_id", "anonymous_id", "context_group_id", "event AS name", "timestamp", "url AS properties_url"
+        )
+
+    @cached_property
+    def identifies(self) -> DataFrame:
+        signups = derive_tracks(self._events, self.stretch, prefix="i").filter("event = 'signup' AND user_id IS NOT NULL")
+        return signups.select("id", "user_id", "anonymous_id", "timestamp")
+
+    @cached_property
+    def users(self) -> DataFrame:
+        """Optional enrichment: customers as user profiles."""
+        return self._table("customer").selectExpr(
+            "concat('profile_', c_custkey) AS id", "concat('u', c_custkey) AS user_id", "c_name AS email"
+        )
+
+    @cached_property
+    def groups(self) -> DataFrame:
+        """Optional enrichment: nations as account profiles."""
+        return self._table("nation").selectExpr(
+            "concat('group_', n_nationkey) AS id", "concat('acct_', n_nationkey) AS group_id", "n_name AS name"
+        )
