@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Meaning of each output column. Names shared by several relations mean the
 # same in each.
@@ -88,10 +89,12 @@ COLUMN_DOCS.update(
 
 def with_docs(df: DataFrame, docs: Mapping[str, str] = COLUMN_DOCS) -> DataFrame:
     """Attach comments to the columns that have one; tables keep them."""
-    for name in df.columns:
-        if name in docs:
-            df = df.withMetadata(name, {**df.schema[name].metadata, "comment": docs[name]})
-    return df
+    return df.select(
+        *[
+            F.col(f.name).alias(f.name, metadata={**f.metadata, "comment": docs[f.name]}) if f.name in docs else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
 
 
 def column_comments(df: DataFrame) -> dict[str, str]:

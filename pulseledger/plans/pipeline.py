@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from functools import cached_property
@@ -118,19 +119,22 @@ class Relations:
         )
 
 
-# attribute of Relations -> output table, in the order they are built; the
-# partition column, if any, is the one readers filter by.
-TABLES = (
-    ("identity_map", "stg_identity_resolution", None),
-    ("account_map", "stg_user_account_mapping", None),
-    ("daily", "int_daily_activity", "activity_date"),
-    ("sessions", "fct_sessions", sinks.SESSION_DATE),
-    ("dim_accounts", "dim_accounts", None),
-    ("dim_users", "dim_users", None),
-    ("product_daily", "fct_product_metrics_daily", None),
-    ("account_daily", "fct_account_metrics_daily", "metric_date"),
-    ("feature_monthly", "fct_account_feature_usage_monthly", "metric_month"),
-    ("user_latest", "fct_user_metrics_daily", None),
+# Relation -> output table and the partition column readers filter by. The
+# relations of one step need only earlier steps, so their jobs run side by
+# side and small ones fill the gaps of large ones.
+STEPS = (
+    {"identity_map": ("stg_identity_resolution", None), "account_map": ("stg_user_account_mapping", None)},
+    {"daily": ("int_daily_activity", "activity_date"), "sessions": ("fct_sessions", sinks.SESSION_DATE)},
+    {
+        "dim_accounts": ("dim_accounts", None),
+        "dim_users": ("dim_users", None),
+        "product_daily": ("fct_product_metrics_daily", None),
+        "feature_monthly": ("fct_account_feature_usage_monthly", "metric_month"),
+    },
+    {
+        "account_daily": ("fct_account_metrics_daily", "metric_date"),
+        "user_latest": ("fct_user_metrics_daily", None),
+    },
 )
 
 
@@ -144,23 +148,34 @@ def build(inputs: Inputs, cfg: Config, out_dir: str) -> dict[str, DataFrame]:
     configure(inputs.tracks.sparkSession)
 
     def share(df: DataFrame, name: str) -> DataFrame:
-        # The other shared relations are among TABLES.
+        # The other shared relations are among the tables.
         return materialize(df, name) if name in ("lookup", "user_days") else df
 
     relations = Relations(inputs, cfg, share)
     written: dict[str, DataFrame] = {}
-    for attribute, table, partition in TABLES:
+
+    def write(attribute: str, table: str, partition: str | None) -> DataFrame | None:
         df = getattr(relations, attribute)
         if df is None:
-            continue
+            return None
         target = f"{out_dir.rstrip('/')}/{table}"
         if attribute == "sessions":
             stored = sinks.write_sessions(with_docs(df), target)
         else:
             stored = sinks.write_table(with_docs(df), target, [partition] if partition else [])
-        written[table] = stored.select(*df.columns)
-        setattr(relations, attribute, written[table])
-        sinks.register(written[table], table)
+        return stored.select(*df.columns)
+
+    with ThreadPoolExecutor(max_workers=max(len(step) for step in STEPS)) as pool:
+        for step in STEPS:
+            # Used by both relations of the next step; built once, here.
+            if "daily" in step:
+                relations.lookup  # noqa: B018
+            pending = {a: pool.submit(write, a, *target) for a, target in step.items()}
+            for attribute, (table, _) in step.items():
+                stored = pending[attribute].result()
+                if stored is not None:
+                    setattr(relations, attribute, stored)
+                    written[table] = sinks.register(stored, table)
     written["stg_segment_tracks"] = sinks.register(relations.tracks, "stg_segment_tracks")
     if inputs.pages is not None:
         written["stg_segment_pages"] = sinks.register(relations.pages, "stg_segment_pages")
