@@ -8,16 +8,18 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import oracle
+from . import oracle, streaming
 from .config import DOCUMENTED, Config
 from .functions import date_spine, name, round_half_up
-from .operators import quality
-from .operators.sessions import sessionize, sessionize_incremental
+from .functions.columns import KEY_NULL_TOKEN
+from .operators import identity, quality
+from .operators.sessions import SESSION_COLUMNS, sessionize, sessionize_incremental
 from .plans import accounts as account_plans
 from .plans import product, signals, users
 from .plans.pipeline import Relations
-from .session import configure, materialize
+from .session import configure, materialize, scratch_path
 from .sources import testdata
+from .sources.sinks import upsert_sessions
 
 MAIN = Config(
     as_of=datetime(2024, 1, 31, 12),
@@ -241,10 +243,65 @@ def _split_incrementally(r: Relations, late: bool) -> DataFrame:
     return sessionize_incremental(stored, events.filter(f"NOT ({first})"), timeout)
 
 
+def _event_stream(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged tracks of the events table read as a stream of files."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    # A glob, because a stream cannot be opened on a single file.
+    events = streaming.read_stream(spark, f"{sf_dir}/events*.parquet", schema)
+    return identity.stage_tracks(testdata.derive_tracks(events), r.lookup, r.cfg)
+
+
+def _drain(stream: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+    """Run a stream over what has arrived; its output as a table."""
+    out = scratch_path(spark, name)
+    streaming.emit_sessions(stream, out, f"{out}_state", once=True).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def _streamed_sessions(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    closed = streaming.streaming_sessions(_event_stream(r, spark, sf_dir), r.cfg)
+    return _drain(closed, spark, "stream-sessions")
+
+
+def _streamed_counts(key: str) -> Callable[[Relations, SparkSession, str], DataFrame]:
+    def run(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+        counts = streaming.daily_counts(_event_stream(r, spark, sf_dir), key)
+        return _drain(counts, spark, "stream-counts")
+
+    return run
+
+
+def _streamed_once(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event delivered twice, then de-duplicated."""
+    events = _event_stream(r, spark, sf_dir)
+    unique = streaming.deduplicate(events.unionByName(events))
+    return _drain(unique, spark, "stream-unique")
+
+
+def _streamed_actives(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    actives = streaming.sliding_actives(_event_stream(r, spark, sf_dir), 7)
+    return _drain(actives, spark, "stream-actives")
+
+
+def _upserted_sessions(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The session table after three batches, a tenth of each part late by one."""
+    events = r.share(r.tracks.select("event_id", "user_id", "account_id", "event_at"), "events")
+    day = "datediff(event_at, DATE'2024-01-01')"
+    batch = f"least(2, {day} div 10 + IF(pmod(xxhash64(event_id), 10) = 0, 1, 0))"
+    table = scratch_path(spark, "session-table")
+    for number in range(3):
+        upsert_sessions(events.filter(f"{batch} = {number}"), table, number, r.cfg.session_timeout_minutes)
+    return spark.read.parquet(table).select(*SESSION_COLUMNS)
+
+
 SESSION_SQL = (
     "SELECT session_id, user_id, user_session_index, session_start_at, session_end_at, session_duration_seconds,"
     " events_in_session, account_id FROM sess"
 )
+STREAM_SESSION_SQL = f"""SELECT md5(coalesce(user_id, '{KEY_NULL_TOKEN}') || '-' || epoch_us(session_start_at)) AS session_key,
+  user_id, session_start_at, session_end_at, session_duration_seconds, events_in_session, account_id FROM sess
+  WHERE date_trunc('minute', session_end_at) + INTERVAL 30 MINUTE
+        <= (SELECT date_trunc('minute', max(tm)) - INTERVAL 1 HOUR FROM stg)"""
 STG_SQL = (
     "SELECT id AS event_id, anon AS anonymous_id, original_user_id, user_id, original_account_id, account_id,"
     " event AS event_name, tm AS event_at FROM stg"
@@ -301,6 +358,16 @@ def _build() -> dict[str, Query]:
     )
     q["sessions_incremental"] = Query(lambda r, s, d: _split_incrementally(r, False), SESSION_SQL)
     q["sessions_incremental_late"] = Query(lambda r, s, d: _split_incrementally(r, True), SESSION_SQL)
+    q["sessions_upsert_table"] = Query(_upserted_sessions, SESSION_SQL)
+    q["sessions_streaming"] = Query(_streamed_sessions, STREAM_SESSION_SQL)
+    for key in ("account_id", "user_id"):
+        q[f"daily_counts_streaming_{key.split('_')[0]}"] = Query(
+            _streamed_counts(key),
+            f"SELECT CAST(tm AS DATE) AS event_date, {key}, count(*) AS n_events FROM stg"
+            f" WHERE CAST(tm AS DATE) + INTERVAL 1 DAY <= (SELECT max(tm) - INTERVAL 1 HOUR FROM stg) GROUP BY ALL",
+        )
+    q["deduplicated_streaming"] = Query(_streamed_once, STG_SQL)
+    q["approx_actives"] = Query(_streamed_actives, None)
     q["dim_accounts"] = Query(lambda r, s, d: r.dim_accounts, DIM_A_SQL)
     q["dim_users"] = Query(lambda r, s, d: r.dim_users, DIM_U_SQL)
     q["date_spine"] = Query(
@@ -426,6 +493,7 @@ def _share(queries: dict[str, Query]) -> dict[str, Query]:
             query.shared = _DAILY
         elif key.startswith("sessions_incremental"):
             query.shared = ("lookup", "sessions")
+    queries["sessions_upsert_table"].shared = ("events",)
     for key in ("account_playbook", "quality_report"):
         queries[key].shared = (*_DAILY, "sessions", "user_days")
     return queries

@@ -1,0 +1,13 @@
+from .metrics import daily_counts, deduplicate, sliding_actives
+from .sessions import emit_sessions, streaming_sessions, upsert_sessions_stream
+from .sources import read_stream
+
+__all__ = [
+    "daily_counts",
+    "deduplicate",
+    "emit_sessions",
+    "read_stream",
+    "sliding_actives",
+    "streaming_sessions",
+    "upsert_sessions_stream",
+]
