@@ -36,6 +36,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **extra: st
         SparkSession.builder.master(f"local[{cores}]")
         .appName("pulseledger")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
