@@ -13,13 +13,12 @@ from .config import DOCUMENTED, Config
 from .functions import date_spine, name, round_half_up
 from .functions.columns import KEY_NULL_TOKEN
 from .operators import identity, quality
-from .operators.sessions import SESSION_COLUMNS, sessionize, sessionize_incremental
+from .operators.sessions import SESSION_COLUMNS, events_since, sessionize, sessionize_incremental
 from .plans import accounts as account_plans
-from .plans import product, signals, users
+from .plans import dimensions, product, signals, users
 from .plans.pipeline import Relations
 from .session import configure, materialize, scratch_path
-from .sources import testdata
-from .sources.sinks import upsert_sessions
+from .sources import sinks, testdata
 
 MAIN = Config(
     as_of=datetime(2024, 1, 31, 12),
@@ -52,7 +51,10 @@ class Query:
         def share(df: DataFrame, name: str) -> DataFrame:
             return materialize(df, name) if name in self.shared else df
 
-        return comparable(self.run(Relations(inputs, self.cfg, share), spark, sf_dir))
+        relations = Relations(inputs, self.cfg, share)
+        if "sessions" in self.shared and "daily" in self.shared:
+            relations.prepare()
+        return comparable(self.run(relations, spark, sf_dir))
 
     def sql(self) -> str | None:
         return None if self.select is None else oracle.statement(self.select, self.cfg, self.stretch, self.more)
@@ -231,6 +233,14 @@ def _quality_sql() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def _alert_file(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts written as JSON lines and read back."""
+    alerts = signals.expansion_alerts(_since(r, 1), r.cfg)
+    path = scratch_path(spark, "alerts")
+    sinks.write_alerts(alerts, path)
+    return spark.read.schema(alerts.schema).json(path)
+
+
 def _split_incrementally(r: Relations, late: bool) -> DataFrame:
     """Sessions of the first part, then the rest merged in as one batch."""
     events = r.tracks.select("event_id", "user_id", "account_id", "event_at")
@@ -290,7 +300,7 @@ def _upserted_sessions(r: Relations, spark: SparkSession, sf_dir: str) -> DataFr
     batch = f"least(2, {day} div 10 + IF(pmod(xxhash64(event_id), 10) = 0, 1, 0))"
     table = scratch_path(spark, "session-table")
     for number in range(3):
-        upsert_sessions(events.filter(f"{batch} = {number}"), table, number, r.cfg.session_timeout_minutes)
+        sinks.upsert_sessions(events.filter(f"{batch} = {number}"), table, number, r.cfg.session_timeout_minutes)
     return spark.read.parquet(table).select(*SESSION_COLUMNS)
 
 
@@ -349,7 +359,7 @@ def _build() -> dict[str, Query]:
     q["sessions_unstitched"] = Query(lambda r, s, d: r.sessions, SESSION_SQL, UNSTITCHED)
     q["sessions_with_pages"] = Query(lambda r, s, d: r.sessions, SESSION_SQL, WITH_PAGES)
     q["sessions_timeout_60"] = Query(lambda r, s, d: r.sessions, SESSION_SQL, MAIN.replace(session_timeout_minutes=60))
-    q["sessions_hot_users"] = Query(
+    q["sessions_timeout_600_with_pages"] = Query(
         lambda r, s, d: r.sessions, SESSION_SQL, MAIN.replace(session_timeout_minutes=600, include_pages_in_sessions=True)
     )
     q["session_ids"] = Query(
@@ -370,6 +380,27 @@ def _build() -> dict[str, Query]:
     q["approx_actives"] = Query(_streamed_actives, None)
     q["dim_accounts"] = Query(lambda r, s, d: r.dim_accounts, DIM_A_SQL)
     q["dim_users"] = Query(lambda r, s, d: r.dim_users, DIM_U_SQL)
+    q["dim_users_enriched"] = Query(
+        lambda r, s, d: dimensions.enrich_users(r.dim_users, r.inputs.users),
+        "SELECT dim_u.*, c_name AS email FROM dim_u LEFT JOIN customer ON user_id = 'u' || c_custkey",
+    )
+    q["dim_accounts_enriched"] = Query(
+        lambda r, s, d: dimensions.enrich_accounts(r.dim_accounts, r.inputs.groups),
+        "SELECT dim_a.*, n_name AS name FROM dim_a LEFT JOIN nation ON account_id = 'acct_' || n_nationkey",
+    )
+    q["sessions_partitioned_table"] = Query(
+        lambda r, s, d: sinks.write_sessions(r.sessions, scratch_path(s, "sessions")).filter(
+            "session_date BETWEEN DATE'2024-01-05' AND DATE'2024-01-11'"
+        ),
+        "SELECT *, CAST(session_start_at AS DATE) AS session_date FROM sess"
+        " WHERE CAST(session_start_at AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'",
+    )
+    q["sessions_newest_events"] = Query(
+        lambda r, s, d: events_since(
+            r.tracks, sessionize(r.tracks.filter("event_at < TIMESTAMP'2024-01-25 00:00:00'"), r.cfg.session_timeout_minutes)
+        ),
+        STG_SQL + " WHERE tm > (SELECT max(tm) FROM stg WHERE tm < TIMESTAMP '2024-01-25')",
+    )
     q["date_spine"] = Query(
         lambda r, s, d: date_spine(s, r.cfg.spine_start, r.cfg.today)
         .join(r.daily.selectExpr("activity_date AS date_day", "1L AS seen").distinct(), "date_day", "left")
@@ -432,6 +463,7 @@ def _build() -> dict[str, Query]:
     q["user_snapshot_late_spine"] = Query(
         snapshot.run, SNAP_SQL, MAIN.replace(spine_start=date(2024, 1, 10), include_pages_in_sessions=True)
     )
+    q["user_snapshot_documented"] = Query(snapshot.run, SNAP_SQL, MAIN.replace(semantics=DOCUMENTED))
     q["user_snapshot_early"] = Query(snapshot.run, SNAP_SQL, MAIN.replace(as_of=datetime(2024, 1, 3, 12)))
     q["champions_topk"] = Query(
         lambda r, s, d: signals.champions(r.user_latest, 3).select(
@@ -451,6 +483,7 @@ def _build() -> dict[str, Query]:
     q["expansion_alerts"] = Query(
         lambda r, s, d: signals.expansion_alerts(_since(r, 1), r.cfg), _expansion_sql(GROWTH_DAY, 1.5, 5), GROWTH_DAY
     )
+    q["alert_file"] = Query(_alert_file, _expansion_sql(GROWTH_DAY, 1.5, 5), GROWTH_DAY)
     q["account_trend_30d"] = Query(
         lambda r, s, d: signals.account_trend(_since(r, 37), r.cfg), _trend_sql(LONG, 30), LONG, LONG_STRETCH
     )
@@ -479,23 +512,23 @@ def _build() -> dict[str, Query]:
     return q
 
 
-_DAILY = ("lookup", "daily")
-_ONLY_DAILY_READERS = ("product_", "feature_")
-_ACCOUNT_READERS = ("account_", "churn_alerts", "expansion_alerts")
-_USER_READERS = ("user_snapshot", "champions_topk", "lifecycle_counts", "user_segments", "license_utilization")
+_DAILY_READERS = ("product_", "feature_")
+_DAILY_AND_SESSION_READERS = (
+    "account_actives", "account_breadth", "account_sessions", "account_signals", "account_trend", "account_health",
+    "account_playbook", "churn_alerts", "expansion_alerts", "alert_file", "user_snapshot", "champions_topk",
+    "lifecycle_counts", "user_segments", "license_utilization", "quality_report",
+)
 
 
 def _share(queries: dict[str, Query]) -> dict[str, Query]:
     for key, query in queries.items():
-        if key.startswith(_USER_READERS):
-            query.shared = (*_DAILY, "user_days")
-        elif key.startswith((*_ONLY_DAILY_READERS, *_ACCOUNT_READERS)) and key != "account_spine":
-            query.shared = _DAILY
+        if key.startswith(_DAILY_AND_SESSION_READERS):
+            query.shared = ("lookup", "daily", "sessions", "user_days")
+        elif key.startswith(_DAILY_READERS):
+            query.shared = ("lookup", "daily")
         elif key.startswith("sessions_incremental"):
             query.shared = ("lookup", "sessions")
     queries["sessions_upsert_table"].shared = ("events",)
-    for key in ("account_playbook", "quality_report"):
-        queries[key].shared = (*_DAILY, "sessions", "user_days")
     return queries
 
 

@@ -270,6 +270,13 @@ def feature(cfg: Config) -> list[str]:
 
 def user(cfg: Config) -> list[str]:
     w = "PARTITION BY user_id ORDER BY d ROWS"
+    minutes, per_session, breadth = "min30", "ev30", "f30"
+    if cfg.documented:
+        month = f"BETWEEN greatest(d - 29, CAST(l.first_seen_at AS DATE), {_day(cfg.spine_start)}) AND d"
+        mine = f"FROM sess WHERE sess.user_id = l.user_id AND CAST(session_start_at AS DATE) {month}"
+        minutes = f"(SELECT sum(session_duration_seconds) / count(*) / 60.0 {mine})"
+        per_session = f"(SELECT sum(events_in_session) / count(*) {mine})"
+        breadth = f"(SELECT count(DISTINCT event) FROM stg WHERE stg.user_id = l.user_id AND CAST(tm AS DATE) {month})"
     return [
         """ua AS (
           SELECT CAST(tm AS DATE) AS activity_date, user_id, count(*) AS n_events, count(DISTINCT event) AS n_features
@@ -298,11 +305,11 @@ def user(cfg: Config) -> list[str]:
                  {_big('active')} AS is_active_daily, {_big('a7')} AS is_active_weekly, {_big('a30')} AS is_active_monthly,
                  {_big('l7')} AS active_days_last_7, {_big('l14')} AS active_days_last_14,
                  {_big('n30')} AS n_events_monthly, {_big('ns')} AS n_sessions_daily, {_big('ns30')} AS n_sessions_monthly,
-                 {_round('min30', 6)} AS avg_session_duration_minutes_monthly,
-                 {_round('ev30', 6)} AS avg_session_length_monthly,
+                 {_round(minutes, 6)} AS avg_session_duration_minutes_monthly,
+                 {_round(per_session, 6)} AS avg_session_length_monthly,
                  row_number() OVER (PARTITION BY latest_account_id ORDER BY n30 DESC, md5(l.user_id), l.user_id) AS usage_rank_in_account,
                  {_flag('CAST(l.first_seen_at AS DATE) = CAST(a.first_seen_at AS DATE)')} AS is_admin_proxy,
-                 {_big('f30')} AS distinct_features_used_30d,
+                 {_big(breadth)} AS distinct_features_used_30d,
                  CASE WHEN d = CAST(l.first_seen_at AS DATE) THEN 'New'
                       WHEN active = 1 AND coalesce(before, 0) = 0 THEN 'Resurrected'
                       WHEN a30 = 0 THEN 'Churned' WHEN active = 1 THEN 'Active' ELSE 'Dormant' END AS user_lifecycle_status
