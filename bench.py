@@ -14,7 +14,7 @@ import time
 
 from pulseledger import catalog
 from pulseledger.plans import pipeline
-from pulseledger.session import local_session, scratch_path
+from pulseledger.session import drop_scratch, local_session, scratch_path
 from pulseledger.sources import testdata
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -74,6 +74,7 @@ def main() -> None:
             }
         )
     )
+    drop_scratch(spark)
     spark.stop()
 
 

@@ -51,10 +51,7 @@ class Query:
         def share(df: DataFrame, name: str) -> DataFrame:
             return materialize(df, name) if name in self.shared else df
 
-        relations = Relations(inputs, self.cfg, share)
-        if "sessions" in self.shared and "daily" in self.shared:
-            relations.prepare()
-        return comparable(self.run(relations, spark, sf_dir))
+        return comparable(self.run(Relations(inputs, self.cfg, share), spark, sf_dir))
 
     def sql(self) -> str | None:
         return None if self.select is None else oracle.statement(self.select, self.cfg, self.stretch, self.more)
@@ -65,6 +62,7 @@ def comparable(df: DataFrame) -> DataFrame:
     conversions = {
         "timestamp": "CAST({} AS TIMESTAMP_NTZ)",
         "int": "CAST({} AS BIGINT)",
+        "decimal(38,0)": "CAST({} AS BIGINT)",
         "double": round_half_up("{}", DIGITS),
     }
     return df.selectExpr(*[f"{conversions.get(kind, '{}').format(name(c))} AS {name(c)}" for c, kind in df.dtypes])
@@ -512,23 +510,22 @@ def _build() -> dict[str, Query]:
     return q
 
 
-_DAILY_READERS = ("product_", "feature_")
-_DAILY_AND_SESSION_READERS = (
-    "account_actives", "account_breadth", "account_sessions", "account_signals", "account_trend", "account_health",
-    "account_playbook", "churn_alerts", "expansion_alerts", "alert_file", "user_snapshot", "champions_topk",
-    "lifecycle_counts", "user_segments", "license_utilization", "quality_report",
+_DAILY_READERS = (
+    "product_", "feature_", "account_actives", "account_breadth", "account_sessions", "account_signals", "account_trend",
+    "account_health", "churn_alerts", "expansion_alerts", "alert_file", "user_snapshot", "champions_topk",
+    "lifecycle_counts", "user_segments", "license_utilization",
 )
 
 
 def _share(queries: dict[str, Query]) -> dict[str, Query]:
     for key, query in queries.items():
-        if key.startswith(_DAILY_AND_SESSION_READERS):
-            query.shared = ("lookup", "daily", "sessions", "user_days")
-        elif key.startswith(_DAILY_READERS):
-            query.shared = ("lookup", "daily")
+        if key.startswith(_DAILY_READERS):
+            query.shared = ("lookup", "daily", "user_days")
         elif key.startswith("sessions_incremental"):
             query.shared = ("lookup", "sessions")
     queries["sessions_upsert_table"].shared = ("events",)
+    for key in ("account_playbook", "quality_report"):
+        queries[key].shared = ("lookup", "daily", "sessions", "user_days")
     return queries
 
 

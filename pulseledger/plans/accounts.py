@@ -112,7 +112,9 @@ def _volume_columns(cfg: Config) -> list[str]:
 
     Literal: the volume counts pairs of 30-day activity and session rows, and
     session sums repeat once per activity row; the pair count is the product
-    of both row counts, each at least 1. Documented: sums of the days.
+    of both row counts, each at least 1. Documented: sums of the days. In an
+    account with a large share of all users that product of session and
+    activity counts outgrows a long, hence the decimals.
     """
     fanout = "greatest(activity_rows_30d, 1L)"
     if cfg.documented:
@@ -120,8 +122,8 @@ def _volume_columns(cfg: Config) -> list[str]:
     else:
         columns, repeat = [f"{fanout} * greatest(session_rows_30d, 1L) AS n_events_daily"], fanout
     for span in ("daily", "7d", "30d"):
-        columns.append(f"sessions_{span} * {repeat} AS n_sessions_{span}")
-        # Fractional before multiplying: seconds times rows outgrow a long.
+        count = f"sessions_{span}" if cfg.documented else f"CAST(CAST(sessions_{span} AS DECIMAL(19,0)) * {repeat} AS DECIMAL(38,0))"
+        columns.append(f"{count} AS n_sessions_{span}")
         columns.append(f"CAST(seconds_{span} AS DOUBLE) * {repeat} / 60D AS minutes_{span}")
     return columns
 

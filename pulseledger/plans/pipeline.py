@@ -49,12 +49,6 @@ class Relations:
         self.cfg = cfg
         self.share = share
 
-    def prepare(self) -> None:
-        """Build the two roll-ups at the same time; worth it when shared."""
-        self.lookup  # noqa: B018 - both read it
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            list(pool.map(lambda name: getattr(self, name), ("daily", "sessions")))
-
     @cached_property
     def identity_map(self) -> DataFrame | None:
         if not self.cfg.enable_identity_stitching:

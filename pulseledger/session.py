@@ -39,6 +39,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **extra: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # A run of all relations compiles more than the default 100 stages.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in {**SQL_SETTINGS, **extra}.items():
@@ -64,9 +66,20 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote under the shared folder; relations
+    that read it, such as staged events of a build, stop working."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -124,6 +124,15 @@ def test_materialize_uses_the_named_folder(spark):
     assert df.count() == 5 and df.inputFiles()[0].startswith(f"file://{shared_dir(spark)}")
 
 
+def test_shared_folder_is_required_on_a_cluster():
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: None)})
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster())
+
+
 def events(spark, rows):
     return frame(spark, EVENTS, [(u, "acct", t) for u, t in rows])
 

@@ -125,6 +125,19 @@ def test_dormant_segment(spark, cfg):
     assert (last.health_segment, last.is_dormant_risk, last.wau, last.mau) == ("Critical - Dormant", 1, 0, 1)
 
 
+def test_literal_session_sums_of_a_huge_account(spark, cfg):
+    day = date(2024, 1, 30)
+    columns = "account_id string, metric_date date, " + ", ".join(
+        f"{c} bigint" for c in ("activity_rows_30d", "session_rows_30d", "events", "sessions_30d", "seconds_30d")
+    )
+    huge = spark.createDataFrame([("x", day, 9 * 10**10, 30, 5, 27 * 10**9, 10**13)], columns)
+    for span in ("daily", "7d"):
+        huge = huge.selectExpr("*", f"sessions_30d AS sessions_{span}", f"seconds_30d AS seconds_{span}")
+    row = huge.selectExpr(*accounts._volume_columns(cfg)).first()
+    assert int(row.n_sessions_30d) == 27 * 10**9 * 9 * 10**10 and row.n_events_daily == 27 * 10**11
+    assert row.minutes_30d == pytest.approx(1.5e22)
+
+
 def test_first_seen_on_the_run_day_has_no_rows(spark, cfg):
     daily, sessions, dim_a, dim_u = history(spark, cfg, [("A", "x", "2024-01-31 10:00:00")])
     assert accounts.account_metrics_daily(daily, sessions, dim_a, cfg).count() == 0
