@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, sentencepiece_bpe
+from . import exact_dedup, features, mixing, quality, sentencepiece_bpe, toxicity
 from .common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,28 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     report = mixing.mix_report(mixing.plan_mix(documents(spark, sf_dir)))
     return report.selectExpr("id AS doc_id", "size", "source_size", "target", "taken", "shards")
+
+
+def _scored(spark: SparkSession, sf_dir: str, classifier, folds: int, held: int) -> DataFrame:
+    """Scores of all documents by a model learnt outside fold ``held``."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = classifier.train(docs, labels, f"{features.in_fold('{id}', folds).replace('`', '')} <> {held}")
+    return classifier.score(docs, model).selectExpr(
+        "id AS doc_id",
+        f"{features.in_fold('id', folds)} = {held} AS held_out",
+        "score",
+        f"CAST(score >= {classifier.THRESHOLD} AS INT) AS predicted",
+    )
+
+
+@_query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; fold 0 of 5 is held out."""
+    return _scored(spark, sf_dir, quality, 5, 0)
+
+
+@_query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; fold 1 of 3 is held out."""
+    return _scored(spark, sf_dir, toxicity, 3, 1)

@@ -89,13 +89,19 @@ def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(data: bytes) -> np.ndarray:
     """A 64-bit hash of every word, in order: a polynomial in the word's bytes
     modulo 2**64, taken from running sums of the whole text."""
+    return prefix_hashes(data, [None])[0]
+
+
+def prefix_hashes(data: bytes, lengths: list[int | None]) -> list[np.ndarray]:
+    """For each length, hashes of the words cut to so many bytes (None: whole)."""
     starts, ends = word_bounds(data)
     if not len(starts):
-        return np.zeros(0, np.uint64)
+        return [np.zeros(0, np.uint64) for _ in lengths]
     powers, inverses = _grown(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
-    return mix64((sums[ends] - sums[starts]) * inverses[starts])
+    first, scale = sums[starts], inverses[starts]
+    return [mix64((sums[ends if n is None else np.minimum(ends, starts + n)] - first) * scale) for n in lengths]
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
