@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, features, mixing, quality, sentencepiece_bpe, toxicity
+from . import exact_dedup, features, fingerprints, mixing, quality, sentencepiece_bpe, toxicity
 from .common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,9 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; fold 1 of 3 is held out."""
     return _scored(spark, sf_dir, toxicity, 3, 1)
+
+
+@_query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its half-replaced text."""
+    return fingerprints.edits(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
