@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, features, fingerprints, mixing, quality, sentencepiece_bpe, toxicity
+from . import exact_dedup, features, fingerprints, line_dedup, mixing, quality, sentencepiece_bpe, toxicity
 from .common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,21 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its half-replaced text."""
     return fingerprints.edits(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+@_query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines found in ten documents or more."""
+    docs = documents(spark, sf_dir)
+    kept = line_dedup.LineIndex.build(docs).kept_lines(docs)
+    return kept.selectExpr("id AS doc_id", "n_lines", "n_dropped", "sha2(text, 256) AS kept_sha256")
+
+
+ORACLE_SQL["op4_line_dedup"] = f"""WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n FROM documents),
+  keyed AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key FROM lines),
+  common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE key IN (FROM common)) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE key NOT IN (FROM common)), '')) AS kept_sha256
+  FROM keyed GROUP BY doc_id"""
