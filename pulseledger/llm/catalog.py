@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, features, fingerprints, line_dedup, mixing, quality, sentencepiece_bpe, toxicity
+from . import exact_dedup, features, fingerprints, jaccard_join, line_dedup, mixing, quality, sentencepiece_bpe, toxicity
 from .common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,10 @@ ORACLE_SQL["op4_line_dedup"] = f"""WITH lines AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE key IN (FROM common)) AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE key NOT IN (FROM common)), '')) AS kept_sha256
   FROM keyed GROUP BY doc_id"""
+
+
+@_query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under Jaccard links of 0.9."""
+    answer = jaccard_join.joined(documents(spark, sf_dir))
+    return answer.selectExpr("id AS doc_id", "n_shingles", "component_id")
