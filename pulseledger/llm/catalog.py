@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, features, fingerprints, jaccard_join, line_dedup, mixing, quality, sentencepiece_bpe, toxicity
+from . import exact_dedup, features, fingerprints, jaccard_join, line_dedup, mixing, quality, sentencepiece_bpe, substring_dedup, toxicity
 from .common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,13 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under Jaccard links of 0.9."""
     answer = jaccard_join.joined(documents(spark, sf_dir))
     return answer.selectExpr("id AS doc_id", "n_shingles", "component_id")
+
+
+@_query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with repeated paragraphs or passages, and what goes from each."""
+    spans = substring_dedup.removed_spans(substring_dedup.repeated_units(documents(spark, sf_dir)))
+    removed = "aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)"
+    return spans.selectExpr(
+        "id AS doc_id", "n_units AS n_repeated", "CAST(size(spans) AS BIGINT) AS n_spans", f"{removed} AS n_bytes_removed", "spans"
+    )
