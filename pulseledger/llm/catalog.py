@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, features, fingerprints, jaccard_join, line_dedup, mixing, quality, sentencepiece_bpe, substring_dedup, toxicity
+from . import exact_dedup, features, fingerprints, jaccard_join, line_dedup, mixing, quality, sentencepiece_bpe, substring_dedup, suffix_dedup, toxicity
 from .common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.selectExpr(
         "id AS doc_id", "n_units AS n_repeated", "CAST(size(spans) AS BIGINT) AS n_spans", f"{removed} AS n_bytes_removed", "spans"
     )
+
+
+@_query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 200-byte strings that occur more than once."""
+    kept = suffix_dedup.without_repeats(documents(spark, sf_dir))
+    return kept.selectExpr("id AS doc_id", "n_bytes", "n_removed", "n_spans", "sha2(kept, 256) AS kept_sha256")
