@@ -83,3 +83,15 @@ def score_documents(
 
 def sigmoid(x: float) -> float:
     return float(1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0))))
+
+
+def below(docs: DataFrame, score: Callable[[bytes], float], threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows whose text scores below ``threshold``, with all their columns."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            keep = [score(t) < threshold for t in byte_texts(batch.column(at))]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
