@@ -7,18 +7,19 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle, streaming
 from .config import DOCUMENTED, Config
 from .functions import date_spine, name, round_half_up
 from .functions.columns import KEY_NULL_TOKEN
 from .operators import identity, quality
-from .operators.sessions import SESSION_COLUMNS, events_since, sessionize, sessionize_incremental
+from .operators.sessions import SESSION_COLUMNS, events_since, sessionize, sessionize_incremental, sessionize_recent
 from .plans import accounts as account_plans
 from .plans import dimensions, product, signals, users
-from .plans.pipeline import Relations
+from .plans.pipeline import Inputs, Relations
 from .session import configure, materialize, scratch_path
-from .sources import sinks, testdata
+from .sources import readers, sinks, testdata
 
 MAIN = Config(
     as_of=datetime(2024, 1, 31, 12),
@@ -180,7 +181,7 @@ def _playbook_sql(cfg: Config) -> str:
 def _churn_sql(cfg: Config, drop: float, min_wau: int) -> str:
     return f"""SELECT account_id, volume_change_ratio_7d, active_days_7d, wau, mau,
       CAST(round(CAST((1 - volume_change_ratio_7d) * 100 AS DECIMAL(28,10))) AS BIGINT) AS drop_pct
-      FROM acct WHERE metric_date = DATE '{cfg.last_day}' AND volume_change_ratio_7d BETWEEN 0.001 AND {drop} - 0.001
+      FROM acct WHERE metric_date = DATE '{cfg.last_day}' AND volume_change_ratio_7d > 0 AND volume_change_ratio_7d < {drop}
         AND is_active_monthly = 1 AND wau >= {min_wau} ORDER BY volume_change_ratio_7d, account_id LIMIT 5"""
 
 
@@ -191,16 +192,41 @@ def _expansion_sql(cfg: Config, growth: float, min_wau: int) -> str:
       ORDER BY volume_change_ratio_7d DESC, account_id LIMIT 5"""
 
 
-def _quality(r: Relations) -> DataFrame:
-    return quality.run_checks(
-        {
-            "stg_segment_tracks": r.tracks,
-            "stg_identity_resolution": r.identity_map,
-            "fct_sessions": r.sessions,
-            "dim_accounts": r.dim_accounts,
-            "dim_users": r.dim_users,
-        }
-    )
+def _quality_relations(r: Relations) -> dict[str, DataFrame]:
+    return {
+        "stg_segment_tracks": r.share(r.tracks, "tracks"),
+        "stg_identity_resolution": r.identity_map,
+        "fct_sessions": r.sessions,
+        "dim_accounts": r.dim_accounts,
+        "dim_users": r.dim_users,
+        "fct_product_metrics_daily": r.product_daily,
+        "fct_account_metrics_daily": r.account_daily,
+        "fct_user_metrics_daily": r.user_latest,
+    }
+
+
+# Rows spoiled in the same way by both engines: (key column, column, set to).
+_SPOILED = {
+    "stg_segment_tracks": ("event_id", "event_name", "NULL"),
+    "stg_identity_resolution": ("anonymous_id", "master_user_id", "NULL"),
+    "fct_sessions": ("user_session_index", "events_in_session", "0"),
+    "dim_accounts": ("account_id", "account_id", "NULL"),
+    "dim_users": ("user_id", "user_id", "'same'"),
+    "fct_product_metrics_daily": ("dau", "metric_date", "DATE '2024-01-01'"),
+    "fct_account_metrics_daily": ("account_id", "metric_date", "NULL"),
+    "fct_user_metrics_daily": ("user_id", "user_id", "NULL"),
+}
+_IS_SPOILED = "length(CAST({} AS STRING)) % 2 = 0"
+
+
+def _spoiled(r: Relations) -> dict[str, DataFrame]:
+    out = {}
+    for table, df in _quality_relations(r).items():
+        key, column, value = _SPOILED[table]
+        kind = df.schema[column].dataType.simpleString()
+        rule = F.expr(f"IF({_IS_SPOILED.format(key)}, CAST({value} AS {kind}), {column})")
+        out[table] = df.withColumn(column, rule)
+    return out
 
 
 QUALITY_TABLES = {
@@ -209,25 +235,42 @@ QUALITY_TABLES = {
     "fct_sessions": "sess",
     "dim_accounts": "dim_a",
     "dim_users": "dim_u",
+    "fct_product_metrics_daily": "prod",
+    "fct_account_metrics_daily": "acct",
+    "fct_user_metrics_daily": "snap",
 }
-
-
-def _quality_sql() -> str:
+# The expected checks, stated independently of operators/quality.py.
+EXPECTED_CHECKS = """
+stg_segment_tracks not_null event_id; stg_segment_tracks not_null event_name; stg_segment_tracks not_null event_at
+stg_segment_tracks unique event_id
+stg_identity_resolution not_null anonymous_id; stg_identity_resolution not_null master_user_id; stg_identity_resolution unique anonymous_id
+fct_sessions not_null session_id; fct_sessions not_null user_id; fct_sessions not_null account_id
+fct_sessions not_null session_start_at; fct_sessions not_null session_end_at; fct_sessions unique session_id
+fct_sessions expression session_duration_seconds >= 0; fct_sessions expression session_end_at >= session_start_at
+fct_sessions expression events_in_session >= 1
+dim_accounts not_null account_id; dim_accounts unique account_id
+dim_users not_null user_id; dim_users unique user_id
+fct_product_metrics_daily unique metric_date
+fct_account_metrics_daily not_null metric_date; fct_account_metrics_daily not_null account_id
+fct_user_metrics_daily not_null metric_date; fct_user_metrics_daily not_null user_id
+"""
+
+
+def _quality_sql(spoil: bool = False) -> str:
     parts = []
-    for suite in quality.SUITES:
-        source = QUALITY_TABLES.get(suite.relation)
-        if source is None:
-            continue
-        tests = [("not_null", c, f"SELECT count(*) FROM {source} WHERE {c} IS NULL") for c in suite.not_null]
-        tests += [("expression", e, f"SELECT count(*) FROM {source} WHERE NOT ({e})") for e in suite.expressions]
-        tests += [
-            ("unique", c, f"SELECT count(*) FROM (SELECT {c} FROM {source} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
-            for c in suite.unique
-        ]
-        parts += [
-            f"SELECT '{suite.relation}' AS relation, '{kind}' AS check_name, '{subject}' AS subject, ({count}) AS n_violations"
-            for kind, subject, count in tests
-        ]
+    for line in EXPECTED_CHECKS.replace(";", "\n").strip().splitlines():
+        relation, kind, subject = line.split(maxsplit=2)
+        source = QUALITY_TABLES[relation]
+        if spoil:
+            key, column, value = _SPOILED[relation]
+            rule = f"CASE WHEN {_IS_SPOILED.format(key).replace('STRING', 'VARCHAR')} THEN {value} ELSE {column} END AS {column}"
+            source = f"(SELECT * REPLACE ({rule}) FROM {source})"
+        failing = {
+            "not_null": f"SELECT count(*) FROM {source} WHERE {subject} IS NULL",
+            "expression": f"SELECT count(*) FROM {source} WHERE NOT ({subject})",
+            "unique": f"SELECT count(*) FROM (SELECT {subject} FROM {source} WHERE {subject} IS NOT NULL GROUP BY {subject} HAVING count(*) > 1)",
+        }[kind]
+        parts.append(f"SELECT '{relation}' AS relation, '{kind}' AS check_name, '{subject}' AS subject, ({failing}) AS n_violations")
     return "\nUNION ALL ".join(parts)
 
 
@@ -239,6 +282,35 @@ def _alert_file(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(alerts.schema).json(path)
 
 
+def _reread(r: Relations, spark: SparkSession, kind: str) -> Relations:
+    """The raw relations written as files and read through the source layer."""
+    places = {}
+    for name in ("tracks", "pages", "identifies"):
+        places[name] = f"{scratch_path(spark, name)}.{kind}"
+        raw = getattr(r.inputs, name)
+        if kind == "csv":
+            # CSV seeds hold whole seconds, which the format of timestamps says.
+            raw.write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(places[name])
+        else:
+            raw.write.parquet(places[name])
+    cfg = r.cfg.replace(sources=places)
+    return Relations(Inputs.read(spark, cfg), cfg, r.share)
+
+
+def _enriched(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users and accounts with names from the optional sources, read back."""
+    places = {}
+    for name in ("users", "groups"):
+        places[name] = f"{scratch_path(spark, name)}.parquet"
+        getattr(r.inputs, name).write.parquet(places[name])
+    cfg = r.cfg.replace(sources=places)
+    people = dimensions.enrich_users(r.dim_users, readers.read_users(spark, cfg))
+    accounts = dimensions.enrich_accounts(r.dim_accounts, readers.read_groups(spark, cfg))
+    return people.selectExpr("'user' AS kind", "user_id AS id", "email AS name").unionByName(
+        accounts.selectExpr("'account' AS kind", "account_id AS id", "name")
+    )
+
+
 def _split_incrementally(r: Relations, late: bool) -> DataFrame:
     """Sessions of the first part, then the rest merged in as one batch."""
     events = r.tracks.select("event_id", "user_id", "account_id", "event_at")
@@ -291,15 +363,62 @@ def _streamed_actives(r: Relations, spark: SparkSession, sf_dir: str) -> DataFra
     return _drain(actives, spark, "stream-actives")
 
 
-def _upserted_sessions(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The session table after three batches, a tenth of each part late by one."""
+def _approx_actives(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per closed window, whether the sketch is within five errors of the exact count."""
+    events = _event_stream(r, spark, sf_dir)
+    approx = _drain(streaming.approx_sliding_actives(events, 7), spark, "stream-approx")
+    exact = _streamed_actives(r, spark, sf_dir)
+    near = "abs(approx_{0} - active_{0}) <= 1 + 0.05 * active_{0}"
+    return approx.join(exact, "metric_date").selectExpr(
+        "metric_date", f"{near.format('users')} AS users_near", f"{near.format('accounts')} AS accounts_near"
+    )
+
+
+def _batches(r: Relations) -> list[DataFrame]:
+    """Staged tracks in three parts, a tenth of each part late by one."""
     events = r.share(r.tracks.select("event_id", "user_id", "account_id", "event_at"), "events")
     day = "datediff(event_at, DATE'2024-01-01')"
     batch = f"least(2, {day} div 10 + IF(pmod(xxhash64(event_id), 10) = 0, 1, 0))"
+    return [events.filter(f"{batch} = {number}") for number in range(3)]
+
+
+def _upserted_sessions(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The session table after three batches."""
     table = scratch_path(spark, "session-table")
-    for number in range(3):
-        sinks.upsert_sessions(events.filter(f"{batch} = {number}"), table, number, r.cfg.session_timeout_minutes)
-    return spark.read.parquet(table).select(*SESSION_COLUMNS)
+    for number, batch in enumerate(_batches(r)):
+        sinks.upsert_sessions(batch, table, number, r.cfg.session_timeout_minutes)
+    return sinks.read_sessions(spark, table).select(*SESSION_COLUMNS)
+
+
+def _upserted_again(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty first batch; every batch delivered twice, the first once more at the end."""
+    table = scratch_path(spark, "session-table")
+    batches = _batches(r)
+    for number, batch in enumerate([batches[0].limit(0), *batches]):
+        for _ in range(2):
+            sinks.upsert_sessions(batch, table, number, r.cfg.session_timeout_minutes)
+    sinks.upsert_sessions(batches[0], table, 1, r.cfg.session_timeout_minutes)
+    return sinks.read_sessions(spark, table).select(*SESSION_COLUMNS)
+
+
+def _upserted_stream(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The session table kept by a stream over several files, one a batch."""
+    folder, table = scratch_path(spark, "arriving"), scratch_path(spark, "session-table")
+    schema = "event_id string, user_id string, account_id string, event_at timestamp"
+    for batch in _batches(r):
+        batch.coalesce(1).write.mode("append").parquet(folder)
+    arriving = streaming.read_stream(spark, folder, spark.createDataFrame([], schema).schema, max_files=1)
+    streaming.upsert_sessions_stream(arriving, table, f"{table}_state", r.cfg, once=True).awaitTermination()
+    return sinks.read_sessions(spark, table).select(*SESSION_COLUMNS)
+
+
+def _recent_sessions(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored up to January 25, for every third user only to the 10th; then brought up to date, twice."""
+    events = r.share(r.tracks.select("event_id", "user_id", "account_id", "event_at"), "events")
+    until = "IF(pmod(hash(user_id), 3) = 0, TIMESTAMP'2024-01-10 00:00:00', TIMESTAMP'2024-01-25 00:00:00')"
+    timeout = r.cfg.session_timeout_minutes
+    stored = r.share(sessionize(events.filter(f"event_at <= {until}"), timeout), "sessions")
+    return sessionize_recent(r.share(sessionize_recent(stored, events, timeout), "sessions"), events, timeout)
 
 
 SESSION_SQL = (
@@ -314,6 +433,11 @@ STG_SQL = (
     "SELECT id AS event_id, anon AS anonymous_id, original_user_id, user_id, original_account_id, account_id,"
     " event AS event_name, tm AS event_at FROM stg"
 )
+# Windows of 7 days that the watermark, one hour behind the newest event, has passed.
+ACTIVES_SQL = """SELECT CAST(d AS DATE) AS metric_date, count(DISTINCT user_id) AS active_users, count(DISTINCT account_id) AS active_accounts
+  FROM (SELECT unnest(generate_series(min(CAST(tm AS DATE)), max(CAST(tm AS DATE)) + 6, INTERVAL 1 DAY)) AS d, max(tm) AS newest FROM stg)
+  JOIN stg ON CAST(tm AS DATE) > d - INTERVAL 7 DAY AND CAST(tm AS DATE) <= d
+  WHERE d + INTERVAL 1 DAY <= newest - INTERVAL 1 HOUR GROUP BY d"""
 NULLS = "CAST(NULL AS VARCHAR)"
 PAGES_SQL = (
     f"SELECT id AS page_id, anon AS anonymous_id, original_user_id, user_id, original_account_id, account_id,"
@@ -334,7 +458,6 @@ DAY_FEB_5, DAY_FEB_20 = datetime(2024, 2, 5, 12), datetime(2024, 2, 20, 12)
 SHORT_LOOKBACK = MAIN.replace(tracks_lookback_days=10, identity_lookback_days=10, pages_lookback_days=10)
 WITH_PAGES = MAIN.replace(include_pages_in_sessions=True)
 UNSTITCHED = MAIN.replace(enable_identity_stitching=False)
-ALERT_DAY = MAIN.replace(as_of=datetime(2024, 1, 28, 12))
 GROWTH_DAY = MAIN.replace(as_of=datetime(2024, 1, 16, 12))
 LIFECYCLE_SQL = "SELECT metric_date, user_lifecycle_status, count(*) AS n_users FROM snap GROUP BY ALL"
 
@@ -367,6 +490,9 @@ def _build() -> dict[str, Query]:
     q["sessions_incremental"] = Query(lambda r, s, d: _split_incrementally(r, False), SESSION_SQL)
     q["sessions_incremental_late"] = Query(lambda r, s, d: _split_incrementally(r, True), SESSION_SQL)
     q["sessions_upsert_table"] = Query(_upserted_sessions, SESSION_SQL)
+    q["sessions_upsert_repeated"] = Query(_upserted_again, SESSION_SQL)
+    q["sessions_upsert_stream"] = Query(_upserted_stream, SESSION_SQL)
+    q["sessions_recent"] = Query(_recent_sessions, SESSION_SQL)
     q["sessions_streaming"] = Query(_streamed_sessions, STREAM_SESSION_SQL)
     for key in ("account_id", "user_id"):
         q[f"daily_counts_streaming_{key.split('_')[0]}"] = Query(
@@ -375,7 +501,10 @@ def _build() -> dict[str, Query]:
             f" WHERE CAST(tm AS DATE) + INTERVAL 1 DAY <= (SELECT max(tm) - INTERVAL 1 HOUR FROM stg) GROUP BY ALL",
         )
     q["deduplicated_streaming"] = Query(_streamed_once, STG_SQL)
-    q["approx_actives"] = Query(_streamed_actives, None)
+    q["sliding_actives_streaming"] = Query(_streamed_actives, f"SELECT * FROM ({ACTIVES_SQL})")
+    q["approx_actives"] = Query(
+        _approx_actives, f"SELECT metric_date, true AS users_near, true AS accounts_near FROM ({ACTIVES_SQL})"
+    )
     q["dim_accounts"] = Query(lambda r, s, d: r.dim_accounts, DIM_A_SQL)
     q["dim_users"] = Query(lambda r, s, d: r.dim_users, DIM_U_SQL)
     q["dim_users_enriched"] = Query(
@@ -395,9 +524,10 @@ def _build() -> dict[str, Query]:
     )
     q["sessions_newest_events"] = Query(
         lambda r, s, d: events_since(
-            r.tracks, sessionize(r.tracks.filter("event_at < TIMESTAMP'2024-01-25 00:00:00'"), r.cfg.session_timeout_minutes)
+            r.tracks, sessionize(r.tracks.filter("event_at < TIMESTAMP'2024-01-25 00:00:00'"), r.cfg.session_timeout_minutes),
+            r.cfg.session_timeout_minutes,
         ),
-        STG_SQL + " WHERE tm > (SELECT max(tm) FROM stg WHERE tm < TIMESTAMP '2024-01-25')",
+        STG_SQL + " WHERE tm >= (SELECT max(tm) - INTERVAL 30 MINUTE FROM stg WHERE tm < TIMESTAMP '2024-01-25')",
     )
     q["date_spine"] = Query(
         lambda r, s, d: date_spine(s, r.cfg.spine_start, r.cfg.today)
@@ -473,7 +603,7 @@ def _build() -> dict[str, Query]:
     q["lifecycle_counts_dormant"] = Query(q["lifecycle_counts"].run, LIFECYCLE_SQL, MAIN.replace(as_of=DAY_FEB_5))
     q["lifecycle_counts_churned"] = Query(q["lifecycle_counts"].run, LIFECYCLE_SQL, MAIN.replace(as_of=DAY_FEB_20))
     q["churn_alerts"] = Query(
-        lambda r, s, d: signals.churn_alerts(_since(r, 1), r.cfg), _churn_sql(ALERT_DAY, 0.5, 2), ALERT_DAY
+        lambda r, s, d: signals.churn_alerts(_since(r, 1), r.cfg), _churn_sql(LONG, 0.5, 2), LONG, LONG_STRETCH
     )
     q["churn_alerts_wide"] = Query(
         lambda r, s, d: signals.churn_alerts(_since(r, 1), r.cfg, drop=0.95), _churn_sql(LONG, 0.95, 2), LONG, LONG_STRETCH
@@ -486,6 +616,7 @@ def _build() -> dict[str, Query]:
         lambda r, s, d: signals.account_trend(_since(r, 37), r.cfg), _trend_sql(LONG, 30), LONG, LONG_STRETCH
     )
     q["user_segments"] = Query(lambda r, s, d: signals.user_segments(r.user_latest), SEGMENTS_SQL)
+    q["user_segments_churned"] = Query(q["user_segments"].run, SEGMENTS_SQL, MAIN.replace(as_of=DAY_FEB_20))
     q["license_utilization"] = Query(lambda r, s, d: signals.license_utilization(r.user_latest), LICENSE_SQL, MAIN.replace(as_of=DAY_FEB_20))
     q["account_playbook"] = Query(
         lambda r, s, d: signals.account_playbook(
@@ -506,7 +637,15 @@ def _build() -> dict[str, Query]:
         lambda r, s, d: signals.events_per_day(r.tracks),
         "SELECT CAST(tm AS DATE) AS event_date, count(*) AS event_count FROM stg GROUP BY ALL",
     )
-    q["quality_report"] = Query(lambda r, s, d: _quality(r), _quality_sql())
+    q["quality_report"] = Query(lambda r, s, d: quality.run_checks(_quality_relations(r)), _quality_sql())
+    q["quality_report_spoiled"] = Query(lambda r, s, d: quality.run_checks(_spoiled(r)), _quality_sql(spoil=True))
+    q["sources_parquet"] = Query(lambda r, s, d: _reread(r, s, "parquet").sessions, SESSION_SQL, WITH_PAGES)
+    q["sources_csv"] = Query(lambda r, s, d: _reread(r, s, "csv").sessions, SESSION_SQL, WITH_PAGES)
+    q["sources_users_groups"] = Query(
+        _enriched,
+        "SELECT 'user' AS kind, user_id AS id, c_name AS name FROM dim_u LEFT JOIN customer ON user_id = 'u' || c_custkey"
+        " UNION ALL SELECT 'account', account_id, n_name FROM dim_a LEFT JOIN nation ON account_id = 'acct_' || n_nationkey",
+    )
     return q
 
 
@@ -523,9 +662,10 @@ def _share(queries: dict[str, Query]) -> dict[str, Query]:
             query.shared = ("lookup", "daily", "user_days")
         elif key.startswith("sessions_incremental"):
             query.shared = ("lookup", "sessions")
-    queries["sessions_upsert_table"].shared = ("events",)
-    for key in ("account_playbook", "quality_report"):
-        queries[key].shared = ("lookup", "daily", "sessions", "user_days")
+    for key in ("sessions_upsert_table", "sessions_upsert_repeated", "sessions_upsert_stream", "sessions_recent"):
+        queries[key].shared = ("events", "sessions")
+    for key in ("account_playbook", "quality_report", "quality_report_spoiled"):
+        queries[key].shared = ("lookup", "tracks", "daily", "sessions", "user_days")
     return queries
 
 

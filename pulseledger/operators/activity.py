@@ -1,8 +1,8 @@
 """Roll-ups of staged events: the grain that every metric relation reads.
 
 ``daily``: (account, user, day, event name) with count and first/last time.
-``minutes``: (user, clock minute) with count, first/last time and the account
-of the first event; enough to sessionize exactly, see ``sessions``.
+``minutes``: (user, clock minute, account) with count and first/last time;
+enough to sessionize exactly, see ``sessions``.
 
 Both combine on the map side, so a key holding a large share of the rows
 leaves each task as one row per group.
@@ -64,19 +64,12 @@ def stitched_daily(tracks: DataFrame, lookup: DataFrame | None, cfg: Config) ->
 
 
 def _minutes(rows: DataFrame) -> DataFrame:
-    """Merge to one row per (user, minute), with the account seen first.
+    """Merge to one row per (user, minute, account).
 
-    The account has to ride along as a buffer, so this aggregate sorts on the
-    map side; the alternative, grouping by account first, would shuffle
-    nearly the whole input a second time.
+    With the account among the keys all buffers are fixed-width, so this
+    hashes; sessions merge the overlapping spans of several accounts.
     """
-    return aggregate(
-        rows,
-        ["user_id", "minute"],
-        "sum(n_events) AS n_events",
-        "min(struct(first_at, account_id)) AS first_event",
-        "max(last_at) AS last_at",
-    ).selectExpr("user_id", "minute", "n_events", "first_event.first_at", "last_at", "first_event.account_id")
+    return _merge(rows, "user_id", "minute", "account_id")
 
 
 def minutes(events: DataFrame) -> DataFrame:

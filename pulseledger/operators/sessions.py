@@ -3,7 +3,8 @@
 A session ends when more than ``timeout`` minute boundaries lie between two
 events of a user. Events within one clock minute can never be separated, so
 the minute roll-up loses nothing, and it bounds a user's window partition by
-the minutes of the look-back (525,600 a year) however many events there are.
+the minutes of the look-back (525,600 a year, times the accounts used in a
+minute) however many events there are.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ def combine_events(tracks: DataFrame, pages: DataFrame | None = None) -> DataFra
 def _islands(spans: DataFrame, timeout_minutes: int) -> DataFrame:
     """Merge spans (user, first_at, last_at, n_events, account_id) of a user.
 
-    A span is a minute of events or a whole session. Spans may overlap, so
+    A span is the events of an account in a minute, or a whole session. Spans may overlap, so
     the gap is measured from the latest end so far.
     """
     ordered = "PARTITION BY user_id ORDER BY first_at, last_at"
@@ -133,10 +134,32 @@ def sessionize_incremental(previous: DataFrame, new_events: DataFrame, timeout_m
     return apply_changes(previous, changes)
 
 
-def events_since(events: DataFrame, previous: DataFrame) -> DataFrame:
-    """Events after the newest stored session end; all if none is stored.
+def events_since(events: DataFrame, previous: DataFrame, timeout_minutes: int = 30) -> DataFrame:
+    """Events from the newest stored session end less the timeout on; all if
+    none is stored.
 
-    For feeds without a load marker that deliver in time order.
+    The cutoff as the metric definition has it: one for all users, so users who
+    lag behind lose events, and what lies within the timeout comes again.
+    ``sessionize_recent`` has neither fault.
     """
-    newest = previous.selectExpr("max(session_end_at)").scalar()
-    return events.filter(newest.isNull() | (events["event_at"] > newest))
+    newest = previous.selectExpr(f"max(session_end_at) - INTERVAL {timeout_minutes} MINUTES").scalar()
+    return events.filter(newest.isNull() | (events["event_at"] >= newest))
+
+
+def sessionize_recent(previous: DataFrame, events: DataFrame, timeout_minutes: int = 30) -> DataFrame:
+    """Sessions after each user's last stored session was computed again.
+
+    ``events`` may hold any events, counted before or not; those from the start
+    of a user's last stored session on are used, the earlier sessions stay.
+    Equals ``sessionize`` over all events if no event is older than its user's
+    last stored session, however far a user lags behind the others, and
+    running it again changes nothing.
+    """
+    last = aggregate(previous, ["user_id"], "max(struct(user_session_index AS last_index, session_start_at AS last_start_at)) AS last")
+    last = last.selectExpr("user_id AS known_user", "last.*")
+    recent = events.join(last, F.expr("user_id <=> known_user"), "left").filter(
+        "last_start_at IS NULL OR event_at >= last_start_at"
+    )
+    islands = _islands(activity.minutes(recent.select("user_id", "account_id", "event_at")), timeout_minutes)
+    again = islands.join(last, F.expr("user_id <=> known_user"), "left")
+    return apply_changes(previous, _finish(again, "user_session_index + coalesce(last_index, 0L)"))

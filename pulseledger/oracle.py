@@ -37,25 +37,36 @@ def _day(day: date) -> str:
 
 
 def raw(cfg: Config, stretch: int) -> list[str]:
-    tm = "ts" if stretch == 1 else f"make_timestamp(epoch_us(TIMESTAMP '2024-01-01') + (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) * {stretch})"
+    day_zero = "TIMESTAMP '2024-01-01'"
+
+    def time(shift: str = "0") -> str:
+        return (
+            f"make_timestamp(epoch_us({day_zero}) + (epoch_us(ts) - epoch_us({day_zero})"
+            f" - moved * 86400000000 + CAST({shift} AS BIGINT) * 60000000) * {stretch})"
+        )
+
     return [
         f"""ev AS (
-          SELECT event_id AS e, user_id AS u, event_type AS event, {tm} AS tm,
+          SELECT event_id AS e, user_id AS u,
+                 CASE WHEN event_type = 'click' AND event_id % 10 = 7 AND ts >= TIMESTAMP '2024-01-27' THEN 'share' ELSE event_type END AS event,
+                 {time()} AS tm, {time("CASE WHEN event_id % 2 = 0 THEN 40 ELSE 0 END")} AS page_tm,
                  event_type = 'view' AND event_id % 3 = 0 AS is_anon
-          FROM events
-          WHERE NOT (user_id % 7 = 3 AND ts >= TIMESTAMP '2024-01-12')
-            AND NOT (user_id % 20 IN (13, 14) AND ts >= TIMESTAMP '2024-01-20'))""",
+          FROM (SELECT *, CASE WHEN user_id % 7 = 3 THEN 11 * CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 11) AS BIGINT)
+                  WHEN user_id % 20 IN (13, 14) THEN 19 * CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 19) AS BIGINT)
+                  WHEN user_id % 20 = 7 AND ts >= TIMESTAMP '2024-01-24' AND ts < TIMESTAMP '2024-01-29 08:00:00' THEN 11
+                  ELSE 0 END AS moved FROM events))""",
         """raw_tracks AS (
-          SELECT 't' || e AS id, e, event, tm,
+          SELECT 't' || e AS id, e, event, tm, page_tm,
                  CASE WHEN NOT is_anon THEN 'u' || u END AS user_id,
                  CASE WHEN event = 'view' AND e % 30 = 0 THEN 'anon_x' || e
                       ELSE 'anon_' || CAST(floor(u / 2) AS BIGINT) END AS anon,
-                 CASE WHEN is_anon OR e % 5 = 0 THEN NULL
+                 CASE WHEN event = 'view' AND e % 60 = 0 THEN 'acct_' || (u % 20)
+                      WHEN is_anon OR e % 5 = 0 THEN NULL
                       WHEN e % 50 = 1 THEN 'acct_' || ((u + 1) % 20)
                       ELSE 'acct_' || (u % 20) END AS account_id
           FROM ev)""",
         """raw_pages AS (
-          SELECT 'p' || t.e AS id, t.event AS name, t.tm, t.user_id, t.anon, t.account_id, p.url
+          SELECT 'p' || t.e AS id, t.event AS name, t.page_tm AS tm, t.user_id, t.anon, t.account_id, p.url
           FROM raw_tracks t LEFT JOIN pages p ON p.page_id = t.e % (SELECT count(*) FROM pages)
           WHERE t.event = 'view')""",
         """raw_identifies AS (
@@ -230,13 +241,12 @@ def account(cfg: Config) -> list[str]:
                  {_flag('mau > 0 AND wau = 0')} AS is_dormant_risk,
                  {', '.join(f'{n}_trend_{k}d' for n in ('dau', 'wau', 'mau') for k in TREND_SPANS)}
           FROM acct1)""",
+        # The segment rules and score weights of the metric definition.
         """acct AS (
-          SELECT *, CASE WHEN wau = 0 AND mau > 0 THEN 'Critical - Dormant'
+          SELECT *, CASE WHEN mau > 0 AND wau = 0 THEN 'Critical - Dormant'
                          WHEN volume_change_ratio_7d < 0.5 THEN 'Critical - Usage Drop'
-                         WHEN user_stickiness_ratio < 0.2 THEN 'At-Risk'
-                         WHEN volume_change_ratio_7d < 0.9 THEN 'At-Risk'
-                         WHEN user_stickiness_ratio >= 0.4 THEN 'Healthy'
-                         WHEN volume_change_ratio_7d > 1.1 THEN 'Healthy'
+                         WHEN user_stickiness_ratio < 0.2 OR volume_change_ratio_7d < 0.9 THEN 'At-Risk'
+                         WHEN user_stickiness_ratio >= 0.4 OR volume_change_ratio_7d > 1.1 THEN 'Healthy'
                          ELSE 'Stable' END AS health_segment,
                  round(CAST(least(100.0, 40 * user_stickiness_ratio + 40 * least(volume_change_ratio_7d, 1.5)
                        + 4 * least(active_days_7d, 5)) AS DOUBLE), 6) AS health_score

@@ -16,33 +16,42 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions import instant
 
 DAY_ZERO = datetime(2024, 1, 1)
-CHURN_FROM = datetime(2024, 1, 12)
-DORMANT_FROM = datetime(2024, 1, 20)
 
-_KEPT = f"""NOT (user_id % 7 = 3 AND CAST(ts AS TIMESTAMP) >= {instant(CHURN_FROM)})
-    AND NOT (user_id % 20 IN (13, 14) AND CAST(ts AS TIMESTAMP) >= {instant(DORMANT_FROM)})"""
 _ANONYMOUS = "(event_type = 'view' AND event_id % 3 = 0)"
+_TS = "CAST(ts AS TIMESTAMP)"
 
 
-def _time(stretch: int) -> str:
-    if stretch == 1:
-        return "CAST(ts AS TIMESTAMP)"
+def _day(day: int, hour: int = 0) -> str:
+    return f"(unix_micros({_TS}) >= unix_micros({instant(DAY_ZERO)}) + {(day * 24 + hour) * 3_600_000_000}L)"
+
+
+# Times are moved, no event is dropped. Churned users: everything within the
+# first 11 days. Dormant accounts: within the first 19. Returning users: nothing in
+# the days before the last morning of January.
+_MOVED_DAYS = f"""CASE WHEN user_id % 7 = 3 THEN 11 * CAST(floor(datediff({_TS}, {instant(DAY_ZERO)}) / 11) AS INT)
+    WHEN user_id % 20 IN (13, 14) THEN 19 * CAST(floor(datediff({_TS}, {instant(DAY_ZERO)}) / 19) AS INT)
+    WHEN user_id % 20 = 7 AND {_day(23)} AND NOT {_day(28, 8)} THEN 11 ELSE 0 END"""
+
+
+def _time(stretch: int, shift_minutes: str = "0") -> str:
     origin = f"unix_micros({instant(DAY_ZERO)})"
-    return f"timestamp_micros({origin} + (unix_micros(CAST(ts AS TIMESTAMP)) - {origin}) * {stretch})"
+    since = f"(unix_micros({_TS}) - {origin} - ({_MOVED_DAYS}) * 86400000000L + ({shift_minutes}) * 60000000L)"
+    return f"timestamp_micros({origin} + {since} * {stretch})"
 
 
-def derive_tracks(events: DataFrame, stretch: int = 1, prefix: str = "t") -> DataFrame:
+def derive_tracks(events: DataFrame, stretch: int = 1, prefix: str = "t", shift_minutes: str = "0") -> DataFrame:
     """Tracks from event rows; works on a stream as well."""
-    return events.filter(_KEPT).selectExpr(
+    return events.selectExpr(
         f"concat('{prefix}', event_id) AS id",
         f"IF({_ANONYMOUS}, NULL, concat('u', user_id)) AS user_id",
         "IF(event_type = 'view' AND event_id % 30 = 0, concat('anon_x', event_id),"
         " concat('anon_', CAST(floor(user_id / 2) AS BIGINT))) AS anonymous_id",
-        f"CASE WHEN {_ANONYMOUS} OR event_id % 5 = 0 THEN NULL"
+        "CASE WHEN event_type = 'view' AND event_id % 60 = 0 THEN concat('acct_', user_id % 20)"
+        f" WHEN {_ANONYMOUS} OR event_id % 5 = 0 THEN NULL"
         " WHEN event_id % 50 = 1 THEN concat('acct_', (user_id + 1) % 20)"
         " ELSE concat('acct_', user_id % 20) END AS context_group_id",
-        "event_type AS event",
-        f"{_time(stretch)} AS timestamp",
+        f"IF(event_type = 'click' AND event_id % 10 = 7 AND {_day(26)}, 'share', event_type) AS event",
+        f"{_time(stretch, shift_minutes)} AS timestamp",
         "event_id AS event_number",
     )
 
@@ -71,7 +80,8 @@ class TestTables:
     @cached_property
     def pages(self) -> DataFrame:
         urls = self._table("pages").selectExpr("page_id", "url")
-        views = derive_tracks(self._events, self.stretch, prefix="p").filter("event = 'view'")
+        # Every second page view is 40 minutes later than its track.
+        views = derive_tracks(self._events, self.stretch, "p", "IF(event_id % 2 = 0, 40, 0)").filter("event = 'view'")
         numbered = views.withColumn("page_id", views["event_number"] % urls.selectExpr("count(*)").scalar())
         return numbered.join(urls, "page_id", "left").selectExpr(
             "id", "user_id", "anonymous_id", "context_group_id", "event AS name", "timestamp", "url AS properties_url"

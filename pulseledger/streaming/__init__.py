@@ -1,8 +1,9 @@
-from .metrics import daily_counts, deduplicate, sliding_actives
+from .metrics import approx_sliding_actives, daily_counts, deduplicate, sliding_actives
 from .sessions import emit_sessions, streaming_sessions, upsert_sessions_stream
 from .sources import read_stream
 
 __all__ = [
+    "approx_sliding_actives",
     "daily_counts",
     "deduplicate",
     "emit_sessions",

@@ -50,7 +50,7 @@ def test_daily_counts(spark, tmp_path):
 
 
 def test_sliding_actives(spark, tmp_path):
-    got = drain(streaming.sliding_actives(arriving(spark, tmp_path), 7), tmp_path, "actives")
+    got = drain(streaming.approx_sliding_actives(arriving(spark, tmp_path), 7), tmp_path, "actives")
     assert tuples(got.filter("metric_date = DATE'2024-01-01'"), "approx_users", "approx_accounts") == [(2, 2)]
 
 
