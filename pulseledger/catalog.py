@@ -289,8 +289,9 @@ def _reread(r: Relations, spark: SparkSession, kind: str) -> Relations:
         places[name] = f"{scratch_path(spark, name)}.{kind}"
         raw = getattr(r.inputs, name)
         if kind == "csv":
-            # CSV seeds hold whole seconds, which the format of timestamps says.
-            raw.write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(places[name])
+            # CSV seeds hold whole seconds.
+            raw = raw.withColumn("timestamp", F.date_trunc("second", "timestamp"))
+            raw.write.option("header", True).option("timestampFormat", readers.TIMESTAMP_FORMAT).csv(places[name])
         else:
             raw.write.parquet(places[name])
     cfg = r.cfg.replace(sources=places)
@@ -640,7 +641,9 @@ def _build() -> dict[str, Query]:
     q["quality_report"] = Query(lambda r, s, d: quality.run_checks(_quality_relations(r)), _quality_sql())
     q["quality_report_spoiled"] = Query(lambda r, s, d: quality.run_checks(_spoiled(r)), _quality_sql(spoil=True))
     q["sources_parquet"] = Query(lambda r, s, d: _reread(r, s, "parquet").sessions, SESSION_SQL, WITH_PAGES)
-    q["sources_csv"] = Query(lambda r, s, d: _reread(r, s, "csv").sessions, SESSION_SQL, WITH_PAGES)
+    q["sources_csv"] = Query(
+        lambda r, s, d: _reread(r, s, "csv").tracks, STG_SQL.replace("tm AS event_at", "date_trunc('second', tm) AS event_at")
+    )
     q["sources_users_groups"] = Query(
         _enriched,
         "SELECT 'user' AS kind, user_id AS id, c_name AS name FROM dim_u LEFT JOIN customer ON user_id = 'u' || c_custkey"
