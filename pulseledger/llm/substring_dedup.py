@@ -17,15 +17,14 @@ units. Words are lower-cased (A-Z). Units of one document can repeat each other.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _grown, byte_texts, map_batches, materialize, mix64, shingle_hashes, word_bounds, word_hashes
+from .common import _grown, byte_texts, map_batches, materialize, mix64, word_bounds, word_hashes
 from .jaccard_join import BROADCAST_IDS, _rows, linked_sets
+from .suffix_dedup import _sliding_min
 
 MIN_WORDS = 25
 WORDS, PERCENT = 5, 80
@@ -35,13 +34,15 @@ _LINE = "id long, text_hash long, start int, stop int, n int, d1 long, d2 long,
 _WINDOW = "id long, text_hash long, start int, stop int, d1 long, d2 long"
 
 
-def _bands(shingles: np.ndarray) -> np.ndarray:
-    """One 64-bit value per band."""
-    low = (shingles[None, :] * _FACTORS[:, None]).min(axis=1).reshape(BANDS, ROWS)
-    out = np.arange(BANDS, dtype=np.uint64)
+def _bands(shingles: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """One 64-bit value per band and set, as (sets, bands); the sets lie one
+    after the other and begin at ``starts``."""
+    starts = np.zeros(1, np.int64) if starts is None else starts
+    low = np.stack([np.minimum.reduceat(shingles * f, starts) for f in _FACTORS])
+    out = np.repeat(np.arange(BANDS, dtype=np.uint64)[:, None], len(starts), axis=1)
     for k in range(ROWS):
-        out = mix64(out * np.uint64(0xD6E8FEB86659FD93) + low[:, k])
-    return out.view(np.int64)
+        out = mix64(out * np.uint64(0xD6E8FEB86659FD93) + low[k::ROWS])
+    return out.view(np.int64).T
 
 
 def _sequence_hashes(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
@@ -52,45 +53,67 @@ def _sequence_hashes(words: np.ndarray, starts: np.ndarray, size: int) -> np.nda
     return mix64((sums[starts + size] - sums[starts]) * inverses[starts])
 
 
-def _anchors(hashes: np.ndarray, reach: int) -> np.ndarray:
-    """Places of the smallest of each ``reach`` consecutive hashes."""
-    view = np.lib.stride_tricks.sliding_window_view(hashes, reach)
-    return np.unique(view.argmin(axis=1) + np.arange(len(view)))
-
-
-def units(text: bytes) -> tuple[list[tuple], list[tuple]]:
-    """Lines as (start, stop, n, d1, d2, bands), windows as (start, stop, d1, d2)."""
+def _long_lines(text: bytes, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Word starts, stops and hashes of a text, and its lines of ``least`` words
+    or more as ranges of words."""
     lower = text.lower()
     starts, stops = word_bounds(lower)
-    if len(starts) < MIN_WORDS:
-        return [], []
-    words = word_hashes(lower)
+    if len(starts) < least:
+        return starts, stops, starts, []
     feeds = np.flatnonzero(np.frombuffer(lower, np.uint8) == 10)
     edges = np.searchsorted(starts, np.concatenate([[0], feeds, [len(text)]]))
-    lines, windows = [], []
-    for first, last in zip(edges[:-1], edges[1:], strict=True):
-        if last - first < MIN_WORDS:
-            continue
-        own = words[first:last]
-        shingles = shingle_hashes(own, WORDS)
-        digest = np.frombuffer(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), np.int64)
-        lines.append((starts[first], stops[last - 1], len(shingles), digest[0], digest[1], _bands(shingles)))
-        if last - first < 2 * MIN_WORDS:
-            continue
-        # A window from each anchor that has enough words after it.
-        chosen = _anchors(own[: last - first - MIN_WORDS + 1], MIN_WORDS)
-        d1 = _sequence_hashes(own, chosen, MIN_WORDS)
-        d2 = _sequence_hashes(mix64(own ^ np.uint64(0xA0761D6478BD642F)), chosen, MIN_WORDS)
-        at = first + chosen
-        windows += zip(starts[at], stops[at + MIN_WORDS - 1], d1.view(np.int64), d2.view(np.int64), strict=True)
-    return lines, windows
-
-
-def _line_units(rows: DataFrame) -> DataFrame:
+    long_ = np.flatnonzero(np.diff(edges) >= least)
+    if not len(long_):
+        return starts, stops, starts, []
+    return starts, stops, word_hashes(lower), list(zip(edges[long_].tolist(), edges[long_ + 1].tolist(), strict=True))
+
+
+def line_units(text: bytes) -> list[tuple]:
+    """Lines as (start, stop, n, d1, d2, bands); d1 and d2 are sums over the
+    line's distinct shingles, so that equal sets have equal digests."""
+    starts, stops, words, lines = _long_lines(text, MIN_WORDS)
+    if not lines:
+        return []
+    first, last = np.array(lines).T
+    shingles = np.zeros(len(words) - WORDS + 1, np.uint64)
+    for k in range(WORDS):
+        shingles = mix64(shingles * np.uint64(0xD6E8FEB86659FD93) + words[k : k + len(shingles)])
+    counts = last - first - WORDS + 1
+    line = np.repeat(np.arange(len(lines)), counts)
+    begins = np.cumsum(counts) - counts
+    own = shingles[np.arange(len(line)) - begins[line] + first[line]]
+    order = np.lexsort((own, line))
+    own, line = own[order], line[order]
+    distinct = np.append(True, (own[1:] != own[:-1]) | (line[1:] != line[:-1]))
+    own, line = own[distinct], line[distinct]
+    begins = np.searchsorted(line, np.arange(len(lines)))
+    sizes = np.diff(np.append(begins, len(line)))
+    d1, d2 = (np.add.reduceat(mix64(own ^ np.uint64(c)), begins).view(np.int64) for c in (0x1D8E4E27C47D124F, 0xEB44ACCAB455D165))
+    columns = (starts[first], stops[last - 1], sizes, d1, d2)
+    return list(zip(*(c.tolist() for c in columns), _bands(own, begins).tolist(), strict=True))
+
+
+def window_units(text: bytes) -> tuple[np.ndarray, ...]:
+    """Windows of the lines of at least twice their size: start, stop, d1, d2."""
+    starts, stops, words, lines = _long_lines(text, 2 * MIN_WORDS)
+    if not lines:
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    # The smallest hash of each MIN_WORDS neighbours, the leftmost if equal,
+    # where as many words follow in the same line.
+    place = np.uint64((1 << 26) - 1)
+    placed = (words & ~place) | np.arange(len(words), dtype=np.uint64)
+    lowest = (_sliding_min(placed, MIN_WORDS) & place).astype(np.int64)
+    at = np.unique(np.concatenate([lowest[first : last - 2 * MIN_WORDS + 2] for first, last in lines]))
+    d1 = _sequence_hashes(words, at, MIN_WORDS)
+    d2 = _sequence_hashes(mix64(words ^ np.uint64(0xA0761D6478BD642F)), at, MIN_WORDS)
+    return starts[at], stops[at + MIN_WORDS - 1], d1.view(np.int64), d2.view(np.int64)
+
+
+def _line_rows(rows: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {n.split()[0]: [] for n in _LINE.split(", ")}
         for id_, hash_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), byte_texts(batch.column(2)), strict=True):
-            for unit in units(text)[0]:
+            for unit in line_units(text):
                 for name, value in zip(out, (id_, hash_, *unit), strict=True):
                     out[name].append(value)
         return out
@@ -98,14 +121,17 @@ def _line_units(rows: DataFrame) -> DataFrame:
     return map_batches(rows.select("id", "text_hash", "text"), run, _LINE)
 
 
-def _window_units(rows: DataFrame) -> DataFrame:
+def _window_rows(rows: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {n.split()[0]: [] for n in _WINDOW.split(", ")}
+        ids, hashes, parts = [], [], []
         for id_, hash_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), byte_texts(batch.column(2)), strict=True):
-            for unit in units(text)[1]:
-                for name, value in zip(out, (id_, hash_, *unit), strict=True):
-                    out[name].append(value)
-        return out
+            found = window_units(text)
+            ids += [id_] * len(found[0])
+            hashes.append(np.full(len(found[0]), hash_, np.int64))
+            parts.append(found)
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 4
+        text_hash = np.concatenate(hashes) if hashes else np.zeros(0, np.int64)
+        return dict(zip(("id", "text_hash", "start", "stop", "d1", "d2"), (ids, text_hash, *columns), strict=True))
 
     return map_batches(rows.select("id", "text_hash", "text"), run, _WINDOW)
 
@@ -126,14 +152,14 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     removed; ``component`` names its kept unit as (id, text_hash, start)."""
     rows = _rows(docs, id_col, text_col)
     place = "struct(id, text_hash, start)"
-    windows = materialize(_window_units(rows), "windows")
+    windows = materialize(_window_rows(rows), "windows")
     often = windows.groupBy("d1", "d2").count().filter("count > 1").drop("count")
     often = materialize(often, "repeated-windows")
     again = materialize(windows.join(often, ["d1", "d2"]), "window-copies")
     kept = materialize(again.groupBy("d1", "d2").agg(F.expr(f"min({place}) AS component")), "kept-windows")
     windows_out = again.join(kept, ["d1", "d2"]).select("id", "text_hash", "start", "stop", "component")
 
-    lines = materialize(_line_units(rows), "lines")
+    lines = materialize(_line_rows(rows), "lines")
     sets = lines.groupBy("d1", "d2").agg(
         F.first("n").alias("n"), F.first("bands").alias("bands"), F.expr("min(struct(id, text_hash, start, stop)) AS rep"),
         F.count("*").alias("copies"),
