@@ -29,6 +29,15 @@ SESSION_COLUMNS = (
 _FIRST_ACCOUNT = "min_by(account_id, struct(first_at, account_id)) AS account_id"
 
 
+SESSION_DATE = "session_date"
+
+
+def start_day(sessions: DataFrame) -> str:
+    """SQL for the day a session starts: the partition column of a stored
+    table, so that filters on it prune partitions, or taken from the start."""
+    return SESSION_DATE if SESSION_DATE in sessions.columns else "to_date(session_start_at)"
+
+
 def combine_events(tracks: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """Staged tracks, and page views if given, as (user, account, event_at)."""
     events = tracks.select("user_id", "account_id", "event_at")

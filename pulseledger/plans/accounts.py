@@ -18,6 +18,7 @@ from ..functions import (
     safe_ratio,
 )
 from ..operators.rolling import coverage_steps, fill_days, trailing, trend_columns, union_measures
+from ..operators.sessions import start_day
 
 USER_WINDOWS = {"dau": 1, "wau": 7, "mau": 30}
 FEATURE_WINDOWS = {"distinct_features_used_30d": 30}
@@ -39,7 +40,7 @@ def account_spine(accounts: DataFrame, cfg: Config) -> DataFrame:
 def daily_sessions(sessions: DataFrame) -> DataFrame:
     """Sessions and their seconds per account and start day."""
     dated = sessions.filter("account_id IS NOT NULL").selectExpr(
-        "account_id", "to_date(session_start_at) AS session_date", "session_duration_seconds"
+        "account_id", f"{start_day(sessions)} AS session_date", "session_duration_seconds"
     )
     return aggregate(
         dated,

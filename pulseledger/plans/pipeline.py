@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import Config
 from ..operators import activity, identity
 from ..operators.docs import with_docs
-from ..operators.sessions import sessionize_minutes
+from ..operators.sessions import SESSION_COLUMNS, sessionize_minutes
 from ..session import Share, configure, keep_lazy, materialize
 from ..sources import readers, sinks
 from . import accounts as account_plans
@@ -163,7 +163,7 @@ def build(inputs: Inputs, cfg: Config, out_dir: str) -> dict[str, DataFrame]:
             stored = sinks.write_sessions(with_docs(df), target)
         else:
             stored = sinks.write_table(with_docs(df), target, [partition] if partition else [])
-        return stored.select(*df.columns)
+        return stored if attribute == "sessions" else stored.select(*df.columns)
 
     with ThreadPoolExecutor(max_workers=max(len(step) for step in STEPS)) as pool:
         for step in STEPS:
@@ -175,6 +175,9 @@ def build(inputs: Inputs, cfg: Config, out_dir: str) -> dict[str, DataFrame]:
                 stored = pending[attribute].result()
                 if stored is not None:
                     setattr(relations, attribute, stored)
+                    if attribute == "sessions":
+                        # Readers in the build prune by the start day.
+                        stored = stored.select(*SESSION_COLUMNS)
                     written[table] = sinks.register(stored, table)
     written["stg_segment_tracks"] = sinks.register(relations.tracks, "stg_segment_tracks")
     if inputs.pages is not None:

@@ -10,6 +10,7 @@ from ..config import Config
 from ..functions import aggregate, day_literal, flag, lifecycle_status, safe_ratio
 from ..operators.ranking import rank_descending
 from ..operators.rolling import union_measures
+from ..operators.sessions import start_day
 from ..session import Share, keep_lazy
 
 SNAPSHOT_COLUMNS = (
@@ -32,7 +33,7 @@ def user_daily_activity(daily: DataFrame) -> DataFrame:
 
 def _session_days(sessions: DataFrame) -> DataFrame:
     dated = sessions.filter("user_id IS NOT NULL").selectExpr(
-        "to_date(session_start_at) AS session_date", "user_id", "session_duration_seconds", "events_in_session"
+        f"{start_day(sessions)} AS session_date", "user_id", "session_duration_seconds", "events_in_session"
     )
     return aggregate(
         dated,

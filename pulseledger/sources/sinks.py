@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import aggregate
 from ..operators import activity
-from ..operators.sessions import SESSION_COLUMNS, apply_changes, changed_sessions, sessionize
-
-SESSION_DATE = "session_date"
+from ..operators.sessions import SESSION_COLUMNS, SESSION_DATE, apply_changes, changed_sessions, sessionize
 
 
 def register(df: DataFrame, name: str) -> DataFrame:

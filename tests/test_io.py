@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import date
 from pathlib import Path
 
@@ -9,7 +10,7 @@ from pulseledger import catalog
 from pulseledger.config import Config
 from pulseledger.operators import docs, quality
 from pulseledger.operators.sessions import SESSION_COLUMNS, sessionize
-from pulseledger.plans import pipeline
+from pulseledger.plans import accounts, pipeline
 from pulseledger.session import materialize, shared_dir
 from pulseledger.sources import readers, schemas, sinks, testdata
 
@@ -179,6 +180,42 @@ def test_upsert_recovers_from_an_interrupted_copy(spark, tmp_path):
     assert stored(spark, path) == expected
 
 
+def test_batches_repeat_safely_from_the_first_on(spark, tmp_path):
+    path = str(tmp_path / "sessions")
+    first, second = [("A", "2024-01-01 10:00:00")], [("A", "2024-01-01 10:00:00"), ("B", "2024-01-02 10:00:00")]
+    sinks.upsert_sessions(events(spark, first).limit(0), path, 0)
+    assert sinks.read_sessions(spark, path).count() == 0
+    for _ in range(2):
+        sinks.upsert_sessions(events(spark, first), path, 1)
+    for _ in range(2):
+        sinks.upsert_sessions(events(spark, second), path, 2)
+    expected = tuples(sessionize(events(spark, first + second)).select(*SESSION_COLUMNS))
+    assert stored(spark, path) == expected
+    # A batch whose log was reduced to its marker is done.
+    assert not (tmp_path / "sessions_log" / "batch=1" / "rows").exists()
+    sinks.upsert_sessions(events(spark, first), path, 1)
+    assert stored(spark, path) == expected
+
+
+def test_a_crash_between_log_and_copy_loses_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "sessions")
+    rows = [("A", "2024-01-01 10:00:00"), ("B", "2024-01-02 10:00:00")]
+    with monkeypatch.context() as patched:
+        patched.setattr(sinks, "_copy_days", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sinks.upsert_sessions(events(spark, rows), path, 0)
+    sinks.upsert_sessions(events(spark, rows), path, 0)
+    assert stored(spark, path) == tuples(sessionize(events(spark, rows)).select(*SESSION_COLUMNS))
+
+
+def test_stored_sessions_are_pruned_by_start_day(spark, tmp_path):
+    table = sinks.write_sessions(sessionize(events(spark, [("A", "2024-01-01 10:00:00"), ("A", "2024-01-05 10:00:00")])), str(tmp_path / "s"))
+    recent = accounts.daily_sessions(table).filter("session_date > DATE'2024-01-02'")
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*session_date", plan)
+    assert recent.count() == 1
+
+
 def test_checks(spark):
     df = frame(spark, "id string, n int", [("a", 1), ("a", -1), (None, 2), (None, None)])
     assert quality.check_not_null(df, "id").count() == 2
