@@ -48,6 +48,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | Iterator[di
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             out = fn(batch)
             for columns in [out] if isinstance(out, dict) else out:
                 yield pa.RecordBatch.from_arrays(

@@ -157,7 +157,7 @@ class ExternalSorter:
                 inside = k < lengths[open_]
                 value = np.where(inside, self.text[np.minimum(at, n - 1)].astype(np.int64), beyond)
                 key = (key << width) | value
-            rank = np.lexsort((key, names[open_]))
+            rank = np.lexsort((key, names[open_])) if offset else np.argsort(key)
             group, sorted_key = names[open_][rank], key[rank]
             new_group = np.append(True, group[1:] != group[:-1])
             new = new_group | np.append(True, sorted_key[1:] != sorted_key[:-1])
@@ -196,7 +196,7 @@ class ExternalSorter:
         cuts = np.flatnonzero(np.append(True, symbols[1:] != symbols[:-1])) if len(order) else np.zeros(0, int)
         seeds = {int(symbols[s]): (s, e) for s, e in zip(cuts, np.append(cuts[1:], len(order)), strict=True)}
         alphabet = np.unique(text)
-        number = np.zeros(int(text.max()) + 1, np.int64)
+        number = np.zeros(int(text.max()) + 1, np.uint8 if len(alphabet) <= 256 else np.uint16)
         number[alphabet] = np.arange(len(alphabet))
         # Smallest prefix since the last push for each symbol.
         since = np.full(len(alphabet), self.cap, np.int64)
@@ -211,7 +211,7 @@ class ExternalSorter:
             if not len(where):
                 np.minimum(since, values.min(initial=self.cap), out=since)
                 return
-            targets = number[text[before[where]]]
+            targets = number[text[before[where]]]  # small numbers: the stable sort is a radix sort
             by = np.argsort(targets, kind="stable")
             hit = np.unique(targets)
             missed = np.ones(len(since), bool)
@@ -265,7 +265,7 @@ class ExternalSorter:
         values = np.concatenate([large[1], small[1]])
         kind = np.append(np.zeros(len(large[0]), np.int64), np.ones(len(small[0]), np.int64))
         symbols = self.text[positions]
-        by = np.lexsort((np.arange(len(positions)), kind, symbols))
+        by = np.argsort(2 * symbols.astype(np.uint16) + kind.astype(np.uint16), kind="stable")
         positions, values, kind, symbols = positions[by], values[by], kind[by], symbols[by]
         if len(positions):
             turn = np.append(True, (kind[1:] != kind[:-1]) | (symbols[1:] != symbols[:-1]))
@@ -290,8 +290,9 @@ def _reduced_order(names: np.ndarray) -> np.ndarray:
         following[: max(n - step, 0)] = rank[step:]
         following[ended] = 0
         key = rank * (n + 2) + following
-        order = np.argsort(key, kind="stable")
-        new = np.append(True, key[order[1:]] != key[order[:-1]])
+        order = np.argsort(key)
+        ranked = key[order]
+        new = np.append(True, ranked[1:] != ranked[:-1])
         if int(new.sum()) == groups or step >= n:
             return order
         groups = int(new.sum())

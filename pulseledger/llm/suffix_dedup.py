@@ -67,18 +67,28 @@ def pieces(text: bytes, seed: int = 0, match: int = MATCH, gram: int = GRAM):
         whole = [np.concatenate(columns) for columns in zip(*(p for _, p in parts), strict=True)]
         whole[0] = np.concatenate([p[0] + at for at, p in parts])
         return tuple(whole)
+    return _cut(text, np.zeros(n - match + 1, np.int64), seed, match, gram)[1:]
+
+
+def _cut(data: bytes, owner: np.ndarray, seed: int, match: int, gram: int):
+    """Pieces of the windows of ``data`` as arrays: owner, start, number of
+    windows, key, content hash. ``owner`` has a number per window; windows of
+    different owners are in different pieces, those below 0 in none."""
+    n = len(data)
     powers, inverses = _grown(n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1)) * powers[:n], out=sums[1:])
+    np.cumsum((np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)) * powers[:n], out=sums[1:])
     grams = mix64((sums[gram:] - sums[:-gram]) * inverses[: n - gram + 1] + np.uint64(seed))
     # 40 bits of the hash, then the place: the leftmost of equal hashes wins.
     placed = (grams & ~np.uint64(_PLACE)) | np.arange(len(grams), dtype=np.uint64)
     at = (_sliding_min(placed, match - gram + 1) & np.uint64(_PLACE)).astype(np.int64)
-    starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    starts = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])))
     sizes = np.diff(np.append(starts, len(at)))
+    kept = owner[starts] >= 0
+    starts, sizes = starts[kept], sizes[kept]
     ends = starts + sizes + match - 1
     content = mix64((sums[ends] - sums[starts]) * inverses[starts] + sizes.astype(np.uint64))
-    return starts, sizes, grams[at[starts]], content
+    return owner[starts], starts, sizes, grams[at[starts]], content
 
 
 def _first_pieces(rows: DataFrame) -> DataFrame:
@@ -145,16 +155,23 @@ def _refined(open_: DataFrame, seed: int) -> DataFrame:
     """Pieces cut again by minimizers of another hash within the same key."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {k: [] for k in ("id", "text_hash", "start", "n", "key", "content", "known", "bytes")}
-        columns = [batch.column(i).to_pylist() for i in range(6)]
-        for id_, hash_, start, key, known, data in zip(*columns, strict=True):
-            at, n, keys, content = pieces(data, seed)
-            keys = mix64(keys ^ np.uint64(key & (2**64 - 1)))
-            for a, m, k, c in zip(at.tolist(), n.tolist(), keys.view(np.int64).tolist(), content.view(np.int64).tolist(), strict=True):
-                row = (id_, hash_, start + a, m, k, c, known, data[a : a + m + MATCH - 1])
-                for name, value in zip(out, row, strict=True):
-                    out[name].append(value)
-        return out
+        """All pieces of a batch at once, as one string of bytes."""
+        ids, hashes, start, key, known, parts = (batch.column(i).to_pylist() for i in range(6))
+        lengths = np.array([len(d) for d in parts], np.int64)
+        data = b"".join(parts)
+        # Of each piece the windows that lie within it, then those that do not.
+        number = np.repeat(np.arange(len(parts)), lengths)
+        begins = np.cumsum(lengths) - lengths
+        inside = np.arange(len(data)) - begins[number] <= lengths[number] - MATCH
+        owner = np.where(inside, number, -1)[: len(data) - MATCH + 1]
+        of, at, n, keys, content = _cut(data, owner, seed, MATCH, GRAM)
+        keys = mix64(keys ^ np.array(key, np.int64).view(np.uint64)[of])
+        return {
+            "id": [ids[i] for i in of], "text_hash": np.array(hashes, np.int64)[of],
+            "start": np.array(start, np.int64)[of] + at - begins[of], "n": n, "key": keys.view(np.int64),
+            "content": content.view(np.int64), "known": np.array(known, bool)[of],
+            "bytes": [data[a : a + m + MATCH - 1] for a, m in zip(at.tolist(), n.tolist(), strict=True)],
+        }
 
     rows = open_.select("id", "text_hash", "start", "key", "known", "bytes")
     return materialize(map_batches(rows, run, _PIECE + ", known boolean, bytes binary"), "refined")
