@@ -1,5 +1,6 @@
 """The corpus pipeline, each stage on what the stage before has kept."""
 
+import random
 import re
 from collections import Counter
 
@@ -44,3 +45,33 @@ def test_stages(spark):
     texts = {r.doc_id: r.text for r in far.collect()}
     got = Counter((r.doc_id, tuple(r.ids)) for r in ids.collect())
     assert got == Counter((i, tuple(library.encode(texts[i], add_eos=True))) for i in (r.doc_id for r in mixed.collect()))
+
+
+def test_near_copies_equal_brute_force(spark):
+    """Five words and 0.8: near copies that three words at 0.9 do not link go as well."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(400)}" for _ in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 25):
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), i % 8):
+            copy[at] = f"edit{i}x{at}"
+        rows.append((i, " ".join(copy)))
+    rows += [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(50))) for i in range(25, 30)]
+
+    def shingles(text):
+        found = text.split()
+        return {tuple(found[k : k + 5]) for k in range(len(found) - 4)}
+
+    sets = {i: shingles(t) for i, t in rows}
+    heads = {i: i for i in sets}
+    for _ in sets:
+        for i, x in sets.items():
+            for j, y in sets.items():
+                if 100 * len(x & y) >= 80 * len(x | y):
+                    heads[i] = heads[j] = min(heads[i], heads[j])
+    docs = common.prepare(spark).createDataFrame(rows, "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["jaccard join"]
+    kept = {r.doc_id for r in stage(spark, docs, SF).collect()}
+    assert kept == set(heads.values())
+    assert kept < {r.doc_id for r in jaccard_join.one_per_component(docs).collect()}
