@@ -108,11 +108,11 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with repeated paragraphs or passages, and what goes from each."""
-    spans = substring_dedup.removed_spans(substring_dedup.repeated_units(documents(spark, sf_dir)))
+    """Classes of repeated paragraphs and passages of every document, and what goes from it."""
+    spans = substring_dedup.document_classes(documents(spark, sf_dir))
     removed = "aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)"
     return spans.selectExpr(
-        "id AS doc_id", "n_units AS n_repeated", "CAST(size(spans) AS BIGINT) AS n_spans", f"{removed} AS n_bytes_removed", "spans"
+        "id AS doc_id", "n_units AS n_repeated", "CAST(size(spans) AS BIGINT) AS n_spans", f"{removed} AS n_bytes_removed", "spans", "class_ids"
     )
 
 

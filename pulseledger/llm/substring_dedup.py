@@ -1,22 +1,31 @@
 """Substring de-duplication of paragraphs: MinHash banding, exact check, components.
 
-Units are the lines of at least MIN_WORDS words and, so that a passage inside a
-longer line is found as well, windows of MIN_WORDS words of lines twice as long.
+Units are paragraphs, and windows of MIN_WORDS words of the whole word sequence of a
+document, whatever its line feeds. A paragraph is a line of at least MIN_WORDS
+words, or shorter lines that follow each other: they are gathered until they have
+as many words and the last word's hash is even, so that equal lines fall in step
+again after a difference; what is left over goes to the paragraph before it.
 Windows start at words chosen by their content (the smallest hash among
 MIN_WORDS neighbours), so any 2 * MIN_WORDS equal words contain the same window.
 
-Lines are compared as sets of 5-word shingles. MinHash values in BANDS bands of
-ROWS make lines of similarity 0.8 collide with probability 0.998; colliding lines
+Paragraphs are compared as sets of 5-word shingles. MinHash values in BANDS bands of
+ROWS make sets of similarity 0.8 collide with probability 0.998; colliding ones
 are verified by exact Jaccard similarity, and links are gathered in components.
-Windows link if their words are equal. In each component the first unit (by id,
+Windows link if their words are equal. A common run that holds a repeated window
+goes on for less than MIN_WORDS words before its first and after its last one; so all
+windows that begin less than MIN_WORDS words from a repeated one are compared as
+well, which covers the run to its ends. In each component the first unit (by id,
 then place) stays, and the spans of the others are removed.
 
-Defined cases: a null text is empty; texts without a long enough line have no
-units. Words are lower-cased (A-Z). Units of one document can repeat each other.
+Defined cases: a null text is empty; short lines between longer ones with less than
+MIN_WORDS words together are no paragraph, only part of windows. Words are
+lower-cased (A-Z). Units of one document can repeat each other.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,25 +62,44 @@ def _sequence_hashes(words: np.ndarray, starts: np.ndarray, size: int) -> np.nda
     return mix64((sums[starts + size] - sums[starts]) * inverses[starts])
 
 
-def _long_lines(text: bytes, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
-    """Word starts, stops and hashes of a text, and its lines of ``least`` words
-    or more as ranges of words."""
+def _paragraphs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Word starts, stops and hashes of a text, and its paragraphs as ranges of words."""
     lower = text.lower()
     starts, stops = word_bounds(lower)
-    if len(starts) < least:
+    if len(starts) < MIN_WORDS:
         return starts, stops, starts, []
+    words = word_hashes(lower)
     feeds = np.flatnonzero(np.frombuffer(lower, np.uint8) == 10)
-    edges = np.searchsorted(starts, np.concatenate([[0], feeds, [len(text)]]))
-    long_ = np.flatnonzero(np.diff(edges) >= least)
-    if not len(long_):
-        return starts, stops, starts, []
-    return starts, stops, word_hashes(lower), list(zip(edges[long_].tolist(), edges[long_ + 1].tolist(), strict=True))
+    edges = np.unique(np.searchsorted(starts, np.concatenate([[0], feeds, [len(text)]])))
+    even = (words[edges[1:] - 1] & np.uint64(1) == 0).tolist()
+    edges = edges.tolist()
+    found: list[tuple[int, int]] = []
+    first = grown = None  # begin of the open paragraph; whether the last one is of the same run
+
+    def close(end: int) -> None:
+        if first is not None and end - first >= MIN_WORDS:
+            found.append((first, end))
+        elif first is not None and grown:
+            found[-1] = (found[-1][0], end)
+
+    for begin, end, ends in zip(edges, edges[1:], even, strict=False):
+        if end - begin >= MIN_WORDS:
+            close(begin)
+            found.append((begin, end))
+            first = grown = None
+            continue
+        first = begin if first is None else first
+        if ends and end - first >= MIN_WORDS:
+            found.append((first, end))
+            first, grown = None, True
+    close(edges[-1])
+    return starts, stops, words, found
 
 
 def line_units(text: bytes) -> list[tuple]:
-    """Lines as (start, stop, n, d1, d2, bands); d1 and d2 are sums over the
-    line's distinct shingles, so that equal sets have equal digests."""
-    starts, stops, words, lines = _long_lines(text, MIN_WORDS)
+    """Paragraphs as (start, stop, n, d1, d2, bands); d1 and d2 are sums over the
+    distinct shingles, so that equal sets have equal digests."""
+    starts, stops, words, lines = _paragraphs(text)
     if not lines:
         return []
     first, last = np.array(lines).T
@@ -93,20 +121,39 @@ def line_units(text: bytes) -> list[tuple]:
     return list(zip(*(c.tolist() for c in columns), _bands(own, begins).tolist(), strict=True))
 
 
+def _windows(starts: np.ndarray, stops: np.ndarray, words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """start, stop, d1, d2 of the windows that begin at the given words."""
+    d1 = _sequence_hashes(words, at, MIN_WORDS)
+    d2 = _sequence_hashes(mix64(words ^ np.uint64(0xA0761D6478BD642F)), at, MIN_WORDS)
+    return starts[at], stops[at + MIN_WORDS - 1], d1.view(np.int64), d2.view(np.int64)
+
+
 def window_units(text: bytes) -> tuple[np.ndarray, ...]:
-    """Windows of the lines of at least twice their size: start, stop, d1, d2."""
-    starts, stops, words, lines = _long_lines(text, 2 * MIN_WORDS)
-    if not lines:
+    """Windows of a text of at least twice their size: start, stop, d1, d2."""
+    lower = text.lower()
+    starts, stops = word_bounds(lower)
+    if len(starts) < 2 * MIN_WORDS:
         return tuple(np.zeros(0, np.int64) for _ in range(4))
+    words = word_hashes(lower)
     # The smallest hash of each MIN_WORDS neighbours, the leftmost if equal,
-    # where as many words follow in the same line.
+    # where as many words follow.
     place = np.uint64((1 << 26) - 1)
     placed = (words & ~place) | np.arange(len(words), dtype=np.uint64)
     lowest = (_sliding_min(placed, MIN_WORDS) & place).astype(np.int64)
-    at = np.unique(np.concatenate([lowest[first : last - 2 * MIN_WORDS + 2] for first, last in lines]))
-    d1 = _sequence_hashes(words, at, MIN_WORDS)
-    d2 = _sequence_hashes(mix64(words ^ np.uint64(0xA0761D6478BD642F)), at, MIN_WORDS)
-    return starts[at], stops[at + MIN_WORDS - 1], d1.view(np.int64), d2.view(np.int64)
+    return _windows(starts, stops, words, np.unique(lowest[: len(words) - 2 * MIN_WORDS + 2]))
+
+
+def near_windows(text: bytes, begins: list[int]) -> tuple[np.ndarray, ...]:
+    """All windows that begin less than MIN_WORDS words from those at the bytes
+    ``begins``: start, stop, d1, d2, and whether it is one of those."""
+    lower = text.lower()
+    starts, stops = word_bounds(lower)
+    own = np.searchsorted(starts, np.array(begins))
+    steps = np.zeros(len(starts) + 1, np.int64)
+    np.add.at(steps, np.maximum(own - MIN_WORDS + 1, 0), 1)
+    np.add.at(steps, np.minimum(own + MIN_WORDS, len(starts)), -1)
+    at = np.flatnonzero(np.cumsum(steps)[: len(starts) - MIN_WORDS + 1])
+    return *_windows(starts, stops, word_hashes(lower), at), np.isin(at, own)
 
 
 def _line_rows(rows: DataFrame) -> DataFrame:
@@ -136,6 +183,24 @@ def _window_rows(rows: DataFrame) -> DataFrame:
     return map_batches(rows.select("id", "text_hash", "text"), run, _WINDOW)
 
 
+def _near_rows(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """Windows near the given ones, with ``unit`` true for the given ones."""
+    begins = places.groupBy("id", "text_hash").agg(F.collect_set("start").alias("begins")).toDF("b_id", "b_hash", "begins")
+    side = F.broadcast(begins) if places.count() <= BROADCAST_IDS else begins
+    texts = rows.join(side, F.expr("id <=> b_id AND text_hash = b_hash")).select("id", "text_hash", "text", "begins")
+
+    def run(batch: pa.RecordBatch) -> Iterator[dict]:
+        columns = [batch.column(i).to_pylist() for i in (0, 1, 3)]
+        for id_, hash_, begins, text in zip(*columns, byte_texts(batch.column(2)), strict=True):
+            start, stop, d1, d2, unit = near_windows(text, begins)
+            yield {
+                "id": [id_] * len(start), "text_hash": np.full(len(start), hash_, np.int64), "start": start, "stop": stop,
+                "d1": d1, "d2": d2, "unit": unit,
+            }
+
+    return map_batches(texts, run, f"{_WINDOW}, unit boolean")
+
+
 def _unit_texts(rows: DataFrame, sets: DataFrame, sids: DataFrame) -> DataFrame:
     """(sid, text) of the given distinct lines."""
     chosen = materialize(sets.join(sids, "sid", "left_semi").selectExpr("sid", "rep.*"), "unit-places")
@@ -148,16 +213,19 @@ def _unit_texts(rows: DataFrame, sets: DataFrame, sids: DataFrame) -> DataFrame:
 
 
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Units that repeat: id, text_hash, start, stop (bytes), component,
-    removed; ``component`` names its kept unit as (id, text_hash, start)."""
+    """Units that repeat: id, text_hash, start, stop (bytes), component, unit,
+    class_id, removed; ``component`` names its kept unit as (id, text_hash, start).
+    Rows with ``unit`` false are windows that only extend a repeat to its ends."""
     rows = _rows(docs, id_col, text_col)
     place = "struct(id, text_hash, start)"
     windows = materialize(_window_rows(rows), "windows")
     often = windows.groupBy("d1", "d2").count().filter("count > 1").drop("count")
     often = materialize(often, "repeated-windows")
-    again = materialize(windows.join(often, ["d1", "d2"]), "window-copies")
-    kept = materialize(again.groupBy("d1", "d2").agg(F.expr(f"min({place}) AS component")), "kept-windows")
-    windows_out = again.join(kept, ["d1", "d2"]).select("id", "text_hash", "start", "stop", "component")
+    again = materialize(windows.join(often, ["d1", "d2"], "left_semi").select("id", "text_hash", "start").distinct(), "window-copies")
+    near = materialize(_near_rows(rows, again), "near-windows")
+    kept = near.groupBy("d1", "d2").agg(F.count("*").alias("copies"), F.expr(f"min({place}) AS component"))
+    kept = materialize(kept.filter("copies > 1").drop("copies"), "kept-windows")
+    windows_out = near.join(kept, ["d1", "d2"]).selectExpr("id", "text_hash", "start", "stop", "component", "unit", "'w' AS kind")
 
     lines = materialize(_line_rows(rows), "lines")
     sets = lines.groupBy("d1", "d2").agg(
@@ -173,25 +241,42 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = materialize(named, "named-lines")
     classes = named.groupBy("label").agg(F.sum("copies").alias("size"), F.min("first_place").alias("component"))
     answer = materialize(named.join(classes.filter("size > 1"), "label").select("d1", "d2", "component"), "line-classes")
-    lines_out = lines.drop("n", "bands").join(answer, ["d1", "d2"]).select("id", "text_hash", "start", "stop", "component")
-    return lines_out.unionByName(windows_out).withColumn(
-        "removed", F.expr("NOT (id <=> component.id AND text_hash = component.text_hash AND start = component.start)")
+    lines_out = lines.drop("n", "bands").join(answer, ["d1", "d2"]).selectExpr(
+        "id", "text_hash", "start", "stop", "component", "true AS unit", "'p' AS kind"
     )
+    class_id = "concat(kind, coalesce(component.id, 'null'), ':', hex(component.text_hash), ':', component.start)"
+    removed = "NOT (id <=> component.id AND text_hash = component.text_hash AND start = component.start)"
+    return lines_out.unionByName(windows_out).withColumns({"class_id": F.expr(class_id), "removed": F.expr(removed)}).drop("kind")
 
 
 def removed_spans(repeated: DataFrame) -> DataFrame:
-    """(id, text_hash, n_units, spans) per document with repeated units; spans
-    are (start, stop) of bytes to remove, merged and in order."""
+    """(id, text_hash, n_units, class_ids, spans) per document with repeated
+    units; spans are (start, stop) of bytes to remove, merged and in order."""
     merge = """aggregate(array_sort(collect_set(IF(removed, struct(start, stop), NULL))), CAST(array() AS ARRAY<STRUCT<start: INT, stop: INT>>),
       (done, s) -> IF(size(done) > 0 AND element_at(done, -1).stop >= s.start,
         concat(slice(done, 1, size(done) - 1), array(named_struct('start', element_at(done, -1).start, 'stop', greatest(element_at(done, -1).stop, s.stop)))),
         concat(done, array(s))))"""
-    return repeated.groupBy("id", "text_hash").agg(F.expr("count(DISTINCT start, stop) AS n_units"), F.expr(f"{merge} AS spans"))
+    return repeated.groupBy("id", "text_hash").agg(
+        F.expr("CAST(size(collect_set(IF(unit, struct(start, stop), NULL))) AS BIGINT) AS n_units"),
+        F.expr("array_sort(collect_set(IF(unit, class_id, NULL))) AS class_ids"),
+        F.expr(f"{merge} AS spans"),
+    )
+
+
+def document_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_units, class_ids, spans) of every row, with empty arrays where nothing repeats."""
+    spans = materialize(removed_spans(repeated_units(docs, id_col, text_col)), "spans").toDF("s_id", "s_hash", "n_units", "class_ids", "spans")
+    joined = _rows(docs, id_col, text_col).drop("text").join(spans, F.expr("id <=> s_id AND text_hash = s_hash"), "left")
+    none = "CAST(array() AS ARRAY<STRUCT<start: INT, stop: INT>>)"
+    return joined.selectExpr(
+        "id", "coalesce(n_units, 0L) AS n_units", "coalesce(class_ids, CAST(array() AS ARRAY<STRING>)) AS class_ids",
+        f"coalesce(spans, {none}) AS spans",
+    )
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text) of every row, without the spans to remove."""
-    spans = materialize(removed_spans(repeated_units(docs, id_col, text_col)), "spans").toDF("s_id", "s_hash", "n_units", "spans")
+    spans = materialize(removed_spans(repeated_units(docs, id_col, text_col)), "spans").toDF("s_id", "s_hash", "n_units", "class_ids", "spans")
     joined = _rows(docs, id_col, text_col).join(spans, F.expr("id <=> s_id AND text_hash = s_hash"), "left")
 
     def run(batch: pa.RecordBatch) -> dict:

@@ -409,6 +409,41 @@ def test_paragraphs(spark, docs, empty):
     assert substring_dedup.without_repeats(docs).count() == docs.count()
 
 
+def test_passages_cross_lines_and_go_whole(spark):
+    rng = random.Random(21)
+
+    def fresh(tag, n):
+        return [f"{tag}{k}x{rng.randrange(10**6)}" for k in range(n)]
+
+    def broken(found, size):
+        return "\n".join(" ".join(found[k : k + size]) for k in range(0, len(found), size))
+
+    short, inside, near = fresh("s", 60), fresh("i", 55), fresh("n", 120)
+    edited = [*near[:60], "edit", *near[61:]]
+    rows = [(1, broken([*fresh("a", 30), *short, *fresh("b", 30)], 8)), (2, broken([*fresh("c", 33), *short, *fresh("d", 30)], 7))]
+    rows += [(3, " ".join([*fresh("e", 40), *inside, *fresh("f", 40)])), (4, " ".join([*fresh("g", 40), *inside, *fresh("h", 40)]))]
+    # A third document has only a part of the passage, and comes first.
+    rows += [(0, " ".join([*fresh("j", 40), *inside[3:53], *fresh("k", 40)])), (5, "nothing again"), (6, None)]
+    rows += [(7, broken(near, 6)), (8, broken(edited, 6))]
+    small = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.id: r.text.split() for r in substring_dedup.without_repeats(small).collect()}
+    texts = {i: (t or "").split() for i, t in rows}
+    assert all(kept[i] == texts[i] for i in (0, 1, 5, 6, 7))
+    assert kept[2] == [w for w in texts[2] if w not in short] and kept[4] == [w for w in texts[4] if w not in inside]
+    assert kept[3] == [w for w in texts[3] if w not in inside[3:53]]
+    assert len(kept[8]) <= 1
+    found = {r.id: r for r in substring_dedup.document_classes(small).collect()}
+    assert set(found) == set(texts) and not found[5].class_ids and not found[6].spans
+    assert all(set(found[i].class_ids) & set(found[j].class_ids) for i, j in ((1, 2), (3, 4), (0, 3), (7, 8)))
+    assert not set(found[1].class_ids) & set(found[3].class_ids)
+
+
+def test_paragraph_query_has_every_document(spark):
+    rows = catalog.op8_substring_dedup(spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in common.documents(spark, SF).collect())
+    assert any(r.class_ids for r in rows) and not all(r.class_ids for r in rows)
+
+
 def test_bands_find_similar_lines():
     """At similarity 0.8 nearly all pairs of sets collide in a band."""
     rng = np.random.default_rng(5)
