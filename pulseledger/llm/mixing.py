@@ -2,8 +2,11 @@
 
 Every source is cut into blocks of documents by a pseudo-random permutation
 (the high bits of a keyed hash). The mix takes whole blocks in permuted order,
-several times round if its target exceeds the source, and from the one block
-that the target cuts, whole documents that still fit. The exact block quotas
+several times round if its target exceeds the source, and from the block that
+the target cuts on, each document that still fits, in permuted order. For that,
+rounds leave out what exceeds the words left, take what comes before the next
+cut as a range of inner blocks, and try one by one only the documents of the inner
+block that is cut; they end when no document fits. The exact block quotas
 of the sources are partitioned among the output shards by a binary tree: each
 node gives its left half a multivariate-hypergeometric draw of its quota and
 the rest to the right. Shards draw disjoint ranges of the permuted blocks, and
@@ -39,14 +42,14 @@ WORD = "[^\\\\x20\\\\x09-\\\\x0D]+"
 @dataclass(frozen=True)
 class Mix:
     """``picks``: (source, block, shards) of whole blocks, one shard for each
-    time the block is drawn; ``inner_picks``: whole inner blocks of the blocks that
-    a target cuts; ``cut``: keys of the documents that still fit after these;
-    ``sources``: one row each."""
+    time the block is drawn; ``ranges``: (source, first, end, most) of inner blocks
+    whose documents of at most ``most`` words go in once more; ``cut``: keys of
+    the documents that fit from inner blocks that are cut; ``sources``: one row each."""
 
     sized: DataFrame
     sources: DataFrame
     picks: DataFrame
-    inner_picks: DataFrame
+    ranges: DataFrame
     cut: DataFrame
     n_shards: int
 
@@ -98,24 +101,29 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: i
     return docs.selectExpr(
         f"`{id_col}` AS id",
         f"`{source_col}` AS source",
-        f"CAST(regexp_count(coalesce(`{text_col}`, ''), '{WORD}') AS BIGINT) AS size",
+        f"{_size(text_col)} AS size",
         f"{_key(id_col, text_col, source_col, seed)} AS key",
     ).withColumn("place", F.expr("pmod(key, 1099511627776L)"))
 
 
+def _size(text_col: str) -> str:
+    return f"CAST(regexp_count(coalesce(`{text_col}`, ''), '{WORD}') AS BIGINT)"
+
+
 def _key(id_col: str, text_col: str, source_col: str, seed: int) -> str:
     return f"xxhash64({seed}, `{id_col}`, `{source_col}`, coalesce(`{text_col}`, ''))"
 
 
 def _first_fit(rows):
-    """Documents of a cut block, in permuted order, that still fit."""
+    """Documents of a cut inner block, in permuted order, that still fit."""
     rows = rows.groupby(["key", "place"], as_index=False).agg(size=("size", "sum"), budget=("budget", "first"))
-    left, taken = float(rows["budget"].iloc[0]) if len(rows) else 0.0, []
+    left, taken, sizes = float(rows["budget"].iloc[0]) if len(rows) else 0.0, [], []
     for key, size in rows.sort_values(["place", "key"])[["key", "size"]].itertuples(index=False):
         if 0 < size <= left + 0.5:
             taken.append(key)
+            sizes.append(size)
             left -= size
-    return pd.DataFrame({"cut_key": pd.Series(taken, dtype="int64")})
+    return pd.DataFrame({"cut_key": pd.Series(taken, dtype="int64"), "cut_size": pd.Series(sizes, dtype="int64")})
 
 
 def _block(place: str, n: str) -> str:
@@ -123,7 +131,9 @@ def _block(place: str, n: str) -> str:
     return f"CAST({place} * {n} DIV 1099511627776L AS BIGINT)"
 
 
-_INNER = _block("(place * n_blocks % 1099511627776L)", "n_inner")
+_OUTER = _block("place", "n_blocks")
+# Number of an inner block in its source.
+_INNER = f"({_OUTER} * n_inner + {_block('(place * n_blocks % 1099511627776L)', 'n_inner')})"
 # A block that the budget covers, and the one that it cuts.
 _WHOLE = "before + words <= budget + 0.5"
 _CUT = "before < budget AND before + words > budget + 0.5"
@@ -136,6 +146,71 @@ def _blocks(rows: DataFrame, block: str) -> DataFrame:
     return at.withColumn("before", F.expr(f"coalesce(sum(words) OVER ({earlier}), 0)"))
 
 
+def _cut_at(words: dict[int, int], left: float) -> tuple[int | None, float]:
+    """The first block that the words left do not cover, and what is left before it."""
+    for block in sorted(words):
+        if words[block] > left + 0.5:
+            return block, left
+        left -= words[block]
+    return None, left
+
+
+def _fill(placed: DataFrame, state: dict[str | None, tuple[float, int]], facts: dict[str | None, tuple[int, int]]) -> tuple[DataFrame, DataFrame]:
+    """Each document that fits from an inner block on, as ``ranges`` and ``cut``.
+
+    ``state``: words left and the first inner block to look at, by source;
+    ``facts``: numbers of blocks and of inner blocks in each. Every round reads
+    only documents that may still fit, and passes one cut in every source.
+    """
+    spark = placed.sparkSession
+    ranges: list[tuple[str | None, int, int, float]] = []
+    cuts = []
+    rest = placed.withColumn("inner", F.expr(_INNER))
+
+    def sums(rows: DataFrame, block: str) -> dict[str | None, dict[int, int]]:
+        out: dict[str | None, dict[int, int]] = {}
+        for r in rows.groupBy("source", F.expr(f"{block} AS block")).agg(F.expr("sum(size) AS words")).collect():
+            out.setdefault(r[0], {})[r[1]] = r[2]
+        return out
+
+    def only(rows: DataFrame, kind: str, found: list[tuple]) -> DataFrame:
+        known = spark.createDataFrame(found, f"its_source string, {kind}")
+        return rows.join(F.broadcast(known), F.expr(f"source <=> its_source AND {_MATCHES[kind]}")).drop("its_source")
+
+    while state := {k: v for k, v in state.items() if v[0] >= 0.5}:
+        rest = only(rest, "most double, first long", [(k, *v) for k, v in state.items()])
+        rest = materialize(rest.drop("most", "first"), "may-fit")
+        outer = {k: _cut_at(words, state[k][0]) for k, words in sums(rest, _OUTER).items()}
+        ends = {k: facts[k][0] * facts[k][1] for k in outer}
+        found = [(k, block) for k, (block, _) in outer.items() if block is not None]
+        after = {}
+        if found:
+            inside = sums(only(rest, "at long", found), "inner")
+            after = {k: _cut_at(words, outer[k][1]) for k, words in inside.items()}
+            ends |= {k: block for k, (block, _) in after.items()}
+        ranges += [(k, state[k][1], end, state[k][0]) for k, end in ends.items()]
+        if not after:
+            break
+        pool = only(rest, "cut long, budget double", [(k, *v) for k, v in after.items()])
+        fitted = pool.select("source", "key", "place", "size", "budget").groupBy("source").applyInPandas(_first_fit, "cut_key long, cut_size long")
+        cuts.append(materialize(fitted, "cut"))
+        # The words of what fitted, by source.
+        keys = F.broadcast(cuts[-1].select("cut_key"))
+        taken = dict(pool.join(keys, F.expr("key = cut_key")).groupBy("source").agg(F.expr("sum(size)")).collect())
+        state = {k: (left - taken.get(k, 0), block + 1) for k, (block, left) in after.items()}
+    keys = spark.createDataFrame([], "cut_key long")
+    for cut in cuts:
+        keys = keys.union(cut.select("cut_key"))
+    return spark.createDataFrame(ranges, "range_source string, first_inner long, end_inner long, most double"), keys
+
+
+_MATCHES = {
+    "most double, first long": "inner >= first AND size > 0 AND size <= most + 0.5",
+    "at long": f"{_OUTER} = at",
+    "cut long, budget double": "inner = cut",
+}
+
+
 def plan_mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -166,29 +241,10 @@ def plan_mix(
 
     known = sources.select("source", "budget", "n_blocks", "n_inner").withColumnRenamed("source", "its_source")
     placed = sized.join(F.broadcast(known), F.expr("source <=> its_source")).drop("its_source")
-    outer = _block("place", "n_blocks")
-    blocks = materialize(_blocks(placed, outer), "blocks")
-    # Into the cut block: whole inner blocks, then documents that fit.
-    at_cut = blocks.filter(_CUT).selectExpr("source AS cut_source", "block AS cut_block", "budget - before AS left_over")
-    inside = placed.withColumn("outer_block", F.expr(outer)).join(
-        F.broadcast(at_cut), F.expr("source <=> cut_source AND outer_block = cut_block")
-    )
-    inside = inside.selectExpr("source", "size", "key", "place", "left_over AS budget", f"{_INNER} AS inner_block")
-    inner_blocks = _blocks(inside, "inner_block")
-    inner_picks = inner_blocks.filter(_WHOLE).withColumnRenamed("source", "its_source").join(
-        F.broadcast(at_cut), F.expr("its_source <=> cut_source")
-    )
-    inner_picks = materialize(
-        inner_picks.selectExpr("its_source AS inner_source", "cut_block AS inner_of", "block AS inner_pick"), "inner"
-    )
-    pool = inner_blocks.filter(_CUT).selectExpr("source AS cut_source", "block AS cut_block", "budget - before AS left_over")
-    pool = inside.drop("budget").join(F.broadcast(pool), F.expr("source <=> cut_source AND inner_block = cut_block"))
-    fitted = (
-        pool.selectExpr("source", "key", "place", "size", "left_over AS budget")
-        .groupBy("source")
-        .applyInPandas(_first_fit, "cut_key long")
-    )
-    cut_keys = materialize(fitted, "cut")
+    blocks = materialize(_blocks(placed, _OUTER), "blocks")
+    facts = {r[0]: (r[5], r[6]) for r in rows}
+    at_cut = blocks.filter(_CUT).selectExpr("source", "block", "budget - before AS left_over").collect()
+    ranges, cut_keys = _fill(placed.drop("budget"), {r[0]: (r[2], r[1] * facts[r[0]][1]) for r in at_cut}, facts)
 
     # The tree: block draws of every source, dealt to the shards.
     by_source: dict[str | None, list[tuple[int, bool]]] = {r[0]: [] for r in rows}
@@ -209,22 +265,23 @@ def plan_mix(
         [(name, block, sorted(shards)) for (name, block), shards in picked.items()],
         "pick_source string, pick_block long, pick_shards array<int>",
     )
-    return Mix(sized, sources, picks, inner_picks, cut_keys, n_shards)
+    return Mix(sized, sources, picks, ranges, cut_keys, n_shards)
 
 
 def _attach(rows: DataFrame, mix: Mix) -> DataFrame:
     """Add source facts and ``shards`` (one entry per copy) to rows with
-    source, key and place. What is broadcast is bounded for each source: its
-    facts, at most MAX_BLOCKS blocks and inner blocks, and the documents of one
-    inner block (about BLOCK_DOCS, or n / MAX_BLOCKS**2)."""
+    source, key, size and place. What is broadcast is bounded for each source: its
+    facts, at most MAX_BLOCKS blocks, and for each round of cuts a range and the
+    documents of one inner block (about BLOCK_DOCS, or n / MAX_BLOCKS**2)."""
     facts = mix.sources.withColumnRenamed("source", "its_source").select(
         "its_source", "source_size", "target", "n_blocks", "n_inner"
     )
-    out = rows.join(F.broadcast(facts), F.expr("source <=> its_source"), "left").withColumn("block", F.expr(_block("place", "n_blocks")))
+    out = rows.join(F.broadcast(facts), F.expr("source <=> its_source"), "left")
+    out = out.withColumns({"block": F.expr(_OUTER), "inner": F.expr(_INNER)})
     out = out.join(F.broadcast(mix.picks), F.expr("source <=> pick_source AND block = pick_block"), "left")
-    inner = F.expr(f"source <=> inner_source AND block = inner_of AND {_INNER} = inner_pick")
-    out = out.join(F.broadcast(mix.inner_picks), inner, "left").join(F.broadcast(mix.cut), F.expr("key = cut_key"), "left")
-    extra = f"IF(cut_key IS NULL AND inner_pick IS NULL, CAST(array() AS ARRAY<INT>), array(CAST(pmod(xxhash64(key, 5), {mix.n_shards}) AS INT)))"
+    inside = F.expr("source <=> range_source AND inner >= first_inner AND inner < end_inner AND size <= most + 0.5")
+    out = out.join(F.broadcast(mix.ranges), inside, "left").join(F.broadcast(mix.cut), F.expr("key = cut_key"), "left")
+    extra = f"IF(cut_key IS NULL AND first_inner IS NULL, CAST(array() AS ARRAY<INT>), array(CAST(pmod(xxhash64(key, 5), {mix.n_shards}) AS INT)))"
     return out.withColumn("shards", F.expr(f"concat(coalesce(pick_shards, CAST(array() AS ARRAY<INT>)), {extra})"))
 
 
@@ -243,7 +300,8 @@ def mixed_documents(
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     id_, text, source = (f"c{names.index(c)}" for c in (id_col, text_col, source_col))
-    rows = plain.withColumns({"source": F.col(source), "key": F.expr(_key(id_, text, source, seed))})
+    facts = {"source": F.col(source), "size": F.expr(_size(text)), "key": F.expr(_key(id_, text, source, seed))}
+    rows = plain.withColumns(facts)
     rows = _attach(rows.withColumn("place", F.expr("pmod(key, 1099511627776L)")), mix)
     copies = rows.selectExpr(*plain.columns, "key", "posexplode(shards) AS (copy, shard)")
     dealt = copies.repartition(mix.n_shards, "shard").sortWithinPartitions("shard", F.expr(f"xxhash64({seed}, key, copy)"))

@@ -493,6 +493,25 @@ def test_mix(docs, empty, texts):
     assert mixing.mix_report(mixing.plan_mix(empty)).count() == mixing.mixed_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_mix_goes_on_after_a_document_that_does_not_fit(spark, seed):
+    """The mix equals first fit over all documents of a source in permuted order."""
+    sizes = [1000] * 199 + [200_000]
+    rows = [(i, "w " * n, "s") for i, n in enumerate(sizes)] + [(1000 + i, "w " * (1 + i * 7 % 50), None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = mixing.plan_mix(docs, weights=(1.0, 1.0), seed=seed)
+    report = mixing.mix_report(mix).join(mix.sized.select("id", "source", "place"), "id").collect()
+    for source in ("s", None):
+        own = sorted((r for r in report if r.source == source), key=lambda r: r.place)
+        left = own[0].target - own[0].source_size * (own[0].target // own[0].source_size)
+        for r in own:
+            fits = r.size <= left + 0.5
+            left -= r.size * fits
+            assert r.taken == r.size * (r.target // r.source_size + fits)
+    assert sum(r.taken for r in report if r.source == "s") > 0.99 * next(r.target for r in report if r.source == "s")
+    assert mixing.mixed_documents(docs, weights=(1.0, 1.0), seed=seed).count() == sum(len(r.shards) for r in report)
+
+
 def test_mix_comes_near_its_targets(spark):
     rows = catalog.op10_mixing(spark, "/root/testdata/sf0.1")
     rows = rows.join(common.documents(spark, "/root/testdata/sf0.1").select("doc_id", "source"), "doc_id")
