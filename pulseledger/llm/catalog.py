@@ -101,9 +101,9 @@ ORACLE_SQL["op4_line_dedup"] = f"""WITH lines AS (
 
 @_query
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Component of every document under Jaccard links of 0.9."""
-    answer = jaccard_join.joined(documents(spark, sf_dir))
-    return answer.selectExpr("id AS doc_id", "n_shingles", "component_id")
+    """Component and number of links of every document under Jaccard links of 0.9."""
+    answer, _ = jaccard_join.links(documents(spark, sf_dir))
+    return answer.selectExpr("id AS doc_id", "n_shingles", "component_id", "n_links")
 
 
 @_query

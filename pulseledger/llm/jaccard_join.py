@@ -195,34 +195,43 @@ def _head_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return best.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
 
 
-def _open_pairs(entries: DataFrame, labels: DataFrame, percent: int, positions: bool) -> DataFrame:
-    """Pairs in different components that index-level skipping leaves.
+def _open_pairs(entries: DataFrame, labels: DataFrame, percent: int, positions: bool, within: bool) -> DataFrame:
+    """Pairs that index-level skipping leaves; those in one component only if ``within``.
 
     (a, n_a, label_a, b, n_b, label_b) with a not larger than b.
     """
     labelled = entries.join(labels, F.col("sid") == F.col("node"), "left").selectExpr(
         "token", "sid", "n", "pos", "coalesce(label, sid) AS label"
     )
-    labelled = materialize(labelled, "labelled")
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = materialize(mixed.filter("low <> high").select("token"), "mixed-lists")
+    if not within:
+        labelled = materialize(labelled, "labelled")
+        mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        mixed = materialize(mixed.filter("low <> high").select("token"), "mixed-lists")
+        labelled = labelled.join(mixed, "token")
     # Sizes of a block differ by less than the threshold, so a set meets its own
     # block and the next one only.
     block = f"CAST(floor(ln(n) / ln({100 / percent!r})) AS INT)"
-    left = labelled.join(mixed, "token").withColumn("block", F.expr(block))
+    left = labelled.withColumn("block", F.expr(block))
     left = materialize(left, "open-entries")
     small = left.selectExpr("token AS t", "explode(array(block, block + 1)) AS block", "sid AS a", "n AS n_a", "pos AS pos_a", "label AS label_a")
     large = left.selectExpr("token", "block AS at", "sid AS b", "n AS n_b", "pos AS pos_b", "label AS label_b")
     needed = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
     rest = f"least(n_a - pos_a, n_b - pos_b) >= {needed}" if positions else "true"
+    apart = "true" if within else "label_a <> label_b"
     pairs = small.join(large, F.expr("token = t AND block = at")).filter(
-        f"label_a <> label_b AND (n_a < n_b OR n_a = n_b AND a < b) AND 100 * n_a >= {percent} * n_b AND {rest}"
+        f"{apart} AND (n_a < n_b OR n_a = n_b AND a < b) AND 100 * n_a >= {percent} * n_b AND {rest}"
     )
     return pairs.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("n_a", "n_b", "label_a", "label_b")])
 
 
 def linked_sets(entries: DataFrame, texts_of, words: int, percent: int, positions: bool = True) -> DataFrame:
-    """(node, label) of the sets that link with another one.
+    """(node, label) of the sets that link with another one."""
+    return _linked(entries, texts_of, words, percent, positions, False)[0]
+
+
+def _linked(entries: DataFrame, texts_of, words: int, percent: int, positions: bool, within: bool) -> tuple[DataFrame, DataFrame]:
+    """(node, label) of the sets that link with another one, and (a, b) links:
+    all of them if ``within``, else enough to connect the components.
 
     ``entries``: (token, sid, n, pos), two sets that link share a token;
     ``texts_of``: from a frame of sid to (sid, text).
@@ -234,12 +243,12 @@ def linked_sets(entries: DataFrame, texts_of, words: int, percent: int, position
     near = first.filter(_reaches("both", "n_a", "n_b", percent))
     labels = components(near)
 
-    open_ = _open_pairs(entries, labels, percent, positions)
+    open_ = _open_pairs(entries, labels, percent, positions, within)
     known = first.selectExpr("least(a, b) AS x", "greatest(a, b) AS y")
     open_ = open_.join(known, F.expr("least(a, b) = x AND greatest(a, b) = y"), "left_anti")
     open_ = materialize(open_, "open-pairs")
     if open_.isEmpty():
-        return labels
+        return labels, near.select("a", "b")
 
     # A label is the smallest set of its component and serves as X for all of
     # its sets: overlaps of Z with X, and of Y with X.
@@ -265,19 +274,15 @@ def linked_sets(entries: DataFrame, texts_of, words: int, percent: int, position
     second = overlaps(judged.filter(f"NOT ({certain})"), texts, words)
     links = near.select("a", "b").union(judged.filter(certain).select("a", "b")).union(
         second.filter(_reaches("both", "n_a", "n_b", percent)).select("a", "b")
-    )
-    return components(links)
+    ).selectExpr("least(a, b) AS a", "greatest(a, b) AS b")
+    return components(links), links
 
 
-def joined(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT
-) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id (the smallest id
-    reachable by links, its own included), set_id of its distinct set."""
+def _joined(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, within: bool) -> tuple[DataFrame, DataFrame]:
     rows = _rows(docs, id_col, text_col)
     found = distinct_sets(rows, words, percent)
     entries = found.sets.filter("prefix IS NOT NULL").selectExpr("sid", "n", "posexplode(prefix) AS (pos, token)")
-    labels = linked_sets(entries, lambda sids: candidate_texts(rows, found.sets, sids), words, percent)
+    labels, links = _linked(entries, lambda sids: candidate_texts(rows, found.sets, sids), words, percent, True, within)
     named = found.sets.join(labels, F.col("sid") == F.col("node"), "left").selectExpr(
         "digest", "sid", "coalesce(label, sid) AS label", "rep_id"
     )
@@ -286,9 +291,34 @@ def joined(
     answer = materialize(
         named.join(lowest, "label").selectExpr("digest AS set_digest", "sid", "component_id"), "answers"
     )
-    return found.members.join(answer, F.col("digest") == F.col("set_digest"), "left").selectExpr(
+    members = found.members.join(answer, F.col("digest") == F.col("set_digest"), "left").selectExpr(
         "id", "CAST(n AS BIGINT) AS n_shingles", "IF(n = 0, id, component_id) AS component_id", "sid AS set_id", "text_hash"
     )
+    return members, links
+
+
+def joined(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """One row per input row: id, n_shingles, component_id (the smallest id
+    reachable by links, its own included), set_id of its distinct set."""
+    return _joined(docs, id_col, text_col, words, percent, False)[0]
+
+
+def links(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = PERCENT
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``joined`` with n_links, and (a, b) set ids, a < b, of every
+    pair of distinct sets that reaches the threshold. ``n_links`` is the number of
+    other rows that a row links with, those of its own set included."""
+    members, pairs = _joined(docs, id_col, text_col, words, percent, True)
+    members, pairs = materialize(members, "members"), materialize(pairs, "links")
+    sizes = materialize(members.filter("set_id IS NOT NULL").groupBy("set_id").count().toDF("s", "copies"), "set-sizes")
+    both = pairs.union(pairs.select("b", "a")).toDF("s", "other")
+    near = both.join(sizes.toDF("other", "copies"), "other").select("s", "copies")
+    counts = near.union(sizes).groupBy("s").agg((F.sum("copies") - 1).alias("n"))
+    out = members.join(counts, F.col("set_id") == F.col("s"), "left")
+    return out.select(*members.columns, F.expr("coalesce(n, 0L) AS n_links")), pairs
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -382,6 +382,34 @@ def test_answers_derived_from_similar_sets(spark):
     )
 
 
+def test_links_equal_brute_force(spark):
+    """All pairs of distinct sets, inside components too; copies count as members."""
+    rng = random.Random(8)
+    rows = [(900, "", "s"), (901, None, "s"), (902, "two words", "s"), (903, "TWO words", "s")]
+    for b in range(3):
+        base = words(rng, 120).split()
+        for k in range(25):
+            copy = list(base)
+            for _ in range(rng.randint(0, 4)):
+                copy[rng.randrange(len(copy))] = f"edit{rng.randrange(3)}"
+            rows.append((100 * b + k, " ".join(copy), "s"))
+    sets = {i: shingle_set(t) for i, t, _ in rows}
+
+    def near(x, y):
+        both = len(x & y)
+        return bool(x) and 100 * both >= 90 * (len(x) + len(y) - both)
+
+    members, pairs = jaccard_join.links(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    members = members.collect()
+    assert {r.id: r.n_links for r in members} == {i: sum(near(x, y) for j, y in sets.items() if i != j) for i, x in sets.items()}
+    of = {r.set_id: sets[r.id] for r in members if r.set_id is not None}
+    want = {(a, b) for a in of for b in of if a < b and near(of[a], of[b])}
+    got = [tuple(r) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    # More links than connect the components.
+    assert len(want) > len(of) - len({r.component_id for r in members if r.set_id is not None})
+
+
 def test_label_contraction(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     got = {r.node: r.label for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
