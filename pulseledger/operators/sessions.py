@@ -99,6 +99,13 @@ def sessionize(events: DataFrame, timeout_minutes: int = 30, drop_null_user: boo
     return sessionize_minutes(activity.minutes(events), timeout_minutes)
 
 
+def number_from(spans: DataFrame, starts: DataFrame, timeout_minutes: int = 30) -> DataFrame:
+    """Sessions of spans (user_id, first_at, last_at, n_events, account_id),
+    numbered from each user's ``first_index`` in ``starts`` (start_user, first_index) on."""
+    islands = _islands(spans, timeout_minutes).join(starts, F.expr("user_id <=> start_user"))
+    return _finish(islands, "user_session_index + first_index")
+
+
 def changed_sessions(previous: DataFrame, batch_minutes: DataFrame, timeout_minutes: int = 30) -> DataFrame:
     """New rows for every user with new events, late ones included.
 

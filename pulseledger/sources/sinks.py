@@ -1,15 +1,14 @@
-"""Views, tables, the session upsert and alert output."""
+"""Views, tables and alert output; the session upsert is in ``session_store``."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import aggregate
-from ..operators import activity
-from ..operators.sessions import SESSION_COLUMNS, SESSION_DATE, apply_changes, changed_sessions, sessionize
+from ..operators.sessions import SESSION_DATE
+from .session_store import forget, read_sessions, upsert_sessions, with_session_date  # noqa: F401  (re-exported)
 
 
 def register(df: DataFrame, name: str) -> DataFrame:
@@ -46,105 +45,13 @@ def write_table(df: DataFrame, target: str, partition_by: Sequence[str] = (), so
     return spark.table(target)
 
 
-def with_session_date(sessions: DataFrame) -> DataFrame:
-    """Add the physical partition column: the day a session starts."""
-    return sessions.withColumn(SESSION_DATE, F.to_date("session_start_at"))
-
-
 def write_sessions(sessions: DataFrame, target: str) -> DataFrame:
     """Replace the session table, partitioned by start day."""
+    if _is_path(target):
+        forget(sessions.sparkSession, target)
     return write_table(with_session_date(sessions), target, [SESSION_DATE], ["user_id"])
 
 
 def write_alerts(alerts: DataFrame, path: str) -> None:
     """Alert rows as JSON lines, for whatever delivers them."""
     alerts.write.mode("overwrite").json(path)
-
-
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = _path(spark, path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    target = _path(spark, path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def read_sessions(spark: SparkSession, path: str) -> DataFrame:
-    """The stored session table; empty if nothing was stored yet."""
-    schema = with_session_date(sessionize(spark.createDataFrame([], "user_id string, account_id string, event_at timestamp"))).schema
-    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
-
-
-def upsert_sessions(new_events: DataFrame, path: str, batch_id: int | str, timeout_minutes: int = 30) -> None:
-    """Merge a batch of events into the session table at ``path``.
-
-    Only the start days of changed sessions are rewritten. Every batch, the
-    first and an empty one too, first writes the new content of these days
-    complete to ``<path>_log/batch=<batch_id>`` and then copies it. A batch that
-    was interrupted or is delivered again is repeated with its id: a complete
-    log is copied again and not computed again, so events never count twice.
-    Once a later batch is in, only a marker is left of a log, and a batch with a
-    marker is done.
-    """
-    spark = new_events.sparkSession
-    root = f"{path.rstrip('/')}_log"
-    log = f"{root}/batch={batch_id}"
-    if not _exists(spark, f"{log}/rows/_SUCCESS"):
-        if _exists(spark, f"{log}/applied"):
-            return
-        stored = read_sessions(spark, path)
-        previous = stored.select(*SESSION_COLUMNS)
-        changes = changed_sessions(previous, activity.minutes(new_events), timeout_minutes)
-        changes.write.mode("overwrite").parquet(f"{log}/changes")
-        changes = spark.read.schema(changes.schema).parquet(f"{log}/changes")
-
-        first_changed = aggregate(changes, ["user_id"], "min(user_session_index) AS from_index")
-        first_changed = first_changed.withColumnRenamed("user_id", "changed_user")
-        removed = stored.join(first_changed, F.expr("user_id <=> changed_user"), "inner")
-        removed = removed.filter("user_session_index >= from_index")
-        days = removed.select(SESSION_DATE).union(with_session_date(changes).select(SESSION_DATE)).distinct()
-        days.write.mode("overwrite").parquet(f"{log}/days")
-        # One value per changed day; prunes the partitions read below.
-        changed_days = [row[0] for row in spark.read.schema(days.schema).parquet(f"{log}/days").collect()]
-        affected = stored.filter(F.col(SESSION_DATE).isin(changed_days)).select(*SESSION_COLUMNS)
-        kept_or_new = with_session_date(apply_changes(affected, changes))
-        kept_or_new.write.mode("overwrite").parquet(f"{log}/rows")
-    _copy_days(spark, log, path)
-    _mark_applied(spark, root, log)
-
-
-def _mark_applied(spark: SparkSession, root: str, log: str) -> None:
-    """Mark a batch as done and delete the content of the logs before it."""
-    folder = _path(spark, root)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    current = _path(spark, log).getName()
-    files.create(_path(spark, f"{log}/applied"), True).close()
-    for status in files.listStatus(folder):
-        name = status.getPath().getName()
-        if name != current and _exists(spark, f"{root}/{name}/applied"):
-            for part in ("rows", "changes", "days"):
-                _delete(spark, f"{root}/{name}/{part}")
-
-
-def _copy_days(spark: SparkSession, log: str, path: str) -> None:
-    schema = read_sessions(spark, path).schema
-    rows = spark.read.schema(schema).parquet(f"{log}/rows")
-    (
-        rows.hint("rebalance", F.col(SESSION_DATE))
-        .sortWithinPartitions(SESSION_DATE, "user_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SESSION_DATE)
-        .parquet(path)
-    )
-    # A day whose sessions all moved to an earlier day has no new content
-    # and so was not overwritten. At most one path per changed day.
-    emptied = spark.read.schema(rows.select(SESSION_DATE).schema).parquet(f"{log}/days").join(rows.select(SESSION_DATE).distinct(), SESSION_DATE, "left_anti")
-    for row in emptied.collect():
-        _delete(spark, f"{path.rstrip('/')}/{SESSION_DATE}={row[0].isoformat()}")

@@ -12,7 +12,7 @@ from pulseledger.operators import docs, quality
 from pulseledger.operators.sessions import SESSION_COLUMNS, sessionize
 from pulseledger.plans import accounts, pipeline
 from pulseledger.session import materialize, shared_dir
-from pulseledger.sources import readers, schemas, sinks, testdata
+from pulseledger.sources import readers, schemas, session_store, sinks, testdata
 
 SF = "/root/testdata/sf0.001"
 EVENTS = "user_id string, account_id string, event_at timestamp"
@@ -201,7 +201,7 @@ def test_a_crash_between_log_and_copy_loses_nothing(spark, tmp_path, monkeypatch
     path = str(tmp_path / "sessions")
     rows = [("A", "2024-01-01 10:00:00"), ("B", "2024-01-02 10:00:00")]
     with monkeypatch.context() as patched:
-        patched.setattr(sinks, "_copy_days", lambda *args: 1 / 0)
+        patched.setattr(session_store, "_copy", lambda *args: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             sinks.upsert_sessions(events(spark, rows), path, 0)
     sinks.upsert_sessions(events(spark, rows), path, 0)
