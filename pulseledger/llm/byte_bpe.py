@@ -43,6 +43,9 @@ OVERLAP = 2_048
 MARGIN = 4
 # Pre-tokens kept with their ids by a Python worker; the store is emptied when full.
 CACHED_WORDS = 300_000
+# Bytes of a pre-token up to which scanning all pairs beats a heap.
+SHORT = 100
+NO_RANK = 1 << 60
 
 
 class ByteLevelModel:
@@ -60,11 +63,28 @@ class ByteLevelModel:
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
-        ranks = self.ranks
-        whole = ranks.get(piece)
+        whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
+        return self._merged_short(piece) if len(piece) <= SHORT else self._merged_long(piece)
+
+    def _merged_short(self, piece: bytes) -> list[int]:
+        """Looks for the lowest rank among all pairs before each merge."""
+        rank = self.ranks.get
+        starts = list(range(len(piece) + 1))
+        pairs = [rank(piece[i : i + 2], NO_RANK) for i in range(len(piece) - 1)]
+        while pairs and (lowest := min(pairs)) != NO_RANK:
+            i = pairs.index(lowest)
+            del starts[i + 1], pairs[i]
+            if i < len(pairs):
+                pairs[i] = rank(piece[starts[i] : starts[i + 2]], NO_RANK)
+            if i:
+                pairs[i - 1] = rank(piece[starts[i - 1] : starts[i + 1]], NO_RANK)
+        return [rank(piece[a:b]) for a, b in zip(starts, starts[1:])]
+
+    def _merged_long(self, piece: bytes) -> list[int]:
+        """Keeps the pairs in a heap, so time grows little more than the length."""
+        ranks, n = self.ranks, len(piece)
         after, before = list(range(1, n + 2)), list(range(-1, n))
         heap = [(r, i) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
         heapq.heapify(heap)
