@@ -4,7 +4,11 @@
 ``minutes``: (user, clock minute, account) with count and first/last time;
 enough to sessionize exactly, see ``sessions``.
 
-Both combine on the map side, so a key holding a large share of the rows
+``raw_rollup``: the same measures before any stitching, per own ids, minute and
+event name. One scan of the raw relations gives it; the account map and both
+roll-ups above follow from it, and it is what an incremental build keeps.
+
+All combine on the map side, so a key holding a large share of the rows
 leaves each task as one row per group.
 """
 
@@ -18,6 +22,7 @@ from . import identity
 
 DAILY_KEYS = ("account_id", "user_id", "activity_date", "event_name")
 OWN_IDS = ("anonymous_id", "original_user_id", "original_account_id")
+RAW_KEYS = (*OWN_IDS, "activity_date", "minute", "event_name", "is_page")
 _MEASURES = ("n_events", "first_at", "last_at")
 
 
@@ -89,3 +94,37 @@ def stitched_minutes(tracks: DataFrame, pages: DataFrame | None, lookup: DataFra
             raise ValueError("include_pages_in_sessions needs the pages relation")
         inputs.append(rows(identity.canonical_pages(pages, cfg), "page_viewed_at"))
     return _minutes(_attach(union_all(inputs), ("minute",), lookup, cfg))
+
+
+def raw_rollup(tracks: DataFrame, pages: DataFrame | None, cfg: Config) -> DataFrame:
+    """Un-stitched roll-up of tracks, and pages if the settings include them."""
+
+    def rows(df: DataFrame, time: str, event: str, is_page: str) -> DataFrame:
+        # The device is irrelevant once the user is known.
+        device = "IF(original_user_id IS NULL, anonymous_id, NULL) AS anonymous_id"
+        keys = [device, *OWN_IDS[1:], f"to_date({time}) AS activity_date", f"{minute_start(time)} AS minute"]
+        return _single_events(df, time, *keys, f"{event} AS event_name", f"{is_page} AS is_page")
+
+    inputs = [rows(identity.canonical_tracks(tracks, cfg), "event_at", "event_name", "false")]
+    if cfg.include_pages_in_sessions:
+        if pages is None:
+            raise ValueError("include_pages_in_sessions needs the pages relation")
+        inputs.append(rows(identity.canonical_pages(pages, cfg), "page_viewed_at", "CAST(NULL AS STRING)", "true"))
+    return _merge(union_all(inputs), *RAW_KEYS)
+
+
+def daily_from_raw(raw: DataFrame, lookup: DataFrame | None, cfg: Config) -> DataFrame:
+    """Daily roll-up of an un-stitched one; same as ``stitched_daily``."""
+    rows = raw.filter("NOT is_page").select(*OWN_IDS, "activity_date", "event_name", *_MEASURES)
+    return _merge(_attach(rows, ("activity_date", "event_name"), lookup, cfg), *DAILY_KEYS)
+
+
+def minutes_from_raw(raw: DataFrame, lookup: DataFrame | None, cfg: Config) -> DataFrame:
+    """Minute roll-up of an un-stitched one; same as ``stitched_minutes``."""
+    return _minutes(_attach(raw.select(*OWN_IDS, "minute", *_MEASURES), ("minute",), lookup, cfg))
+
+
+def seen_accounts(raw: DataFrame) -> DataFrame:
+    """(user_id, account_id, seen_at): accounts that users were seen with."""
+    known = raw.filter("NOT is_page AND original_user_id IS NOT NULL AND original_account_id IS NOT NULL")
+    return known.selectExpr("original_user_id AS user_id", "original_account_id AS account_id", "last_at AS seen_at")

@@ -36,29 +36,40 @@ def within_lookback(df: DataFrame, cfg: Config, days: int) -> DataFrame:
     return df.filter(f"{event_time(cfg)} >= {oldest}")
 
 
-def _latest(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """Per ``key`` the ``value`` seen last; equal times: the larger value.
+def last_seen(seen: DataFrame, key: str, value: str) -> DataFrame:
+    """Per ``key`` the ``value`` seen last and when; equal times: the larger value.
+
+    ``seen`` has (key, value, seen_at), also results of earlier calls: what was
+    seen last in several parts follows from the last of each part.
 
     The first aggregate has only (key, value, max time) and so combines on
     the map side by hashing: a key with very many rows leaves each task as
     one row per distinct value.
     """
-    pairs = aggregate(df, [key, value], "max(seen_at) AS seen_at")
-    return aggregate(pairs, [key], f"max_by({value}, struct(seen_at, {value})) AS {out}")
+    pairs = aggregate(seen, [key, value], "max(seen_at) AS seen_at")
+    last = aggregate(pairs, [key], f"max(struct(seen_at, {value})) AS last")
+    return last.selectExpr(key, f"last.{value} AS {value}", "last.seen_at AS seen_at")
+
+
+def seen_identities(identifies: DataFrame, cfg: Config) -> DataFrame:
+    """(anonymous_id, user_id, seen_at) of identify calls with a user."""
+    known = within_lookback(identifies, cfg, cfg.identity_lookback_days).filter("user_id IS NOT NULL")
+    return known.selectExpr(
+        f"{optional_col(identifies, cfg.anonymous_id_field)} AS anonymous_id", "CAST(user_id AS STRING) AS user_id", f"{event_time(cfg)} AS seen_at"
+    )
 
 
 def resolve_identity(identifies: DataFrame, cfg: Config) -> DataFrame:
     """(anonymous_id, master_user_id): last identified user per anonymous id."""
-    links = (
-        within_lookback(identifies, cfg, cfg.identity_lookback_days)
-        .filter("user_id IS NOT NULL")
-        .selectExpr(
-            f"{optional_col(identifies, cfg.anonymous_id_field)} AS anonymous_id",
-            "CAST(user_id AS STRING) AS user_id",
-            f"{event_time(cfg)} AS seen_at",
-        )
-    )
-    return _latest(links, "anonymous_id", "user_id", "master_user_id")
+    return identity_map(last_seen(seen_identities(identifies, cfg), "anonymous_id", "user_id"))
+
+
+def identity_map(last_identities: DataFrame) -> DataFrame:
+    return last_identities.selectExpr("anonymous_id", "user_id AS master_user_id")
+
+
+def account_map(last_accounts: DataFrame) -> DataFrame:
+    return last_accounts.selectExpr("user_id", "account_id AS latest_account_id")
 
 
 def map_user_account(tracks: DataFrame, cfg: Config) -> DataFrame:
@@ -71,7 +82,7 @@ def map_user_account(tracks: DataFrame, cfg: Config) -> DataFrame:
         f"{optional_col(tracks, cfg.group_id_field)} AS account_id",
         f"{event_time(cfg)} AS seen_at",
     )
-    return _latest(seen.filter("user_id IS NOT NULL AND account_id IS NOT NULL"), "user_id", "account_id", "latest_account_id")
+    return account_map(last_seen(seen.filter("user_id IS NOT NULL AND account_id IS NOT NULL"), "user_id", "account_id"))
 
 
 def _own_ids(df: DataFrame, cfg: Config) -> list[str]:

@@ -8,6 +8,7 @@ from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import activity, identity
@@ -41,13 +42,16 @@ class Relations:
 
     ``share`` is applied to relations with several readers (the look-up map,
     the daily roll-up, ..): ``session.materialize`` writes them once, the
-    default recomputes them per reader.
+    default recomputes them per reader. With ``raw``, the written un-stitched
+    roll-up, all relations but the staged events are made from it and the raw
+    tracks and pages are not read again.
     """
 
-    def __init__(self, inputs: Inputs, cfg: Config, share: Share = keep_lazy):
+    def __init__(self, inputs: Inputs, cfg: Config, share: Share = keep_lazy, raw: DataFrame | None = None):
         self.inputs = inputs
         self.cfg = cfg
         self.share = share
+        self.raw = raw
 
     @cached_property
     def identity_map(self) -> DataFrame | None:
@@ -61,6 +65,8 @@ class Relations:
     def account_map(self) -> DataFrame | None:
         if not self.cfg.enable_identity_stitching:
             return None
+        if self.raw is not None:
+            return identity.account_map(identity.last_seen(activity.seen_accounts(self.raw), "user_id", "account_id"))
         return identity.map_user_account(self.inputs.tracks, self.cfg)
 
     @cached_property
@@ -81,12 +87,17 @@ class Relations:
 
     @cached_property
     def daily(self) -> DataFrame:
+        if self.raw is not None:
+            return self.share(activity.daily_from_raw(self.raw, self.lookup, self.cfg), "daily")
         return self.share(activity.stitched_daily(self.inputs.tracks, self.lookup, self.cfg), "daily")
 
     @cached_property
     def sessions(self) -> DataFrame:
-        pages = self.inputs.pages if self.cfg.include_pages_in_sessions else None
-        minutes = activity.stitched_minutes(self.inputs.tracks, pages, self.lookup, self.cfg)
+        if self.raw is not None:
+            minutes = activity.minutes_from_raw(self.raw, self.lookup, self.cfg)
+        else:
+            pages = self.inputs.pages if self.cfg.include_pages_in_sessions else None
+            minutes = activity.stitched_minutes(self.inputs.tracks, pages, self.lookup, self.cfg)
         return self.share(sessionize_minutes(minutes, self.cfg.session_timeout_minutes), "sessions")
 
     @cached_property
@@ -119,6 +130,8 @@ class Relations:
         )
 
 
+RAW_TABLE = "int_raw_activity"
+
 # Relation -> output table and the partition column readers filter by. The
 # relations of one step need only earlier steps, so their jobs run side by
 # side and small ones fill the gaps of large ones.
@@ -141,17 +154,29 @@ STEPS = (
 def build(inputs: Inputs, cfg: Config, out_dir: str) -> dict[str, DataFrame]:
     """Write every relation under ``out_dir``; returns them by table name.
 
-    Each relation is written once and read back by the ones built on it, so
-    raw events are scanned only for the account map, the daily roll-up and
-    the sessions. All are registered as views, the staged events included.
+    Raw tracks and pages are read once, for the un-stitched roll-up; each
+    relation is written once and read back by the ones built on it. All are
+    registered as views, the staged events included.
     """
     configure(inputs.tracks.sparkSession)
+    raw = write_raw(activity.raw_rollup(inputs.tracks, inputs.pages, cfg), out_dir)
+    return build_from_raw(inputs, cfg, out_dir, raw)
+
+
+def write_raw(rollup: DataFrame, out_dir: str) -> DataFrame:
+    """Write the un-stitched roll-up of the first batch."""
+    target = f"{out_dir.rstrip('/')}/{RAW_TABLE}"
+    return sinks.write_table(rollup.withColumn("batch", F.lit("first")), target, ["activity_date", "batch"]).select(*rollup.columns)
+
+
+def build_from_raw(inputs: Inputs, cfg: Config, out_dir: str, raw: DataFrame) -> dict[str, DataFrame]:
+    """As ``build``, from the written un-stitched roll-up."""
 
     def share(df: DataFrame, name: str) -> DataFrame:
         # The other shared relations are among the tables.
         return materialize(df, name) if name in ("lookup", "user_days") else df
 
-    relations = Relations(inputs, cfg, share)
+    relations = Relations(inputs, cfg, share, raw)
     written: dict[str, DataFrame] = {}
 
     def write(attribute: str, table: str, partition: str | None) -> DataFrame | None:

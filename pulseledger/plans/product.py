@@ -48,7 +48,12 @@ def product_metrics_daily(daily: DataFrame, cfg: Config) -> DataFrame:
     Literal velocities look back a number of rows, which skips idle days;
     with documented semantics rows and days are the same.
     """
-    return product_actives(daily, cfg).selectExpr(
+    return product_trends(product_actives(daily, cfg))
+
+
+def product_trends(actives: DataFrame) -> DataFrame:
+    """Metrics that follow from the actives of all days, one row per day."""
+    return actives.selectExpr(
         "metric_date",
         *_NAMES,
         f"coalesce({safe_ratio('dau', 'mau', 2)}, 0D) AS user_stickiness_ratio",

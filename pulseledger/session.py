@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,6 +94,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(*steps: Callable[[], object]) -> list:
+    """Run steps that do not need each other at the same time, so that the jobs
+    of one fill the gaps of another; their results in order."""
+    with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
+        return [pending.result() for pending in [pool.submit(step) for step in steps]]
+
+
 def keep_lazy(df: DataFrame, name: str) -> DataFrame:
     """Share nothing: every reader computes the relation for itself."""
     return df

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions import aggregate, minute_diff
 from ..operators import activity
 from ..operators.sessions import SESSION_COLUMNS, SESSION_DATE, number_from, sessionize, sessionize_minutes
+from ..session import side_by_side
 from . import files
 
 STATE_BUCKETS = 32
@@ -161,14 +162,14 @@ def _plan(minutes: DataFrame, path: str, log: str, timeout_minutes: int, again:
         lies_on = "explode(sequence(to_date(session_start_at), to_date(session_end_at))) AS day"
         used = [row[0] for row in tail.filter("again").selectExpr(lies_on).distinct().collect()]
         changes = changes.unionByName(sessionize_minutes(again.minutes(used), timeout_minutes))
-    changes = files.stored(changes.select(*SESSION_COLUMNS), f"{log}/changes")
-    removed = files.stored(tail.select(*SESSION_COLUMNS), f"{log}/removed")
+    changes, removed = side_by_side(
+        lambda: files.stored(changes.select(*SESSION_COLUMNS), f"{log}/changes"),
+        lambda: files.stored(tail.select(*SESSION_COLUMNS), f"{log}/removed"),
+    )
 
     fixed = aggregate(loaded.filter(is_fixed), ["reach_user"], f"collect_set({SESSION_DATE}) AS fixed_days")
     state = _new_state(reach, changes, fixed).unionByName(known.join(reach, F.expr("user_id <=> reach_user"), "left_anti"))
-    files.stored(state, f"{log}/users")
-
-    changed_days = _days(removed, changes)
+    _, changed_days = side_by_side(lambda: files.stored(state, f"{log}/users"), lambda: _days(removed, changes))
     affected = table.filter(F.col(SESSION_DATE).isin(changed_days)).select(*SESSION_COLUMNS)
     kept = affected.join(removed.select("session_id"), "session_id", "left_anti").select(*SESSION_COLUMNS)
     files.stored(with_session_date(kept.unionByName(changes)), f"{log}/rows")
@@ -218,11 +219,16 @@ def _copy(spark: SparkSession, log: str, path: str) -> None:
     schema = read_sessions(spark, path).schema
     removed, changes = (spark.read.schema(schema).parquet(f"{log}/{part}") for part in ("removed", "changes"))
     rows = spark.read.schema(schema).parquet(f"{log}/rows")
-    files.swap_partitions(rows, path, SESSION_DATE, _days(removed, changes), "user_id")
     state = spark.read.schema(_STATE).parquet(f"{log}/users")
-    buckets = spark.read.schema("bucket int").parquet(f"{log}/reach").distinct().collect()
     folder = f"{path.rstrip('/')}_users"
-    files.swap_partitions(state, folder, "bucket", [row[0] for row in buckets], "user_id")
+
+    def buckets() -> list[int]:
+        return [row[0] for row in spark.read.schema("bucket int").parquet(f"{log}/reach").distinct().collect()]
+
+    side_by_side(
+        lambda: files.swap_partitions(rows, path, SESSION_DATE, _days(removed, changes), "user_id"),
+        lambda: files.swap_partitions(state, folder, "bucket", buckets(), "user_id"),
+    )
     files.mark(spark, f"{folder}/{_READY}")
 
 
