@@ -114,7 +114,7 @@ def _tops(levels: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def _attached(levels: Sequence[DataFrame], tops: DataFrame, name: str) -> DataFrame:
+def _attached(levels: Sequence[DataFrame], tops: DataFrame) -> DataFrame:
     """The leaves with their ways; ``tops`` has (top_group, way, top) of each group."""
     above = None
     for k in range(len(levels) - 1, -1, -1):
@@ -123,7 +123,7 @@ def _attached(levels: Sequence[DataFrame], tops: DataFrame, name: str) -> DataFr
         found = highest.join(tops, F.expr("node_group <=> top_group")).select(*nodes.columns, "way", "top")
         if above is not None:
             found = found.unionByName(_with_ancestors(nodes.filter(f"total > {FANOUT**k}"), above, k + 1))
-        above = materialize(found, f"{name}-way-{k}") if k else found
+        above = found
     return above
 
 
@@ -145,15 +145,15 @@ def manifest(leaves: DataFrame) -> DataFrame:
     bottom = _as_leaves(ranked, "group_key", "leaf", *more)
     levels = _levels(bottom, _largest(ranked), "nodes")
 
-    subroots = materialize(_tops(levels), "subroots").selectExpr("node_group AS source_group", "digest", "0 AS whole")
+    subroots = _tops(levels).selectExpr("node_group AS source_group", "digest", "0 AS whole")
     order = numbered(subroots, "whole", ["source_group"], "subroot-order")
     upper = _levels(_as_leaves(order, "whole", "digest", "source_group"), _largest(order), "upper")
     one = _tops(upper).selectExpr(
         "node_group AS top_group", "CAST(array() AS ARRAY<STRUCT<`left`: STRING, `right`: STRING>>) AS way", "digest AS top"
     )
-    placed = _attached(upper, one, "upper")
+    placed = _attached(upper, one)
     tops = materialize(placed.selectExpr("source_group AS top_group", "way", "named_struct('subroot', digest, 'root', top) AS top"), "tops")
-    return _attached(levels, tops, "nodes").selectExpr("node_group AS group_key", "digest AS leaf", *more, "top.subroot", "top.root", "way")
+    return _attached(levels, tops).selectExpr("node_group AS group_key", "digest AS leaf", *more, "top.subroot", "top.root", "way")
 
 
 def proof_digest(way: str = "way") -> str:
