@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from . import oracle, streaming
 from .config import DOCUMENTED, Config
-from .functions import date_spine, name, round_half_up
+from .functions import aggregate, date_spine, name, round_half_up, union_all
 from .functions.columns import KEY_NULL_TOKEN
-from .operators import identity, quality
+from .operators import bitmaps, docs, identity, quality
+from .operators import sketches as sketch
 from .operators.sessions import SESSION_COLUMNS, events_since, sessionize, sessionize_incremental, sessionize_recent
 from .plans import accounts as account_plans
 from .plans import dimensions, incremental, product, signals, users
@@ -404,12 +405,13 @@ def _upserted_again(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def _upserted_stream(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The session table kept by a stream over several files, one a batch."""
+    """The session table kept by a stream over the files of several parts, a few a batch."""
     folder, table = scratch_path(spark, "arriving"), scratch_path(spark, "session-table")
     schema = "event_id string, user_id string, account_id string, event_at timestamp"
     for batch in _batches(r):
-        batch.coalesce(1).write.mode("append").parquet(folder)
-    arriving = streaming.read_stream(spark, folder, spark.createDataFrame([], schema).schema, max_files=1)
+        batch.write.mode("append").parquet(folder)
+    # The upsert takes events in any arrival order, so files of several parts may share a micro-batch.
+    arriving = streaming.read_stream(spark, folder, spark.createDataFrame([], schema).schema, max_files=8)
     streaming.upsert_sessions_stream(arriving, table, f"{table}_state", r.cfg, once=True).awaitTermination()
     return sinks.read_sessions(spark, table).select(*SESSION_COLUMNS)
 
@@ -462,6 +464,96 @@ def _digest(*parts: object) -> str:
     return hashlib.md5(repr(parts).encode()).hexdigest()
 
 
+def _masked_actives(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actives of the last three days from stored masks and one new day at a time.
+
+    Every ninth row of the days before arrives on the last day.
+    """
+    keys = ["account_id", "user_id"]
+    seen = r.daily.filter("user_id IS NOT NULL").select(*keys, "activity_date").distinct()
+    late = "pmod(hash(user_id, activity_date), 9) = 0"
+    start, last = r.cfg.last_day - timedelta(days=3), r.cfg.last_day
+    masks = bitmaps.activity_masks(seen.filter(f"activity_date <= DATE'{start}' AND NOT ({late})"), keys, "activity_date", start)
+    masks = sinks.write_table(masks, scratch_path(spark, "masks"))
+    for k in range(1, 4):
+        day = start + timedelta(days=k)
+        new = seen.filter(f"activity_date = DATE'{day}' OR (activity_date < DATE'{day}' AND {late})" if day == last else f"activity_date = DATE'{day}' AND NOT ({late})")
+        masks = bitmaps.advance_masks(masks, new, keys, "activity_date", day - timedelta(days=1), day)
+        masks = sinks.write_table(masks, scratch_path(spark, "masks"))
+    counts = bitmaps.masked_actives(masks, ["account_id"], account_plans.USER_WINDOWS)
+    days = r.dim_accounts.filter(f"to_date(first_seen_at) <= DATE'{last}'").select("account_id").join(counts, "account_id", "left")
+    names = list(account_plans.USER_WINDOWS)
+    return days.selectExpr(f"DATE'{last}' AS metric_date", "account_id", *[f"coalesce({n}, 0L) AS {n}" for n in names])
+
+
+def _sketched_actives(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether united daily sketches are within five errors of the exact counts,
+    per account and in all, for three spans."""
+    sketches = sinks.write_table(sketch.daily_sketches(r.daily), scratch_path(spark, "sketches"), ["activity_date"])
+    last = r.cfg.last_day
+    out = []
+    for days in (7, 30, 365):
+        first = last - timedelta(days=days - 1)
+        span = r.daily.filter(f"activity_date BETWEEN DATE'{first}' AND DATE'{last}'")
+        for keys in (["account_id"], []):
+            exact = aggregate(span, keys, "count(DISTINCT user_id) AS users", "count(DISTINCT event_name) AS features")
+            approx = sketch.united_estimates(sketches, keys, first, last)
+            both = exact.join(approx, keys) if keys else exact.join(approx, F.expr("true"))
+            near = f"abs(approx_{{0}} - {{0}}) <= 1 + {5 * sketch.STANDARD_ERROR} * {{0}}"
+            out.append(both.selectExpr(
+                f"{days}L AS days", "account_id" if keys else "'all' AS account_id",
+                f"{near.format('users')} AS users_near", f"{near.format('features')} AS features_near",
+            ))
+    return union_all(out)
+
+
+def _sketched_sql(cfg: Config) -> str:
+    parts = []
+    for days in (7, 30, 365):
+        span = f"CAST(tm AS DATE) BETWEEN DATE '{cfg.last_day - timedelta(days=days - 1)}' AND DATE '{cfg.last_day}'"
+        parts.append(f"SELECT DISTINCT CAST({days} AS BIGINT) AS days, account_id, true AS users_near, true AS features_near FROM stg WHERE {span}")
+        parts.append(f"SELECT CAST({days} AS BIGINT), 'all', true, true")
+    return "\nUNION ALL ".join(parts)
+
+
+DOCUMENTED_TABLES = {"dim_accounts": "dim_a", "dim_users": "dim_u", "fct_product_metrics_daily": "prod", "fct_account_metrics_daily": "acct"}
+
+
+def _column_comments(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(relation, column_name, comment, n_filled) of written tables, from the schema they are read back with."""
+    relations = {"dim_accounts": r.dim_accounts, "dim_users": r.dim_users, "fct_product_metrics_daily": r.product_daily, "fct_account_metrics_daily": r.account_daily}
+    return union_all([docs.filled_columns(sinks.write_table(docs.with_docs(df), scratch_path(spark, name)), name) for name, df in relations.items()])
+
+
+def _comments_sql() -> str:
+    def listed(select: str) -> list[str]:
+        return select.split(" FROM ")[0].removeprefix("SELECT").replace(",", " ").split()
+
+    trends = [f"{n}_trend_{k}d" for n in product.TREND_COLUMNS for k in product.TREND_SPANS]
+    columns = {
+        "dim_accounts": listed(DIM_A_SQL),
+        "dim_users": listed(DIM_U_SQL),
+        "fct_product_metrics_daily": ["metric_date", *product.TREND_COLUMNS, "user_stickiness_ratio", "account_stickiness_ratio", *trends],
+        "fct_account_metrics_daily": dict.fromkeys(
+            [*ACCOUNT_ACTIVES, *ACCOUNT_BREADTH, *ACCOUNT_SESSIONS, *ACCOUNT_SIGNALS, *ACCOUNT_TRENDS, "health_segment", "health_score"]
+        ),
+    }
+    parts = []
+    for relation, names in columns.items():
+        for column in names:
+            if column in docs.COLUMN_DOCS:
+                comment = docs.COLUMN_DOCS[column].replace("'", "''")
+                counted = f"count({column}) AS n_filled FROM {DOCUMENTED_TABLES[relation]}"
+                parts.append(f"SELECT '{relation}' AS relation, '{column}' AS column_name, '{comment}' AS comment, {counted}")
+    return "\nUNION ALL ".join(parts)
+
+
+def _registered_view(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged events read by the name of their view."""
+    sinks.register(r.tracks, "staged_events_view")
+    return spark.sql("SELECT account_id, event_name, count(*) AS n_events FROM staged_events_view GROUP BY account_id, event_name")
+
+
 SESSION_SQL = (
     "SELECT session_id, user_id, user_session_index, session_start_at, session_end_at, session_duration_seconds,"
     " events_in_session, account_id FROM sess"
@@ -600,6 +692,12 @@ def _build() -> dict[str, Query]:
         "SELECT metric_date, dau, mau, user_stickiness_ratio FROM prod ORDER BY metric_date DESC LIMIT 10",
     )
     q["account_actives"] = _account(ACCOUNT_ACTIVES)
+    q["account_actives_masks"] = Query(
+        _masked_actives, f"SELECT metric_date, account_id, dau, wau, mau FROM acct WHERE metric_date = DATE '{MAIN.last_day}'"
+    )
+    q["sketched_actives"] = Query(_sketched_actives, f"SELECT * FROM ({_sketched_sql(MAIN)})")
+    q["column_comments"] = Query(_column_comments, f"SELECT * FROM ({_comments_sql()})")
+    q["registered_view"] = Query(_registered_view, "SELECT account_id, event AS event_name, count(*) AS n_events FROM stg GROUP BY ALL")
     q["account_breadth_frequency"] = _account(ACCOUNT_BREADTH)
     q["account_sessions_literal"] = _account(ACCOUNT_SESSIONS)
     q["account_sessions_documented"] = _account(ACCOUNT_SESSIONS, MAIN.replace(semantics=DOCUMENTED))
@@ -715,6 +813,8 @@ def _share(queries: dict[str, Query]) -> dict[str, Query]:
             query.shared = ("lookup", "sessions")
     for key in ("sessions_upsert_table", "sessions_upsert_repeated", "sessions_upsert_stream", "sessions_recent"):
         queries[key].shared = ("events", "sessions")
+    for key in ("account_actives_masks", "sketched_actives", "column_comments"):
+        queries[key].shared = ("lookup", "daily", "sessions")
     for key in ("account_playbook", "quality_report", "quality_report_spoiled"):
         queries[key].shared = ("lookup", "tracks", "daily", "sessions", "user_days")
     return queries

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import aggregate, name, text_literal
+
 # Meaning of each output column. Names shared by several relations mean the
 # same in each.
 COLUMN_DOCS: dict[str, str] = {
@@ -99,3 +101,15 @@ def with_docs(df: DataFrame, docs: Mapping[str, str] = COLUMN_DOCS) -> DataFrame
 
 def column_comments(df: DataFrame) -> dict[str, str]:
     return {f.name: f.metadata["comment"] for f in df.schema.fields if "comment" in f.metadata}
+
+
+def filled_columns(df: DataFrame, relation: str) -> DataFrame:
+    """(relation, column_name, comment, n_filled): the documented columns and in
+    how many rows they have a value."""
+    found = list(column_comments(df).items())
+    counts = aggregate(df, [], *[f"count({name(c)}) AS c{i}" for i, (c, _) in enumerate(found)])
+    entries = ", ".join(
+        f"named_struct('relation', {text_literal(relation)}, 'column_name', {text_literal(c)}, 'comment', {text_literal(text)}, 'n_filled', c{i})"
+        for i, (c, text) in enumerate(found)
+    )
+    return counts.selectExpr(f"inline(array({entries}))")

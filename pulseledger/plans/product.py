@@ -11,7 +11,7 @@ from ..operators.rolling import coverage_steps, fill_days, trend_columns, union_
 USER_WINDOWS = {"dau": 1, "wau": 7, "mau": 30}
 ACCOUNT_WINDOWS = {"daa": 1, "waa": 7, "maa": 30}
 TREND_SPANS = (7, 14, 30)
-_NAMES = [*USER_WINDOWS, *ACCOUNT_WINDOWS]
+TREND_COLUMNS = [*USER_WINDOWS, *ACCOUNT_WINDOWS]
 
 
 def product_actives(daily: DataFrame, cfg: Config) -> DataFrame:
@@ -29,14 +29,14 @@ def product_actives(daily: DataFrame, cfg: Config) -> DataFrame:
     ]
     if cfg.documented and cfg.spine_start <= cfg.last_day:
         parts.append(daily.sparkSession.range(1).selectExpr(f"{day_literal(cfg.spine_start)} AS activity_date"))
-    steps = union_measures(parts, ["activity_date"], _NAMES)
-    per_day = aggregate(steps, ["activity_date"], *[f"sum({n}) AS {n}" for n in _NAMES])
+    steps = union_measures(parts, ["activity_date"], TREND_COLUMNS)
+    per_day = aggregate(steps, ["activity_date"], *[f"sum({n}) AS {n}" for n in TREND_COLUMNS])
 
     # From here on there is one row per calendar day, so windows without a
     # partition key are small.
-    days = fill_days(per_day, [], "activity_date", _NAMES, cfg.last_day)
+    days = fill_days(per_day, [], "activity_date", TREND_COLUMNS, cfg.last_day)
     totals = days.selectExpr(
-        "activity_date AS metric_date", *[f"sum({n}) OVER (ORDER BY activity_date) AS {n}" for n in _NAMES]
+        "activity_date AS metric_date", *[f"sum({n}) OVER (ORDER BY activity_date) AS {n}" for n in TREND_COLUMNS]
     )
     on_spine = totals.filter(f"metric_date >= {day_literal(cfg.spine_start)}")
     return on_spine if cfg.documented else on_spine.filter("maa > 0")
@@ -55,8 +55,8 @@ def product_trends(actives: DataFrame) -> DataFrame:
     """Metrics that follow from the actives of all days, one row per day."""
     return actives.selectExpr(
         "metric_date",
-        *_NAMES,
+        *TREND_COLUMNS,
         f"coalesce({safe_ratio('dau', 'mau', 2)}, 0D) AS user_stickiness_ratio",
         f"coalesce({safe_ratio('daa', 'maa', 2)}, 0D) AS account_stickiness_ratio",
-        *trend_columns(_NAMES, "ORDER BY metric_date", TREND_SPANS),
+        *trend_columns(TREND_COLUMNS, "ORDER BY metric_date", TREND_SPANS),
     )
