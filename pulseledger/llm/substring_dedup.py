@@ -14,8 +14,15 @@ are verified by exact Jaccard similarity, and links are gathered in components.
 Windows link if their words are equal. A common run that holds a repeated window
 goes on for less than MIN_WORDS words before its first and after its last one; so all
 windows that begin less than MIN_WORDS words from a repeated one are compared as
-well, which covers the run to its ends. In each component the first unit (by id,
-then place) stays, and the spans of the others are removed.
+well, which covers the run to its ends.
+
+Paragraphs are decided first: of each component the first (by id, then place) stays.
+Of a window's copies the first that no removed paragraph touches stays, and the
+others go; a window whose copies all touch removed paragraphs is not removed on its
+own account. So every word that goes with a window, or with a paragraph of which an equal one
+stays, is left somewhere: its copy lies in an earlier place that no removed
+paragraph touches, and either stays or has a copy in turn. What a near copy has
+of its own goes with it.
 
 Defined cases: a null text is empty; short lines between longer ones with less than
 MIN_WORDS words together are no paragraph, only part of windows. Words are
@@ -143,9 +150,10 @@ def window_units(text: bytes) -> tuple[np.ndarray, ...]:
     return _windows(starts, stops, words, np.unique(lowest[: len(words) - 2 * MIN_WORDS + 2]))
 
 
-def near_windows(text: bytes, begins: list[int]) -> tuple[np.ndarray, ...]:
+def near_windows(text: bytes, begins: list[int], gone: list[tuple[int, int]]) -> tuple[np.ndarray, ...]:
     """All windows that begin less than MIN_WORDS words from those at the bytes
-    ``begins``: start, stop, d1, d2, and whether it is one of those."""
+    ``begins``: start, stop, d1, d2, whether it is one of those, and whether it
+    touches one of the spans ``gone``, which are disjoint and in order."""
     lower = text.lower()
     starts, stops = word_bounds(lower)
     own = np.searchsorted(starts, np.array(begins))
@@ -153,7 +161,11 @@ def near_windows(text: bytes, begins: list[int]) -> tuple[np.ndarray, ...]:
     np.add.at(steps, np.maximum(own - MIN_WORDS + 1, 0), 1)
     np.add.at(steps, np.minimum(own + MIN_WORDS, len(starts)), -1)
     at = np.flatnonzero(np.cumsum(steps)[: len(starts) - MIN_WORDS + 1])
-    return *_windows(starts, stops, word_hashes(lower), at), np.isin(at, own)
+    found = _windows(starts, stops, word_hashes(lower), at)
+    # The last span that begins before the window's end must reach its start.
+    edges = np.array([(-1, -1), *gone])
+    touched = edges[np.searchsorted(edges[:, 0], found[1]) - 1, 1] > found[0]
+    return *found, np.isin(at, own), touched
 
 
 def _line_rows(rows: DataFrame) -> DataFrame:
@@ -183,22 +195,25 @@ def _window_rows(rows: DataFrame) -> DataFrame:
     return map_batches(rows.select("id", "text_hash", "text"), run, _WINDOW)
 
 
-def _near_rows(rows: DataFrame, places: DataFrame) -> DataFrame:
-    """Windows near the given ones, with ``unit`` true for the given ones."""
+def _near_rows(rows: DataFrame, places: DataFrame, removed: DataFrame) -> DataFrame:
+    """Windows near the given ones, with ``unit`` true for the given ones and
+    ``touched`` for those that touch a removed paragraph."""
     begins = places.groupBy("id", "text_hash").agg(F.collect_set("start").alias("begins")).toDF("b_id", "b_hash", "begins")
-    side = F.broadcast(begins) if places.count() <= BROADCAST_IDS else begins
-    texts = rows.join(side, F.expr("id <=> b_id AND text_hash = b_hash")).select("id", "text_hash", "text", "begins")
+    gone = removed.groupBy("id", "text_hash").agg(F.expr("array_sort(collect_set(struct(start, stop))) AS gone")).toDF("g_id", "g_hash", "gone")
+    begins = materialize(begins.join(gone, F.expr("b_id <=> g_id AND b_hash = g_hash"), "left").drop("g_id", "g_hash"), "window-places")
+    side = F.broadcast(begins) if places.count() + removed.count() <= BROADCAST_IDS else begins
+    texts = rows.join(side, F.expr("id <=> b_id AND text_hash = b_hash")).select("id", "text_hash", "text", "begins", "gone")
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        columns = [batch.column(i).to_pylist() for i in (0, 1, 3)]
-        for id_, hash_, begins, text in zip(*columns, byte_texts(batch.column(2)), strict=True):
-            start, stop, d1, d2, unit = near_windows(text, begins)
+        columns = [batch.column(i).to_pylist() for i in (0, 1, 3, 4)]
+        for id_, hash_, begins, gone, text in zip(*columns, byte_texts(batch.column(2)), strict=True):
+            start, stop, d1, d2, unit, touched = near_windows(text, begins, [(g["start"], g["stop"]) for g in gone or []])
             yield {
                 "id": [id_] * len(start), "text_hash": np.full(len(start), hash_, np.int64), "start": start, "stop": stop,
-                "d1": d1, "d2": d2, "unit": unit,
+                "d1": d1, "d2": d2, "unit": unit, "touched": touched,
             }
 
-    return map_batches(texts, run, f"{_WINDOW}, unit boolean")
+    return map_batches(texts, run, f"{_WINDOW}, unit boolean, touched boolean")
 
 
 def _unit_texts(rows: DataFrame, sets: DataFrame, sids: DataFrame) -> DataFrame:
@@ -217,16 +232,6 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     class_id, removed; ``component`` names its kept unit as (id, text_hash, start).
     Rows with ``unit`` false are windows that only extend a repeat to its ends."""
     rows = _rows(docs, id_col, text_col)
-    place = "struct(id, text_hash, start)"
-    windows = materialize(_window_rows(rows), "windows")
-    often = windows.groupBy("d1", "d2").count().filter("count > 1").drop("count")
-    often = materialize(often, "repeated-windows")
-    again = materialize(windows.join(often, ["d1", "d2"], "left_semi").select("id", "text_hash", "start").distinct(), "window-copies")
-    near = materialize(_near_rows(rows, again), "near-windows")
-    kept = near.groupBy("d1", "d2").agg(F.count("*").alias("copies"), F.expr(f"min({place}) AS component"))
-    kept = materialize(kept.filter("copies > 1").drop("copies"), "kept-windows")
-    windows_out = near.join(kept, ["d1", "d2"]).selectExpr("id", "text_hash", "start", "stop", "component", "unit", "'w' AS kind")
-
     lines = materialize(_line_rows(rows), "lines")
     sets = lines.groupBy("d1", "d2").agg(
         F.first("n").alias("n"), F.first("bands").alias("bands"), F.expr("min(struct(id, text_hash, start, stop)) AS rep"),
@@ -244,8 +249,20 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lines_out = lines.drop("n", "bands").join(answer, ["d1", "d2"]).selectExpr(
         "id", "text_hash", "start", "stop", "component", "true AS unit", "'p' AS kind"
     )
-    class_id = "concat(kind, coalesce(component.id, 'null'), ':', hex(component.text_hash), ':', component.start)"
     removed = "NOT (id <=> component.id AND text_hash = component.text_hash AND start = component.start)"
+    gone = materialize(lines_out.filter(removed).select("id", "text_hash", "start", "stop").distinct(), "removed-paragraphs")
+
+    place = "struct(id, text_hash, start)"
+    windows = materialize(_window_rows(rows), "windows")
+    often = windows.groupBy("d1", "d2").count().filter("count > 1").drop("count")
+    often = materialize(often, "repeated-windows")
+    again = materialize(windows.join(often, ["d1", "d2"], "left_semi").select("id", "text_hash", "start").distinct(), "window-copies")
+    near = materialize(_near_rows(rows, again, gone), "near-windows")
+    kept = near.groupBy("d1", "d2").agg(F.count("*").alias("copies"), F.expr(f"min(IF(touched, NULL, {place})) AS component"))
+    kept = materialize(kept.filter("copies > 1 AND component IS NOT NULL").drop("copies"), "kept-windows")
+    windows_out = near.join(kept, ["d1", "d2"]).selectExpr("id", "text_hash", "start", "stop", "component", "unit", "'w' AS kind")
+
+    class_id = "concat(kind, coalesce(component.id, 'null'), ':', hex(component.text_hash), ':', component.start)"
     return lines_out.unionByName(windows_out).withColumns({"class_id": F.expr(class_id), "removed": F.expr(removed)}).drop("kind")
 
 

@@ -466,6 +466,49 @@ def test_passages_cross_lines_and_go_whole(spark):
     assert not set(found[1].class_ids) & set(found[3].class_ids)
 
 
+def test_a_passage_of_a_removed_paragraph_stays_elsewhere(spark):
+    """The first copy of a passage lies in a near copy that goes: the other copy stays."""
+    rng = random.Random(22)
+
+    def fresh(tag, n):
+        return [f"{tag}{k}x{rng.randrange(10**6)}" for k in range(n)]
+
+    base, passage = fresh("b", 500), fresh("p", 55)
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:200], *passage, *base[200:]])), (3, " ".join([*fresh("c", 90), *passage, *fresh("d", 90)]))]
+    small = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.id: r.text.split() for r in substring_dedup.without_repeats(small).collect()}
+    assert kept[1] == base and kept[2] == [] and kept[3] == rows[2][1].split()
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_no_repeated_passage_vanishes(spark, seed):
+    """Passages, exact paragraphs and near copies at random: each repeated word is left somewhere."""
+    rng = random.Random(seed)
+
+    def fresh(tag, n):
+        return [f"{tag}w{rng.randrange(10**9)}" for _ in range(n)]
+
+    passages = [fresh(f"p{k}", rng.randrange(50, 90)) for k in range(6)]
+    paragraphs = [fresh(f"q{k}", rng.randrange(60, 300)) for k in range(6)]
+    rows = []
+    for i in range(40):
+        lines = []
+        for _ in range(rng.randrange(1, 4)):
+            line = list(rng.choice(paragraphs)) if rng.random() < 0.6 else fresh("f", rng.randrange(30, 120))
+            if rng.random() < 0.5:
+                at, cut = rng.randrange(len(line)), rng.randrange(0, 20)
+                line[at:at] = rng.choice(passages)[cut:]
+            lines.append(" ".join(line))
+        rows.append((i, "\n".join(lines)))
+    small = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter(w for r in substring_dedup.without_repeats(small).collect() for w in r.text.split())
+    seen = Counter(w for _, t in rows for w in t.split())
+    # Each paragraph is taken several times, so its first copy is exact or holds a passage.
+    repeated = {w for w, n in seen.items() if n > 1 and w[0] in "pq"}
+    assert repeated and not {w for w in repeated if not kept[w]}
+    assert sum(kept.values()) < 0.8 * sum(seen.values())
+
+
 def test_paragraph_query_has_every_document(spark):
     rows = catalog.op8_substring_dedup(spark, SF).collect()
     assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in common.documents(spark, SF).collect())
