@@ -1,7 +1,7 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs.
 
-The fingerprint is a wide vector of 16-bit lanes. Each paragraph (line) is hashed
-to such a vector and the vectors of a document are added modulo 2**16. Sums do
+The fingerprint is a wide vector of 32-bit lanes. Each paragraph (line) is hashed
+to such a vector and the vectors of a document are added modulo 2**32. Sums do
 not depend on order, and a paragraph is inserted or deleted by adding or
 subtracting its vector, without the rest of the text.
 
@@ -13,8 +13,8 @@ length of a difference of two sketches estimates how many windows two documents
 don't share, which gives the likeness 1 - |a - b|**2 / (|a|**2 + |b|**2).
 
 Defined cases: a null text is empty, and an empty text has one empty paragraph.
-A paragraph below 16 bytes is one window. A repeat of 2**16 equal paragraphs
-wraps around. The likeness of equal fingerprints is 1.
+A paragraph below 16 bytes is one window. A sum of 2**32 equal paragraphs
+wraps around, and so does the likeness from 2**31 equal windows on. The likeness of equal fingerprints is 1.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ MAX_BUCKETS = 20_000
 
 
 def _paragraph_digest(paragraph: bytes) -> np.ndarray:
-    return np.frombuffer(hashlib.shake_128(paragraph).digest(2 * DIGEST_LANES), "<u2")
+    return np.frombuffer(hashlib.shake_128(paragraph).digest(4 * DIGEST_LANES), "<u4")
 
 
 def _sketch(text: bytes) -> np.ndarray:
@@ -72,10 +72,10 @@ def _sketch(text: bytes) -> np.ndarray:
 
 def vector(text: bytes) -> np.ndarray:
     """Sum of the vectors of the paragraphs of a text."""
-    digest = np.zeros(DIGEST_LANES, np.uint16)
+    digest = np.zeros(DIGEST_LANES, np.uint32)
     for paragraph in text.split(b"\n"):
         digest += _paragraph_digest(paragraph)
-    return np.concatenate([digest, _sketch(text).astype(np.uint16)])
+    return np.concatenate([digest, _sketch(text).astype(np.uint32)])
 
 
 def insert(state: np.ndarray, paragraphs: bytes) -> np.ndarray:
@@ -89,18 +89,18 @@ def delete(state: np.ndarray, paragraphs: bytes) -> np.ndarray:
 
 
 def to_text(state: np.ndarray) -> str:
-    return state.astype("<u2").tobytes().hex()
+    return state.astype("<u4").tobytes().hex()
 
 
 def from_text(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint), "<u2").copy()
+    return np.frombuffer(bytes.fromhex(fingerprint), "<u4").copy()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """0 (nothing in common) to 1 (equal)."""
     if np.array_equal(a, b):
         return 1.0
-    x, y = (v[DIGEST_LANES:].view(np.int16).astype(np.float64) for v in (a, b))
+    x, y = (v[DIGEST_LANES:].view(np.int32).astype(np.float64) for v in (a, b))
     both = float(x @ x + y @ y)
     return float(np.clip(1.0 - ((x - y) @ (x - y)) / both, 0.0, 1.0)) if both else 0.0
 

@@ -174,6 +174,25 @@ def test_fingerprint_is_a_homomorphic_multiset_hash():
     assert fingerprints.likeness(whole, whole) == 1 and fingerprints.likeness(fingerprints.vector(b""), whole) < 0.2
 
 
+def exact_likeness(a, b):
+    """1 - |x - y|**2 / (|x|**2 + |y|**2) over counts of 16-byte windows of paragraphs."""
+    x, y = (Counter(p[k : k + 16] for p in t.split(b"\n") for k in range(max(1, len(p) - 15))) for t in (a, b))
+    both = sum(n * n for n in [*x.values(), *y.values()])
+    return 1 - sum((x[w] - y[w]) ** 2 for w in x | y) / both
+
+
+def test_likeness_is_near_the_exact_one():
+    rng = random.Random(6)
+    runs = [(b"a" * 40_000, b"a" * 20_000), (b"a" * 100_000, b"a" * 99_000), (b"log line again\n" * 40_000, b"log line again\n" * 30_000)]
+    for a, b in runs:
+        assert abs(fingerprints.likeness(fingerprints.vector(a), fingerprints.vector(b)) - exact_likeness(a, b)) < 0.01
+    for _ in range(30):
+        text = words(rng, rng.randrange(50, 400)).encode()
+        edited = text[: rng.randrange(len(text))] + words(rng, rng.randrange(1, 200)).encode()
+        near = fingerprints.likeness(fingerprints.vector(text), fingerprints.vector(edited))
+        assert abs(near - max(0, exact_likeness(text, edited))) < 0.25
+
+
 def test_edits_equal_brute_force(docs, empty, texts):
     order = sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
     got = fingerprints.edits(docs).collect()
