@@ -279,31 +279,33 @@ class BytePairModel:
         return text[1:] if starts_with_space else text
 
     def round_trip(self, text: str) -> tuple[int, str, str]:
-        """(number of ids with the end id, ids as text, decoded text)."""
+        """(number of ids with the end id, ids as text, text decoded from the ids)."""
         words = self._split(text)
         known = self._words
         if len(known) > CACHED_WORDS:
             known.clear()
-        ids = " ".join([*map(known.__getitem__, words), str(self.eos)])
-        # Every word's ids have been decoded to that word; the dummy prefix goes.
-        return ids.count(" ") + 1, ids, "".join(words)[1:]
+        found = list(map(known.__getitem__, words))
+        ids = " ".join([*[f[0] for f in found], str(self.eos)])
+        # Ids of a word decode by themselves: no character is cut by a word's end.
+        back = b"".join([f[1] for f in found]).decode("utf-8", "replace_each_byte")
+        first = int(ids.split(" ", 1)[0])
+        starts_with_space = first not in self.hidden and first not in self.bytes_of and self.pieces[first].startswith(SPACE)
+        return ids.count(" ") + 1, ids, back[1:] if starts_with_space else back
 
 
 class _Words(dict):
-    """Words with their ids as text, each encoded and decoded when first seen."""
+    """Words with their ids as text and what these ids decode to, each made when first seen."""
 
     def __init__(self, model: BytePairModel):
         self.model = model
 
-    def __missing__(self, word: str) -> str:
+    def __missing__(self, word: str) -> tuple[str, bytes]:
         model = self.model
         ids = model.encode_word(word)
-        if b"".join([model._raw[i] for i in ids]).decode() != word:
-            raise ValueError(f"{word!r} does not survive encoding")
-        text = " ".join([model._names[i] for i in ids])
+        found = " ".join([model._names[i] for i in ids]), model.decode_bytes(ids)
         if len(word) <= 64:
-            self[word] = text
-        return text
+            self[word] = found
+        return found
 
 
 @lru_cache(maxsize=2)
