@@ -16,8 +16,9 @@ from ..session import materialize, scratch_path  # noqa: F401  (re-exported)
 
 SPACES = "\x20\t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Rows of an Arrow batch: bounds a Python worker's memory where texts are long.
+# Rows and bytes of an Arrow batch: a Python worker holds a batch several times over.
 BATCH_ROWS = 1000
+BATCH_BYTES = "8m"
 
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -32,6 +33,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 
