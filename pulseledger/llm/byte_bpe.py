@@ -42,7 +42,7 @@ CHUNK = 32_768
 OVERLAP = 2_048
 MARGIN = 4
 # Pre-tokens kept with their ids by a Python worker; the store is emptied when full.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
 # Bytes of a pre-token up to which scanning all pairs beats a heap.
 SHORT = 100
 NO_RANK = 1 << 60
@@ -117,21 +117,33 @@ class ByteLevelModel:
         """Ends of the pre-tokens of a text, in order."""
         return [m.end() for m in self.pattern.finditer(text)]
 
-    def encode(self, text: str | None, ahead: str = "") -> list[int]:
-        """Ids of a text, or of a piece of one that ends with a pre-token;
-        ``ahead`` is what follows, for the pattern to look at."""
+    def _found(self, text: str, ahead: str = "") -> list[tuple[list[int], str, bytes]]:
+        """The pre-tokens of a text or of a piece; ``ahead`` is what follows a
+        piece, for the pattern to look at."""
         if len(self._known) > CACHED_WORDS:
             self._known.clear()
         if ahead:
             matches = self.pattern.finditer(text + ahead)
             words = [m.group() for m in takewhile(lambda m: m.start() < len(text), matches)]
         else:
-            words = self.pattern.findall(text or "")
-        return list(chain.from_iterable(map(self._known.__getitem__, words)))
+            words = self.pattern.findall(text)
+        return list(map(self._known.__getitem__, words))
+
+    def encode(self, text: str | None, ahead: str = "") -> list[int]:
+        """Ids of a text, or of a piece of one that ends with a pre-token."""
+        return list(chain.from_iterable([ids for ids, _, _ in self._found(text or "", ahead)]))
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def round_trip(self, text: str) -> tuple[int, str, str]:
+        """As ``digests`` of the ids of a whole text; ids are written and decoded
+        once for each pre-token, whose bytes are those of its ids."""
+        found = self._found(text)
+        ids = " ".join([names for _, names, _ in found])
+        back = b"".join([data for _, _, data in found])
+        return ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back).hexdigest()
+
     def digests(self, ids: list[int]) -> tuple[int, str, str]:
         """(number of ids, digest of the ids as text, digest of the decoded bytes)."""
         text = " ".join(map(self.names.__getitem__, ids))
@@ -139,16 +151,18 @@ class ByteLevelModel:
 
 
 class _PreTokens(dict):
-    """Pre-tokens with their ids, each merged when first seen."""
+    """Pre-tokens with their ids, these as text and decoded, each made when first seen."""
 
     def __init__(self, model: ByteLevelModel):
         self.model = model
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = tuple(self.model.merged(word.encode()))
+    def __missing__(self, word: str) -> tuple[tuple[int, ...], str, bytes]:
+        model = self.model
+        ids = tuple(model.merged(word.encode()))
+        found = ids, " ".join([model.names[i] for i in ids]), model.decode(ids)
         if len(word) <= 64:
-            self[word] = ids
-        return ids
+            self[word] = found
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -301,7 +315,7 @@ def round_trips(
 
     def of_texts(batch: pa.RecordBatch) -> dict:
         model = load(path, pattern)
-        return columns(batch.column("id"), [model.digests(model.encode(t)) for t in batch.column("text").to_pylist()])
+        return columns(batch.column("id"), [model.round_trip(t) for t in batch.column("text").to_pylist()])
 
     def of_ids(batch: pa.RecordBatch) -> dict:
         model = load(path, pattern)
