@@ -224,3 +224,25 @@ def test_checks(spark):
     suite = quality.Suite("t", ("id", "n"), ("id",), ("n >= 0",))
     report = {(r.check_name, r.subject): r.n_violations for r in quality.run_suite(df, suite).collect()}
     assert report == {("not_null", "id"): 2, ("not_null", "n"): 1, ("expression", "n >= 0"): 1, ("unique", "id"): 1}
+
+
+def test_checks_read_a_relation_once_unless_values_repeat(spark):
+    rows = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    def report(df):
+        rows.value = 0
+        seen = df.mapInArrow(counted, df.schema)
+        suite = quality.Suite("t", ("id", "n"), ("id", "n"), ("n >= 0", "n < 100"))
+        return {(r.check_name, r.subject): r.n_violations for r in quality.run_suite(seen, suite).collect()}, rows.value
+
+    healthy = frame(spark, "id string, n int", [(f"k{i}", i) for i in range(50)])
+    assert report(healthy) == ({("not_null", "id"): 0, ("not_null", "n"): 0, ("expression", "n >= 0"): 0, ("expression", "n < 100"): 0, ("unique", "id"): 0, ("unique", "n"): 0}, 50)
+    spoiled = frame(spark, "id string, n int", [("a", 1), ("a", 2), ("a", 3), ("b", 3), (None, None), (None, -1)])
+    found, _ = report(spoiled)
+    assert found == {("not_null", "id"): 2, ("not_null", "n"): 1, ("expression", "n >= 0"): 1, ("expression", "n < 100"): 0, ("unique", "id"): 1, ("unique", "n"): 1}
+    assert report(healthy.limit(0))[0][("unique", "id")] == 0
