@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on awkward rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -150,6 +151,44 @@ def test_classifier_edges(spark, docs, empty, texts, classifier, column):
     assert classifier.score(empty, model).count() == 0
 
 
+def plain_ftrl(labels, rows):
+    """FTRL-proximal one coordinate at a time, over all features."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if abs(z[i]) <= toxicity.L1:
+            return 0.0
+        return -math.copysign(abs(z[i]) - toxicity.L1, z[i]) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+
+    rng = np.random.Generator(np.random.PCG64(5))
+    for _ in range(toxicity.EPOCHS):
+        for k in rng.permutation(len(rows)):
+            w = {int(i): weight(int(i)) for i in rows[k]}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - labels[k]
+            for i, own in w.items():
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / toxicity.ALPHA
+                z[i] += g - sigma * own
+                n[i] += g * g
+    return {i: weight(i) for i in list(z) if weight(i)}
+
+
+def test_toxicity_learns_like_plain_ftrl():
+    rng = random.Random(12)
+    labels = [rng.randrange(2) for _ in range(60)]
+    texts = [f"{words(rng, 12)} {'vile stuff' if label else 'kind words'} {words(rng, 5)}".encode() for label in labels]
+    rows = [toxicity.features(t) for t in texts]
+    packed = toxicity.fit(labels, [r.tobytes() for r in rows])
+    count = len(packed) // 8
+    got = dict(zip(np.frombuffer(packed[: 4 * count], np.int32).tolist(), np.frombuffer(packed[4 * count :], np.float32).tolist(), strict=True))
+    expected = plain_ftrl(labels, rows)
+    # Features of one document are left out at once: their weights are zero.
+    assert got.keys() == expected.keys() and len(got) > 3
+    assert all(got[i] == pytest.approx(expected[i], rel=1e-5, abs=1e-6) for i in got)
+    model = toxicity.Model(packed)
+    for text, row in zip(texts, rows, strict=True):
+        assert model.score(text) == pytest.approx(1 / (1 + math.exp(-sum(expected.get(int(i), 0) for i in row))), abs=1e-5)
+
+
 def test_factorisation_machine_pairs():
     """The linear-time pair sum equals the sum over pairs."""
     rng = np.random.default_rng(3)
