@@ -416,6 +416,18 @@ def _upserted_stream(r: Relations, spark: SparkSession, sf_dir: str) -> DataFram
     return sinks.read_sessions(spark, table).select(*SESSION_COLUMNS)
 
 
+def _late_rows_reconciled(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that sets rows aside which are a day late; these merged afterwards."""
+    folder, table = scratch_path(spark, "arriving"), scratch_path(spark, "session-table")
+    schema = spark.createDataFrame([], "event_id string, user_id string, account_id string, event_at timestamp").schema
+    for batch in _batches(r):
+        batch.write.mode("append").parquet(folder)
+    arriving = streaming.read_stream(spark, folder, schema, max_files=8)
+    streaming.upsert_sessions_stream(arriving, table, f"{table}_state", r.cfg, once=True, delay=timedelta(days=1)).awaitTermination()
+    streaming.reconcile_late(spark, table, schema, r.cfg)
+    return sinks.read_sessions(spark, table).select(*SESSION_COLUMNS)
+
+
 def _recent_sessions(r: Relations, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored up to January 25, for every third user only to the 10th; then brought up to date, twice."""
     events = r.share(r.tracks.select("event_id", "user_id", "account_id", "event_at"), "events")
@@ -625,6 +637,7 @@ def _build() -> dict[str, Query]:
     q["sessions_upsert_table"] = Query(_upserted_sessions, SESSION_SQL)
     q["sessions_upsert_repeated"] = Query(_upserted_again, SESSION_SQL)
     q["sessions_upsert_stream"] = Query(_upserted_stream, SESSION_SQL)
+    q["sessions_late_rows"] = Query(_late_rows_reconciled, SESSION_SQL)
     q["sessions_recent"] = Query(_recent_sessions, SESSION_SQL)
     q["sessions_restitched"] = Query(_built_incrementally("fct_sessions", *SESSION_COLUMNS), SESSION_SQL)
     q["sessions_restitched_with_pages"] = Query(_built_incrementally("fct_sessions", *SESSION_COLUMNS), SESSION_SQL, WITH_PAGES)
@@ -811,7 +824,7 @@ def _share(queries: dict[str, Query]) -> dict[str, Query]:
             query.shared = ("lookup", "daily", "user_days")
         elif key.startswith("sessions_incremental"):
             query.shared = ("lookup", "sessions")
-    for key in ("sessions_upsert_table", "sessions_upsert_repeated", "sessions_upsert_stream", "sessions_recent"):
+    for key in ("sessions_upsert_table", "sessions_upsert_repeated", "sessions_upsert_stream", "sessions_late_rows", "sessions_recent"):
         queries[key].shared = ("events", "sessions")
     for key in ("account_actives_masks", "sketched_actives", "column_comments"):
         queries[key].shared = ("lookup", "daily", "sessions")

@@ -1,5 +1,5 @@
 from .metrics import approx_sliding_actives, daily_counts, deduplicate, sliding_actives
-from .sessions import emit_sessions, streaming_sessions, upsert_sessions_stream
+from .sessions import emit_sessions, late_rows, reconcile_late, streaming_sessions, upsert_sessions_stream
 from .sources import read_stream
 
 __all__ = [
@@ -7,7 +7,9 @@ __all__ = [
     "daily_counts",
     "deduplicate",
     "emit_sessions",
+    "late_rows",
     "read_stream",
+    "reconcile_late",
     "sliding_actives",
     "streaming_sessions",
     "upsert_sessions_stream",

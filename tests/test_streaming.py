@@ -1,7 +1,12 @@
+from datetime import timedelta
+
+import pytest
 from helpers import frame, tuples
 
 from pulseledger import streaming
 from pulseledger.operators.sessions import SESSION_COLUMNS, sessionize
+from pulseledger.sources import files
+from pulseledger.streaming import sessions
 
 EVENTS = "event_id string, user_id string, account_id string, event_at timestamp"
 
@@ -60,3 +65,38 @@ def test_upserts_take_late_events_in(spark, cfg, tmp_path):
     everything = frame(spark, EVENTS, [r for rows in BATCHES for r in rows])
     got = tuples(spark.read.parquet(path).select(*SESSION_COLUMNS))
     assert got == tuples(sessionize(everything).select(*SESSION_COLUMNS))
+
+
+def test_late_rows_are_set_aside_and_merged_later(spark, cfg, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    stream = arriving(spark, tmp_path)
+    streaming.upsert_sessions_stream(stream, path, f"{path}_state", cfg, once=True, delay=timedelta(hours=1)).awaitTermination()
+    rows = [r for batch in BATCHES for r in batch]
+
+    def table():
+        return tuples(spark.read.parquet(path).select(*SESSION_COLUMNS))
+
+    def full(kept):
+        return tuples(sessionize(frame(spark, EVENTS, kept)).select(*SESSION_COLUMNS))
+
+    # When e7 (10:45) came, 12:00 had been seen; e1 came twice, but in time.
+    late = streaming.late_rows(spark, path, stream.schema)
+    assert [(r.event_id, r.batch) for r in late.collect()] == [("e7", 2)]
+    assert table() == full([r for r in rows if r[0] != "e7"])
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "delete", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            streaming.reconcile_late(spark, path, stream.schema, cfg)
+    assert streaming.reconcile_late(spark, path, stream.schema, cfg) == 1
+    assert table() == full(rows)
+    assert streaming.reconcile_late(spark, path, stream.schema, cfg) == 0
+    assert table() == full(rows)
+
+
+def test_a_repeated_batch_is_split_in_the_same_way(spark, cfg, tmp_path):
+    path = str(tmp_path / "table")
+    first, second = (frame(spark, EVENTS, rows) for rows in (BATCHES[1], [("x", "A", "a", "2024-01-01 09:00:00"), ("y", "A", "a", "2024-01-04 09:00:00")]))
+    for number, batch in enumerate((first, second, second)):
+        kept = sessions._set_late_aside(batch, path, min(number, 1), timedelta(hours=1))
+        assert kept.count() == (3, 1, 1)[number]
+    assert streaming.late_rows(spark, path, first.schema).count() == 1
