@@ -90,6 +90,8 @@ def build_incremental(inputs: pipeline.Inputs, cfg: Config, out_dir: str, batch_
         else:
             if not files.exists(spark, store.path(f"_batches/batch={first}/applied")):
                 raise RuntimeError(f"the store's first batch, {first}, is not complete")
+            if cfg.last_day.isoformat() < files.read_text(spark, store.path("_batches/last_day")):
+                raise ValueError("as_of must not go back in time")
             if not files.exists(spark, f"{log}/planned"):
                 _plan(store, inputs, cfg, log)
                 files.mark(spark, f"{log}/planned")

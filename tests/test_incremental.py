@@ -76,6 +76,16 @@ def test_batches_equal_a_full_build(spark, tmp_path, seed, with_pages):
         assert got[name] == expected[name], name
 
 
+def test_without_stitching(spark, tmp_path):
+    tracks, _ = random_raw(random.Random(11), 150)
+    plain = dict(enable_identity_stitching=False)
+    store = str(tmp_path / "store")
+    for number, rows in enumerate((tracks[::2], tracks[1::2])):
+        built = incremental.build_incremental(pipeline.Inputs(spark.createDataFrame(rows, TRACKS)), config(40 + number).replace(**plain), store, number)
+    full = pipeline.build(pipeline.Inputs(spark.createDataFrame(tracks, TRACKS)), config(41).replace(**plain), str(tmp_path / "full"))
+    assert contents(built) == contents(full)
+
+
 def test_an_interrupted_batch_is_taken_up_again(spark, tmp_path, monkeypatch):
     tracks, identifies = random_raw(random.Random(5), 200)
     cut = START + timedelta(days=30)
@@ -118,6 +128,8 @@ def test_a_day_in_order_touches_only_its_partitions(spark, tmp_path):
     assert days_written(before, after, "fct_sessions", "session_date") == ["2024-02-08"]
     assert days_written(before, after, "fct_account_metrics_daily", "metric_date") == ["2024-02-08"]
     assert days_written(before, after, "fct_account_feature_usage_monthly", "metric_month") == ["2024-02-01"]
+    with pytest.raises(ValueError, match="back in time"):
+        incremental.build_incremental(inputs(spark, [], []), config(30), store, 2)
 
 
 def test_first_batch_must_be_complete(spark, tmp_path):
