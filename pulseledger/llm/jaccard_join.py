@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_texts, map_batches, materialize, mix64, shingle_hashes, word_hashes
-from .components import components
+from .components import by_label, components
 
 SHINGLE_WORDS = 3
 PERCENT = 90
@@ -289,7 +289,8 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
     named = materialize(named, "named")
     lowest = named.groupBy("label").agg(F.min("rep_id").alias("component_id"))
     answer = materialize(
-        named.join(lowest, "label").selectExpr("digest AS set_digest", "sid", "component_id"), "answers"
+        by_label(named, "label", "sid", lowest.withColumnRenamed("label", "of")).selectExpr("digest AS set_digest", "sid", "component_id"),
+        "answers",
     )
     members = found.members.join(answer, F.col("digest") == F.col("set_digest"), "left").selectExpr(
         "id", "CAST(n AS BIGINT) AS n_shingles", "IF(n = 0, id, component_id) AS component_id", "sid AS set_id", "text_hash"

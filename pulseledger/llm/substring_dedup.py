@@ -17,9 +17,10 @@ windows that begin less than MIN_WORDS words from a repeated one are compared as
 well, which covers the run to its ends.
 
 Paragraphs are decided first: of each component the first (by id, then place) stays.
-Of a window's copies the first that no removed paragraph touches stays, and the
-others go; a window whose copies all touch removed paragraphs is not removed on its
-own account. So every word that goes with a window, or with a paragraph of which an equal one
+Windows that lie wholly in removed paragraphs go with them; they only tell that the
+words around them repeat. Of another window's copies the first that no removed paragraph touches stays,
+and the others go; a window whose copies all touch removed paragraphs is not removed
+on its own account. So every word that goes with a window, or with a paragraph of which an equal one
 stays, is left somewhere: its copy lies in an earlier place that no removed
 paragraph touches, and either stays or has a copy in turn. What a near copy has
 of its own goes with it.
@@ -39,15 +40,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import _grown, byte_texts, map_batches, materialize, mix64, word_bounds, word_hashes
+from .components import by_label
 from .jaccard_join import BROADCAST_IDS, _rows, linked_sets
 from .suffix_dedup import _sliding_min
 
 MIN_WORDS = 25
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 9, 3
+# Windows that a task gathers before it hands them on.
+_LOT = 100_000
 _FACTORS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 _LINE = "id long, text_hash long, start int, stop int, n int, d1 long, d2 long, bands array<long>"
-_WINDOW = "id long, text_hash long, start int, stop int, d1 long, d2 long"
+_WINDOW = "id long, text_hash long, start int, stop int, d1 long, d2 long, touched boolean"
+_SPANS = "array_sort(collect_set(struct(start, stop)))"
 
 
 def _bands(shingles: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
@@ -135,25 +140,43 @@ def _windows(starts: np.ndarray, stops: np.ndarray, words: np.ndarray, at: np.nd
     return starts[at], stops[at + MIN_WORDS - 1], d1.view(np.int64), d2.view(np.int64)
 
 
-def window_units(text: bytes) -> tuple[np.ndarray, ...]:
-    """Windows of a text of at least twice their size: start, stop, d1, d2."""
+def _left(starts: np.ndarray, at: np.ndarray, gone: list[tuple[int, int]], margin: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Of the windows that begin at the words ``at`` those that, with ``margin`` words
+    on both sides, are not wholly in the spans ``gone`` (bytes, disjoint, from word to
+    word), and whether they touch one."""
+    steps = np.zeros(len(starts) + 1, np.int64)
+    edges = np.searchsorted(starts, np.array(gone, np.int64).reshape(-1, 2))
+    np.add.at(steps, edges[:, 0], 1)
+    np.add.at(steps, edges[:, 1], -1)
+    before = np.append(0, np.cumsum(np.cumsum(steps[:-1])))
+    first, last = np.maximum(at - margin, 0), np.minimum(at + MIN_WORDS + margin, len(starts))
+    at = at[before[last] - before[first] < last - first]
+    return at, before[at + MIN_WORDS] > before[at]
+
+
+def window_units(text: bytes, gone: list[tuple[int, int]]) -> tuple[np.ndarray, ...]:
+    """Windows of a text of at least twice their size, but for those that lie
+    MIN_WORDS - 1 words deep in the spans ``gone``: start, stop, d1, d2, whether they
+    touch one."""
     lower = text.lower()
     starts, stops = word_bounds(lower)
     if len(starts) < 2 * MIN_WORDS:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
+        return *(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0, bool)
     words = word_hashes(lower)
     # The smallest hash of each MIN_WORDS neighbours, the leftmost if equal,
     # where as many words follow.
     place = np.uint64((1 << 26) - 1)
     placed = (words & ~place) | np.arange(len(words), dtype=np.uint64)
     lowest = (_sliding_min(placed, MIN_WORDS) & place).astype(np.int64)
-    return _windows(starts, stops, words, np.unique(lowest[: len(words) - 2 * MIN_WORDS + 2]))
+    # Those deep in a span have no neighbour that is left.
+    at, touched = _left(starts, np.unique(lowest[: len(words) - 2 * MIN_WORDS + 2]), gone, MIN_WORDS - 1)
+    return *_windows(starts, stops, words, at), touched
 
 
 def near_windows(text: bytes, begins: list[int], gone: list[tuple[int, int]]) -> tuple[np.ndarray, ...]:
     """All windows that begin less than MIN_WORDS words from those at the bytes
-    ``begins``: start, stop, d1, d2, whether it is one of those, and whether it
-    touches one of the spans ``gone``, which are disjoint and in order."""
+    ``begins`` and are not wholly in the spans ``gone``: start, stop, d1, d2, whether
+    they touch a span, and whether it is one of those at ``begins``."""
     lower = text.lower()
     starts, stops = word_bounds(lower)
     own = np.searchsorted(starts, np.array(begins))
@@ -161,11 +184,8 @@ def near_windows(text: bytes, begins: list[int], gone: list[tuple[int, int]]) ->
     np.add.at(steps, np.maximum(own - MIN_WORDS + 1, 0), 1)
     np.add.at(steps, np.minimum(own + MIN_WORDS, len(starts)), -1)
     at = np.flatnonzero(np.cumsum(steps)[: len(starts) - MIN_WORDS + 1])
-    found = _windows(starts, stops, word_hashes(lower), at)
-    # The last span that begins before the window's end must reach its start.
-    edges = np.array([(-1, -1), *gone])
-    touched = edges[np.searchsorted(edges[:, 0], found[1]) - 1, 1] > found[0]
-    return *found, np.isin(at, own), touched
+    at, touched = _left(starts, at, gone)
+    return *_windows(starts, stops, word_hashes(lower), at), touched, np.isin(at, own)
 
 
 def _line_rows(rows: DataFrame) -> DataFrame:
@@ -180,40 +200,60 @@ def _line_rows(rows: DataFrame) -> DataFrame:
     return map_batches(rows.select("id", "text_hash", "text"), run, _LINE)
 
 
-def _window_rows(rows: DataFrame) -> DataFrame:
-    def run(batch: pa.RecordBatch) -> dict:
-        ids, hashes, parts = [], [], []
-        for id_, hash_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), byte_texts(batch.column(2)), strict=True):
-            found = window_units(text)
-            ids += [id_] * len(found[0])
-            hashes.append(np.full(len(found[0]), hash_, np.int64))
-            parts.append(found)
-        columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 4
-        text_hash = np.concatenate(hashes) if hashes else np.zeros(0, np.int64)
-        return dict(zip(("id", "text_hash", "start", "stop", "d1", "d2"), (ids, text_hash, *columns), strict=True))
-
-    return map_batches(rows.select("id", "text_hash", "text"), run, _WINDOW)
-
-
-def _near_rows(rows: DataFrame, places: DataFrame, removed: DataFrame) -> DataFrame:
-    """Windows near the given ones, with ``unit`` true for the given ones and
-    ``touched`` for those that touch a removed paragraph."""
-    begins = places.groupBy("id", "text_hash").agg(F.collect_set("start").alias("begins")).toDF("b_id", "b_hash", "begins")
-    gone = removed.groupBy("id", "text_hash").agg(F.expr("array_sort(collect_set(struct(start, stop))) AS gone")).toDF("g_id", "g_hash", "gone")
-    begins = materialize(begins.join(gone, F.expr("b_id <=> g_id AND b_hash = g_hash"), "left").drop("g_id", "g_hash"), "window-places")
-    side = F.broadcast(begins) if places.count() + removed.count() <= BROADCAST_IDS else begins
-    texts = rows.join(side, F.expr("id <=> b_id AND text_hash = b_hash")).select("id", "text_hash", "text", "begins", "gone")
+def _at_texts(rows: DataFrame, places: DataFrame, how: str) -> DataFrame:
+    """Texts with what ``places`` has of their (id, text_hash), at most one row each."""
+    named = places.withColumnsRenamed({"id": "at_id", "text_hash": "at_hash"})
+    spans = sum((F.coalesce(F.size(c), F.lit(0)) for c in named.columns if c not in ("at_id", "at_hash")), F.lit(0))
+    n_spans = named.agg(F.sum(spans)).head()[0] or 0
+    side = F.broadcast(named) if n_spans <= BROADCAST_IDS else named
+    return rows.join(side, F.expr("id <=> at_id AND text_hash = at_hash"), how).drop("at_id", "at_hash")
 
-    def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        columns = [batch.column(i).to_pylist() for i in (0, 1, 3, 4)]
-        for id_, hash_, begins, gone, text in zip(*columns, byte_texts(batch.column(2)), strict=True):
-            start, stop, d1, d2, unit, touched = near_windows(text, begins, [(g["start"], g["stop"]) for g in gone or []])
-            yield {
-                "id": [id_] * len(start), "text_hash": np.full(len(start), hash_, np.int64), "start": start, "stop": stop,
-                "d1": d1, "d2": d2, "unit": unit, "touched": touched,
-            }
 
-    return map_batches(texts, run, f"{_WINDOW}, unit boolean, touched boolean")
+def _window_columns(texts: DataFrame, schema: str, units) -> DataFrame:
+    """Rows of ``units(text, *columns after the text)`` for every (id, text_hash, text, ..)."""
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def run(batch: pa.RecordBatch) -> Iterator[dict]:
+        more = [batch.column(i).to_pylist() for i in range(3, batch.num_columns)]
+        columns = (batch.column(0).to_pylist(), batch.column(1).to_pylist(), byte_texts(batch.column(2)), *more)
+        lots, held = [], 0
+        for id_, hash_, text, *rest in zip(*columns, strict=True):
+            found = units(text, *rest)
+            n = len(found[0])
+            lots.append(([id_] * n, np.full(n, hash_, np.int64), *found))
+            held += n
+            if held >= _LOT:
+                yield joined(lots)
+                lots, held = [], 0
+        if lots:
+            yield joined(lots)
+
+    def joined(lots: list[tuple]) -> dict:
+        ids, *others = zip(*lots, strict=True)
+        return dict(zip(names, ([i for lot in ids for i in lot], *map(np.concatenate, others)), strict=True))
+
+    return map_batches(texts, run, schema)
+
+
+def _pairs(spans: list | None) -> list[tuple[int, int]]:
+    return [(s["start"], s["stop"]) for s in spans or []]
+
+
+def _window_rows(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Windows chosen by content; ``gone``: (id, text_hash, gone) removed paragraphs."""
+    texts = _at_texts(rows.select("id", "text_hash", "text"), gone, "left")
+    return _window_columns(texts, _WINDOW, lambda text, spans: window_units(text, _pairs(spans)))
+
+
+def _near_rows(rows: DataFrame, places: DataFrame, gone: DataFrame) -> DataFrame:
+    """Windows near the given ones, with ``unit`` true for the given ones."""
+    begins = places.groupBy("id", "text_hash").agg(F.collect_set("start").alias("begins"))
+    spans = gone.toDF("g_id", "g_hash", "gone")
+    begins = materialize(begins.join(spans, F.expr("id <=> g_id AND text_hash = g_hash"), "left").drop("g_id", "g_hash"), "window-places")
+    texts = _at_texts(rows.select("id", "text_hash", "text"), begins, "inner")
+    return _window_columns(
+        texts, f"{_WINDOW}, unit boolean", lambda text, begins, spans: near_windows(text, begins, _pairs(spans))
+    )
 
 
 def _unit_texts(rows: DataFrame, sets: DataFrame, sids: DataFrame) -> DataFrame:
@@ -245,17 +285,19 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     named = materialize(named, "named-lines")
     classes = named.groupBy("label").agg(F.sum("copies").alias("size"), F.min("first_place").alias("component"))
-    answer = materialize(named.join(classes.filter("size > 1"), "label").select("d1", "d2", "component"), "line-classes")
+    classes = classes.filter("size > 1").withColumnRenamed("label", "of")
+    answer = materialize(by_label(named, "label", "d1", classes).select("d1", "d2", "component"), "line-classes")
     lines_out = lines.drop("n", "bands").join(answer, ["d1", "d2"]).selectExpr(
         "id", "text_hash", "start", "stop", "component", "true AS unit", "'p' AS kind"
     )
     removed = "NOT (id <=> component.id AND text_hash = component.text_hash AND start = component.start)"
-    gone = materialize(lines_out.filter(removed).select("id", "text_hash", "start", "stop").distinct(), "removed-paragraphs")
+    gone = lines_out.filter(removed).groupBy("id", "text_hash").agg(F.expr(f"{_SPANS} AS gone"))
+    gone = materialize(gone, "removed-paragraphs")
 
     place = "struct(id, text_hash, start)"
-    windows = materialize(_window_rows(rows), "windows")
-    often = windows.groupBy("d1", "d2").count().filter("count > 1").drop("count")
-    often = materialize(often, "repeated-windows")
+    windows = materialize(_window_rows(rows, gone), "windows")
+    often = windows.groupBy("d1", "d2").agg(F.count("*").alias("copies"), F.expr("bool_or(NOT touched) AS whole"))
+    often = materialize(often.filter("copies > 1 AND whole").select("d1", "d2"), "repeated-windows")
     again = materialize(windows.join(often, ["d1", "d2"], "left_semi").select("id", "text_hash", "start").distinct(), "window-copies")
     near = materialize(_near_rows(rows, again, gone), "near-windows")
     kept = near.groupBy("d1", "d2").agg(F.count("*").alias("copies"), F.expr(f"min(IF(touched, NULL, {place})) AS component"))
