@@ -13,7 +13,9 @@ skipped.
 
 Answer level: every set is first compared with one head of its lists, and sets
 that link are gathered in components. Lists within one component need no more
-work. For the others the answers of a set Y are derived from those of a similar
+work. While lists still hold many pairs of different components, sets of the smaller
+ones are compared with one more head, taken from the list's largest component. For
+what is left the answers of a set Y are derived from those of a similar
 set X whose overlaps are known: |Z & X| - |X - Y| <= |Z & Y| <= |Z & X| + |Y - X|.
 Only pairs that these bounds leave open are compared. No link is lost, and no
 group of near copies is compared pair by pair.
@@ -44,6 +46,10 @@ SKETCH_BITS = 18
 _CHUNK = 1 << 12
 # Entries of a list among which one head is chosen.
 HEAD_ENTRIES = 5_000
+# More heads are taken while the pairs between components are more than so many times
+# the entries of their lists, and every round takes away a fifth of them.
+PAIRS_PER_ENTRY = 4
+PROGRESS = 0.8
 # Ids up to this number are broadcast (8 bytes each) to pick texts without a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -195,14 +201,34 @@ def _head_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return best.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
 
 
+def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    return entries.join(labels, F.col("sid") == F.col("node"), "left").selectExpr(
+        "token", "sid", "n", "pos", "coalesce(label, sid) AS label"
+    )
+
+
+def _one_more_head(entries: DataFrame, labels: DataFrame, percent: int, round_: int) -> tuple[float, DataFrame]:
+    """How many pairs of different components the crowded lists hold, and pairs (a, b)
+    of their sets with a head from the largest component of a list, one for each set."""
+    labelled = materialize(_labelled(entries, labels), "labelled")
+    head = f"min(struct(xxhash64(sid, {round_}) AS by, sid AS head, n AS n_head, label AS head_label)) AS head"
+    parts = labelled.groupBy("token", "label").agg(F.expr("CAST(count(*) AS DOUBLE) AS c"), F.expr(head))
+    lists = parts.groupBy("token").agg(F.expr("sum(c) AS c"), F.expr("(sum(c) * sum(c) - sum(c * c)) / 2 AS pairs"), F.expr("max_by(head, struct(c, head)) AS head"))
+    lists = materialize(lists.filter(f"pairs > {PAIRS_PER_ENTRY} * c").selectExpr("token AS of", "pairs", "head.*"), "crowded-lists")
+    met = by_label(labelled, "token", "sid", lists.drop("by")).filter(
+        f"label <> head_label AND 100 * least(n, n_head) >= {percent} * greatest(n, n_head)"
+    )
+    best = met.groupBy("sid", "head").count().groupBy("sid").agg(F.expr("max_by(head, struct(count, -head)) AS head"))
+    pairs = best.selectExpr("least(sid, head) AS a", "greatest(sid, head) AS b").distinct()
+    return lists.agg(F.sum("pairs")).head()[0] or 0.0, pairs
+
+
 def _open_pairs(entries: DataFrame, labels: DataFrame, percent: int, positions: bool, within: bool) -> DataFrame:
     """Pairs that index-level skipping leaves; those in one component only if ``within``.
 
     (a, n_a, label_a, b, n_b, label_b) with a not larger than b.
     """
-    labelled = entries.join(labels, F.col("sid") == F.col("node"), "left").selectExpr(
-        "token", "sid", "n", "pos", "coalesce(label, sid) AS label"
-    )
+    labelled = _labelled(entries, labels)
     if not within:
         labelled = materialize(labelled, "labelled")
         mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
@@ -242,6 +268,18 @@ def _linked(entries: DataFrame, texts_of, words: int, percent: int, positions: b
     first = overlaps(heads, texts, words)
     near = first.filter(_reaches("both", "n_a", "n_b", percent))
     labels = components(near)
+    left, round_ = float("inf"), 0
+    while not within:
+        still, pairs = _one_more_head(entries, labels, percent, round_)
+        if not still or still > PROGRESS * left:
+            break
+        known = first.select("a", "b").toDF("x", "y")
+        new = pairs.join(known, F.expr("a = least(x, y) AND b = greatest(x, y)"), "left_anti")
+        more = overlaps(new, texts, words)
+        linked = more.filter(_reaches("both", "n_a", "n_b", percent))
+        first, near = first.union(more), near.union(linked)
+        labels = components(linked.select("a", "b").union(labels.toDF("a", "b")))
+        left, round_ = still, round_ + 1
 
     open_ = _open_pairs(entries, labels, percent, positions, within)
     known = first.selectExpr("least(a, b) AS x", "greatest(a, b) AS y")

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on awkward rows."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -440,6 +441,34 @@ def test_answers_derived_from_similar_sets(spark):
     )
 
 
+def test_more_heads_lose_no_link(spark, monkeypatch):
+    """Texts that drift apart step by step share lists without all linking; every round of heads is taken."""
+    monkeypatch.setattr(jaccard_join, "PAIRS_PER_ENTRY", 0)
+    rng = random.Random(31)
+    rows = []
+    for family in range(3):
+        text = words(rng, 120).split()
+        for step in range(30):
+            text = list(text)
+            for _ in range(rng.randrange(1, 9)):
+                text[rng.randrange(len(text))] = f"e{rng.randrange(10**9)}"
+            rows.append((family * 100 + step, " ".join(text)))
+    small = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for i, j in itertools.combinations(sets, 2):
+        both = len(sets[i] & sets[j])
+        if 100 * both >= 70 * (len(sets[i]) + len(sets[j]) - both):
+            low, high = sorted((find(i), find(j)))
+            root[high] = low
+    got = {r.id: r.component_id for r in jaccard_join.joined(small, words=5, percent=70).collect()}
+    assert got == {i: find(i) for i in sets} and 3 < len(set(got.values())) < len(got)
+
+
 def test_links_equal_brute_force(spark):
     """All pairs of distinct sets, inside components too; copies count as members."""
     rng = random.Random(8)
