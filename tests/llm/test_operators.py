@@ -233,6 +233,15 @@ def test_likeness_is_near_the_exact_one():
         assert abs(near - max(0, exact_likeness(text, edited))) < 0.25
 
 
+def test_a_result_is_read_twice(spark):
+    """Shuffle files go when a query ends; a second action on the same frame makes them again."""
+    common.prepare(spark)
+    counts = spark.range(10_000).repartition(7).selectExpr("id % 97 AS k").groupBy("k").count()
+    assert sorted(counts.collect()) == sorted(counts.collect()) and counts.count() == 97
+    joined = counts.join(counts.withColumnRenamed("count", "c"), "k")
+    assert joined.count() == len(joined.collect()) == len(joined.collect()) == 97
+
+
 def test_edits_equal_brute_force(docs, empty, texts):
     order = sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
     got = fingerprints.edits(docs).collect()
@@ -441,9 +450,8 @@ def test_answers_derived_from_similar_sets(spark):
     )
 
 
-def test_more_heads_lose_no_link(spark, monkeypatch):
-    """Texts that drift apart step by step share lists without all linking; every round of heads is taken."""
-    monkeypatch.setattr(jaccard_join, "PAIRS_PER_ENTRY", 0)
+def test_drifting_texts_equal_brute_force(spark):
+    """Texts that drift apart step by step share lists without all linking."""
     rng = random.Random(31)
     rows = []
     for family in range(3):
