@@ -46,11 +46,11 @@ def combine_events(tracks: DataFrame, pages: DataFrame | None = None) -> DataFra
     return events.unionByName(pages.selectExpr("user_id", "account_id", "page_viewed_at AS event_at"))
 
 
-def _islands(spans: DataFrame, timeout_minutes: int) -> DataFrame:
+def _islands(spans: DataFrame, timeout_minutes: int, *more: str) -> DataFrame:
     """Merge spans (user, first_at, last_at, n_events, account_id) of a user.
 
     A span is the events of an account in a minute, or a whole session. Spans may overlap, so
-    the gap is measured from the latest end so far.
+    the gap is measured from the latest end so far. ``more`` measures per session.
     """
     ordered = "PARTITION BY user_id ORDER BY first_at, last_at"
     marked = spans.selectExpr(
@@ -67,6 +67,7 @@ def _islands(spans: DataFrame, timeout_minutes: int) -> DataFrame:
         "max(last_at) AS session_end_at",
         "sum(n_events) AS events_in_session",
         _FIRST_ACCOUNT,
+        *more,
     )
 
 
@@ -99,11 +100,16 @@ def sessionize(events: DataFrame, timeout_minutes: int = 30, drop_null_user: boo
     return sessionize_minutes(activity.minutes(events), timeout_minutes)
 
 
-def number_from(spans: DataFrame, starts: DataFrame, timeout_minutes: int = 30) -> DataFrame:
-    """Sessions of spans (user_id, first_at, last_at, n_events, account_id),
-    numbered from each user's ``first_index`` in ``starts`` (start_user, first_index) on."""
-    islands = _islands(spans, timeout_minutes).join(starts, F.expr("user_id <=> start_user"))
-    return _finish(islands, "user_session_index + first_index")
+def number_from(spans: DataFrame, timeout_minutes: int = 30) -> DataFrame:
+    """Sessions of spans (user_id, first_at, last_at, n_events, account_id,
+    span_index), numbered per user from the smallest ``span_index`` on.
+
+    That index comes with the spans, so that the sessions stay where their
+    user is and are not shuffled again to meet it.
+    """
+    islands = _islands(spans, timeout_minutes, "min(span_index) AS span_index")
+    first = "min(span_index) OVER (PARTITION BY user_id)"
+    return _finish(islands.withColumn("first_index", F.expr(first)), "user_session_index + first_index")
 
 
 def changed_sessions(previous: DataFrame, batch_minutes: DataFrame, timeout_minutes: int = 30) -> DataFrame:

@@ -9,8 +9,8 @@ nothing if the last session is over.
 
 ``<path>_log/batch=<id>`` has a batch's complete outcome before any of it is
 copied. A batch that was interrupted or is delivered again is repeated with its
-id: a complete log is copied again and not computed again. Once a later batch is
-in, only a marker is left of a log, and a batch with a marker is done. A batch
+id: a complete log is copied again and not computed again. A batch with a marker
+is done, and once a later batch is in, only the marker is left of its log. A batch
 makes a fixed number of file-system calls, however many came before it.
 """
 
@@ -101,9 +101,9 @@ def update_sessions(minutes: DataFrame, path: str, batch_id: int | str, timeout_
     spark = minutes.sparkSession
     root = f"{path.rstrip('/')}_log"
     log = f"{root}/batch={batch_id}"
+    if files.exists(spark, f"{log}/applied"):
+        return
     if not files.exists(spark, f"{log}/rows/_SUCCESS"):
-        if files.exists(spark, f"{log}/applied"):
-            return
         _plan(minutes, path, log, timeout_minutes, again)
     _copy(spark, log, path)
     _mark_applied(spark, root, log)
@@ -170,21 +170,23 @@ def _plan(minutes: DataFrame, path: str, log: str, timeout_minutes: int, again:
     fixed = aggregate(loaded.filter(is_fixed), ["reach_user"], f"collect_set({SESSION_DATE}) AS fixed_days")
     state = _new_state(reach, changes, fixed).unionByName(known.join(reach, F.expr("user_id <=> reach_user"), "left_anti"))
     _, changed_days = side_by_side(lambda: files.stored(state, f"{log}/users"), lambda: _days(removed, changes))
-    affected = table.filter(F.col(SESSION_DATE).isin(changed_days)).select(*SESSION_COLUMNS)
-    kept = affected.join(removed.select("session_id"), "session_id", "left_anti").select(*SESSION_COLUMNS)
+    # Users are few against sessions, so the days are held against the users and not against the removed sessions.
+    of = reach.select("reach_user", "earliest_at", "again", "open_from")
+    affected = table.filter(F.col(SESSION_DATE).isin(changed_days)).join(of, F.expr("user_id <=> reach_user"), "left")
+    kept = affected.filter(f"NOT coalesce({SESSION_DATE} >= open_from AND NOT ({is_fixed}), false)").select(*SESSION_COLUMNS)
     files.stored(with_session_date(kept.unionByName(changes)), f"{log}/rows")
 
 
 def _merged(minutes: DataFrame, tail: DataFrame, reach: DataFrame, timeout_minutes: int) -> DataFrame:
     """New minutes merged with the sessions that may change, numbered on."""
-    new = minutes.join(reach.select("reach_user"), F.expr("user_id <=> reach_user"), "left_semi")
     spans = tail.selectExpr(
-        "user_id", "events_in_session AS n_events", "session_start_at AS first_at", "session_end_at AS last_at", "account_id"
-    )
-    first = aggregate(tail, ["reach_user"], "min(user_session_index) AS first_open").withColumnRenamed("reach_user", "open_user")
-    starts = reach.join(first, F.expr("reach_user <=> open_user"), "left")
-    starts = starts.selectExpr("reach_user AS start_user", "coalesce(first_open, next_index) AS first_index")
-    return number_from(spans.unionByName(new.select(*spans.columns)), starts, timeout_minutes)
+        "user_id", "events_in_session AS n_events", "session_start_at AS first_at", "session_end_at AS last_at", "account_id",
+        "user_session_index AS span_index",
+    )
+    # A new minute opens the next index, unless a stored session that may change comes before it.
+    next_of = reach.selectExpr("reach_user", "next_index AS span_index")
+    new = minutes.join(next_of, F.expr("user_id <=> reach_user"))
+    return number_from(spans.unionByName(new.select(*spans.columns)), timeout_minutes)
 
 
 def _new_state(reach: DataFrame, changes: DataFrame, fixed: DataFrame) -> DataFrame:
@@ -233,10 +235,11 @@ def _copy(spark: SparkSession, log: str, path: str) -> None:
 
 
 def _mark_applied(spark: SparkSession, root: str, log: str) -> None:
-    """Mark a batch as done and reduce the log of the one before it to its marker."""
-    files.mark(spark, f"{log}/applied")
+    """Reduce the log of the batch before to its marker, then mark this one as
+    done: with the marker nothing is left to do when it is delivered again."""
     before = files.read_text(spark, f"{root}/latest")
     if before is not None and before != log:
         for part in ("rows", "minutes", "touched", "reach", "changes", "removed", "users"):
             files.delete(spark, f"{before}/{part}")
     files.write_text(spark, f"{root}/latest", log)
+    files.mark(spark, f"{log}/applied")

@@ -7,7 +7,7 @@ import pytest
 from helpers import frame, tuples
 
 from pulseledger.operators import activity
-from pulseledger.operators.sessions import SESSION_COLUMNS, sessionize
+from pulseledger.operators.sessions import SESSION_COLUMNS, number_from, sessionize
 from pulseledger.sources import files, session_store, sinks
 
 EVENTS = "user_id string, account_id string, event_at timestamp"
@@ -152,3 +152,28 @@ def test_a_batch_makes_no_calls_for_earlier_batches(spark, tmp_path, monkeypatch
         counts.append(len(calls))
     assert counts[2] == counts[3]
     assert files.exists(spark, f"{path}_log/batch=0/applied") and not files.exists(spark, f"{path}_log/batch=0/rows")
+
+
+def test_a_batch_that_is_done_writes_no_day_again(spark, tmp_path):
+    path = str(tmp_path / "sessions")
+    for _ in range(2):
+        session_store.upsert_sessions(events(spark, [("A", "2024-01-01 10:00:00")]), path, 0)
+        times = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
+        session_store.upsert_sessions(events(spark, [("A", "2024-01-01 10:00:00")]), path, 0)
+        assert {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")} == times
+    assert stored(spark, path) == full(events(spark, [("A", "2024-01-01 10:00:00")]))
+
+
+def test_sessions_are_numbered_without_a_second_shuffle(spark):
+    rows = [("A", "2024-01-01 10:00:00", 5), ("A", "2024-01-01 12:00:00", 7), ("A", "2024-01-01 12:10:00", 7), (None, "2024-01-01 10:00:00", 0)]
+    spans = frame(spark, "user_id string, first_at timestamp, span_index long", rows).selectExpr(
+        "user_id", "first_at", "first_at AS last_at", "1L AS n_events", "'x' AS account_id", "span_index"
+    )
+    found = number_from(spans, 30)
+    assert [(r.user_id, r.user_session_index, r.events_in_session) for r in found.orderBy("user_id", "user_session_index").collect()] == [
+        (None, 0, 1),
+        ("A", 5, 1),
+        ("A", 6, 2),
+    ]
+    assert found._jdf.queryExecution().sparkPlan().toString().count("Join") == 0
+    assert number_from(spans, 30)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
