@@ -113,10 +113,42 @@ def raw_rollup(tracks: DataFrame, pages: DataFrame | None, cfg: Config) -> DataF
     return _merge(union_all(inputs), *RAW_KEYS)
 
 
+def _daily_rows(raw: DataFrame, lookup: DataFrame | None, cfg: Config) -> DataFrame:
+    rows = raw.filter("NOT is_page").select(*OWN_IDS, "activity_date", "event_name", *_MEASURES)
+    return _attach(rows, ("activity_date", "event_name"), lookup, cfg)
+
+
 def daily_from_raw(raw: DataFrame, lookup: DataFrame | None, cfg: Config) -> DataFrame:
     """Daily roll-up of an un-stitched one; same as ``stitched_daily``."""
-    rows = raw.filter("NOT is_page").select(*OWN_IDS, "activity_date", "event_name", *_MEASURES)
-    return _merge(_attach(rows, ("activity_date", "event_name"), lookup, cfg), *DAILY_KEYS)
+    return _merge(_daily_rows(raw, lookup, cfg), *DAILY_KEYS)
+
+
+def daily_against(raw: DataFrame, lookup: DataFrame | None, cfg: Config, before: DataFrame) -> DataFrame:
+    """``daily_from_raw`` beside an earlier daily roll-up, in one grouping.
+
+    One row per key with the measures and, prefixed with ``old_``, those of
+    ``before``; null where a side does not have the key.
+    """
+    none, old = (["CAST(NULL AS BIGINT)", *["CAST(NULL AS TIMESTAMP)"] * 2], [f"old_{m}" for m in _MEASURES])
+    now = _daily_rows(raw, lookup, cfg).selectExpr(*DAILY_KEYS, *_MEASURES, *[f"{n} AS {o}" for n, o in zip(none, old, strict=True)])
+    then = before.selectExpr(
+        *DAILY_KEYS, *[f"{n} AS {m}" for n, m in zip(none, _MEASURES, strict=True)], *[f"{m} AS {o}" for m, o in zip(_MEASURES, old, strict=True)]
+    )
+    merges = [f"{how}({p}{m}) AS {p}{m}" for p in ("", "old_") for how, m in zip(("sum", "min", "max"), _MEASURES, strict=True)]
+    return aggregate(now.unionByName(then), DAILY_KEYS, *merges)
+
+
+def daily_now(compared: DataFrame) -> DataFrame:
+    """The daily roll-up in a result of ``daily_against``."""
+    return compared.filter("n_events IS NOT NULL").select(*DAILY_KEYS, *_MEASURES)
+
+
+def daily_differing(compared: DataFrame) -> DataFrame:
+    """Its rows that are new or changed, and those that are gone as they were."""
+    sides = [f"IF({p}n_events IS NULL, NULL, struct({', '.join(f'{p}{m} AS {m}' for m in _MEASURES)}, {gone} AS gone))" for p, gone in (("", "false"), ("old_", "true"))]
+    changed = compared.filter(f"NOT ({' AND '.join(f'{m} <=> old_{m}' for m in _MEASURES)})")
+    rows = changed.selectExpr(*DAILY_KEYS, f"explode(filter(array({', '.join(sides)}), s -> s IS NOT NULL)) AS side")
+    return rows.select(*DAILY_KEYS, "side.*")
 
 
 def minutes_from_raw(raw: DataFrame, lookup: DataFrame | None, cfg: Config) -> DataFrame:

@@ -157,11 +157,9 @@ def _plan(store: Store, inputs: pipeline.Inputs, cfg: Config, log: str) -> None:
         lookup, moved_days = _changed_lookups(store, inputs, cfg, new, plan)
     days = sorted({*_days_of(new), *moved_days})
     every = _raw(store).filter(_on(days)).unionByName(new.select(*activity.RAW_KEYS, "n_events", "first_at", "last_at"))
-    daily = files.stored(activity.daily_from_raw(every, lookup, cfg), f"{plan}/daily")
-
-    before = store.read("int_daily_activity").select(*daily.columns).filter(_on(days))
-    differing = daily.exceptAll(before).selectExpr("*", "false AS gone").unionByName(before.exceptAll(daily).selectExpr("*", "true AS gone"))
-    differing = files.stored(differing, f"{plan}/differing")
+    before = store.read("int_daily_activity").filter(_on(days))
+    daily = files.stored(activity.daily_against(every, lookup, cfg, before), f"{plan}/daily")
+    differing = files.stored(activity.daily_differing(daily), f"{plan}/differing")
     first_days = store.read("dim_accounts").selectExpr("account_id", "to_date(first_seen_at) AS old_first")
     side_by_side(
         lambda: files.stored(first_days.join(differing, "account_id", "left_semi"), f"{plan}/first_days"),
@@ -204,7 +202,7 @@ def _apply(store: Store, cfg: Config, log: str, batch_id: int | str) -> None:
     days = _days_of(spark.read.parquet(f"{plan}/days"))
     since = date.fromisoformat(files.read_text(spark, store.path("_batches/last_day"))) + timedelta(days=1)
     new = spark.read.parquet(f"{plan}/raw")
-    daily = spark.read.parquet(f"{plan}/daily")
+    daily = activity.daily_now(spark.read.parquet(f"{plan}/daily"))
     differing = spark.read.parquet(f"{plan}/differing")
     lookup = None
     steps = [

@@ -8,6 +8,7 @@ import pytest
 from helpers import tuples
 
 from pulseledger.config import Config
+from pulseledger.operators import activity
 from pulseledger.plans import incremental, pipeline
 from pulseledger.sources import files
 
@@ -151,3 +152,23 @@ def test_a_build_reads_raw_tracks_once(spark, tmp_path):
     seen = pipeline.Inputs(raw.tracks.mapInArrow(counted, raw.tracks.schema), None, raw.identifies)
     pipeline.build(seen, config(40), str(tmp_path / "tables"))
     assert rows.value == len(tracks)
+
+
+def test_daily_rows_are_compared_in_one_grouping(spark):
+    cfg = config(40)
+    tracks, identifies = random_raw(random.Random(9), 200)
+
+    def daily(rows):
+        return activity.daily_from_raw(activity.raw_rollup(inputs(spark, rows, identifies).tracks, None, plain), None, plain)
+
+    plain = cfg.replace(enable_identity_stitching=False, include_pages_in_sessions=False)
+    before, now = daily(tracks[:150]), daily(tracks[50:])
+    raw = activity.raw_rollup(inputs(spark, tracks[50:], identifies).tracks, None, plain)
+    compared = activity.daily_against(raw, None, plain, before)
+    found = activity.daily_differing(compared)
+    wanted = now.exceptAll(before).selectExpr("*", "false AS gone").unionByName(before.exceptAll(now).selectExpr("*", "true AS gone"))
+    assert found.count() > 0 and sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+    assert sorted(map(repr, activity.daily_now(compared).collect())) == sorted(map(repr, now.collect()))
+    # What differs follows row by row.
+    stored = spark.createDataFrame(compared.collect(), compared.schema)
+    assert "Exchange" not in activity.daily_differing(stored)._jdf.queryExecution().executedPlan().toString()
