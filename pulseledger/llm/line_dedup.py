@@ -105,10 +105,15 @@ class CuckooFilter:
                     break
 
 
-def _line_key(line: str) -> str:
-    """SQL for a line's key as 16 bytes; null for an empty key."""
-    stripped = f"translate(trim(BOTH '\\t\\n\\u000b\\u000c\\r ' FROM {line}), '{UPPER}', '{LOWER}')"
-    return f"IF(length({stripped}) = 0, NULL, unhex(md5({stripped})))"
+def _line_keys(lines: str) -> str:
+    """SQL for the keys of an array of lines, each 16 bytes; null for an empty key.
+
+    Step by step, because a lambda computes what it names twice two times.
+    ``translate`` looks every character up, so it is left to lines beyond ASCII.
+    """
+    stripped = f"transform({lines}, l -> trim(BOTH '\\t\\n\\u000b\\u000c\\r ' FROM l))"
+    lowered = f"transform({stripped}, l -> IF(octet_length(l) = length(l), lower(l), translate(l, '{UPPER}', '{LOWER}')))"
+    return f"transform({lowered}, l -> IF(octet_length(l) = 0, NULL, unhex(md5(l))))"
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -120,7 +125,8 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _keys(rows: DataFrame) -> DataFrame:
     """(id, text_hash, key): the distinct keys of every row."""
-    keys = f"array_distinct(filter(transform(split(text, '\\n'), l -> {_line_key('l')}), k -> k IS NOT NULL))"
+    keys = _line_keys("split(text, '\\n')")
+    keys = f"array_distinct(filter({keys}, k -> k IS NOT NULL))"
     return rows.selectExpr("id", "text_hash", f"explode({keys}) AS key")
 
 
@@ -262,9 +268,9 @@ class LineIndex:
         hits = self.common_keys(_keys(rows)).groupBy("id", "text_hash").agg(F.collect_set("key").alias("common"))
         hits = hits.toDF("hit_id", "hit_hash", "common")
         joined = rows.join(hits, F.expr("id <=> hit_id AND text_hash = hit_hash"), "left")
-        stays = f"l -> NOT coalesce(array_contains(common, {_line_key('l')}), false)"
+        marked = f"zip_with(lines, {_line_keys('lines')}, (l, k) -> IF(coalesce(array_contains(common, k), false), NULL, l))"
         out = joined.selectExpr("id", "text", "split(text, '\\n') AS lines", "common").selectExpr(
-            "id", "text", "size(lines) AS n", f"IF(common IS NULL, NULL, filter(lines, {stays})) AS stay"
+            "id", "text", "size(lines) AS n", f"IF(common IS NULL, NULL, filter({marked}, l -> l IS NOT NULL)) AS stay"
         )
         return out.selectExpr(
             "id", "CAST(n AS BIGINT) AS n_lines", "CAST(IF(stay IS NULL, 0, n - size(stay)) AS BIGINT) AS n_dropped",

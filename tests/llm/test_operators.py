@@ -695,3 +695,14 @@ def test_query_equals_its_sql(spark, name):
 
 def test_every_operator_has_a_query():
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in catalog.QUERIES} == set(range(1, 11))
+
+
+def test_line_keys_lower_ascii_letters_only_and_strip_a_line_once(spark):
+    lines = ["  Ab\t", "ab", "\x0bÄB  ", "ÄB ", "äb ", "İI", "", " \r\x0c", "a "]
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id long, text string")
+    keys = line_dedup._keys(line_dedup._rows(docs, "doc_id", "text"))
+    found = {r.id: bytes(r.key) for r in keys.collect()}
+    lowered = [line.strip("\x20\t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)}) for line in lines]
+    assert found == {i: hashlib.md5(key.encode()).digest() for i, key in enumerate(lowered) if key}
+    # A lambda computes an expression as often as it is written.
+    assert keys._jdf.queryExecution().optimizedPlan().toString().count("trim(") == 1
