@@ -26,6 +26,7 @@ import re
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -35,6 +36,8 @@ from .common import map_batches
 SPACE = "▁"
 # Words kept with their ids by a Python worker; the store is emptied when full.
 CACHED_WORDS = 800_000
+# The same where only ids are made, in steps that have no memory to spare.
+CACHED_IDS = 100_000
 _BASE_RANK = -1
 
 # The library writes one U+FFFD for each byte that is not part of a character.
@@ -80,6 +83,7 @@ class BytePairModel:
         self.words = self._word_pattern()
         self._compatible: dict[tuple[int, int], bool] = {}
         self._words = _Words(self)
+        self._packed = _PackedIds(self)
         self._runs: dict[int, list[int]] = {}
 
     @staticmethod
@@ -259,6 +263,13 @@ class BytePairModel:
             out += self.encode_word(word)
         return out + [self.eos] if add_eos else out
 
+    def packed(self, text: str) -> bytes:
+        """The ids of ``encode``, four bytes each."""
+        if len(self._packed) > CACHED_IDS:
+            self._packed.clear()
+        ids = b"".join(map(self._packed.__getitem__, self._split(text)))
+        return ids + np.int32(self.eos).tobytes()
+
     def decode_bytes(self, ids) -> bytes:
         """Piece texts one after the other; control pieces are empty."""
         return b"".join([self._raw[i] for i in ids])
@@ -308,6 +319,19 @@ class _Words(dict):
         return found
 
 
+class _PackedIds(dict):
+    """Words with their ids as bytes, made when first seen."""
+
+    def __init__(self, model: BytePairModel):
+        self.model = model
+
+    def __missing__(self, word: str) -> bytes:
+        found = np.array(self.model.encode_word(word), np.int32).tobytes()
+        if len(word) <= 64:
+            self[word] = found
+        return found
+
+
 @lru_cache(maxsize=2)
 def load(path: str) -> BytePairModel:
     """The model of a file, once per worker process."""
@@ -319,7 +343,9 @@ def with_ids(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str
 
     def run(batch: pa.RecordBatch) -> dict:
         m = load(model)
-        return {"id": batch.column(0), "ids": [m.encode(t) for t in batch.column(1).to_pylist()]}
+        ids = [m.packed(t.as_py() or "") for t in batch.column(1)]
+        ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
+        return {"id": batch.column(0), "ids": pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(ids), np.int32))}
 
     rows = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS id", f"`{text_col}` AS text")
     return map_batches(rows, run, "id long, ids array<int>")

@@ -99,6 +99,17 @@ def test_encoding_equals_the_library(models):
         assert (n, joined, back) == (len(ids), " ".join(map(str, ids)), library.decode(ids))
 
 
+def test_packed_ids_are_few_and_equal_the_encoding(models, monkeypatch):
+    _, own, _ = models
+    monkeypatch.setattr(sentencepiece_bpe, "CACHED_IDS", 50)
+    rng = random.Random(3)
+    for _ in range(300):
+        text = " ".join(rng.choice(["the", "word", "ü中", "\n", "a" * 70, str(rng.random())]) for _ in range(rng.randint(0, 30)))
+        assert np.frombuffer(own.packed(text), np.int32).tolist() == own.encode(text)
+        assert len(own._packed) <= 50 + 31 * 3 and "a" * 70 not in own._packed
+    own._packed.clear()
+
+
 def test_decoding_equals_the_library(models):
     _, own, library = models
     rng = random.Random(2)
