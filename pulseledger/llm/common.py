@@ -18,7 +18,7 @@ SPACES = "\x20\t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Rows and bytes of an Arrow batch: a Python worker holds a batch several times over.
 BATCH_ROWS = 1000
-BATCH_BYTES = "2m"
+BATCH_BYTES = "8m"
 # Intermediates are written tables, so a finished query's shuffle files have no more readers.
 CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
