@@ -44,6 +44,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input, to be dealt by key and never broadcast.
+
+    Spark would size it by its compressed files, and what an explode or a join makes by
+    the rows before it: a table of a few MB can need more than the driver has.
+    """
+    return side.hint("merge")
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | Iterator[dict]], schema: str) -> DataFrame:
     """Apply ``fn`` to every Arrow batch; it returns columns, or several lots of them."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, map_batches, materialize, mix64, shingle_hashes, word_hashes
+from .common import byte_texts, map_batches, materialize, mix64, shingle_hashes, shuffled, word_hashes
 from .components import by_label, components
 
 SHINGLE_WORDS = 3
@@ -44,8 +44,8 @@ SKETCH_BITS = 18
 _CHUNK = 1 << 12
 # Entries of a list among which one head is chosen.
 HEAD_ENTRIES = 5_000
-# Ids up to this number are broadcast (8 bytes each) to pick texts without a shuffle.
-BROADCAST_IDS = 2_000_000
+# Ids up to this number are broadcast (about 110 bytes each) to pick texts without a shuffle.
+BROADCAST_IDS = 1_000_000
 
 
 def text_shingles(text: bytes, words: int = SHINGLE_WORDS) -> np.ndarray:
@@ -144,16 +144,16 @@ def distinct_sets(rows: DataFrame, words: int, percent: int) -> Sets:
 def candidate_texts(rows: DataFrame, sets: DataFrame, sids: DataFrame) -> DataFrame:
     """(sid, text) of the given sets, one text each."""
     chosen = materialize(
-        sets.join(sids, "sid", "left_semi").select("sid", "rep_id", "rep_hash"), "candidates"
+        sets.join(shuffled(sids), "sid", "left_semi").select("sid", "rep_id", "rep_hash"), "candidates"
     )
-    side = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
+    side = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else shuffled(chosen)
     found = rows.join(side, F.expr("id <=> rep_id AND text_hash = rep_hash")).select("sid", "text")
     return materialize(found.dropDuplicates(["sid"]), "candidate-texts")
 
 
 def overlaps(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(a, b, n_a, n_b, both) of (a, b) pairs, counted on the whole texts."""
-    sides = pairs.select("a", "b").join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+    sides = pairs.select("a", "b").join(shuffled(texts.toDF("a", "text_a")), "a").join(shuffled(texts.toDF("b", "text_b")), "b")
 
     def run(batch: pa.RecordBatch) -> dict:
         known: dict[bytes, np.ndarray] = {}
@@ -181,7 +181,7 @@ def _reaches(both: str, n_a: str, n_b: str, percent: int) -> str:
 def _shared(entries: DataFrame) -> DataFrame:
     """Entries of lists with two sets or more, with the list's length."""
     lengths = materialize(entries.groupBy("token").agg(F.count("*").alias("length")).filter("length > 1"), "lists")
-    return materialize(entries.join(lengths, "token"), "entries")
+    return materialize(entries.join(shuffled(lengths), "token"), "entries")
 
 
 def _head_pairs(entries: DataFrame, percent: int) -> DataFrame:
@@ -189,7 +189,7 @@ def _head_pairs(entries: DataFrame, percent: int) -> DataFrame:
     part = f"CAST(pmod(xxhash64(token, sid), ceil(length / {HEAD_ENTRIES})) AS INT)"
     parts = entries.withColumn("part", F.expr(part))
     heads = parts.groupBy("token", "part").agg(F.expr("min(struct(pos, n, sid)) AS head"))
-    pairs = parts.join(heads, ["token", "part"]).selectExpr("sid AS a", "n AS n_a", "head.sid AS b", "head.n AS n_b")
+    pairs = parts.join(shuffled(heads), ["token", "part"]).selectExpr("sid AS a", "n AS n_a", "head.sid AS b", "head.n AS n_b")
     pairs = pairs.filter(f"a <> b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     best = pairs.groupBy("a", "b").count().groupBy("a").agg(F.expr("max_by(b, struct(count, -b)) AS b"))
     return best.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
@@ -200,14 +200,14 @@ def _open_pairs(entries: DataFrame, labels: DataFrame, percent: int, positions:
 
     (a, n_a, label_a, b, n_b, label_b) with a not larger than b.
     """
-    labelled = entries.join(labels, F.col("sid") == F.col("node"), "left").selectExpr(
+    labelled = entries.join(shuffled(labels), F.col("sid") == F.col("node"), "left").selectExpr(
         "token", "sid", "n", "pos", "coalesce(label, sid) AS label"
     )
     if not within:
         labelled = materialize(labelled, "labelled")
         mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         mixed = materialize(mixed.filter("low <> high").select("token"), "mixed-lists")
-        labelled = labelled.join(mixed, "token")
+        labelled = labelled.join(shuffled(mixed), "token")
     # Sizes of a block differ by less than the threshold, so a set meets its own
     # block and the next one only.
     block = f"CAST(floor(ln(n) / ln({100 / percent!r})) AS INT)"
@@ -218,7 +218,7 @@ def _open_pairs(entries: DataFrame, labels: DataFrame, percent: int, positions:
     needed = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
     rest = f"least(n_a - pos_a, n_b - pos_b) >= {needed}" if positions else "true"
     apart = "true" if within else "label_a <> label_b"
-    pairs = small.join(large, F.expr("token = t AND block = at")).filter(
+    pairs = small.join(shuffled(large), F.expr("token = t AND block = at")).filter(
         f"{apart} AND (n_a < n_b OR n_a = n_b AND a < b) AND 100 * n_a >= {percent} * n_b AND {rest}"
     )
     return pairs.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("n_a", "n_b", "label_a", "label_b")])
@@ -245,7 +245,7 @@ def _linked(entries: DataFrame, texts_of, words: int, percent: int, positions: b
 
     open_ = _open_pairs(entries, labels, percent, positions, within)
     known = first.selectExpr("least(a, b) AS x", "greatest(a, b) AS y")
-    open_ = open_.join(known, F.expr("least(a, b) = x AND greatest(a, b) = y"), "left_anti")
+    open_ = open_.join(shuffled(known), F.expr("least(a, b) = x AND greatest(a, b) = y"), "left_anti")
     open_ = materialize(open_, "open-pairs")
     if open_.isEmpty():
         return labels, near.select("a", "b")
@@ -259,13 +259,13 @@ def _linked(entries: DataFrame, texts_of, words: int, percent: int, positions: b
     pivot = overlaps(asked, texts, words)
     sides = pivot.selectExpr("a AS s", "b AS x", "n_b AS n_x", "both").union(pivot.selectExpr("b", "a", "n_a", "both"))
     zx, yx = (sides.toDF(f"s_{k}", f"x_{k}", f"n_x_{k}", f"both_{k}") for k in ("z", "y"))
-    bounds = either.join(zx, F.expr("z = s_z AND x = x_z")).join(yx, F.expr("y = s_y AND x = x_y")).selectExpr(
+    bounds = either.join(shuffled(zx), F.expr("z = s_z AND x = x_z")).join(shuffled(yx), F.expr("y = s_y AND x = x_y")).selectExpr(
         "least(z, y) AS p", "greatest(z, y) AS q", "both_z + both_y - n_x_z AS low", "both_z - both_y AS more", "y"
     )
     bounds = bounds.groupBy("p", "q").agg(
         F.max("low").alias("low"), F.expr("min(IF(y = p, more, NULL)) AS more_p"), F.expr("min(IF(y = q, more, NULL)) AS more_q")
     )
-    judged = open_.join(bounds, F.expr("least(a, b) = p AND greatest(a, b) = q"), "left")
+    judged = open_.join(shuffled(bounds), F.expr("least(a, b) = p AND greatest(a, b) = q"), "left")
     n_p, n_q = "IF(a = p, n_a, n_b)", "IF(a = p, n_b, n_a)"
     high = f"least(n_a, n_b, coalesce(more_p + {n_p}, n_a), coalesce(more_q + {n_q}, n_a))"
     judged = judged.selectExpr("a", "b", "n_a", "n_b", f"{high} AS high", "coalesce(low, 0) AS low")
@@ -283,7 +283,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
     found = distinct_sets(rows, words, percent)
     entries = found.sets.filter("prefix IS NOT NULL").selectExpr("sid", "n", "posexplode(prefix) AS (pos, token)")
     labels, links = _linked(entries, lambda sids: candidate_texts(rows, found.sets, sids), words, percent, True, within)
-    named = found.sets.join(labels, F.col("sid") == F.col("node"), "left").selectExpr(
+    named = found.sets.join(shuffled(labels), F.col("sid") == F.col("node"), "left").selectExpr(
         "digest", "sid", "coalesce(label, sid) AS label", "rep_id"
     )
     named = materialize(named, "named")
@@ -292,7 +292,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
         by_label(named, "label", "sid", lowest.withColumnRenamed("label", "of")).selectExpr("digest AS set_digest", "sid", "component_id"),
         "answers",
     )
-    members = found.members.join(answer, F.col("digest") == F.col("set_digest"), "left").selectExpr(
+    members = found.members.join(shuffled(answer), F.col("digest") == F.col("set_digest"), "left").selectExpr(
         "id", "CAST(n AS BIGINT) AS n_shingles", "IF(n = 0, id, component_id) AS component_id", "sid AS set_id", "text_hash"
     )
     return members, links
@@ -316,9 +316,9 @@ def links(
     members, pairs = materialize(members, "members"), materialize(pairs, "links")
     sizes = materialize(members.filter("set_id IS NOT NULL").groupBy("set_id").count().toDF("s", "copies"), "set-sizes")
     both = pairs.union(pairs.select("b", "a")).toDF("s", "other")
-    near = both.join(sizes.toDF("other", "copies"), "other").select("s", "copies")
+    near = both.join(shuffled(sizes.toDF("other", "copies")), "other").select("s", "copies")
     counts = near.union(sizes).groupBy("s").agg((F.sum("copies") - 1).alias("n"))
-    out = members.join(counts, F.col("set_id") == F.col("s"), "left")
+    out = members.join(shuffled(counts), F.col("set_id") == F.col("s"), "left")
     return out.select(*members.columns, F.expr("coalesce(n, 0L) AS n_links")), pairs
 
 

@@ -516,6 +516,33 @@ def test_links_equal_brute_force(spark):
     assert len(want) > len(of) - len({r.component_id for r in members if r.set_id is not None})
 
 
+def plans_of(monkeypatch, *modules):
+    """Fills with the plan of every table that the modules write."""
+    plans = []
+
+    def written(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.materialize(df, name)
+
+    for module in modules:
+        monkeypatch.setattr(f"pulseledger.llm.{module}.materialize", written)
+    return plans
+
+
+def test_links_broadcast_no_table_that_grows(spark, monkeypatch):
+    """Spark takes a label table of some MB, read 32 times by an explode, for small enough."""
+    rng = random.Random(5)
+    base = words(rng, 120).split()
+    rows = [(i, " ".join(base[:k] + [f"e{i}"] + base[k + 1 :])) for i, k in enumerate(rng.sample(range(120), 40))]
+    monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 0)
+    plans = plans_of(monkeypatch, "jaccard_join", "components")
+    members, pairs = jaccard_join.links(common.prepare(spark).createDataFrame(rows, "doc_id long, text string"))
+    plans.append(members._jdf.queryExecution().executedPlan().toString())
+    assert members.filter("n_links > 0").count() == 40 and pairs.count() > 39
+    joins = sum(p.count("SortMergeJoin") for p in plans)
+    assert joins > 20 and not [p for p in plans if "Broadcast" in p]
+
+
 def test_label_contraction(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     got = {r.node: r.label for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
