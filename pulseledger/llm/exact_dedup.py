@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, materialize
+from .common import LOWER, UPPER, materialize, shuffled
 
 BITS_PER_ROW = 16
 # Bitmaps of at most this size are broadcast; their size is known beforehand.
@@ -60,7 +60,7 @@ def mark_repeated(rows: DataFrame, bitmaps: DataFrame, bits: int, digest: str, f
         side = bitmaps.toDF(bucket, bitmap)
         out = out.withColumn(f"{flag}_at{k}", F.expr(position))
         joined = out.withColumn(f"{flag}_key{k}", F.expr(f"bitmap_bucket_number({flag}_at{k})"))
-        out = joined.join(F.broadcast(side) if small else side, F.col(f"{flag}_key{k}") == F.col(bucket), "left")
+        out = joined.join(F.broadcast(side) if small else shuffled(side), F.col(f"{flag}_key{k}") == F.col(bucket), "left")
         bit = f"bitmap_bit_position({flag}_at{k})"
         byte = f"CAST(conv(hex(substring({bitmap}, CAST({bit} DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
         tests.append(f"coalesce(getbit({byte}, CAST({bit} % 8 AS INT)), 0) = 1")

@@ -330,4 +330,4 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     id_, text = (f"c{names.index(c)}" for c in (id_col, text_col))
     mine = F.expr(f"CAST({id_} AS BIGINT) <=> kept_id AND xxhash64(coalesce({text}, '')) = kept_hash")
-    return plain.join(kept, mine, "left_semi").toDF(*names)
+    return plain.join(shuffled(kept), mine, "left_semi").toDF(*names)

@@ -83,3 +83,24 @@ def test_near_copies_equal_brute_force(spark):
     kept = {r.doc_id for r in stage(spark, docs, SF).collect()}
     assert kept == heads_by_hand(dict(rows))
     assert kept < {r.doc_id for r in jaccard_join.one_per_component(docs).collect()}
+
+
+def test_near_copies_broadcast_no_table_that_grows(spark, monkeypatch):
+    """The label tables of the stage and the ids it keeps are dealt by key, whatever size Spark expects."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(400)}" for _ in range(200)]
+    rows = [(i, " ".join(base[:i] + [f"e{i}"] + base[i + 1 :])) for i in range(20)]
+    plans = []
+
+    def written(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.materialize(df, name)
+
+    for module in ("jaccard_join", "components"):
+        monkeypatch.setattr(f"pulseledger.llm.{module}.materialize", written)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 0)
+    stage = dict(corpus_pipeline.STAGES)["jaccard join"]
+    kept = stage(spark, common.prepare(spark).createDataFrame(rows, "doc_id long, text string"), SF)
+    plans.append(kept._jdf.queryExecution().executedPlan().toString())
+    assert [r.doc_id for r in kept.collect()] == [0]
+    assert len(plans) > 10 and not [p for p in plans if "Broadcast" in p]
