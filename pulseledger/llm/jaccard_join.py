@@ -178,6 +178,17 @@ def _reaches(both: str, n_a: str, n_b: str, percent: int) -> str:
     return f"100 * ({both}) >= {percent} * ({n_a} + {n_b} - ({both}))"
 
 
+def _odd_columns(entries: DataFrame) -> list[str]:
+    return [c for c in entries.columns if c.startswith("odd")]
+
+
+def _may_link(odd: list[str], percent: int) -> str:
+    """SQL that is false only for sets whose odd counts differ in more bits than sets that
+    link have different shingles."""
+    bits = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in odd)
+    return f"{100 + percent} * ({bits}) <= {100 - percent} * (n_a + n_b)" if odd else "true"
+
+
 def _shared(entries: DataFrame) -> DataFrame:
     """Entries of lists with two sets or more, with the list's length."""
     lengths = materialize(entries.groupBy("token").agg(F.count("*").alias("length")).filter("length > 1"), "lists")
@@ -188,9 +199,12 @@ def _head_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Each set with that head which it shares most lists with."""
     part = f"CAST(pmod(xxhash64(token, sid), ceil(length / {HEAD_ENTRIES})) AS INT)"
     parts = entries.withColumn("part", F.expr(part))
-    heads = parts.groupBy("token", "part").agg(F.expr("min(struct(pos, n, sid)) AS head"))
-    pairs = parts.join(shuffled(heads), ["token", "part"]).selectExpr("sid AS a", "n AS n_a", "head.sid AS b", "head.n AS n_b")
-    pairs = pairs.filter(f"a <> b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    odd = _odd_columns(entries)
+    heads = parts.groupBy("token", "part").agg(F.expr(f"min(struct({', '.join(['pos', 'n', 'sid', *odd])})) AS head"))
+    pairs = parts.join(shuffled(heads), ["token", "part"]).selectExpr(
+        "sid AS a", "n AS n_a", "head.sid AS b", "head.n AS n_b", *(f"{c} AS {c}_a" for c in odd), *(f"head.{c} AS {c}_b" for c in odd)
+    )
+    pairs = pairs.filter(f"a <> b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) AND {_may_link(odd, percent)}")
     best = pairs.groupBy("a", "b").count().groupBy("a").agg(F.expr("max_by(b, struct(count, -b)) AS b"))
     return best.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
 
@@ -200,8 +214,9 @@ def _open_pairs(entries: DataFrame, labels: DataFrame, percent: int, positions:
 
     (a, n_a, label_a, b, n_b, label_b) with a not larger than b.
     """
+    odd = _odd_columns(entries)
     labelled = entries.join(shuffled(labels), F.col("sid") == F.col("node"), "left").selectExpr(
-        "token", "sid", "n", "pos", "coalesce(label, sid) AS label"
+        "token", "sid", "n", "pos", *odd, "coalesce(label, sid) AS label"
     )
     if not within:
         labelled = materialize(labelled, "labelled")
@@ -213,13 +228,14 @@ def _open_pairs(entries: DataFrame, labels: DataFrame, percent: int, positions:
     block = f"CAST(floor(ln(n) / ln({100 / percent!r})) AS INT)"
     left = labelled.withColumn("block", F.expr(block))
     left = materialize(left, "open-entries")
-    small = left.selectExpr("token AS t", "explode(array(block, block + 1)) AS block", "sid AS a", "n AS n_a", "pos AS pos_a", "label AS label_a")
-    large = left.selectExpr("token", "block AS at", "sid AS b", "n AS n_b", "pos AS pos_b", "label AS label_b")
+    names = ["n", "pos", "label", *odd]
+    small = left.selectExpr("token AS t", "explode(array(block, block + 1)) AS block", "sid AS a", *(f"{c} AS {c}_a" for c in names))
+    large = left.selectExpr("token", "block AS at", "sid AS b", *(f"{c} AS {c}_b" for c in names))
     needed = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
     rest = f"least(n_a - pos_a, n_b - pos_b) >= {needed}" if positions else "true"
     apart = "true" if within else "label_a <> label_b"
     pairs = small.join(shuffled(large), F.expr("token = t AND block = at")).filter(
-        f"{apart} AND (n_a < n_b OR n_a = n_b AND a < b) AND 100 * n_a >= {percent} * n_b AND {rest}"
+        f"{apart} AND (n_a < n_b OR n_a = n_b AND a < b) AND 100 * n_a >= {percent} * n_b AND {rest} AND {_may_link(odd, percent)}"
     )
     return pairs.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("n_a", "n_b", "label_a", "label_b")])
 
@@ -233,7 +249,8 @@ def _linked(entries: DataFrame, texts_of, words: int, percent: int, positions: b
     """(node, label) of the sets that link with another one, and (a, b) links:
     all of them if ``within``, else enough to connect the components.
 
-    ``entries``: (token, sid, n, pos), two sets that link share a token;
+    ``entries``: (token, sid, n, pos), two sets that link share a token, and columns of
+    bits odd0.. or none: two sets differ by as many shingles at least as by bits;
     ``texts_of``: from a frame of sid to (sid, text).
     """
     entries = _shared(entries)

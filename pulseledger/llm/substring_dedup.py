@@ -11,6 +11,8 @@ MIN_WORDS neighbours), so any 2 * MIN_WORDS equal words contain the same window.
 Paragraphs are compared as sets of 5-word shingles. MinHash values in BANDS bands of
 ROWS make sets of similarity 0.8 collide with probability 0.998; colliding ones
 are verified by exact Jaccard similarity, and links are gathered in components.
+Most sets that collide are far apart; the parities of the shingles in 128 cells tell so
+without their texts (a lower bound of the difference, so no link is lost).
 Windows link if their words are equal. A common run that holds a repeated window
 goes on for less than MIN_WORDS words before its first and after its last one; so all
 windows that begin less than MIN_WORDS words from a repeated one are compared as
@@ -33,13 +35,14 @@ lower-cased (A-Z). Units of one document can repeat each other.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _grown, byte_texts, map_batches, materialize, mix64, word_bounds, word_hashes
+from .common import _grown, byte_texts, map_batches, materialize, mix64, shuffled, word_bounds, word_hashes
 from .components import by_label
 from .jaccard_join import BROADCAST_IDS, _rows, linked_sets
 from .suffix_dedup import _sliding_min
@@ -50,7 +53,9 @@ BANDS, ROWS = 9, 3
 # Windows that a task gathers before it hands them on.
 _LOT = 100_000
 _FACTORS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
-_LINE = "id long, text_hash long, start int, stop int, n int, d1 long, d2 long, bands array<long>"
+# Bytes of texts that are worked on as one array.
+_LOT_BYTES = 1 << 18
+_LINE = "id long, text_hash long, start int, stop int, n int, d1 long, d2 long, odd array<long>, bands array<long>"
 _WINDOW = "id long, text_hash long, start int, stop int, d1 long, d2 long, touched boolean"
 _SPANS = "array_sort(collect_set(struct(start, stop)))"
 
@@ -74,17 +79,53 @@ def _sequence_hashes(words: np.ndarray, starts: np.ndarray, size: int) -> np.nda
     return mix64((sums[starts + size] - sums[starts]) * inverses[starts])
 
 
-def _paragraphs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
-    """Word starts, stops and hashes of a text, and its paragraphs as ranges of words."""
-    lower = text.lower()
-    starts, stops = word_bounds(lower)
-    if len(starts) < MIN_WORDS:
-        return starts, stops, starts, []
-    words = word_hashes(lower)
-    feeds = np.flatnonzero(np.frombuffer(lower, np.uint8) == 10)
-    edges = np.unique(np.searchsorted(starts, np.concatenate([[0], feeds, [len(text)]])))
-    even = (words[edges[1:] - 1] & np.uint64(1) == 0).tolist()
+@dataclass(frozen=True)
+class Words:
+    """Words of several texts: byte starts, stops and hashes, all texts after each other;
+    of each text the first byte and the number of the first word, and those of the end."""
+
+    data: bytes
+    starts: np.ndarray
+    stops: np.ndarray
+    hashes: np.ndarray
+    bytes_at: np.ndarray
+    words_at: np.ndarray
+
+
+def _words(texts: list[bytes]) -> Words:
+    data = b"\n".join(texts).lower()
+    starts, stops = word_bounds(data)
+    bytes_at = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return Words(data, starts, stops, word_hashes(data), bytes_at, np.searchsorted(starts, bytes_at))
+
+
+def _lots(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of the texts with _LOT_BYTES bytes or the one that passes them."""
+    first = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= _LOT_BYTES:
+            yield first, i + 1
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
+def _paragraphs(lot: Words) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """The number of each text with paragraphs, and these as ranges of the lot's words."""
+    feeds = np.flatnonzero(np.frombuffer(lot.data, np.uint8) == 10)
+    edges = np.unique(np.searchsorted(lot.starts, np.concatenate([[0], feeds, [len(lot.data)]])))
+    even = (lot.hashes[edges[1:] - 1] & np.uint64(1) == 0).tolist()
+    its = np.searchsorted(edges, lot.words_at).tolist()
     edges = edges.tolist()
+    for i, (first, last) in enumerate(zip(its, its[1:], strict=False)):
+        if first < last and edges[last] - edges[first] >= MIN_WORDS:
+            yield i, _gathered(edges[first : last + 1], even[first:last])
+
+
+def _gathered(edges: list[int], even: list[bool]) -> list[tuple[int, int]]:
+    """Paragraphs of the lines of a text that lie between ``edges``, as ranges of words;
+    ``even``: whether the hash of a line's last word is even."""
     found: list[tuple[int, int]] = []
     first = grown = None  # begin of the open paragraph; whether the last one is of the same run
 
@@ -105,16 +146,30 @@ def _paragraphs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[t
             found.append((first, end))
             first, grown = None, True
     close(edges[-1])
-    return starts, stops, words, found
-
-
-def line_units(text: bytes) -> list[tuple]:
-    """Paragraphs as (start, stop, n, d1, d2, bands); d1 and d2 are sums over the
-    distinct shingles, so that equal sets have equal digests."""
-    starts, stops, words, lines = _paragraphs(text)
+    return found
+
+
+def _odd_counts(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Of 128 cells of the hashes those with an odd number of a set's shingles, as
+    (sets, 2) words of bits. Two sets differ by as many shingles at least as
+    they have different bits."""
+    bits = np.uint64(1) << ((shingles >> np.uint64(57)) & np.uint64(63))
+    high = shingles >> np.uint64(63) == 1
+    halves = [np.bitwise_xor.reduceat(np.where(which, bits, np.uint64(0)), starts) for which in (high, ~high)]
+    return np.stack(halves, axis=1).view(np.int64)
+
+
+def line_units(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Paragraphs of the texts: number of the text, start, stop, n, d1, d2, odd counts,
+    bands; d1 and d2 are sums over the distinct shingles, so that equal sets have
+    equal digests."""
+    lot = _words(texts)
+    words = lot.hashes
+    lines = [(i, *line) for i, some in _paragraphs(lot) for line in some]
     if not lines:
-        return []
-    first, last = np.array(lines).T
+        none = np.zeros(0, np.int64)
+        return *(none for _ in range(6)), none.reshape(0, 2), none.reshape(0, BANDS)
+    text, first, last = np.array(lines).T
     shingles = np.zeros(len(words) - WORDS + 1, np.uint64)
     for k in range(WORDS):
         shingles = mix64(shingles * np.uint64(0xD6E8FEB86659FD93) + words[k : k + len(shingles)])
@@ -122,15 +177,16 @@ def line_units(text: bytes) -> list[tuple]:
     line = np.repeat(np.arange(len(lines)), counts)
     begins = np.cumsum(counts) - counts
     own = shingles[np.arange(len(line)) - begins[line] + first[line]]
-    order = np.lexsort((own, line))
+    order = np.argsort(own)
+    order = order[np.argsort(line[order].astype(np.uint16 if len(lines) < 1 << 16 else np.int64), kind="stable")]
     own, line = own[order], line[order]
     distinct = np.append(True, (own[1:] != own[:-1]) | (line[1:] != line[:-1]))
     own, line = own[distinct], line[distinct]
     begins = np.searchsorted(line, np.arange(len(lines)))
     sizes = np.diff(np.append(begins, len(line)))
     d1, d2 = (np.add.reduceat(mix64(own ^ np.uint64(c)), begins).view(np.int64) for c in (0x1D8E4E27C47D124F, 0xEB44ACCAB455D165))
-    columns = (starts[first], stops[last - 1], sizes, d1, d2)
-    return list(zip(*(c.tolist() for c in columns), _bands(own, begins).tolist(), strict=True))
+    start, stop = lot.starts[first] - lot.bytes_at[text], lot.stops[last - 1] - lot.bytes_at[text]
+    return text, start, stop, sizes, d1, d2, _odd_counts(own, begins), _bands(own, begins)
 
 
 def _windows(starts: np.ndarray, stops: np.ndarray, words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -189,23 +245,29 @@ def near_windows(text: bytes, begins: list[int], gone: list[tuple[int, int]]) ->
 
 
 def _line_rows(rows: DataFrame) -> DataFrame:
-    def run(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {n.split()[0]: [] for n in _LINE.split(", ")}
-        for id_, hash_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), byte_texts(batch.column(2)), strict=True):
-            for unit in line_units(text):
-                for name, value in zip(out, (id_, hash_, *unit), strict=True):
-                    out[name].append(value)
-        return out
+    def run(batch: pa.RecordBatch) -> Iterator[dict]:
+        names = [part.split()[0] for part in _LINE.split(", ")]
+        texts = byte_texts(batch.column(2))
+        for first, last in _lots(texts):
+            at, *columns, odd, bands = line_units(texts[first:last])
+            rows = pa.array(at + first)
+            yield dict(zip(names, (batch.column(0).take(rows), batch.column(1).take(rows), *columns, _lists(odd), _lists(bands)), strict=True))
 
     return map_batches(rows.select("id", "text_hash", "text"), run, _LINE)
 
 
+def _lists(rows: np.ndarray) -> pa.Array:
+    """Rows of an array as a list column."""
+    n, width = rows.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width, pa.int32()), pa.array(rows.ravel()))
+
+
 def _at_texts(rows: DataFrame, places: DataFrame, how: str) -> DataFrame:
     """Texts with what ``places`` has of their (id, text_hash), at most one row each."""
     named = places.withColumnsRenamed({"id": "at_id", "text_hash": "at_hash"})
     spans = sum((F.coalesce(F.size(c), F.lit(0)) for c in named.columns if c not in ("at_id", "at_hash")), F.lit(0))
     n_spans = named.agg(F.sum(spans)).head()[0] or 0
-    side = F.broadcast(named) if n_spans <= BROADCAST_IDS else named
+    side = F.broadcast(named) if n_spans <= BROADCAST_IDS else shuffled(named)
     return rows.join(side, F.expr("id <=> at_id AND text_hash = at_hash"), how).drop("at_id", "at_hash")
 
 
@@ -249,7 +311,7 @@ def _near_rows(rows: DataFrame, places: DataFrame, gone: DataFrame) -> DataFrame
     """Windows near the given ones, with ``unit`` true for the given ones."""
     begins = places.groupBy("id", "text_hash").agg(F.collect_set("start").alias("begins"))
     spans = gone.toDF("g_id", "g_hash", "gone")
-    begins = materialize(begins.join(spans, F.expr("id <=> g_id AND text_hash = g_hash"), "left").drop("g_id", "g_hash"), "window-places")
+    begins = materialize(begins.join(shuffled(spans), F.expr("id <=> g_id AND text_hash = g_hash"), "left").drop("g_id", "g_hash"), "window-places")
     texts = _at_texts(rows.select("id", "text_hash", "text"), begins, "inner")
     return _window_columns(
         texts, f"{_WINDOW}, unit boolean", lambda text, begins, spans: near_windows(text, begins, _pairs(spans))
@@ -258,9 +320,9 @@ def _near_rows(rows: DataFrame, places: DataFrame, gone: DataFrame) -> DataFrame
 
 def _unit_texts(rows: DataFrame, sets: DataFrame, sids: DataFrame) -> DataFrame:
     """(sid, text) of the given distinct lines."""
-    chosen = materialize(sets.join(sids, "sid", "left_semi").selectExpr("sid", "rep.*"), "unit-places")
+    chosen = materialize(sets.join(shuffled(sids), "sid", "left_semi").selectExpr("sid", "rep.*"), "unit-places")
     chosen = chosen.toDF("sid", "rep_id", "rep_hash", "start", "stop")
-    side = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS // 2 else chosen
+    side = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS // 2 else shuffled(chosen)
     cut = rows.join(side, F.expr("id <=> rep_id AND text_hash = rep_hash")).selectExpr(
         "sid", "CAST(substring(CAST(text AS BINARY), start + 1, stop - start) AS STRING) AS text"
     )
@@ -274,20 +336,20 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = _rows(docs, id_col, text_col)
     lines = materialize(_line_rows(rows), "lines")
     sets = lines.groupBy("d1", "d2").agg(
-        F.first("n").alias("n"), F.first("bands").alias("bands"), F.expr("min(struct(id, text_hash, start, stop)) AS rep"),
+        F.first("n").alias("n"), F.first("odd").alias("odd"), F.first("bands").alias("bands"), F.expr("min(struct(id, text_hash, start, stop)) AS rep"),
         F.count("*").alias("copies"),
     )
     sets = materialize(sets.withColumn("sid", F.monotonically_increasing_id()), "distinct-lines")
-    entries = sets.selectExpr("sid", "n", "0 AS pos", "explode(array_distinct(bands)) AS token")
+    entries = sets.selectExpr("sid", "n", "0 AS pos", "odd[0] AS odd0", "odd[1] AS odd1", "explode(array_distinct(bands)) AS token")
     labels = linked_sets(entries, lambda sids: _unit_texts(rows, sets, sids), WORDS, PERCENT, positions=False)
-    named = sets.join(labels, F.col("sid") == F.col("node"), "left").selectExpr(
+    named = sets.join(shuffled(labels), F.col("sid") == F.col("node"), "left").selectExpr(
         "d1", "d2", "coalesce(label, sid) AS label", "copies", "struct(rep.id, rep.text_hash, rep.start) AS first_place"
     )
     named = materialize(named, "named-lines")
     classes = named.groupBy("label").agg(F.sum("copies").alias("size"), F.min("first_place").alias("component"))
     classes = classes.filter("size > 1").withColumnRenamed("label", "of")
     answer = materialize(by_label(named, "label", "d1", classes).select("d1", "d2", "component"), "line-classes")
-    lines_out = lines.drop("n", "bands").join(answer, ["d1", "d2"]).selectExpr(
+    lines_out = lines.drop("n", "odd", "bands").join(shuffled(answer), ["d1", "d2"]).selectExpr(
         "id", "text_hash", "start", "stop", "component", "true AS unit", "'p' AS kind"
     )
     removed = "NOT (id <=> component.id AND text_hash = component.text_hash AND start = component.start)"
@@ -298,11 +360,11 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     windows = materialize(_window_rows(rows, gone), "windows")
     often = windows.groupBy("d1", "d2").agg(F.count("*").alias("copies"), F.expr("bool_or(NOT touched) AS whole"))
     often = materialize(often.filter("copies > 1 AND whole").select("d1", "d2"), "repeated-windows")
-    again = materialize(windows.join(often, ["d1", "d2"], "left_semi").select("id", "text_hash", "start").distinct(), "window-copies")
+    again = materialize(windows.join(shuffled(often), ["d1", "d2"], "left_semi").select("id", "text_hash", "start").distinct(), "window-copies")
     near = materialize(_near_rows(rows, again, gone), "near-windows")
     kept = near.groupBy("d1", "d2").agg(F.count("*").alias("copies"), F.expr(f"min(IF(touched, NULL, {place})) AS component"))
     kept = materialize(kept.filter("copies > 1 AND component IS NOT NULL").drop("copies"), "kept-windows")
-    windows_out = near.join(kept, ["d1", "d2"]).selectExpr("id", "text_hash", "start", "stop", "component", "unit", "'w' AS kind")
+    windows_out = near.join(shuffled(kept), ["d1", "d2"]).selectExpr("id", "text_hash", "start", "stop", "component", "unit", "'w' AS kind")
 
     class_id = "concat(kind, coalesce(component.id, 'null'), ':', hex(component.text_hash), ':', component.start)"
     return lines_out.unionByName(windows_out).withColumns({"class_id": F.expr(class_id), "removed": F.expr(removed)}).drop("kind")
@@ -325,7 +387,7 @@ def removed_spans(repeated: DataFrame) -> DataFrame:
 def document_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_units, class_ids, spans) of every row, with empty arrays where nothing repeats."""
     spans = materialize(removed_spans(repeated_units(docs, id_col, text_col)), "spans").toDF("s_id", "s_hash", "n_units", "class_ids", "spans")
-    joined = _rows(docs, id_col, text_col).drop("text").join(spans, F.expr("id <=> s_id AND text_hash = s_hash"), "left")
+    joined = _rows(docs, id_col, text_col).drop("text").join(shuffled(spans), F.expr("id <=> s_id AND text_hash = s_hash"), "left")
     none = "CAST(array() AS ARRAY<STRUCT<start: INT, stop: INT>>)"
     return joined.selectExpr(
         "id", "coalesce(n_units, 0L) AS n_units", "coalesce(class_ids, CAST(array() AS ARRAY<STRING>)) AS class_ids",
@@ -336,7 +398,7 @@ def document_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text) of every row, without the spans to remove."""
     spans = materialize(removed_spans(repeated_units(docs, id_col, text_col)), "spans").toDF("s_id", "s_hash", "n_units", "class_ids", "spans")
-    joined = _rows(docs, id_col, text_col).join(spans, F.expr("id <=> s_id AND text_hash = s_hash"), "left")
+    joined = _rows(docs, id_col, text_col).join(shuffled(spans), F.expr("id <=> s_id AND text_hash = s_hash"), "left")
 
     def run(batch: pa.RecordBatch) -> dict:
         texts = []

@@ -659,6 +659,58 @@ def test_bands_find_similar_lines():
     assert hits >= 295
 
 
+def test_sets_that_collide_but_are_far_apart_are_not_compared(spark, monkeypatch):
+    """Half-equal paragraphs collide in a band with most others; linking ones are still found."""
+    rng = random.Random(17)
+    shared = words(rng, 40)
+    rows = [(i, f"{shared} " + " ".join(f"own{i}x{k}" for k in range(20))) for i in range(60)]
+    rows += [(100 + i, text.replace(f"own{i}x19", "edit")) for i, text in rows[:10]]
+    compared, write = [], common.materialize
+
+    def written(df, name):
+        out = write(df, name)
+        if name == "overlaps":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialize", written)
+    repeated = substring_dedup.repeated_units(common.prepare(spark).createDataFrame(rows, "doc_id long, text string"))
+    got = {(r.id, r.component.id) for r in repeated.filter("class_id LIKE 'p%'").collect()}
+    assert got == {(j, i) for i in range(10) for j in (i, 100 + i)}
+    assert 10 <= sum(compared) < 60
+
+
+def test_odd_counts_differ_in_no_more_bits_than_sets_in_members():
+    rng = np.random.default_rng(6)
+    for n in (1, 20, 90, 700):
+        shared = rng.integers(0, 2**64, n, np.uint64)
+        own = [rng.integers(0, 2**64, k, np.uint64) for k in (0, 3, 1 + n // 5)]
+        sets = [np.concatenate([shared, o]) for o in own]
+        odd = substring_dedup._odd_counts(np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])]))
+        for i, j in itertools.combinations(range(3), 2):
+            bits = sum(int(x ^ y).bit_count() for x, y in zip(odd.view(np.uint64)[i].tolist(), odd.view(np.uint64)[j].tolist(), strict=True))
+            assert bits <= len(own[i]) + len(own[j]) and bits % 2 == (len(own[i]) + len(own[j])) % 2
+
+
+def test_paragraphs_of_texts_worked_on_together(monkeypatch):
+    """Texts side by side give what each gives by itself."""
+    rng = random.Random(2)
+    texts = [b"", b" \n", b"one", b"x " * 24, b"x " * 25, b"\n" + b"y " * 200 + b"\n\nz z", "\u00e9 \x01 w ".encode() * 30]
+    texts += ["\n".join(words(rng, rng.randrange(40)) for _ in range(rng.randrange(12))).encode() for _ in range(80)]
+    rng.shuffle(texts)
+    alone = [(i, *(c.tolist() for c in row)) for i, t in enumerate(texts) for row in zip(*substring_dedup.line_units([t])[1:], strict=True)]
+    for size in (1, 900, 1 << 18):
+        monkeypatch.setattr(substring_dedup, "_LOT_BYTES", size)
+        both = []
+        for first, last in substring_dedup._lots(texts):
+            at, *columns = substring_dedup.line_units(texts[first:last])
+            both += [(i, *(c.tolist() for c in row)) for i, row in zip((at + first).tolist(), zip(*columns, strict=True), strict=True)]
+        assert both == alone and len({r[0] for r in both}) > 60
+    for i, start, stop, n, *_ in alone:
+        found = texts[i][start:stop].lower().split()
+        assert len(found) >= 25 and n == len({tuple(found[k : k + 5]) for k in range(len(found) - 4)})
+
+
 # --- mixing ------------------------------------------------------------------
 
 
