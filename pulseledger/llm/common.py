@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import materialize, scratch_path  # noqa: F401  (re-exported)
+from ..session import discard, materialize, scratch_path  # noqa: F401  (re-exported)
 
 SPACES = "\x20\t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -102,15 +102,18 @@ def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def word_hashes(data: bytes) -> np.ndarray:
+def word_hashes(data: bytes, bounds: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """A 64-bit hash of every word, in order: a polynomial in the word's bytes
     modulo 2**64, taken from running sums of the whole text."""
-    return prefix_hashes(data, [None])[0]
+    return prefix_hashes(data, [None], bounds)[0]
 
 
-def prefix_hashes(data: bytes, lengths: list[int | None]) -> list[np.ndarray]:
-    """For each length, hashes of the words cut to so many bytes (None: whole)."""
-    starts, ends = word_bounds(data)
+def prefix_hashes(
+    data: bytes, lengths: list[int | None], bounds: tuple[np.ndarray, np.ndarray] | None = None
+) -> list[np.ndarray]:
+    """For each length, hashes of the words cut to so many bytes (None: whole);
+    ``bounds``: those of the words, if they are known."""
+    starts, ends = bounds or word_bounds(data)
     if not len(starts):
         return [np.zeros(0, np.uint64) for _ in lengths]
     powers, inverses = _grown(len(data) + 1)

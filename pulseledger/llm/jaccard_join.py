@@ -240,20 +240,24 @@ def _open_pairs(entries: DataFrame, labels: DataFrame, percent: int, positions:
     return pairs.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("n_a", "n_b", "label_a", "label_b")])
 
 
-def linked_sets(entries: DataFrame, texts_of, words: int, percent: int, positions: bool = True) -> DataFrame:
+def linked_sets(entries: DataFrame, texts_of, words: int, percent: int, positions: bool = True, odd: DataFrame | None = None) -> DataFrame:
     """(node, label) of the sets that link with another one."""
-    return _linked(entries, texts_of, words, percent, positions, False)[0]
+    return _linked(entries, texts_of, words, percent, positions, False, odd)[0]
 
 
-def _linked(entries: DataFrame, texts_of, words: int, percent: int, positions: bool, within: bool) -> tuple[DataFrame, DataFrame]:
+def _linked(
+    entries: DataFrame, texts_of, words: int, percent: int, positions: bool, within: bool, odd: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(node, label) of the sets that link with another one, and (a, b) links:
     all of them if ``within``, else enough to connect the components.
 
-    ``entries``: (token, sid, n, pos), two sets that link share a token, and columns of
-    bits odd0.. or none: two sets differ by as many shingles at least as by bits;
-    ``texts_of``: from a frame of sid to (sid, text).
+    ``entries``: (token, sid, n, pos), two sets that link share a token;
+    ``texts_of``: from a frame of sid to (sid, text); ``odd``: sid and bits odd0..
+    of every set, two sets differ by as many shingles at least as by bits.
     """
     entries = _shared(entries)
+    if odd is not None:
+        entries = materialize(entries.join(shuffled(odd), "sid"), "entries-with-bits")
     heads = materialize(_head_pairs(entries, percent), "head-pairs")
     texts = texts_of(entries.select("sid").distinct())
     first = overlaps(heads, texts, words)

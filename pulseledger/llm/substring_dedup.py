@@ -11,7 +11,7 @@ MIN_WORDS neighbours), so any 2 * MIN_WORDS equal words contain the same window.
 Paragraphs are compared as sets of 5-word shingles. MinHash values in BANDS bands of
 ROWS make sets of similarity 0.8 collide with probability 0.998; colliding ones
 are verified by exact Jaccard similarity, and links are gathered in components.
-Most sets that collide are far apart; the parities of the shingles in 128 cells tell so
+Most sets that collide are far apart; the parities of the shingles in 256 cells tell so
 without their texts (a lower bound of the difference, so no link is lost).
 Windows link if their words are equal. A common run that holds a repeated window
 goes on for less than MIN_WORDS words before its first and after its last one; so all
@@ -39,10 +39,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _grown, byte_texts, map_batches, materialize, mix64, shuffled, word_bounds, word_hashes
+from .common import _grown, byte_texts, discard, map_batches, materialize, mix64, shuffled, word_bounds, word_hashes
 from .components import by_label
 from .jaccard_join import BROADCAST_IDS, _rows, linked_sets
 from .suffix_dedup import _sliding_min
@@ -50,8 +51,6 @@ from .suffix_dedup import _sliding_min
 MIN_WORDS = 25
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 9, 3
-# Windows that a task gathers before it hands them on.
-_LOT = 100_000
 _FACTORS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 # Bytes of texts that are worked on as one array.
 _LOT_BYTES = 1 << 18
@@ -94,9 +93,9 @@ class Words:
 
 def _words(texts: list[bytes]) -> Words:
     data = b"\n".join(texts).lower()
-    starts, stops = word_bounds(data)
+    starts, stops = bounds = word_bounds(data)
     bytes_at = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    return Words(data, starts, stops, word_hashes(data), bytes_at, np.searchsorted(starts, bytes_at))
+    return Words(data, starts, stops, word_hashes(data, bounds), bytes_at, np.searchsorted(starts, bytes_at))
 
 
 def _lots(texts: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -150,13 +149,13 @@ def _gathered(edges: list[int], even: list[bool]) -> list[tuple[int, int]]:
 
 
 def _odd_counts(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Of 128 cells of the hashes those with an odd number of a set's shingles, as
-    (sets, 2) words of bits. Two sets differ by as many shingles at least as
+    """Of 256 cells of the hashes those with an odd number of a set's shingles, as
+    (sets, 4) words of bits. Two sets differ by as many shingles at least as
     they have different bits."""
-    bits = np.uint64(1) << ((shingles >> np.uint64(57)) & np.uint64(63))
-    high = shingles >> np.uint64(63) == 1
-    halves = [np.bitwise_xor.reduceat(np.where(which, bits, np.uint64(0)), starts) for which in (high, ~high)]
-    return np.stack(halves, axis=1).view(np.int64)
+    bits = np.uint64(1) << ((shingles >> np.uint64(56)) & np.uint64(63))
+    word = shingles >> np.uint64(62)
+    quarters = [np.bitwise_xor.reduceat(np.where(word == k, bits, np.uint64(0)), starts) for k in range(4)]
+    return np.stack(quarters, axis=1).view(np.int64)
 
 
 def line_units(texts: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -168,7 +167,7 @@ def line_units(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     lines = [(i, *line) for i, some in _paragraphs(lot) for line in some]
     if not lines:
         none = np.zeros(0, np.int64)
-        return *(none for _ in range(6)), none.reshape(0, 2), none.reshape(0, BANDS)
+        return *(none for _ in range(6)), none.reshape(0, 4), none.reshape(0, BANDS)
     text, first, last = np.array(lines).T
     shingles = np.zeros(len(words) - WORDS + 1, np.uint64)
     for k in range(WORDS):
@@ -196,52 +195,72 @@ def _windows(starts: np.ndarray, stops: np.ndarray, words: np.ndarray, at: np.nd
     return starts[at], stops[at + MIN_WORDS - 1], d1.view(np.int64), d2.view(np.int64)
 
 
-def _left(starts: np.ndarray, at: np.ndarray, gone: list[tuple[int, int]], margin: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def _texts_of(lot: Words, at: np.ndarray) -> np.ndarray:
+    """The numbers of the texts that the words ``at`` belong to."""
+    return np.searchsorted(lot.words_at, at, side="right") - 1
+
+
+def _left(lot: Words, at: np.ndarray, gone: np.ndarray, margin: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Of the windows that begin at the words ``at`` those that, with ``margin`` words
-    on both sides, are not wholly in the spans ``gone`` (bytes, disjoint, from word to
-    word), and whether they touch one."""
-    steps = np.zeros(len(starts) + 1, np.int64)
-    edges = np.searchsorted(starts, np.array(gone, np.int64).reshape(-1, 2))
+    of their text on both sides, are not wholly in the spans ``gone`` (bytes of the
+    lot, disjoint, from word to word), and whether they touch one."""
+    steps = np.zeros(len(lot.starts) + 1, np.int64)
+    edges = np.searchsorted(lot.starts, gone)
     np.add.at(steps, edges[:, 0], 1)
     np.add.at(steps, edges[:, 1], -1)
     before = np.append(0, np.cumsum(np.cumsum(steps[:-1])))
-    first, last = np.maximum(at - margin, 0), np.minimum(at + MIN_WORDS + margin, len(starts))
+    text = _texts_of(lot, at)
+    first, last = np.maximum(at - margin, lot.words_at[text]), np.minimum(at + MIN_WORDS + margin, lot.words_at[text + 1])
     at = at[before[last] - before[first] < last - first]
     return at, before[at + MIN_WORDS] > before[at]
 
 
-def window_units(text: bytes, gone: list[tuple[int, int]]) -> tuple[np.ndarray, ...]:
-    """Windows of a text of at least twice their size, but for those that lie
-    MIN_WORDS - 1 words deep in the spans ``gone``: start, stop, d1, d2, whether they
-    touch one."""
-    lower = text.lower()
-    starts, stops = word_bounds(lower)
-    if len(starts) < 2 * MIN_WORDS:
-        return *(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0, bool)
-    words = word_hashes(lower)
+def _covered(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
+    """The numbers below ``n`` that lie in a range from ``first`` to before ``last``."""
+    steps = np.zeros(n + 1, np.int64)
+    np.add.at(steps, first, 1)
+    np.add.at(steps, last, -1)
+    return np.flatnonzero(np.cumsum(steps[:-1]))
+
+
+def _placed(lot: Words, at: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Number of the text, start, stop, d1, d2 of the windows that begin at the words ``at``, and more."""
+    text = _texts_of(lot, at)
+    start, stop, d1, d2 = _windows(lot.starts, lot.stops, lot.hashes, at)
+    return text, start - lot.bytes_at[text], stop - lot.bytes_at[text], d1, d2, *more
+
+
+def window_units(lot: Words, gone: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Windows of the texts of at least twice their size, but for those that lie
+    MIN_WORDS - 1 words deep in the spans ``gone``: number of the text, start, stop,
+    d1, d2, whether they touch one."""
+    words = lot.hashes
+    long = np.diff(lot.words_at) >= 2 * MIN_WORDS
+    if not long.any():
+        return *(np.zeros(0, np.int64) for _ in range(5)), np.zeros(0, bool)
     # The smallest hash of each MIN_WORDS neighbours, the leftmost if equal,
-    # where as many words follow.
+    # where as many words of the text follow.
     place = np.uint64((1 << 26) - 1)
     placed = (words & ~place) | np.arange(len(words), dtype=np.uint64)
     lowest = (_sliding_min(placed, MIN_WORDS) & place).astype(np.int64)
+    lowest = lowest[_covered(lot.words_at[:-1][long], lot.words_at[1:][long] - 2 * MIN_WORDS + 2, len(lowest))]
     # Those deep in a span have no neighbour that is left.
-    at, touched = _left(starts, np.unique(lowest[: len(words) - 2 * MIN_WORDS + 2]), gone, MIN_WORDS - 1)
-    return *_windows(starts, stops, words, at), touched
+    at, touched = _left(lot, lowest[np.append(True, lowest[1:] != lowest[:-1])], gone, MIN_WORDS - 1)
+    return _placed(lot, at, touched)
 
 
-def near_windows(text: bytes, begins: list[int], gone: list[tuple[int, int]]) -> tuple[np.ndarray, ...]:
-    """All windows that begin less than MIN_WORDS words from those at the bytes
-    ``begins`` and are not wholly in the spans ``gone``: start, stop, d1, d2, whether
-    they touch a span, and whether it is one of those at ``begins``."""
-    lower = text.lower()
-    starts, stops = word_bounds(lower)
-    own = np.searchsorted(starts, np.array(begins))
-    steps = np.zeros(len(starts) + 1, np.int64)
-    np.add.at(steps, np.maximum(own - MIN_WORDS + 1, 0), 1)
-    np.add.at(steps, np.minimum(own + MIN_WORDS, len(starts)), -1)
-    at = np.flatnonzero(np.cumsum(steps)[: len(starts) - MIN_WORDS + 1])
-    at, touched = _left(starts, at, gone)
-    return *_windows(starts, stops, word_hashes(lower), at), touched, np.isin(at, own)
+def near_windows(lot: Words, begins: np.ndarray, gone: np.ndarray) -> tuple[np.ndarray, ...]:
+    """All windows that begin less than MIN_WORDS words from those at the lot's bytes
+    ``begins`` and are not wholly in the spans ``gone``: number of the text, start, stop,
+    d1, d2, whether they touch a span, and whether it is one of those at ``begins``."""
+    own = np.searchsorted(lot.starts, begins)
+    text = _texts_of(lot, own)
+    last = np.minimum(own + MIN_WORDS, lot.words_at[text + 1] - MIN_WORDS + 1)
+    at = _covered(np.maximum(own - MIN_WORDS + 1, lot.words_at[text]), last, len(lot.starts))
+    at, touched = _left(lot, at, gone)
+    given = np.zeros(len(lot.starts), bool)
+    given[own] = True
+    return _placed(lot, at, touched, given[at])
 
 
 def _line_rows(rows: DataFrame) -> DataFrame:
@@ -271,40 +290,38 @@ def _at_texts(rows: DataFrame, places: DataFrame, how: str) -> DataFrame:
     return rows.join(side, F.expr("id <=> at_id AND text_hash = at_hash"), how).drop("at_id", "at_hash")
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row number and value of everything in a list column; a struct is a row of its fields."""
+    values = column.flatten()
+    if pa.types.is_struct(values.type):
+        return pc.list_parent_indices(column).to_numpy(), np.stack([f.to_numpy() for f in values.flatten()], axis=1).astype(np.int64)
+    return pc.list_parent_indices(column).to_numpy(), values.to_numpy().astype(np.int64)
+
+
 def _window_columns(texts: DataFrame, schema: str, units) -> DataFrame:
-    """Rows of ``units(text, *columns after the text)`` for every (id, text_hash, text, ..)."""
+    """Rows of ``units(lot, *places of the columns after the text)`` for every (id, text_hash, text, ..)."""
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        more = [batch.column(i).to_pylist() for i in range(3, batch.num_columns)]
-        columns = (batch.column(0).to_pylist(), batch.column(1).to_pylist(), byte_texts(batch.column(2)), *more)
-        lots, held = [], 0
-        for id_, hash_, text, *rest in zip(*columns, strict=True):
-            found = units(text, *rest)
-            n = len(found[0])
-            lots.append(([id_] * n, np.full(n, hash_, np.int64), *found))
-            held += n
-            if held >= _LOT:
-                yield joined(lots)
-                lots, held = [], 0
-        if lots:
-            yield joined(lots)
-
-    def joined(lots: list[tuple]) -> dict:
-        ids, *others = zip(*lots, strict=True)
-        return dict(zip(names, ([i for lot in ids for i in lot], *map(np.concatenate, others)), strict=True))
+        more = [_flat(batch.column(i)) for i in range(3, batch.num_columns)]
+        texts = byte_texts(batch.column(2))
+        for first, last in _lots(texts):
+            lot, places = _words(texts[first:last]), []
+            for its, values in more:
+                own = slice(*np.searchsorted(its, [first, last]))
+                ahead = lot.bytes_at[its[own] - first]
+                places.append(values[own] + ahead.reshape(-1, *[1] * (values.ndim - 1)))
+            at, *found = units(lot, *places)
+            rows = pa.array(at + first)
+            yield dict(zip(names, (batch.column(0).take(rows), batch.column(1).take(rows), *found), strict=True))
 
     return map_batches(texts, run, schema)
 
 
-def _pairs(spans: list | None) -> list[tuple[int, int]]:
-    return [(s["start"], s["stop"]) for s in spans or []]
-
-
 def _window_rows(rows: DataFrame, gone: DataFrame) -> DataFrame:
     """Windows chosen by content; ``gone``: (id, text_hash, gone) removed paragraphs."""
     texts = _at_texts(rows.select("id", "text_hash", "text"), gone, "left")
-    return _window_columns(texts, _WINDOW, lambda text, spans: window_units(text, _pairs(spans)))
+    return _window_columns(texts, _WINDOW, window_units)
 
 
 def _near_rows(rows: DataFrame, places: DataFrame, gone: DataFrame) -> DataFrame:
@@ -313,9 +330,7 @@ def _near_rows(rows: DataFrame, places: DataFrame, gone: DataFrame) -> DataFrame
     spans = gone.toDF("g_id", "g_hash", "gone")
     begins = materialize(begins.join(shuffled(spans), F.expr("id <=> g_id AND text_hash = g_hash"), "left").drop("g_id", "g_hash"), "window-places")
     texts = _at_texts(rows.select("id", "text_hash", "text"), begins, "inner")
-    return _window_columns(
-        texts, f"{_WINDOW}, unit boolean", lambda text, begins, spans: near_windows(text, begins, _pairs(spans))
-    )
+    return _window_columns(texts, f"{_WINDOW}, unit boolean", near_windows)
 
 
 def _unit_texts(rows: DataFrame, sets: DataFrame, sids: DataFrame) -> DataFrame:
@@ -340,15 +355,18 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.count("*").alias("copies"),
     )
     sets = materialize(sets.withColumn("sid", F.monotonically_increasing_id()), "distinct-lines")
-    entries = sets.selectExpr("sid", "n", "0 AS pos", "odd[0] AS odd0", "odd[1] AS odd1", "explode(array_distinct(bands)) AS token")
-    labels = linked_sets(entries, lambda sids: _unit_texts(rows, sets, sids), WORDS, PERCENT, positions=False)
+    entries = sets.selectExpr("sid", "n", "0 AS pos", "explode(array_distinct(bands)) AS token")
+    odd = sets.selectExpr("sid", *(f"odd[{k}] AS odd{k}" for k in range(4)))
+    labels = linked_sets(entries, lambda sids: _unit_texts(rows, sets, sids), WORDS, PERCENT, positions=False, odd=odd)
     named = sets.join(shuffled(labels), F.col("sid") == F.col("node"), "left").selectExpr(
         "d1", "d2", "coalesce(label, sid) AS label", "copies", "struct(rep.id, rep.text_hash, rep.start) AS first_place"
     )
     named = materialize(named, "named-lines")
+    discard(sets)
     classes = named.groupBy("label").agg(F.sum("copies").alias("size"), F.min("first_place").alias("component"))
     classes = classes.filter("size > 1").withColumnRenamed("label", "of")
     answer = materialize(by_label(named, "label", "d1", classes).select("d1", "d2", "component"), "line-classes")
+    discard(named)
     lines_out = lines.drop("n", "odd", "bands").join(shuffled(answer), ["d1", "d2"]).selectExpr(
         "id", "text_hash", "start", "stop", "component", "true AS unit", "'p' AS kind"
     )
@@ -361,6 +379,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     often = windows.groupBy("d1", "d2").agg(F.count("*").alias("copies"), F.expr("bool_or(NOT touched) AS whole"))
     often = materialize(often.filter("copies > 1 AND whole").select("d1", "d2"), "repeated-windows")
     again = materialize(windows.join(shuffled(often), ["d1", "d2"], "left_semi").select("id", "text_hash", "start").distinct(), "window-copies")
+    discard(windows, often)
     near = materialize(_near_rows(rows, again, gone), "near-windows")
     kept = near.groupBy("d1", "d2").agg(F.count("*").alias("copies"), F.expr(f"min(IF(touched, NULL, {place})) AS component"))
     kept = materialize(kept.filter("copies > 1 AND component IS NOT NULL").drop("copies"), "kept-windows")

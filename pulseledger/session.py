@@ -94,6 +94,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` has written and nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def side_by_side(*steps: Callable[[], object]) -> list:
     """Run steps that do not need each other at the same time, so that the jobs
     of one fill the gaps of another; their results in order."""
