@@ -44,6 +44,8 @@ SKETCH_BITS = 18
 _CHUNK = 1 << 12
 # Entries of a list among which one head is chosen.
 HEAD_ENTRIES = 5_000
+# Open pairs for each pair compared from which on a round of the nearest pairs pays.
+OPEN_PER_COMPARED = 10
 # Ids up to this number are broadcast (about 110 bytes each) to pick texts without a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -182,11 +184,15 @@ def _odd_columns(entries: DataFrame) -> list[str]:
     return [c for c in entries.columns if c.startswith("odd")]
 
 
+def _bits(odd: list[str]) -> str:
+    """SQL for the number of bits that two sets differ in."""
+    return " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in odd) or "0"
+
+
 def _may_link(odd: list[str], percent: int) -> str:
     """SQL that is false only for sets whose odd counts differ in more bits than sets that
     link have different shingles."""
-    bits = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in odd)
-    return f"{100 + percent} * ({bits}) <= {100 - percent} * (n_a + n_b)" if odd else "true"
+    return f"{100 + percent} * ({_bits(odd)}) <= {100 - percent} * (n_a + n_b)"
 
 
 def _shared(entries: DataFrame) -> DataFrame:
@@ -212,7 +218,8 @@ def _head_pairs(entries: DataFrame, percent: int) -> DataFrame:
 def _open_pairs(entries: DataFrame, labels: DataFrame, percent: int, positions: bool, within: bool) -> DataFrame:
     """Pairs that index-level skipping leaves; those in one component only if ``within``.
 
-    (a, n_a, label_a, b, n_b, label_b) with a not larger than b.
+    (a, n_a, label_a, b, n_b, label_b, bits) with a not larger than b; ``bits``: how
+    many of their odd counts differ.
     """
     odd = _odd_columns(entries)
     labelled = entries.join(shuffled(labels), F.col("sid") == F.col("node"), "left").selectExpr(
@@ -236,8 +243,36 @@ def _open_pairs(entries: DataFrame, labels: DataFrame, percent: int, positions:
     apart = "true" if within else "label_a <> label_b"
     pairs = small.join(shuffled(large), F.expr("token = t AND block = at")).filter(
         f"{apart} AND (n_a < n_b OR n_a = n_b AND a < b) AND 100 * n_a >= {percent} * n_b AND {rest} AND {_may_link(odd, percent)}"
-    )
-    return pairs.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("n_a", "n_b", "label_a", "label_b")])
+    ).withColumn("bits", F.expr(_bits(odd)))
+    return pairs.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("n_a", "n_b", "label_a", "label_b", "bits")])
+
+
+def _joined_by_the_nearest(
+    open_: DataFrame, n_compared: int, texts: DataFrame, words: int, percent: int
+) -> tuple[list[DataFrame], DataFrame]:
+    """Links that join components, and what of ``open_`` then still lies between two.
+
+    In a round the open pair with the fewest different bits is compared for every
+    component, and what links is joined, so the members of a group of near copies
+    are not all compared with each other. Once few of these pairs link, or the open ones
+    are few beside those compared last (``n_compared`` at first), they are left to be
+    compared as a whole.
+    """
+    links, n_linked = [], n_compared
+    while open_.count() > OPEN_PER_COMPARED * n_compared and 10 * n_linked >= n_compared:
+        offered = open_.selectExpr("explode(array(label_a, label_b)) AS label", "struct(bits, a, b, label_a, label_b) AS pair")
+        nearest = materialize(offered.groupBy("label").agg(F.min("pair").alias("pair")).select("pair.*").distinct(), "nearest-pairs")
+        found = overlaps(nearest, texts, words)
+        linked = materialize(found.filter(_reaches("both", "n_a", "n_b", percent)).select("a", "b"), "nearest-links")
+        n_linked, n_compared = linked.count(), nearest.count()
+        joined_ = nearest.join(shuffled(linked), ["a", "b"]).selectExpr("label_a AS a", "label_b AS b")
+        merged = components(joined_).toDF("was", "now")
+        left = open_.join(shuffled(found.selectExpr("a AS x", "b AS y")), F.expr("a = x AND b = y"), "left_anti")
+        for label, part in (("label_a", "b"), ("label_b", "a")):
+            left = by_label(left, label, part, merged, "left").withColumn(label, F.expr(f"coalesce(now, {label})")).drop("now")
+        open_ = materialize(left.filter("label_a <> label_b"), "open-pairs")
+        links.append(linked)
+    return links, open_
 
 
 def linked_sets(entries: DataFrame, texts_of, words: int, percent: int, positions: bool = True, odd: DataFrame | None = None) -> DataFrame:
@@ -268,6 +303,11 @@ def _linked(
     known = first.selectExpr("least(a, b) AS x", "greatest(a, b) AS y")
     open_ = open_.join(shuffled(known), F.expr("least(a, b) = x AND greatest(a, b) = y"), "left_anti")
     open_ = materialize(open_, "open-pairs")
+    if odd is not None and not within:
+        joins, open_ = _joined_by_the_nearest(open_, first.count(), texts, words, percent)
+        for linked in joins:
+            near = near.select("a", "b").union(linked)
+        labels = components(near) if joins else labels
     if open_.isEmpty():
         return labels, near.select("a", "b")
 

@@ -680,6 +680,39 @@ def test_sets_that_collide_but_are_far_apart_are_not_compared(spark, monkeypatch
     assert 10 <= sum(compared) < 60
 
 
+def test_a_group_of_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """Paragraphs around a base that none equals, of which many link and many do not."""
+    rng = random.Random(23)
+    base = words(rng, 90).split()
+    rows = []
+    for i in range(90):
+        copy = list(base)
+        for at in rng.sample(range(90), rng.choice([1, 1, 2, 3])):
+            copy[at] = f"e{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(86)} for i, t in rows}
+    links = {(i, j) for i, j in itertools.combinations(sets, 2) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
+    root = {i: i for i in sets}
+    for _ in sets:
+        for i, j in links:
+            root[i] = root[j] = min(root[i], root[j])
+    compared, write = [], common.materialize
+
+    def written(df, name):
+        out = write(df, name)
+        if name == "overlaps":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialize", written)
+    monkeypatch.setattr(jaccard_join, "OPEN_PER_COMPARED", 0)
+    repeated = substring_dedup.repeated_units(common.prepare(spark).createDataFrame(rows, "doc_id long, text string"))
+    got = {r.id: r.component.id for r in repeated.filter("class_id LIKE 'p%'").collect()}
+    alone = {i for i in sets if list(root.values()).count(root[i]) == 1}
+    assert got == {i: root[i] for i in sets if i not in alone}
+    assert len(got) > 40 and len(links) > 200 and sum(compared) < 400
+
+
 def test_odd_counts_differ_in_no_more_bits_than_sets_in_members():
     rng = np.random.default_rng(6)
     for n in (1, 20, 90, 700):
