@@ -18,6 +18,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def has_tables(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder holds Parquet files."""
+    files, target = _located(spark, f"{folder}/*.parquet")
+    return len(files.globStatus(target) or []) > 0
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, target = _located(spark, path)
     files.delete(target, True)

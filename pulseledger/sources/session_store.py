@@ -10,7 +10,8 @@ nothing if the last session is over.
 ``<path>_log/batch=<id>`` has a batch's complete outcome before any of it is
 copied. A batch that was interrupted or is delivered again is repeated with its
 id: a complete log is copied again and not computed again. A batch with a marker
-is done, and once a later batch is in, only the marker is left of its log. A batch
+is done, unless a day that it wrote has lost its files while the log is there, and once
+a later batch is in, only the marker is left of its log. A batch
 makes a fixed number of file-system calls, however many came before it.
 """
 
@@ -101,7 +102,7 @@ def update_sessions(minutes: DataFrame, path: str, batch_id: int | str, timeout_
     spark = minutes.sparkSession
     root = f"{path.rstrip('/')}_log"
     log = f"{root}/batch={batch_id}"
-    if files.exists(spark, f"{log}/applied"):
+    if files.exists(spark, f"{log}/applied") and not _has_lost_days(spark, log, path):
         return
     if not files.exists(spark, f"{log}/rows/_SUCCESS"):
         _plan(minutes, path, log, timeout_minutes, again)
@@ -109,6 +110,14 @@ def update_sessions(minutes: DataFrame, path: str, batch_id: int | str, timeout_
     _mark_applied(spark, root, log)
 
 
+def _has_lost_days(spark: SparkSession, log: str, path: str) -> bool:
+    """Whether a day that the batch has written is without files, though its log is still there."""
+    if not files.exists(spark, f"{log}/rows/_SUCCESS"):
+        return False
+    days = spark.read.schema(f"{SESSION_DATE} date").parquet(f"{log}/rows").distinct().collect()
+    return not all(files.has_tables(spark, f"{path.rstrip('/')}/{SESSION_DATE}={row[0]}") for row in days)
+
+
 def replaced_and_new(spark: SparkSession, path: str, batch_id: int | str) -> tuple[DataFrame, DataFrame]:
     """Sessions that the latest batch replaced, and those it put in their place."""
     log = f"{path.rstrip('/')}_log/batch={batch_id}"
