@@ -44,8 +44,9 @@ SKETCH_BITS = 18
 _CHUNK = 1 << 12
 # Entries of a list among which one head is chosen.
 HEAD_ENTRIES = 5_000
-# Open pairs for each pair compared from which on a round of the nearest pairs pays.
-OPEN_PER_COMPARED = 10
+# Open pairs, in all and for each pair compared, from which on a round of the nearest
+# pairs pays: its some 30 jobs take longer than to compare fewer pairs.
+OPEN_PAIRS, OPEN_PER_COMPARED = 2_000_000, 10
 # Ids up to this number are broadcast (about 110 bytes each) to pick texts without a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -259,7 +260,7 @@ def _joined_by_the_nearest(
     compared as a whole.
     """
     links, n_linked = [], n_compared
-    while open_.count() > OPEN_PER_COMPARED * n_compared and 10 * n_linked >= n_compared:
+    while open_.count() > max(OPEN_PAIRS, OPEN_PER_COMPARED * n_compared) and 10 * n_linked >= n_compared:
         offered = open_.selectExpr("explode(array(label_a, label_b)) AS label", "struct(bits, a, b, label_a, label_b) AS pair")
         nearest = materialize(offered.groupBy("label").agg(F.min("pair").alias("pair")).select("pair.*").distinct(), "nearest-pairs")
         found = overlaps(nearest, texts, words)

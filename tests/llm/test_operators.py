@@ -705,6 +705,7 @@ def test_a_group_of_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch)
         return out
 
     monkeypatch.setattr(jaccard_join, "materialize", written)
+    monkeypatch.setattr(jaccard_join, "OPEN_PAIRS", 0)
     monkeypatch.setattr(jaccard_join, "OPEN_PER_COMPARED", 0)
     repeated = substring_dedup.repeated_units(common.prepare(spark).createDataFrame(rows, "doc_id long, text string"))
     got = {r.id: r.component.id for r in repeated.filter("class_id LIKE 'p%'").collect()}
